@@ -37,4 +37,24 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint().alias("fingerprint"), F.col("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_grammar_shards, op5_pack, op6_simhash)}
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.htmltext import extract
+
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.toxicity import fit, held_out, score
+
+    docs = _docs(spark, sf_dir)
+    model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out()), sample=20_000)
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.mjpeg import features, to_media
+
+    return features(to_media(_docs(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_grammar_shards, op5_pack, op6_simhash, op7_html, op9_toxicity, op10_mjpeg)}
