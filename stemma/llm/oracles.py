@@ -2,4 +2,44 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_OP1 = r"""
+with low as (select doc_id, row_number() over () as r, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+words as (select doc_id, r, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from low),
+items as (select cast(item_id as varchar) as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where item_id is not null),
+wins as (select distinct item, least(10, len(w)) as n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as win
+  from (select item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from items where len(w) > 0)),
+sizes as (select distinct n from wins),
+spots as (select r, i, n, array_to_string(w[i : i + n - 1], ' ') as win
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from words, sizes where len(w) >= n)),
+hits as (select r, i, spots.n, item from spots join wins on spots.win = wins.win and spots.n = wins.n),
+hit_words as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + n)) as p from hits) group by r),
+hit_items as (select r, count(*) as n_items, string_agg(item, ',' order by item) as ids from (select distinct r, item from hits) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit_words using (r) left join hit_items using (r)
+"""
+
+_OP2 = r"""
+with p as (select page_id, url, nullif(regexp_replace(lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '^www\.', ''), '') as host,
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/?([^?#]*)', 1), '/'), lambda x: x <> '') as parts from pages),
+k as (select *, string_split(host, '.') as labels from p),
+log as (select case when page_id % 5 < 2 then 'adult' when page_id % 5 < 4 then 'malware' else 'spam' end as list_name,
+    case when page_id % 4 = 0 then host
+      when page_id % 4 = 1 and len(labels) > 3 then array_to_string(labels[2:], '.')
+      when page_id % 4 = 2 then case when len(parts) > 0 then host || '/' || parts[1] end
+      when len(parts) > 0 then host || '/' || array_to_string(parts, '/')
+      else array_to_string(labels[greatest(len(labels) - 1, 1):], '.') end as key,
+    1704067200 + page_id * 37 % 360 * 86400 as ts, page_id % 3 <> 2 as added from k),
+days as (select list_name, key, ts, bool_or(added) as added from log where list_name is not null and key is not null and ts is not null group by all),
+turns as (select * from (select *, coalesce(lag(added) over (partition by list_name, key order by ts), false) as was from days) where added <> was),
+spans as (select list_name, key, ts as since, until from (select *, lead(ts) over (partition by list_name, key order by ts) as until from turns) where added),
+caps as (select page_id, url, host, 1704067200 + page_id * 101 % 360 * 86400 + page_id * 977 % 86400 as fetched_at, row_number() over () as r, labels, parts from k),
+keyed as (select distinct r, key from (
+    select r, array_to_string(labels[i:], '.') as key from (select r, labels, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) as i from caps where host is not null)
+    union all select r, host || '/' || array_to_string(parts[1:i], '/') from (select r, host, parts, unnest(range(1, len(parts) + 1)) as i from caps where host is not null))),
+met as (select caps.r, list_name, spans.key from keyed join caps using (r) join spans on spans.key = keyed.key and fetched_at >= since and (until is null or fetched_at < until)),
+found as (select r, count(*) as n, string_agg(distinct list_name, ',' order by list_name) as lists, first(key order by length(key) desc, key) as entry from met group by r)
+select page_id, url, fetched_at, host, coalesce(n, 0) as n_entries, coalesce(lists, '') as lists, entry, coalesce(n, 0) > 0 as blocked from caps left join found using (r)
+"""
+
+ORACLES: dict[str, str] = {"op1_decontaminate": _OP1, "op2_urlfilter": _OP2}

@@ -131,7 +131,8 @@ def pack(docs: DataFrame, capacity: Capacity = Capacity(), score: str = "norm",
     rows = plan(counts, capacity, score, weights)
     order = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = by_part.select("length", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
-    ranked = pieces.join(base, ["length", "part"]).withColumn("rank", F.col("base") + F.col("nth"))
+    # The offsets grow with the parts, so they are merged, not sent everywhere.
+    ranked = pieces.join(base.hint("merge"), ["length", "part"]).withColumn("rank", F.col("base") + F.col("nth"))
     by_length: dict[int, np.ndarray] = {}
     for length in counts:
         by_length[length] = np.array([r[1:] for r in rows if r[0] == length], np.int64)

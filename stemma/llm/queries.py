@@ -18,6 +18,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(contamination(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark").select("item_id", "text"), window=10), "doc_id")
 
 
+def op2_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists are derived from the pages themselves, as the tables hold none; fetch times likewise."""
+    from stemma.llm.urlfilter import as_of, dated_list, fetch_time, intervals
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return as_of(pages.select("page_id", "url", fetch_time().alias("fetched_at")), intervals(dated_list(pages)))
+
+
 def op3_grammar_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stemma.llm.grammar import round_trip
 
@@ -57,4 +65,4 @@ def op10_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(to_media(_docs(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_grammar_shards, op5_pack, op6_simhash, op7_html, op9_toxicity, op10_mjpeg)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op5_pack, op6_simhash, op7_html, op9_toxicity, op10_mjpeg)}
