@@ -32,6 +32,12 @@ def op3_grammar_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_docs(spark, sf_dir))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.suffixes import digest, repeats
+
+    return digest(repeats(_docs(spark, sf_dir), length=50))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stemma.llm.packing import Capacity, pack
 
@@ -65,4 +71,4 @@ def op10_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(to_media(_docs(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op5_pack, op6_simhash, op7_html, op9_toxicity, op10_mjpeg)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op4_suffixes, op5_pack, op6_simhash, op7_html, op9_toxicity, op10_mjpeg)}
