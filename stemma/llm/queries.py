@@ -57,6 +57,12 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op8_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.hpylm import score_corpus
+
+    return score_corpus(_docs(spark, sf_dir))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stemma.llm.toxicity import fit, held_out, score
 
@@ -71,4 +77,4 @@ def op10_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(to_media(_docs(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op4_suffixes, op5_pack, op6_simhash, op7_html, op9_toxicity, op10_mjpeg)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op4_suffixes, op5_pack, op6_simhash, op7_html, op8_hpylm, op9_toxicity, op10_mjpeg)}
