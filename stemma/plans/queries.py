@@ -467,7 +467,7 @@ def catalogue_nested(spark, sf_dir):
 
 @query("with " + _SAME_PACK + "," + _UNIT + """, best as (select * from same_pack union all select * from unit_price where product_key not in (select product_key from same_pack)),
   o as (select product_key, min(price_aud) as lo, count(distinct retailer) as n from v_offer group by 1), r as (select cast(ord % 500 as varchar) as product_key, count(*) as n, bool_or(coalesce(sort_order <> 'Newest', false)) as biased from v_review group by 1)
-  select count(*) as products, count_if(o.lo is not null) as with_price, count_if(o.n > 1) as multi_retailer, count_if(compare_basis is not null and not compare_suspect) as trusted, count_if(compare_suspect) as suspect, count_if(r.biased) as biased, coalesce(sum(r.n), 0)::bigint as reviews
+  select count(*) as products, count_if(o.lo is not null)::bigint as with_price, count_if(o.n > 1)::bigint as multi_retailer, count_if(compare_basis is not null and not compare_suspect)::bigint as trusted, count_if(compare_suspect)::bigint as suspect, count_if(r.biased)::bigint as biased, coalesce(sum(r.n), 0)::bigint as reviews
   from (select cast(p_partkey as varchar) as product_key from part) c left join o using (product_key) left join best using (product_key) left join r using (product_key)""")
 def catalogue_report(spark, sf_dir):
     return catalogue.report(_catalogue(spark, sf_dir))
@@ -556,7 +556,7 @@ def resume_antijoin(spark, sf_dir):
 
 _AS_OF = "2024-01-20 00:00:00"
 _LEASE = f"""live as (select *, case when kind = 'done' and value <= 60 then 'partial' else kind end as k from v_attempt where ts <= timestamp '{_AS_OF}'),
-folded as (select target, count_if(k = 'handout') as attempts, max(ts) filter (k = 'handout') as handed, max(ts) filter (k = 'partial') as delivered, max(ts) filter (k = 'done') as finished, max(ts) filter (k = 'fail') as failed, coalesce(sum(n) filter (k in ('partial', 'done')), 0)::bigint as harvested from live group by 1),
+folded as (select target, count_if(k = 'handout')::bigint as attempts, max(ts) filter (k = 'handout') as handed, max(ts) filter (k = 'partial') as delivered, max(ts) filter (k = 'done') as finished, max(ts) filter (k = 'fail') as failed, coalesce(sum(n) filter (k in ('partial', 'done')), 0)::bigint as harvested from live group by 1),
 leased as (select *, case when delivered >= handed then delivered else handed end as alive from folded),
 state as (select target, attempts, harvested, finished is not null as done, coalesce(alive > timestamp '{_AS_OF}' - interval 86400 seconds and not coalesce(failed >= alive, false) and finished is null, false) as in_flight from leased),
 leases as (select *, not done and not in_flight and attempts < 5 as eligible from state)"""
@@ -583,7 +583,7 @@ def next_target(spark, sf_dir):
     return state.next_target(_leases(spark, sf_dir), queue)
 
 
-@query(f"with {_LEASE} select count(*) as total, count_if(done) as done, greatest(0, count(*) - count_if(done)) as remaining, coalesce(sum(harvested), 0)::bigint as harvested from leases")
+@query(f"with {_LEASE} select count(*) as total, count_if(done)::bigint as done, greatest(0, count(*) - count_if(done))::bigint as remaining, coalesce(sum(harvested), 0)::bigint as harvested from leases")
 def progress_totals(spark, sf_dir):
     return state.progress(_leases(spark, sf_dir))
 
@@ -591,7 +591,7 @@ def progress_totals(spark, sf_dir):
 _SNAPS = "snaps as (select user_id, event_id, cast(floor(value / 50) as bigint) as n from events)"
 
 
-@query(f"with {_SNAPS}, g as (select *, n - lag(n) over (partition by user_id order by event_id) as gained from snaps), r as (select *, count_if(coalesce(gained <> 0, true)) over (partition by user_id order by event_id) as run from g) select user_id, event_id, n, gained, case when coalesce(gained = 0, false) then row_number() over (partition by user_id, run order by event_id) - 1 else 0 end as stalls from r")
+@query(f"with {_SNAPS}, g as (select *, n - lag(n) over (partition by user_id order by event_id) as gained from snaps), r as (select *, count_if(coalesce(gained <> 0, true)) over (partition by user_id order by event_id) as run from g) select user_id, event_id, n, gained, case when coalesce(gained = 0, false) then (row_number() over (partition by user_id, run order by event_id) - 1)::integer else 0 end as stalls from r")
 def stall_runs(spark, sf_dir):
     snaps = table(spark, sf_dir, "events").select("user_id", "event_id", F.floor(F.col("value") / 50).alias("n"))
     return state.stall_runs(snaps, "event_id", "n", ["user_id"])
