@@ -48,6 +48,11 @@ def staged(df: DataFrame, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the context cleaner drop the files of shuffles that no frame needs any more: it hears of them from the driver's collector."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

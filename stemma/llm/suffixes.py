@@ -30,14 +30,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import joined, record_batch, shuffle_partitions, staged, tune
+from stemma.llm.common import joined, record_batch, release, shuffle_partitions, staged, tune
 
 K = 16
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _DOWN = pow(_BASE, -1, 1 << 64)
 #: Bytes of text worked on at a time, anchors that a task holds before it sends them, bytes of text to a block.
-CHUNK, HELD, BLOCK = 1 << 20, 1 << 20, 16 << 20
+CHUNK, HELD, BLOCK = 1 << 20, 1 << 19, 16 << 20
+#: What travels of a fingerprint: 48 bits of a k-gram's, which only has to be told apart roughly, and 48 of a reach's.
+_KEPT = _U(0xFFFFFFFFFFFF0000)
 _ENTRY = np.dtype([("gram", "<u8"), ("reach", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
 _SPAN = np.dtype([("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("end", "<u4")])
 _NEED = np.dtype([("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
@@ -95,7 +97,7 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int, up: np.ndarray, down:
     np.cumsum(h * up[: len(h)], out=sums[1:])
     reach = (sums[last + w] - sums[first]) * down[first]
     reach = _mix(reach + ((p - first) << 8 | (last - first)).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
-    return np.searchsorted(at, first, "right") - 1, p, first, last, h[p], reach
+    return np.searchsorted(at, first, "right") - 1, p, first, last, h[p] & _KEPT, reach & _KEPT
 
 
 def _runs(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -350,9 +352,10 @@ class _Contexts:
         self.rows: list[tuple] = []
 
     def documents(self, b):
-        for doc, row, text in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(2).to_pylist(), strict=True):
+        for doc, row, packed in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(2).to_pylist(), strict=True):
             got = self.of.pop((doc, row), None)  # of rows alike in id and text one is enough
             if got is not None:
+                text = zstandard.decompress(packed)
                 for p, a, c in zip(got["pos"].tolist(), got["left"].tolist(), got["right"].tolist(), strict=True):
                     self.rows.append((text[p : p + self.length - c], text[p - a : p], doc, row, p, a, c))
         return ()
@@ -466,9 +469,10 @@ class _Cut:
         self.of = {(d, r): x[a:b] for d, r, a, b in zip(x["doc"][start].tolist(), x["row"][start].tolist(), start.tolist(), ends.tolist(), strict=True)}
 
     def documents(self, b):
-        kept, removed, runs = [], [], []
-        for doc, row, text in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(2).to_pylist(), strict=True):
-            text = text or b""
+        kept, sizes, removed, runs = [], [], [], []
+        for doc, row, packed in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(2).to_pylist(), strict=True):
+            text = zstandard.decompress(packed)
+            sizes.append(len(text))
             spans = self.of.get((doc, row)) if doc is not None else None
             if spans is None:
                 kept.append(text)
@@ -483,7 +487,7 @@ class _Cut:
             removed.append(len(text) - len(kept[-1]))
             runs.append([{"a": i, "b": j} for i, j in zip(a, e, strict=True)])
         spans_type = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array([len(t or b"") for t in b.column(2).to_pylist()], pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, spans_type), pa.array(kept, pa.binary())], names=[*b.schema.names[3:], "n_bytes", "n_removed", "spans", "kept"])
+        yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, spans_type), pa.array(kept, pa.binary())], names=[*b.schema.names[3:], "n_bytes", "n_removed", "spans", "kept"])
 
     def end(self):
         return ()
@@ -496,7 +500,14 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     spark = docs.sparkSession
     tune(spark)
     key, text, *more = docs.columns
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("row"), F.col(text).cast("binary").alias("text"), *more)
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("binary").alias("text"), *more)
+    # Rows are told apart by their id; only those that share one by a hash of their text too.
+    again = staged(rows.groupBy("doc").count().where("count > 1 and doc is not null").select(F.col("doc").alias("again")))
+    if again.limit(1).count():
+        rows = rows.join(again, F.col("doc") == F.col("again"), "left").withColumn("row", F.when(F.col("again").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("text")))
+    else:
+        rows = rows.withColumn("row", F.lit(0).cast("long"))
+    rows = rows.select("doc", "row", "text", *more)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = shuffle_partitions(spark)
     blocks = max(parts, -(-total // BLOCK))
@@ -507,6 +518,7 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     sent = rows.where("doc is not null").select("doc", "row", "text").mapInArrow(_send_anchors(length, buckets, blocks), _ROUTED_DDL)
     settled = staged(dealt(sent).mapInArrow(_settle_bucket(length, blocks), _ROUTED_DDL))
+    release(spark)
 
     numbered = rows.select("doc", "row", "text", *more).mapInArrow(_numbered(blocks), rows.withColumn("block", F.lit(0).cast("long")).schema)
     papers = numbered.select(F.col("block").alias("route"), F.lit(9).alias("kind"), F.col("text").alias("payload"), "doc", "row", *more)
@@ -518,6 +530,7 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     plain = papers.where("doc is not null").select("route", "kind", "payload", "doc", "row")
     contexts = with_documents(settled.where(F.col("kind") == NEEDS), plain).mapInArrow(_meet_documents(lambda held: _Contexts(held, length, buckets)), _ROUTED_DDL)
     merged = staged(dealt(contexts).mapInArrow(_merge_bucket(length, blocks), _ROUTED_DDL))
+    release(spark)
     spans = settled.where(F.col("kind") == SPANS).union(merged)
     fields = [F.col(c) for c in ("doc", "row", *more)]
     schema = papers.select(*fields).withColumns({"n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<a:long,b:long>>)"), "kept": F.lit(b"")}).schema
@@ -526,12 +539,14 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
 
 def _numbered(blocks: int):
-    """Adds each document's block."""
+    """Adds each document's block, and packs its text for the way there."""
 
     def run(batches):
+        pack_text = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
             doc = b.column(0).fill_null(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_block(np.ascontiguousarray(doc), b.column(1).to_numpy(), blocks))], names=[*b.schema.names, "block"])
+            packed = pa.array([pack_text(t or b"") for t in b.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], packed, *b.columns[3:], pa.array(_block(np.ascontiguousarray(doc), b.column(1).to_numpy(), blocks))], names=[*b.schema.names, "block"])
 
     return run
 
