@@ -10,6 +10,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Words that tell a category, tested in this order.
 CATEGORY_WORDS = {
@@ -201,7 +202,7 @@ def strip_html(text: Column) -> Column:
     return collapsed(decode_entities(F.regexp_replace(text, r"<[^>]+>", " ")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_text(s: pd.Series) -> pd.Series:
     """All character references decoded, for texts with rare ones."""
     import html
@@ -283,7 +284,7 @@ def review_count(text: Column) -> Column:
     return F.nullif(found(text, r"(\d+)").try_cast("int"), F.lit(0))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def absolute_url(base: pd.Series, ref: pd.Series) -> pd.Series:
     """A reference resolved against its page's address."""
     from urllib.parse import urljoin

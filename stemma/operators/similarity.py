@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from stemma.functions import text as T
 
@@ -27,7 +28,7 @@ def candidates(left: DataFrame, postings: DataFrame, k: int = 40) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def matcher_ratio(target: pd.Series, candidate: pd.Series) -> pd.Series:
     """The standard library's sequence similarity; the target comes first."""
     from difflib import SequenceMatcher
