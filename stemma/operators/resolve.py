@@ -76,5 +76,6 @@ def link(reviews: DataFrame, products: DataFrame, order: list, threshold: float
 
 
 def link_rate(linked: DataFrame, queued: DataFrame) -> DataFrame:
-    counts = linked.agg(F.count("*").alias("linked")).crossJoin(queued.agg(F.count("*").alias("queued")))
+    each = linked.select(F.lit(1).alias("hit")).unionAll(queued.select(F.lit(0).alias("hit")))
+    counts = each.agg(F.count_if(F.col("hit") == 1).alias("linked"), F.count_if(F.col("hit") == 0).alias("queued"))
     return counts.withColumn("rate_pct", F.expr("linked * 100 div nullif(linked + queued, 0)"))

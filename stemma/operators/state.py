@@ -14,15 +14,9 @@ def lease_state(events: DataFrame, as_of, timeout_s: int = 180, max_attempts: in
     """
     e = events.where(F.col("ts") <= F.lit(as_of).cast("timestamp"))
     last = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("ts")))
-    w = Window.partitionBy("target").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    if "seq" not in e.columns:
-        e = e.withColumn("seq", F.lit(0))
-    # Partial deliveries count towards the completion that follows them.
-    e = e.withColumn("closed", F.count_if(F.col("kind") == "done").over(w) - F.when(F.col("kind") == "done", 1).otherwise(0))
     out = e.groupBy("target").agg(
         F.count_if(F.col("kind") == "handout").alias("attempts"), last("handout").alias("handed"), last("partial").alias("delivered"), last("done").alias("finished"), last("fail").alias("failed"),
         F.coalesce(F.sum(F.when(F.col("kind").isin("partial", "done"), F.col("n"))), F.lit(0)).alias("came"),
-        F.coalesce(F.sum(F.when((F.col("kind") == "partial"), F.col("n"))), F.lit(0)).alias("partials"), F.max("closed").alias("closings"),
     )
     alive = F.greatest("handed", F.when(F.col("delivered") >= F.col("handed"), F.col("delivered")))
     fresh = alive > F.lit(as_of).cast("timestamp") - F.make_interval(secs=F.lit(timeout_s))

@@ -134,8 +134,7 @@ def jsonld_pages(pages: DataFrame, as_of: str, source: str, retailer: str, order
     first = first_products(pages, "url", "html")
     raw = product_offers(first, "url")
     raw = raw.join(pages.select("url", c(order).alias("__ord")), "url")
-    raw = raw.withColumn("__n", F.monotonically_increasing_id())
-    raw = keep_best(raw, ["url", "__ord"], ["__n"])
+    raw = keep_best(raw, ["url", "__ord"], ["offer_at"])
     blob = F.concat_ws(" ", c("name_raw"), F.coalesce("description_raw", F.lit("")))
     df = raw.withColumns(
         {

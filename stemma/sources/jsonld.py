@@ -70,10 +70,10 @@ def product_fields(node: Column) -> dict[str, Column]:
 def product_offers(products: DataFrame, key: str, node: str = "node") -> DataFrame:
     """One raw product of each offer, one without a price where there is none; a low price stands in, a high one is the earlier price."""
     offers = F.coalesce(F.try_variant_get(node, "$.offers", "array<variant>"), F.when(F.try_variant_get(node, "$.offers", "variant").isNotNull(), F.array(F.try_variant_get(node, "$.offers", "variant"))))
-    rows = products.withColumns(product_fields(F.col(node))).where("name_raw is not null").withColumn("__offer", F.explode_outer(offers))
+    rows = products.withColumns(product_fields(F.col(node))).where("name_raw is not null").select("*", F.posexplode_outer(offers).alias("offer_at", "__offer"))
     o = F.col("__offer")
     return rows.select(
-        key, "name_raw", "brand_raw", "description_raw", "source_product_id", "gtin", "image_url", "subcategory_raw",
+        key, "offer_at", "name_raw", "brand_raw", "description_raw", "source_product_id", "gtin", "image_url", "subcategory_raw",
         F.coalesce(_text(o, "$.price"), _text(o, "$.lowPrice")).alias("price_raw"), _text(o, "$.highPrice").alias("was_price_raw"), _text(o, "$.availability").alias("availability_raw"), F.coalesce(_text(o, "$.priceCurrency"), F.lit("AUD")).alias("currency"),
     )
 
