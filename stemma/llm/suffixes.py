@@ -37,7 +37,7 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _DOWN = pow(_BASE, -1, 1 << 64)
 #: Bytes of text worked on at a time, anchors that a task holds before it sends them, bytes of text to a block.
-CHUNK, HELD, BLOCK = 1 << 20, 1 << 19, 16 << 20
+CHUNK, HELD, BLOCK = 1 << 19, 1 << 19, 16 << 20
 #: What travels of a fingerprint: 48 bits of a k-gram's, which only has to be told apart roughly, and 48 of a reach's.
 _KEPT = _U(0xFFFFFFFFFFFF0000)
 _ENTRY = np.dtype([("gram", "<u8"), ("reach", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
@@ -97,7 +97,9 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int, up: np.ndarray, down:
     np.cumsum(h * up[: len(h)], out=sums[1:])
     reach = (sums[last + w] - sums[first]) * down[first]
     reach = _mix(reach + ((p - first) << 8 | (last - first)).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
-    return np.searchsorted(at, first, "right") - 1, p, first, last, h[p] & _KEPT, reach & _KEPT
+    # An anchor's hash is the least of many, so it is mixed once more before it deals out buckets.
+    gram = _mix(h[p] * _U(0xD6E8FEB86659FD93))
+    return np.searchsorted(at, first, "right") - 1, p, first, last, gram & _KEPT, reach & _KEPT
 
 
 def _runs(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
