@@ -4,8 +4,8 @@ The standard library's parser streams events into lines, one for each block elem
 tags and its share of text in links. Blocks inside menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
 (by element, role, or the words of class and id) are set aside. The ratios of text to tags of the other lines are smoothed
 with a Gaussian and parted in two clusters by a threshold between their means. Lines of the upper cluster are seeds; the region is the article
-or main element that holds most of the seeds' text, or else whatever lies from the first seed to the last with headings just before, without
-lists of links. All lines of the region come out, in page order, short ones too.
+or main element that holds most of the seeds' text, or else whatever lies from the first seed to the last, and about them as far as a list of links, without
+such lists. All lines of the region come out, in page order, short ones too.
 
 Nulls and the like: a null, empty or textless page has an empty text; broken markup is read as the parser recovers it;
 repeated rows come out as often as they came in.
@@ -203,11 +203,12 @@ def main_text(html: str) -> str:
 
         keep = [x for x in lines if inside(x.home)]
     else:
-        at = np.flatnonzero(seeds)
+        at = np.flatnonzero(seeds | (ratio >= threshold(smooth)))
         first, last = int(at[0]), int(at[-1])
-        while first and lines[first - 1].heading:
+        prose = [x.linked < 0.5 * len(x.text) for x in lines]
+        while first and prose[first - 1]:
             first -= 1
-        while last + 1 < len(lines) and lines[last + 1].linked < 0.3 * len(lines[last + 1].text) and lines[last + 1].text[-1:] in ".!?…":
+        while last + 1 < len(lines) and prose[last + 1]:
             last += 1
         keep = [x for x in lines[first : last + 1] if x.linked < 0.8 * len(x.text) or x.heading]
     return "\n".join(x.text for x in keep)

@@ -349,7 +349,7 @@ class _Contexts:
     def __init__(self, held, length: int, buckets: int):
         self.length, self.buckets = length, buckets
         x, start = _table([unpack(p, _NEED) for k, p in held if k == NEEDS], _NEED)
-        ends = np.append(start[1:], len(x))
+        ends = np.append(start[1:], len(x))[: len(start)]
         self.of = {(d, r): x[a:b] for d, r, a, b in zip(x["doc"][start].tolist(), x["row"][start].tolist(), start.tolist(), ends.tolist(), strict=True)}
         self.rows: list[tuple] = []
 
@@ -467,7 +467,7 @@ class _Cut:
 
     def __init__(self, held):
         x, start = _table([unpack(p, _SPAN) for k, p in held if k == SPANS], _SPAN)
-        ends = np.append(start[1:], len(x))
+        ends = np.append(start[1:], len(x))[: len(start)]
         self.of = {(d, r): x[a:b] for d, r, a, b in zip(x["doc"][start].tolist(), x["row"][start].tolist(), start.tolist(), ends.tolist(), strict=True)}
 
     def documents(self, b):
