@@ -34,6 +34,7 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'"
 # Lengths of a GTIN.
 GTIN_LENGTHS = (8, 12, 13, 14)
 
+# Patterns of sizes, strengths, years, prices and names, as the sources write them.
 _ML = r"(?i)(\d+(?:\.\d+)?)\s*(?:ml|mls|millilitre?s?)\b"
 _LITRE = r"(?i)(\d+(?:\.\d+)?)\s*(?:l|lt|ltr|litre?s?|liter?s?)\b"
 _PACKS = (
@@ -42,7 +43,18 @@ _PACKS = (
     r"(?i)\b(\d+)\s*[- ]?(?:pack|pk)\b",
     r"(?i)\b(?:pack|case|pk)\s*\(\s*(\d+)\s*\)",
 )
+_ABV = r"(\d{1,2}(?:\.\d)?)\s*%"
+_YEAR = r"\b(19[5-9]\d|20[0-4]\d)\b"
+_PRICE = r"(\d+(?:,\d{3})*(?:\.\d{1,2})?)"
 _SIZES = r"(?i)\b(?:case of \d+|\d+\s*(?:x|×)\s*\d+\s*ml|\d+\s*[- ]?(?:pack|pk)|\d+(?:\.\d+)?\s*(?:ml|l|lt|ltr|litre?s?)|nv|non[- ]vintage)\b"
+_RUN_ON = r"(?<=[a-z])(?=[A-Z][a-z])"
+_SCOTS = r"\b(Ma?c)\s+([A-Z])"
+_ORPHAN = r"(?i)(?:^|\s)[x×](?=\s|$)"
+_LAST_SIGN = r"\s*[-|,/]\s*$"
+_MONEY = r"\$\s*([\d,]+(?:\.\d{2})?)"
+_NON_MEMBER = r"(?i)Non-?Member:?\s*\$\s*([\d,]+(?:\.\d{2})?)"
+_PROMOTION = r"(?i)(buy one get one free|\d+ for \$?\d+|save \$?[\d.]+)"
+_TOGGLE = r"(?i)\s*Read (?:more|less)\s*$"
 
 
 def found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -83,14 +95,14 @@ def parse_pack_size(text: Column) -> Column:
 
 def parse_abv(text: Column, strict: bool = False) -> Column:
     """Percentage in (0, 80]; strict wants a whole figure before the sign, with any decimals."""
-    pattern = r"(?<![\d.])(\d{1,2}(?:\.\d+)?)\s*%" if strict else r"(\d{1,2}(?:\.\d)?)\s*%"
+    pattern = r"(?<![\d.])(\d{1,2}(?:\.\d+)?)\s*%" if strict else _ABV
     v = found(text, pattern).try_cast("double")
     return F.when((v > 0) & (v <= 80), v)
 
 
 def parse_vintage(text: Column, as_of_year: int) -> Column:
     """Latest year from 1950 on in the text, none after as_of_year."""
-    years = F.transform(F.regexp_extract_all(text, F.lit(r"\b(19[5-9]\d|20[0-4]\d)\b"), F.lit(1)), lambda y: y.cast("int"))
+    years = F.transform(F.regexp_extract_all(text, F.lit(_YEAR), F.lit(1)), lambda y: y.cast("int"))
     return F.array_max(F.filter(years, lambda y: y <= as_of_year))
 
 
@@ -118,7 +130,7 @@ def resolve_category(guessed: Column, hinted: Column) -> Column:
 
 def parse_price(text: Column) -> Column:
     """Of a string: first figure, with thousands and two decimals at most."""
-    figure = found(F.regexp_replace(text, r"\$", ""), r"(\d+(?:,\d{3})*(?:\.\d{1,2})?)")
+    figure = found(F.regexp_replace(text, r"\$", ""), _PRICE)
     return rounded(F.regexp_replace(figure, ",", "").try_cast("double"), 2)
 
 
@@ -128,15 +140,15 @@ def price_number(value: Column) -> Column:
 
 def split_run_on(name: Column) -> Column:
     """A blank where a capitalised word runs on from a small letter, but for names in Mc and Mac."""
-    return F.regexp_replace(F.regexp_replace(name, r"(?<=[a-z])(?=[A-Z][a-z])", " "), r"\b(Ma?c)\s+([A-Z])", "$1$2")
+    return F.regexp_replace(F.regexp_replace(name, _RUN_ON, " "), _SCOTS, "$1$2")
 
 
 def clean_name(name: Column) -> Column:
     """Without sizes, packs and orphaned signs; null is empty."""
     s = split_run_on(F.regexp_replace(F.coalesce(name, F.lit("")), _SIZES, " "))
     s = F.regexp_replace(s, "[–—]", "-")
-    s = F.regexp_replace(s, r"(?i)(?:^|\s)[x×](?=\s|$)", " ")
-    s = F.regexp_replace(s, r"\s*[-|,/]\s*$", "")
+    s = F.regexp_replace(s, _ORPHAN, " ")
+    s = F.regexp_replace(s, _LAST_SIGN, "")
     return stripped(F.regexp_replace(s, r"\s{2,}", " "))
 
 
@@ -265,19 +277,19 @@ def was_price(was: Column, price: Column) -> Column:
 
 def detoggled(text: Column) -> Column:
     """Review text without the label of its own expander and trailing carets."""
-    return stripped(F.regexp_replace(F.regexp_replace(text, r"(?i)\s*Read (?:more|less)\s*$", ""), r"[\s^]+$", ""))
+    return stripped(F.regexp_replace(F.regexp_replace(text, _TOGGLE, ""), r"[\s^]+$", ""))
 
 
 def money(text: Column) -> Column:
-    return found(text, r"\$\s*([\d,]+(?:\.\d{2})?)")
+    return found(text, _MONEY)
 
 
 def non_member_price(text: Column) -> Column:
-    return found(text, r"(?i)Non-?Member:?\s*\$\s*([\d,]+(?:\.\d{2})?)")
+    return found(text, _NON_MEMBER)
 
 
 def promotion(text: Column) -> Column:
-    return found(text, r"(?i)(buy one get one free|\d+ for \$?\d+|save \$?[\d.]+)")
+    return found(text, _PROMOTION)
 
 
 def review_count(text: Column) -> Column:
