@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stemma.llm.common import joined, record_batch, staged, tune
+from stemma.llm.common import joined, record_batch, staged, trim, tune
 from stemma.llm.tokens import WORD_BPE, encoder
 
 
@@ -117,6 +117,7 @@ def token_pieces(docs: DataFrame, most: int, tokenizer: str = WORD_BPE, end_id:
             among += seen[length]
             seen += np.bincount(length, minlength=most + 1)
             yield record_batch(schema, b.column(0).take(pa.array(doc)), nth.astype(np.int32), start, length, np.array(crc, np.int64), np.full(len(doc), part, np.int32), among)
+        trim()
 
     return docs.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long")
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import LOWER, as_bytes, record_batch, shuffle_partitions, staged, tune
+from stemma.llm.common import LOWER, as_bytes, record_batch, shuffle_partitions, staged, trim, tune
 from stemma.llm.components import connected_components
 
 #: Homes at one anchor beyond which visitors go to several tasks, each with a share of the homes.
@@ -196,6 +196,7 @@ def _compare(most: int):
             held.append([anchor[last:], home[last:], fp[last:]])
         if held:
             yield from linked([np.concatenate(c) for c in zip(*held, strict=True)])
+        trim()
 
     return run
 

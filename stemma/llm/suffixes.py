@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import joined, record_batch, release, shuffle_partitions, staged, tune
+from stemma.llm.common import joined, record_batch, release, shuffle_partitions, staged, trim, tune
 
 K = 16
 _U = np.uint64
@@ -158,8 +158,11 @@ def _send_anchors(length: int, buckets: int, blocks: int):
             # Settled spans go the same way; the bucket's task hands them on to their block.
             block = _block(spans["doc"], spans["row"], blocks)
             rows += [(r % buckets, k, r.to_bytes(8, "little") + b) for r, k, b in _by_route(spans, block, SPANS)]
+            del e, head, spans
             for i in range(0, len(rows), 500):
                 yield _batch(rows[i : i + 500])
+            rows.clear()
+            trim()
 
         for b in batches:
             if not b.num_rows:
@@ -223,6 +226,7 @@ def _settle_bucket(length: int, blocks: int):
                 out += _by_route(needs, _block(needs["doc"], needs["row"], blocks), NEEDS)
             for i in range(0, len(out), 500):
                 yield _batch(out[i : i + 500])
+        trim()
 
     return run
 
@@ -332,6 +336,8 @@ def _meet_documents(work):
                     held += list(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True))
         if task is not None:
             yield from task.end()
+        task = None
+        trim()
 
     return run
 
@@ -458,6 +464,7 @@ def _merge_bucket(length: int, blocks: int):
                 out = list(_by_route(spans, _block(spans["doc"], spans["row"], blocks), SPANS))
                 for i in range(0, len(out), 500):
                     yield _batch(out[i : i + 500])
+        trim()
 
     return run
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import LOWER, as_bytes, staged, tune
+from stemma.llm.common import LOWER, as_bytes, staged, trim, tune
 
 # Insults, and words of address, in four languages.
 INSULTS = "idiot moron clown stupid dumb pathetic worthless disgusting loser trash scum garbage imbecile fool jerk bastard bitch whore slut asshole shit fuck fucking retard crap hate ugly filthy vermin connard salope merde imbécile débile crétin ordure abruti dummkopf idiota imbécil estúpido estúpida mierda puta pendejo basura arschloch scheiße trottel vollidiot abschaum widerlich".split()
@@ -227,6 +227,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             if b.num_rows:
                 s = sent.value.score(as_bytes(b.column(len(keys))))
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s)], names=[*keys, "score"])
+        trim()
 
     return docs.mapInArrow(run, docs.drop(text).withColumn("score", F.lit(0.0)).schema)
 
