@@ -63,12 +63,13 @@ def features(texts: list[bytes], lexicon: dict[bytes, float]) -> np.ndarray:
         if kinds[48:58].sum() + kinds[36] + kinds[64] + kinds[42] or _INNER.search(low) or _RUN.search(low):
             seen = set(at)
             for i, w in enumerate(words):
-                if i not in seen and not w.isalpha():
-                    k = _key(w)
-                    if k != plain[i] and k in lexicon and len(k) > 2:
-                        hidden += 1
-                        at.append(i)
-                        weights.append(get(k))
+                if i not in seen and (not w.isalpha() or _RUN.search(w)):
+                    for k in (_key(w), _key(plain[i])):  # a sign at an end may be a letter or none
+                        if k != plain[i] and k in lexicon and len(k) > 2:
+                            hidden += 1
+                            at.append(i)
+                            weights.append(get(k))
+                            break
         you = [i for i, w in enumerate(plain) if w in address]
         near = 0
         if you and at:

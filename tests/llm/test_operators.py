@@ -415,6 +415,14 @@ def test_toxicity(spark, none):
     assert T.score(none, model).count() == 0
 
 
+def test_stretched_insult_of_plain_letters_counts():
+    from stemma.llm import toxicity as T
+
+    hidden, near = T.FEATURES.index("hidden_hits"), T.FEATURES.index("hits_near_address")
+    got = T.features([b"you stuuupid one", b"you stuuupid! one", b"you goooood one"], {b"stupid": 1.0})
+    assert got[:, hidden].tolist() == [1, 1, 0] and got[:, near].tolist() == [1, 1, 0]
+
+
 def test_isotonic():
     from stemma.llm.toxicity import isotonic
 
