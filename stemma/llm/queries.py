@@ -41,7 +41,7 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stemma.llm.packing import Capacity, pack
 
-    return pack(_docs(spark, sf_dir), Capacity(tokens=2048))
+    return pack(_docs(spark, sf_dir), Capacity(tokens=2048, documents=2048, attention=2048 * 2048))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -260,6 +260,19 @@ def test_plan_holds_every_capacity(score):
             assert at <= 64 and len(b) <= 5 and sum(n * n for _, n in b) <= 4096
 
 
+def test_production_packs_by_three_capacities(monkeypatch):
+    import corpus_pipeline
+    from stemma.llm import packing, queries
+
+    given = []
+    monkeypatch.setattr(packing, "pack", lambda docs, capacity: given.append(capacity))
+    monkeypatch.setattr(corpus_pipeline, "pack", packing.pack)
+    monkeypatch.setattr(queries, "_docs", lambda spark, sf_dir: None)
+    queries.op5_pack(None, "")
+    corpus_pipeline.packing(None, type("Docs", (), {"select": lambda self, *c: self})(), "")
+    assert given == [packing.Capacity(2048, 2048, 2048 * 2048)] * 2
+
+
 # --- simhash ------------------------------------------------------------------------
 def test_simhash(spark, docs, none):
     from stemma.llm import simhash as S
