@@ -229,11 +229,13 @@ def near_duplicates(docs: DataFrame, most: int = 3, size: int = 3) -> DataFrame:
     return fps.join(named, "fp").select(key, "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3) -> DataFrame:
-    """One document of each group of near copies stays, that with the least id; of rows that repeat that id, one.
-    Documents without words stay. Rows without an id stay only where no member of their group has one."""
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
+    """One document of each group of near copies stays, that with the least id; of rows that repeat that id, one. Near copies are texts whose
+    shingles of size words have a Jaccard similarity of least or more. Documents without words stay. Rows without an id stay only where no member of their group has one."""
+    from stemma.llm.shingles import similar_groups
+
     names = docs.columns
-    found = near_duplicates(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike("[^\\x20\\x09-\\x0D]")), most)
+    found = similar_groups(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike("[^\\x20\\x09-\\x0D]")), size, least)
     lost = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__lost")).distinct()
     kept = docs.join(lost, docs[f"`{key}`"].eqNullSafe(lost["__lost"]), "left_anti")
     again = staged(docs.groupBy(F.col(f"`{key}`").alias("__again")).count().where("count > 1 and __again is not null").select("__again"))

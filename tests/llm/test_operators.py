@@ -335,6 +335,27 @@ def test_keep_first(spark, docs):
     assert sorted(got) == sorted(set(got)) and {0, 1, 2, 3, 4, 14} <= set(got) and not {6, 17} & set(got)
 
 
+def test_near_copies_beyond_three_bits(spark):
+    from stemma.llm import shingles as G
+    from stemma.llm import simhash as S
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()}
+    r = random.Random(12)
+    for k in range(40):  # one large group of near copies, some of which meet 0.8 only through others
+        words = prose(120, 500).split()
+        for _ in range(r.randint(0, 4)):
+            words[r.randrange(120)] = f"w{r.randrange(999)}"
+        texts[10_000 + k] = " ".join(words)
+    texts |= {20_000: None, 20_001: "", 20_002: " \n", 20_003: "one two", 20_004: "One two", 20_005: "one two three"}
+    want = G.brute_force(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {x.doc_id: x.component_id for x in G.similar_groups(df).collect()} == want
+    kept = {x.doc_id for x in S.keep_first(df).collect()}
+    assert kept == {i for i, c in want.items() if i == c}
+    assert not {145, 177} & kept and want[145] == 6 and want[177] == 1
+    assert G.similar_groups(df.limit(0)).count() == 0
+
+
 # --- html -----------------------------------------------------------------------------
 def test_html(spark):
     from stemma.llm.htmltext import extract, main_text
