@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 #: ASCII-only lower-casing that leaves every other byte alone.
@@ -105,3 +106,34 @@ def gathered(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.Recor
             held, size = [], 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Rows as a compressed frame, field by field: like bytes lie together."""
+    raw = b"".join(np.ascontiguousarray(x[f]).view(np.uint8).reshape(len(x), -1).T.tobytes() for f in x.dtype.names)
+    return zstandard.compress(len(x).to_bytes(8, "little") + raw, 1)
+
+
+def unpack(body: bytes, kind: np.dtype) -> np.ndarray:
+    raw = zstandard.decompress(body)
+    n = int.from_bytes(raw[:8], "little")
+    out, at = np.empty(n, kind), 8
+    for f in kind.names:
+        size = kind[f].itemsize
+        out[f] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind[f]).ravel()
+        at += n * size
+    return out
+
+
+def groups(batches) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
+    """Rows (route, kind, payload) sorted by route, a whole route at a time."""
+    now, held = None, []
+    for b in batches:
+        for r, k, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            if r != now:
+                if held:
+                    yield now, held
+                now, held = r, []
+            held.append((k, x))
+    if held:
+        yield now, held

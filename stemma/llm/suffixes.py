@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import joined, record_batch, release, shuffle_partitions, staged, trim, tune
+from stemma.llm.common import groups, joined, pack, record_batch, release, shuffle_partitions, staged, trim, tune, unpack
 
 K = 16
 _U = np.uint64
@@ -53,23 +53,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> _U(29)
 
 
-def pack(x: np.ndarray) -> bytes:
-    """Rows as a compressed frame, field by field: like bytes lie together."""
-    raw = b"".join(np.ascontiguousarray(x[f]).view(np.uint8).reshape(len(x), -1).T.tobytes() for f in x.dtype.names)
-    return zstandard.compress(len(x).to_bytes(8, "little") + raw, 1)
-
-
-def unpack(body: bytes, kind: np.dtype) -> np.ndarray:
-    raw = zstandard.decompress(body)
-    n = int.from_bytes(raw[:8], "little")
-    out, at = np.empty(n, kind), 8
-    for f in kind.names:
-        size = kind[f].itemsize
-        out[f] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind[f]).ravel()
-        at += n * size
-    return out
-
-
 def anchors(data: np.ndarray, at: np.ndarray, length: int, up: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of texts on end: document, anchor, first and last window start of each run of windows with one anchor, hashes of its k-gram and its reach."""
     n, w = len(data), length - K + 1
@@ -192,23 +175,9 @@ def _send_anchors(length: int, buckets: int, blocks: int):
     return run
 
 
-def _groups(batches) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
-    """Rows (route, kind, payload) sorted by route, a whole route at a time."""
-    now, held = None, []
-    for b in batches:
-        for r, k, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-            if r != now:
-                if held:
-                    yield now, held
-                now, held = r, []
-            held.append((k, x))
-    if held:
-        yield now, held
-
-
 def _settle_bucket(length: int, blocks: int):
     def run(batches):
-        for _, rows in _groups(batches):
+        for _, rows in groups(batches):
             out = [(int.from_bytes(x[:8], "little"), SPANS, x[8:]) for k, x in rows if k == SPANS]
             parts = [unpack(x, _ENTRY) for k, x in rows if k == ENTRIES]
             if parts:
@@ -420,7 +389,7 @@ def _merge_bucket(length: int, blocks: int):
     width = length - K + 1
 
     def run(batches):
-        for _, rows in _groups(batches):
+        for _, rows in groups(batches):
             read = [_read_run(x, length) for _, x in rows]
             order, prefixes = merge_runs([(r[1], r[2]) for r in read])
             base = np.concatenate([[0], np.cumsum([len(r[0]) for r in read])])
