@@ -17,7 +17,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def tune(spark: SparkSession) -> None:
-    """Keep Arrow batches small in bytes: texts may be very long, workers are small."""
+    """Keep Arrow batches small in bytes: texts may be very long, workers are small. The session keeps the setting, as results are computed when they are read."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
@@ -29,30 +29,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+#: Folder of this process on a single machine without a shared one.
+_LOCAL: list[str] = []
+#: Setting under which a query's shuffle files go when it has ended.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
-    A local folder is used only where ``spark.checkpoint.dir`` is unset (tests, one machine).
-    """
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared checkpoint folder, ``spark.checkpoint.dir``. Only a session on one machine may do without the
+    setting (tests): it gets a temporary folder there."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="stemma-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="stemma-"))
+        root = _LOCAL[0]
     return f"{root.rstrip('/')}/stemma-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it back: lineage is cut and a lost executor
-    costs no recomputation."""
+    costs no recomputation. Shuffle files of the writing go with its end; those of the table stay until ``dropped``."""
     spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    try:
+        spark.conf.set(_CLEAN, "true")
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Lets the context cleaner drop the files of shuffles that no frame needs any more: it hears of them from the driver's collector."""
-    spark.sparkContext._jvm.System.gc()
+def dropped(*tables: DataFrame) -> None:
+    """Removes the files of staged tables that nothing reads any more."""
+    for t in tables:
+        hadoop = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(t.staged_at)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def trim() -> None:
@@ -137,3 +154,8 @@ def groups(batches) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
             held.append((k, x))
     if held:
         yield now, held
+
+
+def release(spark: SparkSession) -> None:
+    """Lets the context cleaner drop the files of shuffles that no frame needs any more: it hears of them from the driver's collector."""
+    spark.sparkContext._jvm.System.gc()

@@ -4,19 +4,22 @@ A byte goes if a string of ``length`` bytes that covers it also starts in a docu
 an anchor: of its k-grams the one with the least hash, the leftmost of equals. Equal windows have equal anchors at equal places, so suffixes need
 sorting only from anchors, about one byte in eighteen.
 
-1. Anchors travel as fingerprints of their k-gram and of their reach, the bytes that all windows with this anchor cover. Within a
-   reach that a smaller document has as well, every window is repeated; the first document of each reach is its head. A task sends a reach for
-   its smallest document alone, the others it settles itself, so a passage in every document is sent once by each task.
-2. Where one k-gram heads several reaches, the heads' suffixes are taken from the texts, sorted and front-coded into runs, exchanged, and merged by
-   loser trees that compare from known common prefixes on only. From the common prefixes to the right, and of the mirrored text to the left, follows
-   which windows are equal, and the smallest document of each.
+1. A task compares the reaches of its own anchors, the bytes that all windows with an anchor cover. Where a reach repeats, byte by byte, one of a smaller document,
+   every window of it is repeated; only the first document of each reach, its head, is sent on, so a passage in every document is sent once by each task.
+   Heads travel as hashes of their k-grams, which say no more than whose suffixes have to be sorted: those whose k-gram heads several documents' reaches.
+2. The suffixes of these are taken from the texts, sorted and front-coded into runs, exchanged, and merged by loser trees that compare from known common
+   prefixes on only. From the common prefixes to the right, and of the mirrored text to the left, follows which windows are equal, and the smallest
+   document of each.
 3. Documents meet the spans that are to go.
 
 Documents and what concerns them meet in blocks, dealt by a hash of id and text; anchors in buckets, dealt by the k-gram's hash. Their numbers
-follow the bytes of the corpus, so that each stays small.
+follow the bytes of the corpus alone, and a task sends what it has for one block or bucket together, so rows never outnumber the spans and anchors in them. The
+suffixes of a k-gram with more than HOT heads are dealt by more than the k-gram: windows that begin in the near half before their anchor by the bytes after the
+k-gram too, the others by the bytes before it.
 
 Nulls and the like: a null text is empty; documents shorter than the window lose nothing; a row without an id neither takes nor loses
-anything; rows that repeat an id don't take from each other, and come out as often as they came in.
+anything; rows that repeat an id don't take from each other, and come out as often as they came in. Columns of docs beside the first two may have
+any names; ids are read as long integers.
 """
 
 from __future__ import annotations
@@ -26,23 +29,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import groups, joined, pack, record_batch, release, shuffle_partitions, staged, trim, tune, unpack
+from stemma.llm.common import groups, joined, pack, record_batch, shuffle_partitions, staged, trim, tune, unpack
 
 K = 16
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _DOWN = pow(_BASE, -1, 1 << 64)
-#: Bytes of text worked on at a time, anchors that a task holds before it sends them, bytes of text to a block.
-CHUNK, HELD, BLOCK = 1 << 19, 1 << 19, 16 << 20
-#: What travels of a fingerprint: 48 bits of a k-gram's, which only has to be told apart roughly, and 48 of a reach's.
+#: Bytes of text worked on at a time, anchors that a task holds before it sends them, bytes of text to a block and to a bucket.
+CHUNK, HELD, BLOCK, BUCKET = 1 << 19, 1 << 19, 8 << 20, 4 << 20
+#: Heads of a k-gram beyond which its suffixes are dealt by more than the k-gram.
+HOT = 1 << 14
+#: What travels of a hash: 48 bits of a k-gram's.
 _KEPT = _U(0xFFFFFFFFFFFF0000)
-_ENTRY = np.dtype([("gram", "<u8"), ("reach", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
+_ENTRY = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
 _SPAN = np.dtype([("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("end", "<u4")])
-_NEED = np.dtype([("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
+_NEED = np.dtype([("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1"), ("hot", "u1")])
 _ROUTED = pa.schema([("route", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
 _ROUTED_DDL = "route long, kind int, payload binary"
 ENTRIES, SPANS, NEEDS, RUNS = range(4)
@@ -82,7 +88,7 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int, up: np.ndarray, down:
     reach = _mix(reach + ((p - first) << 8 | (last - first)).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
     # An anchor's hash is the least of many, so it is mixed once more before it deals out buckets.
     gram = _mix(h[p] * _U(0xD6E8FEB86659FD93))
-    return np.searchsorted(at, first, "right") - 1, p, first, last, gram & _KEPT, reach & _KEPT
+    return np.searchsorted(at, first, "right") - 1, p, first, last, gram & _KEPT, reach
 
 
 def _runs(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -95,19 +101,29 @@ def _runs(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _settle(e: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries sorted by k-gram and reach, those that are their reach's heads, and the spans that the others lose."""
-    order = np.lexsort((e["doc"], e["reach"], e["gram"]))
-    e = e[order]
-    every = np.arange(len(e))
-    start = _runs(every, e["gram"], e["reach"])
-    least = np.repeat(e["doc"][start], np.diff(np.append(start, len(e))))
-    head = e["doc"] == least
-    lost = e[~head]
+def _settle(e: np.ndarray, reach: np.ndarray, at: np.ndarray, data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries whose k-grams lie in data at places at: those that head their reach, and the spans that the others lose."""
+    order = np.lexsort((e["doc"], reach, e["gram"]))
+    e, reach, at = e[order], reach[order], at[order]
+    start = _runs(np.arange(len(e)), e["gram"], reach)
+    first = np.repeat(start, np.diff(np.append(start, len(e))))
+    lost = np.flatnonzero(e["doc"] != e["doc"][first])
+    steps, same = np.arange(2 * length - K), []
+    for i in range(0, len(lost), 1 << 15):
+        x = lost[i : i + (1 << 15)]
+        size = e["left"][x].astype(np.int64) - e["right"][x] + length
+        inside = steps < size[:, None]
+        mine, other = (np.where(inside, data[np.minimum((at[y] - e["left"][y])[:, None] + steps, len(data) - 1)], 0) for y in (x, first[x]))
+        same.append((mine == other).all(1) & (e["left"][x] == e["left"][first[x]]) & (e["right"][x] == e["right"][first[x]]))
+    if same:
+        lost = lost[np.concatenate(same)]
+    head = np.ones(len(e), bool)
+    head[lost] = False
+    lost = e[lost]
     spans = np.empty(len(lost), _SPAN)
     spans["doc"], spans["row"] = lost["doc"], lost["row"]
     spans["start"], spans["end"] = lost["pos"] - lost["left"], lost["pos"] - lost["right"] + np.uint32(length)
-    return e, head, spans
+    return e[head], spans
 
 
 def _block(doc: np.ndarray, row: np.ndarray, blocks: int) -> np.ndarray:
@@ -131,17 +147,17 @@ def _send_anchors(length: int, buckets: int, blocks: int):
         up, down = np.full(CHUNK + 1, _BASE, np.uint64), np.full(CHUNK + 1, _DOWN, np.uint64)
         up[0] = down[0] = 1
         up, down = np.cumprod(up), np.cumprod(down)
-        held: list[np.ndarray] = []
+        held: list[tuple] = []
 
         def send():
-            e, head, spans = _settle(np.concatenate(held), length)
+            base = np.cumsum([0, *(len(h[3]) for h in held)])
+            e, spans = _settle(*(np.concatenate([h[k] + base[i] if k == 2 else h[k] for i, h in enumerate(held)]) for k in range(4)), length)
             held.clear()
-            e = e[head]
             rows = list(_by_route(e, ((e["gram"] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64), ENTRIES))
             # Settled spans go the same way; the bucket's task hands them on to their block.
             block = _block(spans["doc"], spans["row"], blocks)
             rows += [(r % buckets, k, r.to_bytes(8, "little") + b) for r, k, b in _by_route(spans, block, SPANS)]
-            del e, head, spans
+            del e, spans
             for i in range(0, len(rows), 500):
                 yield _batch(rows[i : i + 500])
             rows.clear()
@@ -161,13 +177,14 @@ def _send_anchors(length: int, buckets: int, blocks: int):
                         up, down = np.full(len(part) + 1, _BASE, np.uint64), np.full(len(part) + 1, _DOWN, np.uint64)
                         up[0] = down[0] = 1
                         up, down = np.cumprod(up), np.cumprod(down)
-                    d, p, s, t, gram, reach = anchors(np.ascontiguousarray(part), offsets, length, up, down)
+                    part = np.array(part)
+                    d, p, s, t, gram, reach = anchors(part, offsets, length, up, down)
                     e = np.empty(len(d), _ENTRY)
-                    e["doc"], e["row"], e["gram"], e["reach"] = doc[first + d], row[first + d], gram, reach
+                    e["doc"], e["row"], e["gram"] = doc[first + d], row[first + d], gram
                     e["pos"], e["left"], e["right"] = p - offsets[d], p - s, p - t
-                    held.append(e)
+                    held.append((e, reach, p, part))
                 first = last
-                if sum(map(len, held)) >= HELD:
+                if sum(len(h[0]) for h in held) >= HELD:
                     yield from send()
         if held:
             yield from send()
@@ -175,26 +192,41 @@ def _send_anchors(length: int, buckets: int, blocks: int):
     return run
 
 
-def _settle_bucket(length: int, blocks: int):
+def _sent(held: list[np.ndarray], blocks: int, kind: int):
+    """What a task holds for blocks, as batches."""
+    x = np.concatenate(held)
+    held.clear()
+    rows = list(_by_route(x, _block(x["doc"], x["row"], blocks), kind))
+    for i in range(0, len(rows), 500):
+        yield _batch(rows[i : i + 500])
+
+
+def _find_needs(blocks: int):
     def run(batches):
+        held: list[np.ndarray] = []
         for _, rows in groups(batches):
-            out = [(int.from_bytes(x[:8], "little"), SPANS, x[8:]) for k, x in rows if k == SPANS]
+            spans = [(int.from_bytes(x[:8], "little"), SPANS, x[8:]) for k, x in rows if k == SPANS]
+            for i in range(0, len(spans), 500):
+                yield _batch(spans[i : i + 500])
             parts = [unpack(x, _ENTRY) for k, x in rows if k == ENTRIES]
             if parts:
-                e, head, spans = _settle(np.concatenate(parts), length)
-                out += _by_route(spans, _block(spans["doc"], spans["row"], blocks), SPANS)
-                e = e[head]
-                # k-grams whose heads are of several reaches and documents
+                e = np.concatenate(parts)
+                e = e[np.argsort(e["gram"], kind="stable")]
+                # k-grams whose heads are of several documents
+                start = _runs(np.arange(len(e)), e["gram"])
+                size = np.diff(np.append(start, len(e)))
+                e = e[np.repeat(np.maximum.reduceat(e["doc"], start) != np.minimum.reduceat(e["doc"], start), size)]
                 start = _runs(np.arange(len(e)), e["gram"])
-                many = np.maximum.reduceat(e["reach"], start) != np.minimum.reduceat(e["reach"], start)
-                many &= np.maximum.reduceat(e["doc"], start) != np.minimum.reduceat(e["doc"], start)
-                e = e[np.repeat(many, np.diff(np.append(start, len(e))))]
                 needs = np.empty(len(e), _NEED)
-                for f in _NEED.names:
+                for f in _NEED.names[:-1]:
                     needs[f] = e[f]
-                out += _by_route(needs, _block(needs["doc"], needs["row"], blocks), NEEDS)
-            for i in range(0, len(out), 500):
-                yield _batch(out[i : i + 500])
+                size = np.diff(np.append(start, len(e)))
+                needs["hot"] = np.repeat(size > HOT, size)
+                held.append(needs)
+                if sum(map(len, held)) >= HELD:
+                    yield from _sent(held, blocks, NEEDS)
+        if held:
+            yield from _sent(held, blocks, NEEDS)
         trim()
 
     return run
@@ -279,12 +311,12 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[tuple[in
     return order, prefixes
 
 
-def _meet_documents(work):
-    """Rows (route, kind, payload, doc, row) sorted by route and kind, documents last: calls work(route, payloads) for each block and
-    gives its result the documents' batches."""
+def _meet_documents(begin):
+    """Rows (route, kind, payload, doc, row) sorted by route and kind, documents last: gives what begin() makes for the task the payloads
+    of each block and then the documents' batches."""
 
     def run(batches):
-        now, held, task = None, [], None
+        now, held, met, work = None, [], False, begin()
         for b in batches:
             if not b.num_rows:
                 continue
@@ -294,18 +326,15 @@ def _meet_documents(work):
             for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 part = b.slice(i, j - i)
                 if route[i] != now:
-                    if task is not None:
-                        yield from task.end()
-                    now, held, task = int(route[i]), [], None
+                    now, held, met = int(route[i]), [], False
                 if kind[i] == 9:
-                    if task is None:
-                        task = work(held)
-                    yield from task.documents(part)
+                    if not met:
+                        work.block(held)
+                        met = True
+                    yield from work.documents(part)
                 else:
                     held += list(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True))
-        if task is not None:
-            yield from task.end()
-        task = None
+        yield from work.end()
         trim()
 
     return run
@@ -319,36 +348,54 @@ def _table(parts: list[np.ndarray], kind: np.dtype) -> tuple[np.ndarray, np.ndar
 
 
 class _Contexts:
-    """Takes the needed suffixes out of a block's documents; at its end sends them as front-coded runs."""
+    """Takes the needed suffixes out of the documents; sends them as front-coded runs, one for each bucket of those it holds."""
 
-    def __init__(self, held, length: int, buckets: int):
+    def __init__(self, length: int, buckets: int):
         self.length, self.buckets = length, buckets
+        self.half = (length - K + 1) // 2
+        self.rows: list[tuple] = []
+
+    def block(self, held):
         x, start = _table([unpack(p, _NEED) for k, p in held if k == NEEDS], _NEED)
         ends = np.append(start[1:], len(x))[: len(start)]
         self.of = {(d, r): x[a:b] for d, r, a, b in zip(x["doc"][start].tolist(), x["row"][start].tolist(), start.tolist(), ends.tolist(), strict=True)}
-        self.rows: list[tuple] = []
 
     def documents(self, b):
         for doc, row, packed in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(2).to_pylist(), strict=True):
             got = self.of.pop((doc, row), None)  # of rows alike in id and text one is enough
             if got is not None:
                 text = zstandard.decompress(packed)
-                for p, a, c in zip(got["pos"].tolist(), got["left"].tolist(), got["right"].tolist(), strict=True):
-                    self.rows.append((text[p : p + self.length - c], text[p - a : p], doc, row, p, a, c))
-        return ()
+                for p, a, c, hot in zip(got["pos"].tolist(), got["left"].tolist(), got["right"].tolist(), got["hot"].tolist(), strict=True):
+                    if hot:
+                        # Windows that begin near the anchor have the bytes after the k-gram in common, the others those before it.
+                        near = min(a, self.half - 1)
+                        if c <= near:
+                            self.rows.append((text[p : p + self.length - c], text[p - near : p], doc, row, p, near, c, text[p : p + self.length - self.half + 1]))
+                        if a >= self.half:
+                            far = max(c, self.half)
+                            self.rows.append((text[p : p + self.length - far], text[p - a : p], doc, row, p, a, far, text[p - self.half : p + K]))
+                    else:
+                        self.rows.append((text[p : p + self.length - c], text[p - a : p], doc, row, p, a, c, None))
+                if len(self.rows) >= HELD // 4:
+                    yield from self.end()
 
     def end(self):
         if not self.rows:
             return
         rows = sorted(self.rows, key=lambda r: r[0])
+        self.rows.clear()
         grams = np.frombuffer(b"".join(r[0][:K] for r in rows), "<u8").reshape(-1, 2)
-        bucket = ((_mix(grams[:, 0] * _U(_BASE) + grams[:, 1]) >> _U(32)) * _U(self.buckets) >> _U(32)).astype(np.int64)
+        key = _mix(grams[:, 0] * _U(_BASE) + grams[:, 1])
+        for i, r in enumerate(rows):
+            if r[7] is not None:
+                key[i] = xxhash.xxh64_intdigest(r[7])
+        bucket = ((key >> _U(32)) * _U(self.buckets) >> _U(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         start = _runs(order, bucket)
         out = []
         for i, j in zip(start.tolist(), np.append(start[1:], len(rows)).tolist(), strict=True):
             mine = [rows[k] for k in order[i:j].tolist()]
-            needs = np.empty(len(mine), _NEED)
+            needs = np.zeros(len(mine), _NEED)
             for f, k in (("doc", 2), ("row", 3), ("pos", 4), ("left", 5), ("right", 6)):
                 needs[f] = [r[k] for r in mine]
             shared, rests = front_code([r[0] for r in mine])
@@ -357,6 +404,7 @@ class _Contexts:
             out.append((int(bucket[order[i]]), RUNS, body))
         for i in range(0, len(out), 200):
             yield _batch(out[i : i + 200])
+        trim()
 
 
 def _read_run(body: bytes, length: int):
@@ -389,6 +437,7 @@ def _merge_bucket(length: int, blocks: int):
     width = length - K + 1
 
     def run(batches):
+        held: list[np.ndarray] = []
         for _, rows in groups(batches):
             read = [_read_run(x, length) for _, x in rows]
             order, prefixes = merge_runs([(r[1], r[2]) for r in read])
@@ -430,9 +479,11 @@ def _merge_bucket(length: int, blocks: int):
                 spans = np.empty(len(x), _SPAN)
                 spans["doc"], spans["row"] = x["doc"], x["row"]
                 spans["start"], spans["end"] = x["pos"] - hits[new, 1], x["pos"] - hits[last, 1] + length
-                out = list(_by_route(spans, _block(spans["doc"], spans["row"], blocks), SPANS))
-                for i in range(0, len(out), 500):
-                    yield _batch(out[i : i + 500])
+                held.append(spans)
+                if sum(map(len, held)) >= HELD:
+                    yield from _sent(held, blocks, SPANS)
+        if held:
+            yield from _sent(held, blocks, SPANS)
         trim()
 
     return run
@@ -441,7 +492,7 @@ def _merge_bucket(length: int, blocks: int):
 class _Cut:
     """Gives each document the spans that it loses."""
 
-    def __init__(self, held):
+    def block(self, held):
         x, start = _table([unpack(p, _SPAN) for k, p in held if k == SPANS], _SPAN)
         ends = np.append(start[1:], len(x))[: len(start)]
         self.of = {(d, r): x[a:b] for d, r, a, b in zip(x["doc"][start].tolist(), x["row"][start].tolist(), start.tolist(), ends.tolist(), strict=True)}
@@ -471,49 +522,51 @@ class _Cut:
         return ()
 
 
+_RESULT = ("n_bytes", "n_removed", "spans", "kept")
+
+
 def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
-    """docs(doc_id, text, more...) -> doc_id, more..., n_bytes, n_removed, spans (array of removed [a, b)), kept (binary)."""
+    """docs(doc_id, text, more...) -> doc_id, more..., n_bytes, n_removed, spans (array of removed [a, b)), kept (binary). Columns of docs that have
+    the name of one of the result's are left out."""
     if not K < length <= 200:
         raise ValueError("windows of 17 to 200 bytes")
     spark = docs.sparkSession
     tune(spark)
     key, text, *more = docs.columns
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("binary").alias("text"), *more)
+    more = [c for c in more if c not in _RESULT]
+    rest = F.struct(*[F.col(f"`{c}`") for c in more]) if more else F.struct(F.lit(0).alias("none"))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"), rest.alias("more"))
     # Rows are told apart by their id; only those that share one by a hash of their text too.
     again = staged(rows.groupBy("doc").count().where("count > 1 and doc is not null").select(F.col("doc").alias("again")))
     if again.limit(1).count():
         rows = rows.join(again, F.col("doc") == F.col("again"), "left").withColumn("row", F.when(F.col("again").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("text")))
     else:
         rows = rows.withColumn("row", F.lit(0).cast("long"))
-    rows = rows.select("doc", "row", "text", *more)
+    rows = rows.select("doc", "row", "text", "more")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = shuffle_partitions(spark)
-    blocks = max(parts, -(-total // BLOCK))
-    buckets = max(4 * parts, -(-total // (BLOCK // 4)))
+    blocks, buckets = max(1, -(-total // BLOCK)), max(1, -(-total // BUCKET))
 
     def dealt(df):
         return df.repartition(parts, "route").sortWithinPartitions("route", "kind")
 
     sent = rows.where("doc is not null").select("doc", "row", "text").mapInArrow(_send_anchors(length, buckets, blocks), _ROUTED_DDL)
-    settled = staged(dealt(sent).mapInArrow(_settle_bucket(length, blocks), _ROUTED_DDL))
-    release(spark)
+    settled = staged(dealt(sent).mapInArrow(_find_needs(blocks), _ROUTED_DDL))
 
-    numbered = rows.select("doc", "row", "text", *more).mapInArrow(_numbered(blocks), rows.withColumn("block", F.lit(0).cast("long")).schema)
-    papers = numbered.select(F.col("block").alias("route"), F.lit(9).alias("kind"), F.col("text").alias("payload"), "doc", "row", *more)
+    numbered = rows.mapInArrow(_numbered(blocks), rows.withColumn("block", F.lit(0).cast("long")).schema)
+    papers = numbered.select(F.col("block").alias("route"), F.lit(9).alias("kind"), F.col("text").alias("payload"), "doc", "row", "more")
     blank = [F.lit(None).cast(papers.schema[c].dataType).alias(c) for c in papers.columns[3:]]
 
     def with_documents(routed, papers):
-        return routed.select("route", "kind", "payload", *blank[: len(papers.columns) - 3]).union(papers).repartition(parts, "route").sortWithinPartitions("route", "kind")
+        return dealt(routed.select("route", "kind", "payload", *blank[: len(papers.columns) - 3]).union(papers))
 
     plain = papers.where("doc is not null").select("route", "kind", "payload", "doc", "row")
-    contexts = with_documents(settled.where(F.col("kind") == NEEDS), plain).mapInArrow(_meet_documents(lambda held: _Contexts(held, length, buckets)), _ROUTED_DDL)
+    contexts = with_documents(settled.where(F.col("kind") == NEEDS), plain).mapInArrow(_meet_documents(lambda: _Contexts(length, buckets)), _ROUTED_DDL)
     merged = staged(dealt(contexts).mapInArrow(_merge_bucket(length, blocks), _ROUTED_DDL))
-    release(spark)
     spans = settled.where(F.col("kind") == SPANS).union(merged)
-    fields = [F.col(c) for c in ("doc", "row", *more)]
-    schema = papers.select(*fields).withColumns({"n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<a:long,b:long>>)"), "kept": F.lit(b"")}).schema
-    out = with_documents(spans, papers).mapInArrow(_meet_documents(_Cut), schema)
-    return out.select(F.col("doc").alias(key), *more, "n_bytes", "n_removed", "spans", "kept")
+    made = {"n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<a:long,b:long>>)"), "kept": F.lit(b"")}
+    out = with_documents(spans, papers).mapInArrow(_meet_documents(_Cut), papers.select("doc", "row", "more").withColumns(made).schema)
+    return out.select(F.col("doc").alias(key), *[F.col(f"more.`{c}`").alias(c) for c in more], *_RESULT)
 
 
 def _numbered(blocks: int):
