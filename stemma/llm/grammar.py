@@ -1,8 +1,9 @@
 """Token ids in grammar-compressed shards.
 
-A shard is the ids of consecutive documents, compressed by Re-Pair in parallel rounds: count every pair of
+A shard is the ids of consecutive documents, compressed by Re-Pair in parallel rounds: count the pairs of
 neighbours, rank the pairs by count, replace each pair that ranks before both pairs overlapping it (of equal
-ones the leftmost) by a nonterminal of its own, and go on until a round saves less than a share of the symbols. Rules, their expansion lengths and the
+ones the leftmost) by a nonterminal of its own, and go on until no pair stands in three places that do not overlap. While a round saves much, pairs are counted
+by the slots of a hash table, and of those that want one slot one waits for another round; after that all are counted exactly. Rules, their expansion lengths and the
 final symbols are stored, with the position of every k-th symbol in the expansion, so any range of ids is decoded without the rest.
 
 File format, all little-endian: ``RPG1``; uint32 first nonterminal, rules, symbols, k; then, each as uint32 length and zstd frame:
@@ -32,70 +33,97 @@ STRIDE = 4096
 _SLOTS = 18
 
 
-def compress(ids: np.ndarray, least_count: int = 4, least_saving: float = 0.03) -> tuple[np.ndarray, np.ndarray, int]:
-    """Symbols, rules (pairs of symbols) and the first nonterminal's number."""
+def _apart(weight: np.ndarray) -> np.ndarray:
+    """Places of pairs to replace: those of a positive weight that is more than that of the pairs overlapping them, every second of a run of equals."""
+    n = len(weight)
+    ahead = weight > 0
+    ahead[1:] &= weight[1:] > weight[:-1]
+    ahead[:-1] &= weight[:-1] >= weight[1:]
+    tie = np.zeros(n, bool)
+    tie[1:] = weight[1:] == weight[:-1]
+    tie &= weight > 0
+    if tie.any():
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], tie, [False]])))
+        first, end = edge[::2] - 1, edge[1::2]
+        # A run is taken whole where no neighbour outranks its ends.
+        good = (first < 1) | (weight[first] > weight[np.maximum(first - 1, 0)])
+        good &= (end >= n) | (weight[end - 1] >= weight[np.minimum(end, n - 1)])
+        size = end - first
+        places = np.repeat(first, size) + (inner := np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
+        ahead[places] = np.repeat(good, size) & (inner % 2 == 0)
+    at = np.flatnonzero(ahead)
+    # Never both of two that overlap: of neighbours every second.
+    near = np.flatnonzero(np.diff(at) == 1) + 1
+    if near.size:
+        begin = np.ones(len(at), bool)
+        begin[near] = False
+        run = np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))
+        at = at[(np.arange(len(at)) - run) % 2 == 0]
+    return at
+
+
+def _by_slots(pair: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each place's pair by number (0: none), and the pairs by number: counted in a table's slots, where the last of several pairs holds the slot."""
+    mix = np.uint64((0x9E3779B97F4A7C15 * (2 * round_ + 1)) & (1 << 64) - 1)
+    slot = ((pair * mix) >> np.uint64(64 - _SLOTS)).astype(np.int32)
+    holder = np.zeros(1 << _SLOTS, np.uint64)
+    holder[slot] = pair
+    mine = holder[slot] == pair
+    count = np.bincount(slot[mine], minlength=1 << _SLOTS)
+    live = np.flatnonzero(count >= least)
+    live = live[np.argsort(count[live], kind="stable")]
+    rank = np.zeros(1 << _SLOTS, np.int32)
+    rank[live] = np.arange(1, len(live) + 1, dtype=np.int32)
+    weight = rank[slot]
+    weight *= mine
+    return weight, np.concatenate([[np.uint64(0)], holder[live]])
+
+
+def _exactly(pair: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same, of all pairs: a table tells which places can hold a pair that is frequent enough, these are counted by sorting."""
+    mix = np.uint64((0x9E3779B97F4A7C15 * (2 * round_ + 1)) & (1 << 64) - 1)
+    slot = ((pair * mix) >> np.uint64(64 - _SLOTS - 2)).astype(np.int32)
+    some = np.flatnonzero((np.bincount(slot, minlength=1 << _SLOTS + 2) >= least)[slot])
+    kinds, where, count = np.unique(pair[some], return_inverse=True, return_counts=True)
+    live = np.flatnonzero(count >= least)
+    live = live[np.argsort(count[live], kind="stable")]
+    rank = np.zeros(len(kinds), np.int32)
+    rank[live] = np.arange(1, len(live) + 1, dtype=np.int32)
+    weight = np.zeros(len(pair), np.int32)
+    weight[some] = rank[where]
+    return weight, np.concatenate([[np.uint64(0)], kinds[live]])
+
+
+def compress(ids: np.ndarray, much: float = 0.03) -> tuple[np.ndarray, np.ndarray, int]:
+    """Symbols, rules (pairs of symbols) and the first nonterminal's number. much: the share of symbols that a round by slots has to save."""
     first = int(ids.max()) + 1 if len(ids) else 0
     seq = ids.astype(np.uint32)
     rules = [np.zeros((0, 2), np.uint32)]
-    top, round_ = first, 0
+    top, round_, exact = first, 0, False
     while len(seq) > 3:
         n = len(seq)
         pair = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        # Counts by slot of a table; of pairs that want one slot the last holds it, others wait for a round with another multiplier.
-        mix = np.uint64((0x9E3779B97F4A7C15 * (2 * round_ + 1)) & (1 << 64) - 1)
-        slot = ((pair * mix) >> np.uint64(64 - _SLOTS)).astype(np.int32)
-        holder = np.zeros(1 << _SLOTS, np.uint64)
-        holder[slot] = pair
-        mine = holder[slot] == pair
-        count = np.bincount(slot[mine], minlength=1 << _SLOTS)
-        # A pair's rank by count, unequal for unequal pairs.
-        live = np.flatnonzero(count >= least_count)
-        rank = np.zeros(1 << _SLOTS, np.int32)
-        rank[live[np.argsort(count[live], kind="stable")]] = np.arange(1, len(live) + 1, dtype=np.int32)
-        weight = rank[slot]
-        weight *= mine
-        ahead = weight > 0
-        ahead[1:] &= weight[1:] > weight[:-1]
-        ahead[:-1] &= weight[:-1] >= weight[1:]
-        tie = np.zeros(n - 1, bool)
-        tie[1:] = weight[1:] == weight[:-1]
-        tie &= weight > 0
-        # Runs of one symbol: every second place of the run, from its first.
-        if tie.any():
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], tie, [False]])))
-            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-                run = np.arange(a - 1, b)
-                ahead[run] = (run - (a - 1)) % 2 == 0
-                ahead[a - 1] &= a < 2 or weight[a - 1] > weight[a - 2]
-                ahead[b - 1] &= b >= n - 1 or weight[b - 1] >= weight[b]
-                if not ahead[a - 1]:
-                    ahead[run] = False
-        at = np.flatnonzero(ahead)
-        if len(at):
-            bad = np.flatnonzero(np.diff(at) == 1) + 1  # never both of two that overlap
-            if bad.size:
-                keep = np.ones(len(at), bool)
-                last = -2
-                for k in range(len(at)):
-                    if at[k] == last + 1:
-                        keep[k] = False
-                    else:
-                        last = at[k]
-                at = at[keep]
-        used = np.bincount(slot[at], minlength=1 << _SLOTS) if len(at) else np.zeros(1 << _SLOTS, np.int64)
-        at = at[used[slot[at]] >= 3]
-        if len(at) < max(1, least_saving * n):
+        weight, kinds = _exactly(pair, round_, 3) if exact else _by_slots(pair, round_, 4)
+        at = _apart(weight)
+        of = weight[at]
+        used = np.bincount(of, minlength=len(kinds))
+        good = used[of] >= 3
+        at, of = at[good], of[good]
+        round_ += 1
+        if len(at) < much * n and not exact:
+            exact = True
+            continue
+        if not len(at):
             break
         live = np.flatnonzero(used >= 3)
-        number = np.zeros(1 << _SLOTS, np.uint32)
+        number = np.zeros(len(kinds), np.uint32)
         number[live] = top + np.arange(len(live), dtype=np.uint32)
-        rules.append(np.stack([(holder[live] >> np.uint64(32)).astype(np.uint32), (holder[live] & np.uint64(0xFFFFFFFF)).astype(np.uint32)], 1))
-        seq[at] = number[slot[at]]
+        rules.append(np.stack([(kinds[live] >> np.uint64(32)).astype(np.uint32), (kinds[live] & np.uint64(0xFFFFFFFF)).astype(np.uint32)], 1))
+        seq[at] = number[of]
         stay = np.ones(n, bool)
         stay[at + 1] = False
         seq = seq[stay]
         top += len(live)
-        round_ += 1
     return seq, np.concatenate(rules), first
 
 
@@ -177,10 +205,10 @@ class Shard:
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str = BYTE_BPE, end_id: int = 2, shard_bytes: int = 4 << 20, tokenizer_path: str | None = None) -> None:
-    """docs(doc_id, text) to a file of shards, in ascending order of doc_id. A shard holds the documents of about shard_bytes of text."""
+    """docs(doc_id, text, more...) to a file of shards, in ascending order of doc_id, a long integer; more is left out. A shard holds the documents of about shard_bytes of text."""
     spark = docs.sparkSession
     tune(spark)
-    key, text = docs.columns
+    key, text = docs.columns[:2]
     # Equal ids lie in one range; more ranges than keys do no harm.
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     docs = docs.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
