@@ -2,19 +2,22 @@
 
 The standard library's parser streams events into lines, one for each block element's text, each with its number of
 tags and its share of text in links. Blocks inside menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-(by element, role, or the words of class and id) are set aside. The ratios of text to tags of the other lines are smoothed
+(by element, role, or the words of class and id) are set aside; what only the words of an element's class or id speak against stays a candidate
+until it is known whether the page has any other text. The ratios of text to tags of the other lines are smoothed
 with a Gaussian and parted in two clusters by a threshold between their means. Lines of the upper cluster are seeds; the region is the article
-or main element that holds most of the seeds' text, or else whatever lies from the first seed to the last, and about them as far as a list of links, without
+or main elements that hold the seeds' text, or else whatever lies from the first seed to the last, and about them as far as a list of links, without
 such lists. All lines of the region come out, in page order, short ones too.
 
-Nulls and the like: a null, empty or textless page has an empty text; broken markup is read as the parser recovers it;
-repeated rows come out as often as they came in.
+Nulls and the like: a null, empty or textless page has an empty text; broken markup is read as the parser recovers it, and declarations that
+HTML does not know are comments; unclosed and deeply nested elements cost no more than others; repeated rows come out as often as they came in;
+columns of pages beside the first three are left out.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from html.parser import HTMLParser
 
 import numpy as np
@@ -31,63 +34,90 @@ BLOCK = frozenset(
 )
 ASIDE = frozenset("script style noscript template svg math head title nav aside footer form iframe object canvas audio video select button textarea dialog menu search noframes applet map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist".split())
+#: Words of class and id that say what an element is, wherever they stand in a name.
 WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored sponsors promo promos promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription sidebar sidebars aside widget widgets menu menus nav navbar navigation navi topnav breadcrumb breadcrumbs pagination pager header masthead topbar footer foot bottombar comment comments commentlist disqus reply replies respond discussion share sharing social related recommended recommendations login signin signup register search searchbox form hidden skip".split()
+    "advert adverts advertisement advertising adsense sponsored cookie cookies consent gdpr newsletter subscribe subscription sidebar sidebars navbar navigation topnav breadcrumb breadcrumbs pagination masthead topbar footer bottombar comments commentlist disqus recommendations login signin signup".split()
+)
+#: Words that say so only in a name made of such words, of numbers, and of words for parts of a page.
+VAGUE = frozenset(
+    "ad ads adv banner banners sponsor sponsors promo promos promotion notice notices notification notifications alert alerts popup modal overlay aside widget widgets menu menus nav navi pager header foot comment reply replies respond discussion share sharing social related recommended register search searchbox form hidden skip".split()
+)
+PARTS = frozenset(
+    "a area bar block body bottom box btn button buttons card center col column container content cta css div element entry field fixed group head holder icon icons id info inner item items js large left link links list lists main medium mobile module outer page pane panel placeholder plugin popup position post posts primary right row secondary section site slot small sticky story stories text thread title toggle tools top unit view wrap wrapper zone".split()
 )
 CLOSES_P = BLOCK - frozenset("body html head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PART = re.compile(r"[^a-z0-9]+")
+_UNSEEN = re.compile(r"display\s*:\s*none")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+#: Element that begins: open elements that it closes, as far as one of STOPS.
+LIKE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+STOPS = ("ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "select", "body")
+
+
 class Line:
-    __slots__ = ("heading", "home", "linked", "tags", "text")
+    __slots__ = ("heading", "home", "linked", "suspect", "tags", "text")
 
-    def __init__(self, text: str, tags: int, linked: int, home: int, heading: bool):
-        self.text, self.tags, self.linked, self.home, self.heading = text, tags, linked, home, heading
+    def __init__(self, text: str, tags: int, linked: int, home: int, suspect: int, heading: bool):
+        self.text, self.tags, self.linked, self.home, self.suspect, self.heading = text, tags, linked, home, suspect, heading
+
+
+def speaks_against(value: str) -> bool:
+    """Whether the words of a class or id say that an element is no content."""
+    for name in _CAMEL.sub("-", value).split():
+        parts = [x for x in _PART.split(name.lower()) if x]
+        if any(x in WORDS for x in parts):
+            return True
+        if any(x in VAGUE for x in parts) and all(x in VAGUE or x in PARTS or x.isdigit() for x in parts):
+            return True
+    return False
 
 
 class Lines(HTMLParser):
-    """Collects the lines that are not set aside. home: number of the innermost article or main around a line, or 0."""
+    """Collects the lines that are not set aside. home: number of the innermost article or main around a line, or 0; suspect: of the
+    outermost element around it whose class or id speaks against it, or 0."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # element, set aside, home
+        self.stack: list[tuple[str, bool, int, int]] = []  # element, set aside, home, suspect
+        self.at: dict[str, list[int]] = {}  # places of open elements by name
         self.lines: list[Line] = []
         self.parents = {0: 0}
         self.buffer: list[str] = []
-        self.tags = self.linked = self.anchors = 0
-        self.heading = False
+        self.tags = self.linked = self.suspects = 0
 
     def flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                self.lines.append(Line(text, self.tags, self.linked, self.stack[-1][2] if self.stack else 0, self.heading))
+                _, _, home, suspect = self.stack[-1] if self.stack else ("", False, 0, 0)
+                self.lines.append(Line(text, self.tags, self.linked, home, suspect, any(self.at.get(h) for h in HEADINGS)))
                 self.tags = 0
             self.buffer, self.linked = [], 0
 
+    def within(self) -> bool:
+        return bool(self.at.get("article") or self.at.get("main"))
+
     def aside(self, tag: str, attrs: list) -> bool:
-        if tag in ASIDE:
+        """Whether the element itself, its role or its being hidden sets it aside."""
+        if tag in ASIDE or tag == "header" and not self.within():
             return True
-        within = any(t in ("article", "main") for t, _, _ in self.stack)
-        if tag == "header":
-            return not within
-        if tag in ("html", "body", "main") or not attrs:
+        if tag in ("html", "body", "main"):
             return False
         for name, value in attrs:
-            if name == "role" and value and value.lower() in ROLES:
-                return True
-            if name == "hidden" or name == "aria-hidden" and value == "true":
+            if name == "role" and value and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
-            if name == "style" and value and re.search(r"display\s*:\s*none", value):
+            if name == "style" and value and _UNSEEN.search(value):
                 return True
-            if name in ("class", "id") and value:
-                parts = {p for w in _CAMEL.sub("-", value).split() for p in _PART.split(w.lower())}
-                if parts & WORDS and not (tag == "article" and not parts & {"comment", "comments", "ad", "ads", "sponsored", "related"}):
-                    return not (tag in HEADINGS and within)
         return False
 
+    def suspicious(self, tag: str, attrs: list) -> bool:
+        if tag in ("html", "body", "main") or tag in HEADINGS and self.within():
+            return False
+        return any(name in ("class", "id") and value and speaks_against(value) for name, value in attrs)
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag == "br":
@@ -95,22 +125,23 @@ class Lines(HTMLParser):
             return
         if tag in BLOCK:
             self.flush()
-            if tag in CLOSES_P and self.stack and any(t == "p" for t, _, _ in self.stack[-8:]):
-                self.close_to("p")
-            if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
+            if tag in CLOSES_P and self.at.get("p") and self.at["p"][-1] >= len(self.stack) - 8:
+                self.close_to(self.at["p"][-1])
+            if tag in LIKE:
                 self.close_like(tag)
         if tag in VOID:
             return
-        off, home = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (False, 0)
+        _, off, home, suspect = self.stack[-1] if self.stack else ("", False, 0, 0)
         off = off or self.aside(tag, attrs)
+        if not off and not suspect and self.suspicious(tag, attrs):
+            self.suspects += 1
+            suspect = self.suspects
         if tag in ("article", "main") and not off:
             new = len(self.parents)
             self.parents[new] = home
             home = new
-        self.stack.append((tag, off, home))
-        self.anchors += tag == "a"
-        if tag in HEADINGS:
-            self.heading = True
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, off, home, suspect))
 
     def handle_startendtag(self, tag, attrs):
         # A slash does not close an element in HTML.
@@ -120,36 +151,32 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self.flush()
-        if any(t == tag for t, _, _ in self.stack):
-            self.close_to(tag)
-
-    def close_to(self, tag: str) -> None:
-        while self.stack:
-            t = self.stack.pop()[0]
-            self.anchors -= t == "a"
-            if t in HEADINGS:
-                self.heading = False
-            if t == tag:
-                break
+        if self.at.get(tag):
+            self.close_to(self.at[tag][-1])
+
+    def close_to(self, place: int) -> None:
+        """Closes the element at a place of the stack and all in it."""
+        while len(self.stack) > place:
+            self.at[self.stack.pop()[0]].pop()
 
     def close_like(self, tag: str) -> None:
-        same = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}[tag]
-        stops = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "select", "body"} | ({"tr"} if tag in ("td", "th") else set())
-        for k in range(len(self.stack) - 1, -1, -1):
-            t = self.stack[k][0]
-            if t in stops:
-                return
-            if t in same:
-                while len(self.stack) > k:
-                    self.close_to(self.stack[-1][0])
+        stops = (*STOPS, "tr") if tag in ("td", "th") else STOPS
+        beyond = max((x[-1] for t in stops if (x := self.at.get(t))), default=-1)
+        places = [x[i] for t in LIKE[tag] if (x := self.at.get(t)) and (i := bisect_right(x, beyond)) < len(x)]
+        if places:
+            self.close_to(min(places))
 
     def handle_data(self, data):
         if self.stack and self.stack[-1][1]:
             return
         self.buffer.append(data)
-        if self.anchors:
+        if self.at.get("a"):
             self.linked += len(data)
 
+    def parse_marked_section(self, i, report=1):
+        # Sections belong to XML; in HTML they are comments up to the next >.
+        return self.parse_bogus_comment(i)
+
 
 def smoothed(values: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     r = max(1, math.ceil(3 * sigma))
@@ -177,47 +204,61 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
+    # Text of each element whose class or id speaks against it; where nearly all text of a page lies in one, its name misleads.
+    size: dict[int, int] = {}
+    for x in parser.lines:
+        size[x.suspect] = size.get(x.suspect, 0) + len(x.text) - x.linked
+    most = max(size, key=size.get, default=0)
+    lines = [x for x in parser.lines if not x.suspect or x.suspect == most and size[most] > 20 * size.get(0, 0)]
     if not lines:
         return ""
     ratio = np.array([(len(x.text) - x.linked) / max(1, x.tags) for x in lines])
     smooth = smoothed(ratio)
     seeds = smooth >= threshold(smooth)
-    # Text of the seeds by article or main element around it, inner ones counting for outer ones.
+    # Text of the seeds, and of all lines but for their links, by article or main element around it, inner ones counting for outer ones.
     weight: dict[int, int] = {}
+    prose: dict[int, int] = {}
     total = 0
     for x, seed in zip(lines, seeds, strict=True):
-        if seed:
-            total += len(x.text)
-            home = x.home
-            while home:
-                weight[home] = weight.get(home, 0) + len(x.text)
-                home = parser.parents[home]
-    best = max(weight, key=lambda h: (weight[h], h), default=0)
-    if best and weight[best] * 2 >= total:
+        total += seed * len(x.text)
+        home = x.home
+        while home:
+            weight[home] = weight.get(home, 0) + seed * len(x.text)
+            prose[home] = prose.get(home, 0) + len(x.text) - x.linked
+            home = parser.parents[home]
+    # The element with most; of equals the outer one, and its like beside it.
+    best = max(weight, key=lambda h: (weight[h], -h), default=0)
+    region = {h for h in weight if parser.parents[h] == parser.parents[best] and prose[h] * 3 >= prose[best]}
+    if best and sum(weight[h] for h in region) * 2 >= total:
+        known: dict[int, bool] = {0: False}
 
         def inside(home: int) -> bool:
-            while home and home != best:
+            path = []
+            while home not in known and home not in region:
+                path.append(home)
                 home = parser.parents[home]
-            return home == best
+            found = home in region or known[home]
+            known.update(dict.fromkeys(path, found))
+            return found
 
         keep = [x for x in lines if inside(x.home)]
     else:
         at = np.flatnonzero(seeds | (ratio >= threshold(smooth)))
         first, last = int(at[0]), int(at[-1])
-        prose = [x.linked < 0.5 * len(x.text) for x in lines]
-        while first and prose[first - 1]:
+        plain = [x.linked < 0.5 * len(x.text) for x in lines]
+        while first and plain[first - 1]:
             first -= 1
-        while last + 1 < len(lines) and prose[last + 1]:
+        while last + 1 < len(lines) and plain[last + 1]:
             last += 1
         keep = [x for x in lines[first : last + 1] if x.linked < 0.8 * len(x.text) or x.heading]
     return "\n".join(x.text for x in keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html) -> page_id, url, text, n_chars."""
+    """pages(page_id, url, html, more...) -> page_id, url, text, n_chars."""
     tune(pages.sparkSession)
-    key, url, html = pages.columns
+    key, url, html = pages.columns[:3]
+    pages = pages.select(key, url, F.col(html).cast("string").alias(html))
     schema_of = pages.select(key, url, F.col(html).cast("string").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
 
     def run(batches):
