@@ -1,20 +1,21 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 Features of a text: densities of a lexicon's words plain and obfuscated, how near they stand to second-person
-words, capitals, punctuation, digits and signs within words, repeated letters, and lengths. The lexicon is a short fixed list and the
-words that the labelled texts' classes tell apart, by document counts. Trees are grown by histograms on the logistic loss; scores of folds
-that a tree ensemble has not seen give the isotonic curve.
+words, capitals, punctuation, digits and signs within words, repeated letters, and lengths. The lexicon is the words that the labelled texts' classes
+tell apart, by document counts, and a short fixed list of little weight. Trees are grown by histograms on the logistic loss; scores of folds
+that neither a lexicon nor a tree ensemble has seen give the isotonic curve.
 
 The model is fitted on a bounded sample of labelled rows (``sample``, by a hash of the id); scoring covers every row.
 
 Nulls and the like: a null or empty text has the features of no words and gets the score that such texts get; labels that are
 null or whose document is missing don't count; of unequal labels for one id the greater counts; without both classes every score is the share of toxic
-labels (0 where there are none). Repeated rows come out as often as they came in.
+labels (0 where there are none). Repeated rows come out as often as they came in. Ids are read as long integers; a row without one is held out.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,6 +30,10 @@ INSULTS = "idiot moron clown stupid dumb pathetic worthless disgusting loser tra
 ADDRESS = "you your yours yourself u ur ya tu toi te ton ta tes vous votre vos du dich dir dein deine deinen ihr euch sie tú ti usted ustedes vosotros vuestro".split()
 _LEET = bytes.maketrans(b"013457@$!|", b"oieastasil")
 _STRIP = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
+_SIGNS = "«»‹›„“”‚‘’…–—¡¿·"
+#: Weight of a word of the fixed list; learned ones have the log of their odds.
+PRIOR = 0.25
+FOLDS = 3
 _RUN = re.compile(rb"([a-z])\1\1+")
 _INNER = re.compile(rb"[a-z][0-9@$!*|+._-]+[a-z]")
 FEATURES = (
@@ -41,12 +46,23 @@ def _key(word: bytes) -> bytes:
     return _RUN.sub(rb"\1", word.translate(_LEET).translate(None, _STRIP))
 
 
+def lowered(text: bytes) -> bytes:
+    """Small letters of any script; quotation marks and the like that are no ASCII are blanks."""
+    if text.isascii():
+        return text.translate(LOWER)
+    low = text.decode("utf-8", "replace").lower()
+    for sign in _SIGNS:
+        if sign in low:
+            low = low.replace(sign, " ")
+    return low.encode()
+
+
 def features(texts: list[bytes], lexicon: dict[bytes, float]) -> np.ndarray:
     out = np.zeros((len(texts), len(FEATURES)))
     address = {w.encode() for w in ADDRESS}
     get = lexicon.get
     for row, text in zip(out, texts, strict=True):
-        low = text.translate(LOWER)
+        low = lowered(text)
         words = low.split()
         n = len(words)
         row[15] = np.log1p(n)
@@ -79,7 +95,7 @@ def features(texts: list[bytes], lexicon: dict[bytes, float]) -> np.ndarray:
             near = int((gap <= 5).sum())
         row[:15] = (
             len(at) / n, np.log1p(len(at)), np.log1p(len({plain[i] for i in at})), sum(weights) / n, sum(weights), hidden, near, len(you) / n,
-            upper / max(1, letters), sum(map(bytes.isupper, text.split())) / n if upper > 0.2 * letters else 0.0, kinds[33] / n, marks / n,
+            upper / max(1, letters), min(n, sum(map(bytes.isupper, text.split()))) / n if upper > 0.2 * letters else 0.0, kinds[33] / n, marks / n,
             len(_INNER.findall(low)) / n if kinds[48:58].sum() + marks else 0.0, len(_RUN.findall(low)) / n, len(low) / n,
         )
     return out
@@ -186,33 +202,62 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_words:
     labels = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     # At most sample rows of two numbers, so small enough to send everywhere.
     chosen = labels.orderBy(F.xxhash64(F.col("doc_id"), F.lit(seed)), "doc_id").limit(sample)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = staged(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"))
     totals = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         return Model({}, None, None, 1.0 if bad else 0.0)
-    words = rows.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+"))).alias("word")).where("length(word) between 3 and 24")
-    counts = words.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    odds = F.log((F.col("a") + 0.5) / (bad + 1.0)) - F.log((F.col("b") + 0.5) / (good + 1.0))
-    # How far apart the shares of the classes are, in standard errors.
-    spread = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    told = counts.withColumn("odds", odds).where((F.col("a") >= 3) & (F.col("odds") > 1.0) & (F.col("odds") / spread > 3.0))
-    lexicon = {w.encode(): 1.0 for w in INSULTS}
-    lexicon |= {r.word.encode(): float(r.odds) for r in told.orderBy(F.desc(F.col("odds") / spread), "word").limit(lexicon_words).collect()}
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(FOLDS)).cast("int")
+    rows = rows.select("doc_id", "toxic", fold.alias("fold"), F.col("text").cast("binary").alias("text"))
+
+    def count(batches):
+        seen: Counter = Counter()
+        for b in batches:
+            for y, k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), as_bytes(b.column(2)), strict=True):
+                words = {w.strip(_STRIP) for w in lowered(text).split()}
+                seen.update((w, y, k) for w in words if 3 <= len(w) <= 48 and w.decode("utf-8", "replace").isalpha())
+        at = list(seen.items())
+        for i in range(0, len(at), 10_000):
+            part = at[i : i + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0][0] for x in part], pa.binary()), pa.array([x[0][1] for x in part], pa.int32()), pa.array([x[0][2] for x in part], pa.int32()), pa.array([x[1] for x in part], pa.int64())], names=["word", "toxic", "fold", "n"])
+
+    found = rows.select("toxic", "fold", "text").mapInArrow(count, "word binary, toxic int, fold int, n long")
+    sizes = {(r.toxic, r.fold): r.n for r in rows.groupBy("toxic", "fold").agg(F.count("*").alias("n")).collect()}
+
+    def among(toxic: int, but: int):
+        return F.coalesce(F.sum(F.when((F.col("toxic") == toxic) & (F.col("fold") != but), F.col("n"))), F.lit(0))
+
+    # For each fold a lexicon of the others, and one of all (of no fold but).
+    choices = [*range(FOLDS), -1]
+    counts = staged(found.groupBy("word").agg(*[among(y, k).alias(f"{'ab'[1 - y]}{k + 1}") for k in choices for y in (0, 1)]))
+
+    def lexicon(but: int) -> dict[bytes, float]:
+        some, none = (sum(n for (y, k), n in sizes.items() if y == t and k != but) for t in (1, 0))
+        a, b = F.col(f"a{but + 1}"), F.col(f"b{but + 1}")
+        odds = F.log((a + 0.5) / (some + 1.0)) - F.log((b + 0.5) / (none + 1.0))
+        # How far apart the shares of the classes are, in standard errors.
+        spread = odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        told = counts.select("word", odds.alias("odds"), spread.alias("spread")).where((a >= 3) & (odds > 1.0) & (spread > 3.0))
+        learned = told.orderBy(F.desc("spread"), "word").limit(lexicon_words).collect()
+        return {w.encode(): PRIOR for w in INSULTS} | {bytes(r.word): float(r.odds) for r in learned}
+
+    lexicons = [lexicon(k) for k in choices]
 
     def run(batches):
         for b in batches:
-            x = features(as_bytes(b.column(2)), lexicon)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "toxic", "x"])
+            texts = as_bytes(b.column(3))
+            x = np.concatenate([features(texts, words) for words in lexicons], 1)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "toxic", "fold", "x"])
 
-    got = rows.select("doc_id", "toxic", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, toxic int, x array<double>").toArrow().sort_by("doc_id")
-    x, y = np.array(got["x"].to_pylist()), np.array(got["toxic"].to_pylist(), float)
-    fold = np.arange(len(y)) % 3
+    got = rows.mapInArrow(run, "doc_id long, toxic int, fold int, x array<double>").toArrow().sort_by("doc_id")
+    x, y, of = np.array(got["x"].to_pylist()).reshape(-1, len(choices), len(FEATURES)), np.array(got["toxic"].to_pylist(), float), np.array(got["fold"].to_pylist())
     unseen = np.zeros(len(y))
-    for k in range(3):
-        part = fold != k
-        unseen[~part] = Trees().fit(x[part], y[part]).predict(x[~part]) if 0 < y[part].sum() < part.sum() else 0.0
-    return Model(lexicon, Trees().fit(x, y), isotonic(unseen, y), bad / (bad + good))
+    for k in range(FOLDS):
+        part = of != k
+        if 0 < y[part].sum() < part.sum() and part.sum() < len(part):
+            unseen[~part] = Trees().fit(x[part, k], y[part]).predict(x[~part, k])
+    return Model(lexicons[-1], Trees().fit(x[:, -1], y), isotonic(unseen, y), bad / (bad + good))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -235,7 +280,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def held_out(key: str = "doc_id"):
     """Rows whose labels are not learned from."""
-    return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
 def reject(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
