@@ -2,8 +2,9 @@
 
 A list is a log of dated entries: a key (a host or a part of one from some dot on, or a host with leading parts of its path) is put on
 a list or taken off. The log becomes validity intervals; each capture's URL is turned into the keys that could list it, and
-meets the intervals of those keys that hold at its fetch time. Intervals are cut at fixed stretches of time, so the join is on
-key and stretch with the bounds as a condition: a host with a third of all captures falls apart by time, and meets only the entries of its stretch.
+meets the intervals of those keys that hold at its fetch time. Intervals are cut at the fixed stretches of time in which captures ask for their key, so the join is on
+key and stretch with the bounds as a condition: a host with a third of all captures falls apart by time, and meets only the entries of its stretch. A
+capture far out of time adds one stretch.
 
 Nulls and the like: log rows without list, key or date are left out; a key both put on and taken off at one time is on; a capture with a null
 or hostless URL, or without a time, meets nothing and passes; repeated rows come out as often as they came in.
@@ -47,21 +48,19 @@ def intervals(log: DataFrame) -> DataFrame:
 
 
 def as_of(captures: DataFrame, spans: DataFrame, stretch: int = STRETCH) -> DataFrame:
-    """captures(id, url, fetched long), spans from intervals() -> id, url, fetched, host, n_entries, lists, entry, blocked.
+    """captures(id, url, fetched long, more...), spans from intervals() -> id, url, fetched, host, n_entries, lists, entry, blocked.
 
     entry: the longest key that lists the capture (of equally long ones the first); lists: their names, sorted, comma-joined.
     """
-    ident, url, fetched = captures.columns
+    ident, url, fetched = captures.columns[:3]
     caps = captures.select(F.col(ident).alias("id"), F.col(url).alias("url"), F.col(fetched).alias("fetched"))
     # Captures that are alike are judged once and come out as often as they came in.
     caps = caps.groupBy("id", "url", "fetched").agg(F.count("*").alias("copies"))
     caps = caps.withColumn("key", F.explode_outer(keys(F.col("url")))).withColumn("stretch", F.floor(F.col("fetched") / stretch))
-    bounds = spans.agg(F.max(F.greatest("since", F.coalesce("until", "since"))).alias("x")).select("x")
-    last = captures.agg(F.max(fetched).alias("x")).union(bounds).agg(F.max("x").alias("end"))
-    end = last.first()["end"]
-    until = F.coalesce(F.col("until"), F.lit(end if end is not None else 0) + 1)
-    cut = spans.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("since") / stretch), F.floor(F.greatest(F.col("since"), until - 1) / stretch))))
-    cut = cut.select(F.col("key").alias("listed"), F.col("stretch").alias("their_stretch"), "list", "since", "until")
+    # Intervals are cut at those stretches alone in which a capture has their key.
+    asked = caps.where("key is not null and stretch is not null").select(F.col("key").alias("listed"), F.col("stretch").alias("their_stretch")).distinct()
+    held = spans.select(F.col("key").alias("listed"), "list", "since", "until")
+    cut = held.join(asked, "listed").where((F.floor(F.col("since") / stretch) <= F.col("their_stretch")) & (F.col("until").isNull() | (F.col("their_stretch") * stretch < F.col("until"))))
     met = caps.join(cut, (F.col("key") == F.col("listed")) & (F.col("stretch") == F.col("their_stretch")) & (F.col("fetched") >= F.col("since")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))), "left")
     best = F.min(F.when(F.col("listed").isNotNull(), F.struct((-F.length("listed")).alias("n"), F.col("listed").alias("key"))))
     out = met.groupBy("id", "url", "fetched").agg(F.first("copies").alias("copies"), F.count("listed").alias("n_entries"), F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"), best["key"].alias("entry"))
