@@ -6,7 +6,7 @@ as long as the window (or a whole item shorter than it) is a hit.
 
 Nulls and the like: a null or wordless text has no words and no hits; items without id or words are left out; repeated
 items count once; several texts under one item id count as that item; an empty benchmark hits nothing.
-Rows of documents are kept as they come, repeated ids and null ids included.
+Rows of documents are kept as they come, repeated ids and null ids included. Equal hashes of windows only let a document through to the automata.
 """
 
 from __future__ import annotations
@@ -17,14 +17,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import as_bytes, record_batch, staged, tune
+from stemma.llm.common import as_bytes, dropped, record_batch, staged, tune
 
 #: Lower-cases A-Z and turns whatever parts words into a blank.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Item words in one automaton; a larger benchmark is dealt over several, run one after another.
+#: Item words in one automaton; a larger benchmark is dealt over several.
 AUTOMATON_WORDS = 100_000
 
 
@@ -214,45 +215,98 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _window_hashes(seq: list[bytes], size: int) -> list[int]:
+    """Of every run of size words."""
+    if len(seq) < size:
+        return []
+    flat, ends = b" ".join(seq), np.cumsum([len(w) + 1 for w in seq])
+    starts = np.concatenate([[0], ends[:-1]])
+    digest = xxhash.xxh64_intdigest
+    return [digest(flat[i:j]) for i, j in zip(starts.tolist(), (ends[size - 1 :] - 1).tolist(), strict=False)]
+
+
+def _marks(window: int, bits: int):
+    """Places of the items' windows in a bitmap."""
+
+    def run(batches):
+        for b in batches:
+            split = [seq.split() for seq in as_bytes(b.column(0))]
+            at = [h >> (64 - bits) for seq in split for h in _window_hashes(seq, min(window, len(seq)))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.array(at, np.int64)))], names=["place"])
+
+    return run
+
+
+_NEW = ("n_words", "spans", "items")
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton_words: int = AUTOMATON_WORDS) -> DataFrame:
-    """docs(key..., text) and items(id, text), the text last in both. Adds to docs, text aside:
-    n_words, spans (of hit words, [a, b)), items (ids as sorted strings).
+    """docs(key..., text) and items(id, text), the text last in both. Adds to docs: n_words, spans (of hit words, [a, b)), items (ids as sorted
+    strings); columns of docs that have these names are left out.
 
-    Items of up to automaton_words words make one automaton, which is broadcast; more are dealt by a hash over as many as it
-    takes, one pass over the documents each.
+    Items of up to automaton_words words make one automaton, which is broadcast. More are dealt by a hash over as many as it takes: one pass over the documents
+    finds those that hold any window at all, by a bitmap of the windows' hashes of at most 2^31 bits, and these alone meet one automaton after another.
     """
     spark = docs.sparkSession
     tune(spark)
     *keys, text = docs.columns
+    keys = [c for c in keys if c not in _NEW]
     item, content = items.columns
     parts = staged(
-        items.where(F.col(item).isNotNull()).select(F.col(item).cast("string"), F.col(content).cast("binary")).mapInArrow(_pieces(window, max(window, automaton_words // 4)), "id string, seq binary, n long").dropDuplicates(["id", "seq"])
+        items.where(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("id"), F.col(content).cast("binary").alias("seq")).mapInArrow(_pieces(window, max(window, automaton_words // 4)), "id string, seq binary, n long").dropDuplicates(["id", "seq"])
     )
     total = parts.agg(F.sum("n")).first()[0] or 0
     shards = 1 if total <= automaton_words else -(-2 * total // automaton_words)
-    done = docs.select(*keys, F.col(text).cast("binary").alias(text), F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(array() as {_SPANS})").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
+    row = F.struct(*[F.col(f"`{c}`") for c in keys]) if keys else F.struct(F.lit(0).alias("none"))
+    done = docs.select(row.alias("row"), F.col(f"`{text}`").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(array() as {_SPANS})").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     schema = done.schema
-    for shard in range(shards):
-        mine = parts if shards == 1 else parts.where(F.pmod(F.xxhash64("id", "seq"), F.lit(shards)) == shard)
+
+    def scanned(done: DataFrame, mine: DataFrame) -> DataFrame:
         found = [(r.id, bytes(r.seq).split()) for r in mine.select("id", "seq").collect()]
         sent = spark.sparkContext.broadcast(WindowAutomaton(sorted(found), window))
 
-        def run(batches, sent=sent, at=len(keys)):
+        def run(batches):
             automaton = sent.value
             for b in batches:
                 if not b.num_rows:
                     continue
                 n, spans, ids = [], [], []
-                for (count, new, got), old, before in zip(automaton.scan(as_bytes(b.column(at))), b.column(at + 2).to_pylist(), b.column(at + 3).to_pylist(), strict=True):
+                for (count, new, got), old, before in zip(automaton.scan(as_bytes(b.column(1))), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
                     n.append(count)
                     spans.append([{"a": x, "b": y} for x, y in _merge(new + [(o["a"], o["b"]) for o in old])])
                     ids.append(sorted(got.union(before)))
-                yield pa.RecordBatch.from_arrays([*b.columns[: at + 1], pa.array(n, pa.int64()), pa.array(spans, _SPAN_TYPE), pa.array(ids, pa.list_(pa.string()))], names=b.schema.names)
-
-        done = done.mapInArrow(run, schema)
-        if shards > 1:
-            done = staged(done)
-    return done
+                yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(n, pa.int64()), pa.array(spans, _SPAN_TYPE), pa.array(ids, pa.list_(pa.string()))], names=b.schema.names)
+
+        return done.mapInArrow(run, schema)
+
+    if shards == 1:
+        done = scanned(done, parts)
+    else:
+        bits = min(31, max(20, (32 * total).bit_length()))
+        places = parts.select("seq").mapInArrow(_marks(window, bits), "place long").distinct().toArrow()["place"].to_numpy()
+        bitmap = np.zeros(1 << bits - 3, np.uint8)
+        np.bitwise_or.at(bitmap, places >> 3, (1 << (places & 7)).astype(np.uint8))
+        sizes = sorted(r.size for r in parts.select(F.least("n", F.lit(window)).alias("size")).distinct().collect())
+        sent = spark.sparkContext.broadcast(bitmap)
+
+        def look(batches):
+            marked = sent.value
+            for b in batches:
+                n, maybe = [], []
+                for t in as_bytes(b.column(1)):
+                    seq = words(t)
+                    n.append(len(seq))
+                    at = np.array([h >> (64 - bits) for size in sizes for h in _window_hashes(seq, size)], np.int64)
+                    maybe.append(bool((marked[at >> 3] >> (at & 7).astype(np.uint8) & 1).any()))
+                yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(n, pa.int64()), *b.columns[3:], pa.array(maybe, pa.bool_())], names=[*b.schema.names, "maybe"])
+
+        looked = done.mapInArrow(look, done.withColumn("maybe", F.lit(False)).schema)
+        met = staged(looked.where("maybe").drop("maybe"))
+        for shard in range(shards):
+            before, met = met, staged(scanned(met, parts.where(F.pmod(F.xxhash64("id", "seq"), F.lit(shards)) == shard)))
+            dropped(before)
+        done = looked.where("not maybe").drop("maybe").union(met)
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in keys], F.col("text").alias(text), *_NEW)
 
 
 def digest(found: DataFrame, key: str) -> DataFrame:
