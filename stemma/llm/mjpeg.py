@@ -278,9 +278,9 @@ def _groups(texts: list[bytes], limit: int = 2 << 20):
 
 
 def to_media(docs: DataFrame) -> DataFrame:
-    """docs(key, text) -> key, n_bytes, media."""
+    """docs(key, text, more...) -> key, n_bytes, media; more is left out."""
     tune(docs.sparkSession)
-    key, text = docs.columns
+    key, text = docs.columns[:2]
     docs = docs.select(key, F.col(text).cast("binary").alias(text))
 
     def run(batches):
@@ -294,8 +294,9 @@ def to_media(docs: DataFrame) -> DataFrame:
 
 
 def clips(media: DataFrame) -> DataFrame:
-    """(key, media) -> key, clip, first_frame, last_frame, start_s, end_s."""
-    key, column = media.columns
+    """(key, media, more...) -> key, clip, first_frame, last_frame, start_s, end_s."""
+    key, column = media.columns[:2]
+    media = media.select(key, column)
     schema = media.select(key, *(F.lit(0).cast(t).alias(n) for n, t in (("clip", "int"), ("first_frame", "long"), ("last_frame", "long"), ("start_s", "double"), ("end_s", "double")))).schema
 
     def run(batches):

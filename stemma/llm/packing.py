@@ -87,6 +87,7 @@ def token_pieces(docs: DataFrame, most: int, tokenizer: str = WORD_BPE, end_id:
     """docs(id, text) -> doc_id, piece, start, length, ids_crc32, and the piece's number among those of its length in its
     part of the table (part, nth), for ranks."""
     tune(docs.sparkSession)
+    docs = docs.select(*docs.columns[:2])
 
     def run(batches):
         from pyspark import TaskContext
@@ -123,7 +124,7 @@ def token_pieces(docs: DataFrame, most: int, tokenizer: str = WORD_BPE, end_id:
 
 
 def pack(docs: DataFrame, capacity: Capacity = Capacity(), score: str = "norm", weights: tuple[float, float, float] = (1.0, 0.25, 0.25), tokenizer: str = WORD_BPE, end_id: int = 0, path: str | None = None) -> DataFrame:
-    """docs(id, text) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """docs(id, text, more...) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset. Ids are read as long integers; more is left out."""
     spark = docs.sparkSession
     pieces = staged(token_pieces(docs, capacity.tokens, tokenizer, end_id, path))
     by_part = staged(pieces.groupBy("length", "part").agg(F.max("nth").alias("last")).withColumn("n", F.col("last") + 1))
