@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from stemma.llm.common import LOWER, as_bytes, record_batch, shuffle_partitions, staged, trim, tune
 from stemma.llm.components import connected_components
 
-#: Homes at one anchor beyond which visitors go to several tasks, each with a share of the homes.
-HOT_HOMES = 20_000
+#: Homes, or visitors, at one anchor beyond which they are dealt over several tasks: each share of the homes meets each share of the visitors.
+HOT = 20_000
 
 
 def fingerprint(text: bytes, size: int = 3) -> int:
@@ -207,11 +207,14 @@ def links(distinct: DataFrame, most: int = 3) -> DataFrame:
         raise ValueError("the anchors are laid out for 2 or 3 differing bits")
     blocks = blocks_for(distinct.count())
     rows = distinct.select("fp").mapInArrow(_meetings(blocks), "anchor long, home boolean, fp long")
-    homes = distinct.select("fp").mapInArrow(_meetings(blocks), "anchor long, home boolean, fp long").where("home")
-    hot = staged(homes.groupBy("anchor").count().where(F.col("count") > HOT_HOMES).select("anchor", F.ceil(F.col("count") / HOT_HOMES).cast("int").alias("shares")))
+    sizes = rows.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("visitors"))
+    shares = [F.ceil(F.col(c) / HOT).cast("int").alias(c) for c in ("homes", "visitors")]
+    hot = staged(sizes.where(f"homes > {HOT} or homes > 0 and visitors > {HOT}").select("anchor", *shares))
     if hot.limit(1).count():
-        # Homes are dealt over shares; visitors go to each of them.
-        rows = rows.join(hot, "anchor", "left").withColumn("share", F.explode(F.when(F.col("shares").isNull(), F.array(F.lit(0))).when(F.col("home"), F.array(F.pmod(F.xxhash64("fp"), F.col("shares")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("shares") - 1))))
+        # Each row goes to its own share of its kind, with all shares of the other kind.
+        mine = F.pmod(F.xxhash64("fp"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("visitors")))
+        others = F.when(F.col("homes").isNull(), F.array(F.lit(0).cast("long"))).when(F.col("home"), F.transform(F.sequence(F.lit(0), F.col("visitors") - 1), lambda k: mine * F.col("visitors") + k)).otherwise(F.transform(F.sequence(F.lit(0), F.col("homes") - 1), lambda k: k * F.col("visitors") + mine))
+        rows = rows.join(hot, "anchor", "left").withColumn("share", F.explode(others))
         rows = rows.select((F.col("anchor") + F.col("share") * F.lit(1 << 33)).alias("anchor"), "home", "fp")
     rows = rows.repartition(shuffle_partitions(distinct.sparkSession), "anchor").sortWithinPartitions("anchor")
     return rows.mapInArrow(_compare(most), "a long, b long")
