@@ -154,8 +154,3 @@ def groups(batches) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
             held.append((k, x))
     if held:
         yield now, held
-
-
-def release(spark: SparkSession) -> None:
-    """Lets the context cleaner drop the files of shuffles that no frame needs any more: it hears of them from the driver's collector."""
-    spark.sparkContext._jvm.System.gc()
