@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
@@ -154,3 +155,40 @@ def groups(batches) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
             held.append((k, x))
     if held:
         yield now, held
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A permutation of 64-bit numbers without pattern."""
+    x = (x ^ x >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ x >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ x >> np.uint64(33)
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """56 bits of each word, from its length and its bytes by eights."""
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.append(np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8))
+    eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    n = np.diff(at)
+    out, live, k = mix64(n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), np.arange(len(n)), 0
+    while live.size:
+        left = np.minimum(n[live] - 8 * k, 8)
+        x = eights[at[live] + 8 * k]
+        x = np.where(left < 8, x & (np.uint64(1) << (left % 8 * 8).astype(np.uint64)) - np.uint64(1), x)
+        out[live] = mix64(out[live] + x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1))
+        k += 1
+        live = live[n[live] > 8 * k]
+    return out >> np.uint64(8)
+
+
+def words_by_number(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
+    """Of texts: the different words (A-Z lower-cased, parted by ASCII white space), each place's word by number, its text, and how many texts there are."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(text.fill_null("")))
+    flat, sizes = parts.flatten(), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    coded = flat.dictionary_encode()
+    word, of, names = coded.indices.to_numpy(), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), coded.dictionary
+    blank = names.index("").as_py()
+    if blank >= 0:  # white space at a text's edge
+        some = word != blank
+        word, of = word[some], of[some]
+    return names, word, of, len(sizes)

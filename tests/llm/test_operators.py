@@ -79,6 +79,17 @@ def test_decontaminate_keeps_columns(spark, docs):
     assert got[4].split() == (prose(30, 4) + " " + prose(30, 5)).split()
 
 
+def test_decontamination_beside_columns_of_any_name(spark, docs):
+    from stemma.llm import decontaminate as D
+
+    items = spark.createDataFrame([(1, TEXTS[0][1])], "item_id long, text string")
+    odd = docs.select("doc_id", F.lit("r").alias("row"), F.lit("s").alias("spans"), F.lit("i").alias("items"), F.lit(1).alias("n_words"), F.lit("m").alias("maybe"), "text")
+    for limit in (100_000, 4):
+        got = D.contamination(odd, items, 10, limit)
+        assert got.columns == ["doc_id", "row", "maybe", "text", "n_words", "spans", "items"]
+        assert {r.row + r.maybe for r in got.collect()} == {"rm"}
+
+
 def test_decontamination_empty(spark, docs, none):
     from stemma.llm import decontaminate as D
 
@@ -102,6 +113,17 @@ def test_url_filter(spark):
     assert seen == {1: (0, "", None, False), 2: (1, "a", "x.example.com", True), 3: (1, "b", "example.com", True), 4: (1, "a", "y.org/p/q", True), 5: (0, "", None, False), 6: (0, "", None, False), 7: (0, "", None, False), 8: (0, "", None, False)}
 
 
+def test_url_filter_times_far_out(spark):
+    """One capture in milliseconds and one before all time cost a stretch each, not all those between."""
+    from stemma.llm.urlfilter import as_of, intervals
+
+    day = 86400
+    spans = intervals(spark.createDataFrame([("a", "x.org", 10 * day, True), ("b", "x.org", 1 << 61, True), ("c", "x.org", -(1 << 40), True), ("c", "x.org", 0, False)], "list string, key string, at long, added boolean"))
+    caps = [(1, "http://x.org/", 1_700_000_000_000, 0), (2, "http://x.org/", -(1 << 39), 0), (3, "http://x.org/", 11 * day, 0), (4, "http://x.org/", 1 << 62, 0)]
+    got = {r.id: r.lists for r in as_of(spark.createDataFrame(caps, "id long, url string, fetched long, stretch int"), spans).collect()}
+    assert got == {1: "a", 2: "c", 3: "a", 4: "a,b"}
+
+
 def test_url_filter_empty(spark):
     from stemma.llm.urlfilter import as_of, intervals
 
@@ -152,7 +174,7 @@ def test_grammar_round_trip():
     r = np.random.default_rng(0)
     for _ in range(150):
         x = r.integers(0, r.integers(1, 4) + 1, r.integers(0, 300)).astype(np.uint32)
-        s, rules, first = G.compress(x, 2, 0.0)
+        s, rules, first = G.compress(x, r.choice([0.0, 0.03, 1.0]))
         assert (G.expand(s, *G.expansions(rules, first)) == x).all()
     x = np.tile(r.integers(0, 50, 500), 40).astype(np.uint32)
     shard = G.Shard(G.write_body(x, np.array([len(x)])))
@@ -163,6 +185,23 @@ def test_grammar_round_trip():
         G.Shard(b"RPG2" + bytes(60))
 
 
+def test_grammar_goes_on_to_the_end():
+    """No pair is left that stands in three places that do not overlap."""
+    from stemma.llm import grammar as G
+
+    r = np.random.default_rng(5)
+    for kinds, n in ((3, 5000), (40, 30_000), (2000, 60_000)):
+        ids = np.concatenate([r.integers(0, kinds, n), np.tile(r.integers(0, kinds, 90), 40), np.full(300, 1)]).astype(np.uint32)
+        symbols, rules, first = G.compress(ids)
+        assert (G.expand(symbols, *G.expansions(rules, first)) == ids).all()
+        last, places = {}, {}
+        for i, pair in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True)):
+            if last.get(pair, -2) < i - 1:
+                last[pair] = i
+                places[pair] = places.get(pair, 0) + 1
+        assert max(places.values()) <= 3, max(places.values())
+
+
 # --- suffixes ----------------------------------------------------------------------
 def test_suffixes(spark, docs, none):
     from stemma.llm import suffixes as S
@@ -192,6 +231,61 @@ def test_suffixes_hard_cases(spark):
     assert got == sorted(((i, *w) for (i, _), w in zip(rows, S.brute_force(rows), strict=True)), key=key)
 
 
+def test_suffixes_beside_columns_of_any_name(spark, docs):
+    from stemma.llm import suffixes as S
+
+    names = ("doc", "row", "kind", "block", "route", "payload", "again", "more", "text2")
+    odd = docs.select("*", *[F.lit(c).alias(c) for c in names], F.lit("x").alias("spans"), F.lit("y").alias("kept"))
+    got = S.repeats(odd, 50)
+    assert got.columns == ["doc_id", *names, "n_bytes", "n_removed", "spans", "kept"]
+    assert {tuple(r) for r in S.digest(got).collect()} == {tuple(r) for r in S.digest(S.repeats(docs, 50)).collect()}
+    assert {r.block for r in got.collect()} == {"block"}
+
+
+def test_suffix_rows_follow_the_texts_and_not_the_partitions(spark, tmp_path, monkeypatch):
+    from stemma.llm import suffixes as S
+
+    docs = spark.createDataFrame([(i, prose(80, i % 150)) for i in range(300)], "doc_id long, text string")
+    counted, plain = [], S.staged
+
+    def counting(df, *more):
+        out = plain(df, *more)
+        counted[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(S, "staged", counting)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in (8, 211):
+        counted.append(0)
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            S.repeats(docs.repartition(8), 50).count()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert counted[1] <= 1.5 * counted[0]
+
+
+@pytest.mark.parametrize("hot", [0, 3, 10**9])
+def test_suffixes_of_common_strings(spark, monkeypatch, hot):
+    """One string of 16 bytes amid very many others, whose suffixes are dealt by more than it."""
+    from stemma.llm import suffixes as S
+
+    for name, value in (("HOT", hot), ("BLOCK", 1 << 12), ("BUCKET", 1 << 11)):
+        monkeypatch.setattr(S, name, value)
+    r = random.Random(4)
+    common, texts = "0123456789abcdef0123456789abcdef", []
+    for _ in range(150):
+        around = ["".join(r.choice("xyzw") for _ in range(60)) for _ in range(2)]
+        texts.append(around[0] + common + around[1])
+    for _ in range(150):
+        a, b = r.choice(texts), r.choice(texts)
+        k, j = r.randint(0, 60), r.randint(92, 152)
+        texts.append(a[k : k + 30] + a[k + 30 : j] + b[: r.randint(0, 90)])
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {tuple(x) for x in S.digest(S.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 50)).collect()}
+    assert got == {(i, *w) for (i, _), w in zip(rows, S.brute_force(rows, 50), strict=True)}
+
+
 def test_merge_runs():
     from stemma.llm.suffixes import front_code, merge_runs
 
@@ -297,7 +391,7 @@ def test_anchors_find_all_links(spark, monkeypatch, blocks):
                 y ^= 1 << b
             fps.add(y)
     monkeypatch.setattr(S, "blocks_for", lambda n: blocks)
-    monkeypatch.setattr(S, "HOT_HOMES", 5)
+    monkeypatch.setattr(S, "HOT", 5)
     fps = sorted(fps)
     got = {r.node: r.root for r in S.connected_components(S.links(spark.createDataFrame([(x,) for x in fps], "fp long").repartition(3))).collect()}
     root = {x: x for x in fps}
@@ -374,6 +468,56 @@ def test_html(spark):
     assert extract(df.limit(0)).count() == 0
 
 
+def test_html_of_any_kind():
+    import time
+
+    from stemma.llm.htmltext import main_text
+
+    assert main_text("<![foo[x]]>hello world") == "hello world"
+    for odd in ("<!", "<![", "<!DOCTYPE", "<!x y>a", "<?php echo 1 ?>b", "<![CDATA[c]]>d", "</", "<a b='", "&#xFFFFFFFFFF;e", "<p><![if !IE]>f<![endif]>"):
+        assert isinstance(main_text(odd), str)
+    assert main_text("<article><p>The price of one.</p><div class='share-price'>A share cost ten.</div></article>") == "The price of one.\nA share cost ten."
+    assert main_text("<div id='register-of-wrecks'><article><p>All hands were lost.</p></article></div><footer>x</footer>") == "All hands were lost."
+    assert main_text("<div class='widget'><p>Only this page's whole text, in a box of that name.</p></div>") == "Only this page's whole text, in a box of that name."
+    assert main_text("<main><h1>Title</h1><p>Lede</p><article><p>" + "Long words of prose here. " * 20 + "</p></article></main>").startswith("Title\nLede\nLong")
+    long, short = "Words of the first story. " * 12, "Words of the second one. " * 8
+    assert main_text(f"<article><p>{long}</p></article><article><p>{short}</p></article>") == f"{long.strip()}\n{short.strip()}"
+    text = "Sentence of the story, long enough. " * 9
+    for boiler in ("<div class='ad'>Buy this</div>", "<div class='related-posts'>See also</div>", "<div id='comments'><p>I disagree.</p></div>", "<div class='cookie-consent'>We use them</div>", "<ul class='share-buttons'><li>Tell</li></ul>"):
+        assert main_text(f"<body><div><h1>Head</h1><p>{text}</p>{boiler}<p>{text}</p></div></body>") == f"Head\n{text.strip()}\n{text.strip()}"
+    began = time.perf_counter()
+    for many in ("<b>" * 200_000 + "</i>" * 200_000 + "x", "<div>" * 300_000 + "y", "<p><b>" * 100_000 + "z", "<ul><li><b>" * 50_000 + "</li><li>" * 50_000, "<table><tr><td>" * 50_000, "<article>" * 100_000 + "w"):
+        main_text(many)
+    assert time.perf_counter() - began < 60
+
+
+def test_html_precision_and_recall(spark):
+    """On pages whose article is marked: its words, by a pattern of its own, against those taken."""
+    import html
+    import re
+    from collections import Counter
+
+    from stemma.llm.htmltext import extract
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    raw = {r.page_id: r.html for r in pages.collect()}
+    hit = wanted = taken = 0
+    for r in extract(pages).collect():
+        body = re.search(r"<article\b[^>]*>(.*)</article>", raw[r.page_id] or "", re.S)
+        if body:
+            inner = re.sub(r"<(script|style|aside|nav|form|footer)\b.*?</\1>|<!--.*?-->", " ", body[1], flags=re.S)
+            want, got = Counter(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split()), Counter(r.text.split())
+            hit, wanted, taken = hit + (want & got).total(), wanted + want.total(), taken + got.total()
+    assert wanted > 10_000 and hit >= 0.99 * wanted and hit >= 0.99 * taken, (hit, wanted, taken)
+
+
+def test_html_columns(spark):
+    from stemma.llm.htmltext import extract
+
+    df = spark.createDataFrame([(1, "u", "<p>a  b</p>", "t", 5), (None, None, None, None, None)], "page_id long, url string, html string, text string, n_chars int")
+    assert [tuple(r) for r in extract(df).orderBy("page_id").collect()] == [(None, None, "", 0), (1, "u", "a b", 3)]
+
+
 # --- language model --------------------------------------------------------------------
 def test_language_model(spark, docs, none):
     from collections import Counter
@@ -626,3 +770,15 @@ def test_shots():
     assert shots(histogram_distances(samples)) == [(0, 29), (30, 49)] and rate == 25
     with pytest.raises(ValueError):
         decode([b"RIFF" + bytes(40)])
+
+
+# --- columns beside those that an operator reads ---------------------------------
+def test_columns_of_any_name_are_left_out(spark, docs):
+    from stemma.llm import grammar, hpylm, mjpeg, packing
+
+    odd = docs.select("*", *[F.lit("x").alias(c) for c in ("route", "kind", "part", "n_tokens", "learn", "media", "piece", "rank", "h", "c")])
+    for run in (grammar.round_trip, packing.pack, hpylm.score_corpus, lambda d: mjpeg.features(mjpeg.to_media(d))):
+        plain, more = run(docs), run(odd)
+        assert plain.columns == more.columns
+        drop = [c for c in plain.columns if c in ("sequence_id", "offset")]
+        assert sorted(map(repr, plain.drop(*drop).collect())) == sorted(map(repr, more.drop(*drop).collect()))
