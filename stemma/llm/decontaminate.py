@@ -240,9 +240,9 @@ def _marks(window: int, bits: int):
 _NEW = ("n_words", "spans", "items")
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton_words: int = AUTOMATON_WORDS) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton_words: int = AUTOMATON_WORDS, cut_over: int | None = None) -> DataFrame:
     """docs(key..., text) and items(id, text), the text last in both. Adds to docs: n_words, spans (of hit words, [a, b)), items (ids as sorted
-    strings); columns of docs that have these names are left out.
+    strings); columns of docs that have these names are left out. cut_over: cut spans of more words than that out of the text, and tell of these alone.
 
     Items of up to automaton_words words make one automaton, which is broadcast. More are dealt by a hash over as many as it takes: one pass over the documents
     finds those that hold any window at all, by a bitmap of the windows' hashes of at most 2^31 bits, and these alone meet one automaton after another.
@@ -261,7 +261,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
     done = docs.select(row.alias("row"), F.col(f"`{text}`").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(array() as {_SPANS})").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     schema = done.schema
 
-    def scanned(done: DataFrame, mine: DataFrame) -> DataFrame:
+    def scanned(done: DataFrame, mine: DataFrame, last: bool) -> DataFrame:
         found = [(r.id, bytes(r.seq).split()) for r in mine.select("id", "seq").collect()]
         sent = spark.sparkContext.broadcast(WindowAutomaton(sorted(found), window))
 
@@ -270,17 +270,21 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
             for b in batches:
                 if not b.num_rows:
                     continue
-                n, spans, ids = [], [], []
+                n, spans, ids, texts = [], [], [], b.column(1).to_pylist()
                 for (count, new, got), old, before in zip(automaton.scan(as_bytes(b.column(1))), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
                     n.append(count)
-                    spans.append([{"a": x, "b": y} for x, y in _merge(new + [(o["a"], o["b"]) for o in old])])
+                    spans.append(_merge(new + [(o["a"], o["b"]) for o in old]))
                     ids.append(sorted(got.union(before)))
-                yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(n, pa.int64()), pa.array(spans, _SPAN_TYPE), pa.array(ids, pa.list_(pa.string()))], names=b.schema.names)
+                if cut_over is not None and last:
+                    spans = [[x for x in some if x[1] - x[0] > cut_over] for some in spans]
+                    texts = [cut_spans(t or b"", some) if some else t for t, some in zip(texts, spans, strict=True)]
+                spans = [[{"a": x, "b": y} for x, y in some] for some in spans]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()), pa.array(n, pa.int64()), pa.array(spans, _SPAN_TYPE), pa.array(ids, pa.list_(pa.string()))], names=b.schema.names)
 
         return done.mapInArrow(run, schema)
 
     if shards == 1:
-        done = scanned(done, parts)
+        done = scanned(done, parts, True)
     else:
         bits = min(31, max(20, (32 * total).bit_length()))
         places = parts.select("seq").mapInArrow(_marks(window, bits), "place long").distinct().toArrow()["place"].to_numpy()
@@ -303,7 +307,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
         looked = done.mapInArrow(look, done.withColumn("maybe", F.lit(False)).schema)
         met = staged(looked.where("maybe").drop("maybe"))
         for shard in range(shards):
-            before, met = met, staged(scanned(met, parts.where(F.pmod(F.xxhash64("id", "seq"), F.lit(shards)) == shard)))
+            before, met = met, staged(scanned(met, parts.where(F.pmod(F.xxhash64("id", "seq"), F.lit(shards)) == shard), shard == shards - 1))
             dropped(before)
         done = looked.where("not maybe").drop("maybe").union(met)
     return done.select(*[F.col(f"row.`{c}`").alias(c) for c in keys], F.col("text").alias(text), *_NEW)
@@ -340,18 +344,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", window:
     """
     names = docs.columns
     whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
-    found = contamination(docs.select(whole, F.col(f"`{text}`").alias("text")), items, window)
-    found = found.withColumn("spans", F.filter("spans", lambda s: s["b"] - s["a"] > max_span))
+    found = contamination(docs.select(whole, F.col(f"`{text}`").alias("text")), items, window, cut_over=max_span)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
-    found = found.where((hit == 0) | (hit <= F.lit(max_coverage) * F.col("n_words")))
-    schema = found.select("row", "text").schema
-
-    def run(batches):
-        for b in batches:
-            cut = [cut_spans(t or b"", [(s["a"], s["b"]) for s in spans]) if spans else t for t, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.binary())], names=["row", "text"])
-
-    out = found.select("row", "text", "spans").mapInArrow(run, schema)
+    out = found.where((hit == 0) | (hit <= F.lit(max_coverage) * F.col("n_words")))
     return out.select(*[F.col("text").cast("string").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in names])
 
 

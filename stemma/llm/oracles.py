@@ -42,4 +42,20 @@ found as (select r, count(*) as n, string_agg(distinct list_name, ',' order by l
 select page_id, url, fetched_at, host, coalesce(n, 0) as n_entries, coalesce(lists, '') as lists, entry, coalesce(n, 0) > 0 as blocked from caps left join found using (r)
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": _OP1, "op2_urlfilter": _OP2}
+# Bytes as pairs of hexadecimal digits: a window of 50 bytes is a string of 100.
+_OP4 = r"""
+with d as (select doc_id, row_number() over () as r, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select r, doc_id, i, substr(h, 2 * i + 1, 100) as s from (select r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) as i from d where doc_id is not null and length(h) >= 100)),
+f as (select s, min(doc_id) as first from w group by s),
+hit as (select r, i from w join f using (s) where first < doc_id),
+steps as (select r, i, lag(i) over (partition by r order by i) as p from hit),
+runs as (select r, i, sum(case when p is null or i > p + 50 then 1 else 0 end) over (partition by r order by i) as k from steps),
+spans as (select r, min(i) as a, max(i) + 50 as b from runs group by r, k),
+gaps as (select r, lag(b, 1, 0) over (partition by r order by a) as x, a as y from spans union all select r, max(b), null from spans group by r),
+kept as (select r, string_agg(case when y is null then substr(h, 2 * x + 1) else substr(h, 2 * x + 1, 2 * (y - x)) end, '' order by x) as k from gaps join d using (r) group by r),
+sums as (select r, sum(b - a) as n, count(*) as spans from spans group by r)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n, 0) as bigint) as n_removed, cast(coalesce(spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(k, h))) as kept_sha256
+from d left join sums using (r) left join kept using (r)
+"""
+
+ORACLES: dict[str, str] = {"op1_decontaminate": _OP1, "op2_urlfilter": _OP2, "op4_suffixes": _OP4}

@@ -41,7 +41,7 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _DOWN = pow(_BASE, -1, 1 << 64)
 #: Bytes of text worked on at a time, anchors that a task holds before it sends them, bytes of text to a block and to a bucket.
-CHUNK, HELD, BLOCK, BUCKET = 1 << 19, 1 << 19, 8 << 20, 4 << 20
+CHUNK, HELD, BLOCK, BUCKET = 1 << 19, 1 << 18, 8 << 20, 4 << 20
 #: Heads of a k-gram beyond which its suffixes are dealt by more than the k-gram.
 HOT = 1 << 14
 #: What travels of a hash: 48 bits of a k-gram's.
@@ -490,7 +490,10 @@ def _merge_bucket(length: int, blocks: int):
 
 
 class _Cut:
-    """Gives each document the spans that it loses."""
+    """Gives each document the spans that it loses. as_text: what stays as text, without characters cut apart."""
+
+    def __init__(self, as_text: bool):
+        self.as_text = as_text
 
     def block(self, held):
         x, start = _table([unpack(p, _SPAN) for k, p in held if k == SPANS], _SPAN)
@@ -516,7 +519,7 @@ class _Cut:
             removed.append(len(text) - len(kept[-1]))
             runs.append([{"a": i, "b": j} for i, j in zip(a, e, strict=True)])
         spans_type = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, spans_type), pa.array(kept, pa.binary())], names=[*b.schema.names[3:], "n_bytes", "n_removed", "spans", "kept"])
+        yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, spans_type), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if self.as_text else pa.array(kept, pa.binary())], names=[*b.schema.names[3:], "n_bytes", "n_removed", "spans", "kept"])
 
     def end(self):
         return ()
@@ -525,9 +528,9 @@ class _Cut:
 _RESULT = ("n_bytes", "n_removed", "spans", "kept")
 
 
-def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
-    """docs(doc_id, text, more...) -> doc_id, more..., n_bytes, n_removed, spans (array of removed [a, b)), kept (binary). Columns of docs that have
-    the name of one of the result's are left out."""
+def repeats(docs: DataFrame, length: int = 50, as_text: bool = False) -> DataFrame:
+    """docs(doc_id, text, more...) -> doc_id, more..., n_bytes, n_removed, spans (array of removed [a, b)), kept (binary; as_text: a string, without characters
+    cut apart). Columns of docs that have the name of one of the result's are left out."""
     if not K < length <= 200:
         raise ValueError("windows of 17 to 200 bytes")
     spark = docs.sparkSession
@@ -564,8 +567,8 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     contexts = with_documents(settled.where(F.col("kind") == NEEDS), plain).mapInArrow(_meet_documents(lambda: _Contexts(length, buckets)), _ROUTED_DDL)
     merged = staged(dealt(contexts).mapInArrow(_merge_bucket(length, blocks), _ROUTED_DDL))
     spans = settled.where(F.col("kind") == SPANS).union(merged)
-    made = {"n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<a:long,b:long>>)"), "kept": F.lit(b"")}
-    out = with_documents(spans, papers).mapInArrow(_meet_documents(_Cut), papers.select("doc", "row", "more").withColumns(made).schema)
+    made = {"n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<a:long,b:long>>)"), "kept": F.lit("" if as_text else b"")}
+    out = with_documents(spans, papers).mapInArrow(_meet_documents(lambda: _Cut(as_text)), papers.select("doc", "row", "more").withColumns(made).schema)
     return out.select(F.col("doc").alias(key), *[F.col(f"more.`{c}`").alias(c) for c in more], *_RESULT)
 
 
@@ -591,16 +594,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length
     nothing stays as it is."""
     names = docs.columns
     whole = docs.select(F.col(f"`{key}`").cast("long").alias("__key"), F.col(f"`{text}`").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("__rest"), F.col(f"`{text}`").isNull().alias("__null"))
-    found = repeats(whole, length)
-
-    def run(batches):
-        for b in batches:
-            fixed = [x.decode("utf-8", "ignore") for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fixed, pa.string()), b.column(2)], names=b.schema.names)
-
-    got = found.select("__rest", "kept", "__null")
-    cut = got.mapInArrow(run, got.withColumn("kept", F.lit("")).schema)
-    return cut.select(*[F.when(~F.col("__null"), F.col("kept")).alias(c) if c == text else F.col(f"__rest.`{c}`").alias(c) for c in names])
+    found = repeats(whole, length, as_text=True)
+    return found.select(*[F.when(~F.col("__null"), F.col("kept")).alias(c) if c == text else F.col(f"__rest.`{c}`").alias(c) for c in names])
 
 
 def brute_force(texts: list[tuple[int | None, str | None]], length: int = 50) -> list[tuple[int, int, int, str]]:

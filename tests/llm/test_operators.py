@@ -367,6 +367,21 @@ def test_production_packs_by_three_capacities(monkeypatch):
     assert given == [packing.Capacity(2048, 2048, 2048 * 2048)] * 2
 
 
+def test_plan_weighs_more_than_tokens():
+    """With all three capacities a piece goes elsewhere than the bin with least room for tokens, and no more bins are used."""
+    from stemma.llm import packing as P
+
+    r = random.Random(12)
+    differ = 0
+    for _ in range(20):
+        counts = {r.randint(1, 2048): r.randint(1, 9) for _ in range(60)}
+        scalar, vector = (P.plan(counts, c) for c in (P.Capacity(2048), P.Capacity(2048, 2048, 2048 * 2048)))
+        differ += scalar != vector
+        used = [max(b + -(-n // each) for _, _, n, each, b, _ in rows) for rows in (scalar, vector)]
+        assert used[1] <= used[0] + 1
+    assert differ > 10
+
+
 # --- simhash ------------------------------------------------------------------------
 def test_simhash(spark, docs, none):
     from stemma.llm import simhash as S
