@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+REVIEW_PAYLOAD = (
+    "url string, product_name string, Reviews array<struct<LongDesc: string, Name: string, Rating: double, Title: string, DateSubmitted: string, IsRecommended: boolean, Likes: int, SyndReviewSource: string>>, "
+    "reviews_b array<struct<description: string, displayName: string, rating: double, title: string, date: string, wouldRecommend: boolean, helpful_yes: int, SourceClient: string>>, "
+    "RatingDistribution array<struct<RatingValue: int, Count: bigint>>, OverallRating double, TotalReviewCount int, RecommendedPercentage int, overall struct<rating: double, totalReviews: int, percentageRecommending: string>"
+)
+
+
 def _records(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     from stemma.schemas import KINDS
     from stemma.sources.readers import of_kind, read_records
@@ -25,8 +32,8 @@ def resolve(spark: SparkSession, a) -> None:
     got = _records(spark, a.records)
     c = F.col
     products = R.products_by_key(got["product"], ["ord"]).withColumns({"slug": T.match_slug(c("brand"), c("name"), c("volume_ml"), c("vintage")), "__bare": T.match_slug(c("brand"), c("name"), F.lit(None).cast("int"), c("vintage"))})
-    first = R.merge_gtin(products, ["ord"])
-    alias = R.close_alias(first.groupBy("product_key").agg(F.min("canonical_key").alias("canonical_key")), R.merge_missing_volume(products, "__bare", ["ord"]))
+    # A map of keys, read at four places.
+    alias = R.merge_products(products, "__bare", ["ord"]).persist()
     kept = products.join(alias, "product_key", "left_anti")
     informative = T.informativeness(*[c(x) for x in ("member_price_aud", "was_price_aud", "promo", "in_stock", "aggregate_rating_norm")])
     offers = dedupe.dedupe_offers_resolve(R.apply_alias(got["offer"], alias), informative, ["ord"])
@@ -60,12 +67,45 @@ def enrich(spark: SparkSession, a) -> None:
 
 
 def listing(spark: SparkSession, a) -> None:
-    """Seed lines to listing pages."""
+    """Seed lines to listing pages, but for those that are done if progress is kept."""
+    from stemma.operators.state import resume
     from stemma.sources.readers import expand_seeds
     from stemma.sources.sinks import write_queue
 
     lines = spark.read.text(a.seeds, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("ord", "value"))
-    write_queue(expand_seeds(lines, a.clicks).orderBy("position"), a.out)
+    pages = expand_seeds(lines, a.clicks)
+    if a.keep_progress:
+        pages = resume(pages, spark.read.json(a.keep_progress).select("url"), "url")
+    write_queue(pages.orderBy("position"), a.out)
+
+
+def reviews(spark: SparkSession, a) -> None:
+    """Payloads of a review service to records: the newest reviews of the products that have most, and what the service says of each."""
+    from stemma.operators.sampling import sample_newest
+    from stemma.sources.adapters import api_reviews, api_summaries
+    from stemma.sources.sinks import write_records
+
+    payloads = spark.read.schema(REVIEW_PAYLOAD).json(a.payloads)
+    if a.limit:
+        count = F.coalesce("TotalReviewCount", "overall.totalReviews", F.lit(0))
+        payloads = payloads.orderBy(count.desc(), "url").limit(a.limit)
+    found = api_reviews(payloads, a.as_of, a.source)
+    newest = sample_newest(found, "source_url", [F.col("review_date").desc_nulls_last(), "review_key"], full=a.full, cap=a.cap or None)
+    write_records(newest, f"{a.out}/review")
+    write_records(api_summaries(payloads, a.as_of, a.source), f"{a.out}/review_summary")
+
+
+def watch(spark: SparkSession, a) -> None:
+    """A snapshot of a sweep's progress from its event log, and how long it has gained nothing."""
+    from stemma.operators.state import lease_state, progress, stall_runs
+    from stemma.sources.sinks import write_progress
+
+    events = spark.read.schema("target string, ts timestamp, kind string, n bigint").json(a.events)
+    now = progress(lease_state(events, a.as_of)).select(F.lit(a.as_of).alias("at"), "total", "done", "remaining", "harvested")
+    write_progress(now, a.out)
+    # The whole history is one short line of snapshots.
+    seen = stall_runs(spark.read.schema(now.schema).json(a.out).withColumn("sweep", F.lit(1)), "at", "harvested", ["sweep"])
+    seen.drop("sweep").orderBy(F.desc("at")).limit(a.last).show(truncate=False)
 
 
 def replay(spark: SparkSession, a) -> None:
@@ -89,7 +129,9 @@ def main(args: list[str] | None = None) -> None:
     job(resolve, ("--records", need), ("--out", need), ("--threshold", {"type": float, "default": 0.86}), ("--year", {"type": int, "required": True}))
     job(queue, ("--catalogue", need), ("--out", need), ("--min-reviews", {"type": int, "default": 1}), ("--limit", {"type": int, "default": 0}), ("--retailer", {}), ("--supported", {"nargs": "*", "default": []}), ("--countless", {"nargs": "*", "default": []}))
     job(enrich, ("--records", need), ("--out", need), ("--only-missing", {"action": "store_true"}))
-    job(listing, ("--seeds", need), ("--out", need), ("--clicks", {"type": int, "default": 60}))
+    job(listing, ("--seeds", need), ("--out", need), ("--clicks", {"type": int, "default": 60}), ("--keep-progress", {"help": "JSON lines with the url of each page that is done"}))
+    job(reviews, ("--payloads", need), ("--out", need), ("--as-of", need), ("--source", need), ("--full", {"action": "store_true"}), ("--cap", {"type": int, "default": 0}), ("--limit", {"type": int, "default": 0}))
+    job(watch, ("--events", need), ("--out", need), ("--as-of", need), ("--last", {"type": int, "default": 10}))
     job(replay, ("--archive", need), ("--out", need), ("--as-of", need), ("--source", {"nargs": "*", "default": [], "help": "name=display"}))
     a = p.parse_args(args)
     a.run(SparkSession.builder.getOrCreate(), a)

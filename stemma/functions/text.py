@@ -35,22 +35,22 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'"
 GTIN_LENGTHS = (8, 12, 13, 14)
 
 # Patterns of sizes, strengths, years, prices and names, as the sources write them.
-_ML = r"(?i)(\d+(?:\.\d+)?)\s*(?:ml|mls|millilitre?s?)\b"
-_LITRE = r"(?i)(\d+(?:\.\d+)?)\s*(?:l|lt|ltr|litre?s?|liter?s?)\b"
-_PACKS = (
+ML_PATTERN = r"(?i)(\d+(?:\.\d+)?)\s*(?:ml|mls|millilitre?s?)\b"
+LITRE_PATTERN = r"(?i)(\d+(?:\.\d+)?)\s*(?:l|lt|ltr|litre?s?|liter?s?)\b"
+PACK_PATTERNS = (
     r"(?i)\bcase\s+of\s+(\d+)\b",
     r"(?i)\b(\d+)\s*(?:x|×)\s*\d+\s*ml\b",
     r"(?i)\b(\d+)\s*[- ]?(?:pack|pk)\b",
     r"(?i)\b(?:pack|case|pk)\s*\(\s*(\d+)\s*\)",
 )
-_ABV = r"(\d{1,2}(?:\.\d)?)\s*%"
-_YEAR = r"\b(19[5-9]\d|20[0-4]\d)\b"
-_PRICE = r"(\d+(?:,\d{3})*(?:\.\d{1,2})?)"
-_SIZES = r"(?i)\b(?:case of \d+|\d+\s*(?:x|×)\s*\d+\s*ml|\d+\s*[- ]?(?:pack|pk)|\d+(?:\.\d+)?\s*(?:ml|l|lt|ltr|litre?s?)|nv|non[- ]vintage)\b"
-_RUN_ON = r"(?<=[a-z])(?=[A-Z][a-z])"
-_SCOTS = r"\b(Ma?c)\s+([A-Z])"
-_ORPHAN = r"(?i)(?:^|\s)[x×](?=\s|$)"
-_LAST_SIGN = r"\s*[-|,/]\s*$"
+ABV_PATTERN = r"(\d{1,2}(?:\.\d)?)\s*%"
+YEAR_PATTERN = r"\b(19[5-9]\d|20[0-4]\d)\b"
+PRICE_PATTERN = r"(\d+(?:,\d{3})*(?:\.\d{1,2})?)"
+SIZES_PATTERN = r"(?i)\b(?:case of \d+|\d+\s*(?:x|×)\s*\d+\s*ml|\d+\s*[- ]?(?:pack|pk)|\d+(?:\.\d+)?\s*(?:ml|l|lt|ltr|litre?s?)|nv|non[- ]vintage)\b"
+RUN_ON_PATTERN = r"(?<=[a-z])(?=[A-Z][a-z])"
+SCOTS_PATTERN = r"\b(Ma?c)\s+([A-Z])"
+ORPHAN_PATTERN = r"(?i)(?:^|\s)[x×](?=\s|$)"
+LAST_SIGN_PATTERN = r"\s*[-|,/]\s*$"
 _MONEY = r"\$\s*([\d,]+(?:\.\d{2})?)"
 _NON_MEMBER = r"(?i)Non-?Member:?\s*\$\s*([\d,]+(?:\.\d{2})?)"
 _PROMOTION = r"(?i)(buy one get one free|\d+ for \$?\d+|save \$?[\d.]+)"
@@ -82,27 +82,27 @@ def collapsed(text: Column) -> Column:
 
 def parse_volume_ml(text: Column) -> Column:
     """Millilitres, from a figure in them or else in litres."""
-    ml = found(text, _ML).try_cast("double")
-    litres = found(text, _LITRE).try_cast("double") * 1000
+    ml = found(text, ML_PATTERN).try_cast("double")
+    litres = found(text, LITRE_PATTERN).try_cast("double") * 1000
     return F.bround(F.coalesce(ml, litres), 0).cast("int")
 
 
 def parse_pack_size(text: Column) -> Column:
     """First of the patterns whose figure lies in 1 to 48."""
-    sizes = [found(text, p).try_cast("int") for p in _PACKS]
+    sizes = [found(text, p).try_cast("int") for p in PACK_PATTERNS]
     return F.coalesce(*[F.when(n.between(1, 48), n) for n in sizes])
 
 
 def parse_abv(text: Column, strict: bool = False) -> Column:
     """Percentage in (0, 80]; strict wants a whole figure before the sign, with any decimals."""
-    pattern = r"(?<![\d.])(\d{1,2}(?:\.\d+)?)\s*%" if strict else _ABV
+    pattern = r"(?<![\d.])(\d{1,2}(?:\.\d+)?)\s*%" if strict else ABV_PATTERN
     v = found(text, pattern).try_cast("double")
     return F.when((v > 0) & (v <= 80), v)
 
 
 def parse_vintage(text: Column, as_of_year: int) -> Column:
     """Latest year from 1950 on in the text, none after as_of_year."""
-    years = F.transform(F.regexp_extract_all(text, F.lit(_YEAR), F.lit(1)), lambda y: y.cast("int"))
+    years = F.transform(F.regexp_extract_all(text, F.lit(YEAR_PATTERN), F.lit(1)), lambda y: y.cast("int"))
     return F.array_max(F.filter(years, lambda y: y <= as_of_year))
 
 
@@ -130,7 +130,7 @@ def resolve_category(guessed: Column, hinted: Column) -> Column:
 
 def parse_price(text: Column) -> Column:
     """Of a string: first figure, with thousands and two decimals at most."""
-    figure = found(F.regexp_replace(text, r"\$", ""), _PRICE)
+    figure = found(F.regexp_replace(text, r"\$", ""), PRICE_PATTERN)
     return rounded(F.regexp_replace(figure, ",", "").try_cast("double"), 2)
 
 
@@ -140,15 +140,15 @@ def price_number(value: Column) -> Column:
 
 def split_run_on(name: Column) -> Column:
     """A blank where a capitalised word runs on from a small letter, but for names in Mc and Mac."""
-    return F.regexp_replace(F.regexp_replace(name, _RUN_ON, " "), _SCOTS, "$1$2")
+    return F.regexp_replace(F.regexp_replace(name, RUN_ON_PATTERN, " "), SCOTS_PATTERN, "$1$2")
 
 
 def clean_name(name: Column) -> Column:
     """Without sizes, packs and orphaned signs; null is empty."""
-    s = split_run_on(F.regexp_replace(F.coalesce(name, F.lit("")), _SIZES, " "))
+    s = split_run_on(F.regexp_replace(F.coalesce(name, F.lit("")), SIZES_PATTERN, " "))
     s = F.regexp_replace(s, "[–—]", "-")
-    s = F.regexp_replace(s, _ORPHAN, " ")
-    s = F.regexp_replace(s, _LAST_SIGN, "")
+    s = F.regexp_replace(s, ORPHAN_PATTERN, " ")
+    s = F.regexp_replace(s, LAST_SIGN_PATTERN, "")
     return stripped(F.regexp_replace(s, r"\s{2,}", " "))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.functions import text as T
@@ -28,19 +28,33 @@ def merge_gtin(products: DataFrame, order: list) -> DataFrame:
 
 def merge_missing_volume(products: DataFrame, slug: str, order: list) -> DataFrame:
     """(product_key, canonical_key): products without a volume join the one known volume of their identity string; with several it stays open."""
-    w = Window.partitionBy(slug)
-    volumes = products.withColumn("__volumes", F.size(F.collect_set("volume_ml").over(w)))
-    volumes = volumes.where(F.col("__volumes") == 1)
-    primary = keep_best(volumes.where("volume_ml is not null"), [slug], order).select(slug, F.col("product_key").alias("canonical_key"))
-    return volumes.where("volume_ml is null").join(primary, slug).where("product_key <> canonical_key").select("product_key", "canonical_key").distinct()
+    known = products.groupBy(slug).agg(F.min("volume_ml").alias("__least"), F.max("volume_ml").alias("__most")).where("__least = __most").select(slug)
+    primary = keep_best(products.where("volume_ml is not null").join(known, slug, "left_semi"), [slug], order).select(slug, F.col("product_key").alias("canonical_key"))
+    return products.where("volume_ml is null").join(primary, slug).where("product_key <> canonical_key").select("product_key", "canonical_key").distinct()
+
+
+def merge_products(products: DataFrame, slug: str, order: list) -> DataFrame:
+    """(product_key, canonical_key): by barcode, then by volume among those that the first step leaves, as one map. No canonical key is an alias."""
+    one = merge_gtin(products, order).groupBy("product_key").agg(F.min("canonical_key").alias("canonical_key"))
+    # A key with several barcodes may lead to one that is an alias itself; it is followed.
+    on = one.select(F.col("product_key").alias("__from"), F.col("canonical_key").alias("__to"))
+    first = one.join(on, one["canonical_key"] == on["__from"], "left").select("product_key", F.coalesce("__to", "canonical_key").alias("canonical_key")).where("product_key <> canonical_key")
+    left = products.join(one.select("product_key"), "product_key", "left_anti")
+    second = merge_missing_volume(left, slug, order).groupBy("product_key").agg(F.min("canonical_key").alias("canonical_key"))
+    # The second step's keys, and what they lead to, are none of the first's.
+    on = second.select(F.col("product_key").alias("__from"), F.col("canonical_key").alias("__to"))
+    moved = first.join(on, first["canonical_key"] == on["__from"], "left").select("product_key", F.coalesce("__to", "canonical_key").alias("canonical_key"))
+    return moved.unionByName(second)
 
 
 def close_alias(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Both steps as one map: second's targets follow first's keys, and keys that the second moves move on."""
+    """Both steps as one map: what either step leads to is followed through the other, once each way."""
     one = first.select(F.col("product_key").alias("k1"), F.col("canonical_key").alias("c1"))
     two = second.select(F.col("product_key").alias("k2"), F.col("canonical_key").alias("c2"))
-    moved = one.join(two, one.c1 == two.k2, "left").select(F.col("k1").alias("product_key"), F.coalesce("c2", "c1").alias("canonical_key"))
-    rest = two.join(one, two.k2 == one.k1, "left_anti").select(F.col("k2").alias("product_key"), F.col("c2").alias("canonical_key"))
+    again = one.select(F.col("k1").alias("k3"), F.col("c1").alias("c3"))
+    two = two.join(again, F.col("c2") == F.col("k3"), "left").select("k2", F.coalesce("c3", "c2").alias("c2"))
+    moved = one.join(two, F.col("c1") == F.col("k2"), "left").select(F.col("k1").alias("product_key"), F.coalesce("c2", "c1").alias("canonical_key"))
+    rest = two.join(one, F.col("k2") == F.col("k1"), "left_anti").select(F.col("k2").alias("product_key"), F.col("c2").alias("canonical_key"))
     return moved.unionByName(rest).where("product_key <> canonical_key")
 
 

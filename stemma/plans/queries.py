@@ -2,33 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.functions import text as T
 from stemma.operators import catalogue, compare, dedupe, resolve, sampling, similarity, state
-from stemma.plans.views import table, view, with_views
+from stemma.plans import payloads  # noqa: F401  registers its queries
+from stemma.plans.registry import ORACLES, QUERIES, query
+from stemma.plans.views import table, view
 from stemma.sources import readers
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 YEAR = 2026
 OFFER_ORDER = ["o1", "o2", "o3", "o4", "o5", "o6", "o7", "o8", "o9", "o10"]
 _ORD = "o1, o2, o3, o4, o5, o6, o7, o8, o9, o10"
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = with_views(sql)
-        return f
-
-    return add
-
-
 # --- prices ------------------------------------------------------------------
 _SAME_PACK = """
 usable as (select * from v_offer where pack_size <> 0 and price_aud is not null),
@@ -112,17 +100,19 @@ def in_stock(spark, sf_dir):
 
 
 # --- text ----------------------------------------------------------------------
-@query("select ord, cast(round_even(coalesce(try_cast(nullif(regexp_extract(name_raw, '(?i)([0-9]+(?:\\.[0-9]+)?)\\s*(?:ml|mls|millilitre?s?)\\b', 1), '') as double), try_cast(nullif(regexp_extract(name_raw, '(?i)([0-9]+(?:\\.[0-9]+)?)\\s*(?:l|lt|ltr|litre?s?|liter?s?)\\b', 1), '') as double) * 1000), 0) as integer) as volume_ml from v_listing")
+def _first(column: str, pattern: str) -> str:
+    return f"nullif(regexp_extract({column}, '{pattern}', 1), '')"
+
+
+_VOLUME_SQL = f"cast(round_even(coalesce(try_cast({_first('name_raw', T.ML_PATTERN)} as double), try_cast({_first('name_raw', T.LITRE_PATTERN)} as double) * 1000), 0) as integer)"
+
+
+@query(f"select ord, {_VOLUME_SQL} as volume_ml from v_listing")
 def parse_volume(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_volume_ml(F.col("name_raw")).alias("volume_ml"))
 
 
-_PACK_SQL = """coalesce({0}, {1}, {2}, {3})""".format(
-    *[
-        f"(case when try_cast(nullif(regexp_extract(name_raw, '{p}', 1), '') as integer) between 1 and 48 then try_cast(nullif(regexp_extract(name_raw, '{p}', 1), '') as integer) end)"
-        for p in (r"(?i)\bcase\s+of\s+(\d+)\b", r"(?i)\b(\d+)\s*(?:x|×)\s*\d+\s*ml\b", r"(?i)\b(\d+)\s*[- ]?(?:pack|pk)\b", r"(?i)\b(?:pack|case|pk)\s*\(\s*(\d+)\s*\)")
-    ]
-)
+_PACK_SQL = "coalesce(" + ", ".join(f"(case when try_cast({_first('name_raw', p)} as integer) between 1 and 48 then try_cast({_first('name_raw', p)} as integer) end)" for p in T.PACK_PATTERNS) + ")"
 
 
 @query(f"select ord, {_PACK_SQL} as pack_size from v_listing")
@@ -130,12 +120,12 @@ def parse_pack(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_pack_size(F.col("name_raw")).alias("pack_size"))
 
 
-@query(r"select ord, case when v > 0 and v <= 80 then v end as abv from (select ord, try_cast(nullif(regexp_extract(name_raw, '(\d{1,2}(?:\.\d)?)\s*%', 1), '') as double) as v from v_listing)")
+@query(f"select ord, case when v > 0 and v <= 80 then v end as abv from (select ord, try_cast({_first('name_raw', T.ABV_PATTERN)} as double) as v from v_listing)")
 def parse_abv(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_abv(F.col("name_raw")).alias("abv"))
 
 
-_YEAR_SQL = rf"list_max(list_filter(list_transform(regexp_extract_all(name_raw, '\b(19[5-9]\d|20[0-4]\d)\b', 1), lambda y: cast(y as integer)), lambda y: y <= {YEAR}))"
+_YEAR_SQL = f"list_max(list_filter(list_transform(regexp_extract_all(name_raw, '{T.YEAR_PATTERN}', 1), lambda y: cast(y as integer)), lambda y: y <= {YEAR}))"
 
 
 @query(f"select ord, {_YEAR_SQL} as vintage from v_listing")
@@ -143,7 +133,10 @@ def parse_vintage(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_vintage(F.col("name_raw"), YEAR).alias("vintage"))
 
 
-@query(r"select ord, floor(try_cast(replace(nullif(regexp_extract(replace(price_raw, '$', ''), '(\d+(?:,\d{3})*(?:\.\d{1,2})?)', 1), ''), ',', '') as double) * 100 + 0.5) / 100 as price, floor(price * 100 + 0.5) / 100 as price_number from v_listing")
+_PRICE_SQL = _first("replace(price_raw, '$', '')", T.PRICE_PATTERN)
+
+
+@query(f"select ord, floor(try_cast(replace({_PRICE_SQL}, ',', '') as double) * 100 + 0.5) / 100 as price, floor(price * 100 + 0.5) / 100 as price_number from v_listing")
 def parse_price(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_price(F.col("price_raw")).alias("price"), T.price_number(F.col("price")).alias("price_number"))
 
@@ -177,13 +170,13 @@ def resolve_category(spark, sf_dir):
 
 
 def _clean_sql(column: str) -> str:
-    sizes = r"(?i)\b(?:case of \d+|\d+\s*(?:x|×)\s*\d+\s*ml|\d+\s*[- ]?(?:pack|pk)|\d+(?:\.\d+)?\s*(?:ml|l|lt|ltr|litre?s?)|nv|non[- ]vintage)\b"
-    s = f"regexp_replace(coalesce({column}, ''), '{sizes}', ' ', 'g')"
+    # DuckDB's patterns cannot look around, so what T looks ahead to and back at is matched and put back.
+    s = f"regexp_replace(coalesce({column}, ''), '{T.SIZES_PATTERN}', ' ', 'g')"
     s = f"regexp_replace({s}, '([a-z])([A-Z][a-z])', '\\1 \\2', 'g')"
-    s = f"regexp_replace({s}, '\\b(Ma?c)\\s+([A-Z])', '\\1\\2', 'g')"
+    s = f"regexp_replace({s}, '{T.SCOTS_PATTERN}', '\\1\\2', 'g')"
     s = f"regexp_replace({s}, '[–—]', '-', 'g')"
     s = f"regexp_replace({s}, '(?i)(^|\\s)[x×](\\s|$)', ' \\2', 'g')"
-    s = f"regexp_replace({s}, '\\s*[-|,/]\\s*$', '')"
+    s = f"regexp_replace({s}, '{T.LAST_SIGN_PATTERN}', '')"
     return f"trim(regexp_replace({s}, '\\s{{2,}}', ' ', 'g'))"
 
 
@@ -192,7 +185,6 @@ def clean_name(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.clean_name(F.col("name_raw")).alias("name"))
 
 
-_VOLUME_SQL = "cast(round_even(coalesce(try_cast(nullif(regexp_extract(name_raw, '(?i)([0-9]+(?:\\.[0-9]+)?)\\s*(?:ml|mls|millilitre?s?)\\b', 1), '') as double), try_cast(nullif(regexp_extract(name_raw, '(?i)([0-9]+(?:\\.[0-9]+)?)\\s*(?:l|lt|ltr|litre?s?|liter?s?)\\b', 1), '') as double) * 1000), 0) as integer)"
 _PRODUCTS = f"""
 named as (select ord, brand, name_raw, gtin, price, size, {_clean_sql("brand")} as b, {_clean_sql("name_raw")} as name, {_VOLUME_SQL} as volume_ml, {_YEAR_SQL} as vintage, coalesce({_PACK_SQL}, 1) as pack_size from v_listing),
 worded as (select *, list_filter(string_split_regex(regexp_replace(lower(concat_ws(' ', b, name)), '[^a-z0-9\\s]', ' ', 'g'), '\\s+'), lambda t: t <> '') as w from named),
@@ -355,11 +347,17 @@ def volume_merge(spark, sf_dir):
     return resolve.merge_missing_volume(_products(spark, sf_dir), "bare_slug", ["ord"])
 
 
-@query(f"with {_PRODUCTS}, {_GTIN}, {_VOLUME}, one as (select product_key, min(canonical_key) as canonical_key from gtin_alias group by 1), closed as (select one.product_key, coalesce(v.canonical_key, one.canonical_key) as canonical_key from one left join volume_alias v on one.canonical_key = v.product_key union all select * from volume_alias where product_key not in (select product_key from one)) select * from closed where product_key <> canonical_key")
+# A walk from each key along all steps, as far as it leads; the second step's are those among the products that the first leaves.
+@query(
+    f"""with recursive {_PRODUCTS}, {_GTIN}, one as (select product_key, min(canonical_key) as canonical_key from gtin_alias group by 1),
+left_over as (select * from products where product_key not in (select product_key from one)),
+{_VOLUME.replace("from products", "from left_over").replace("products p", "left_over p").replace("products join", "left_over join")},
+steps as (select * from one union all select product_key, min(canonical_key) from volume_alias group by 1),
+walk(product_key, canonical_key, n) as (select product_key, canonical_key, 1 from steps union all select w.product_key, s.canonical_key, n + 1 from walk w join steps s on s.product_key = w.canonical_key where n < 9)
+select product_key, max_by(canonical_key, n) as canonical_key from walk group by 1"""
+)
 def alias_closure(spark, sf_dir):
-    products = _products(spark, sf_dir)
-    one = _first_gtin_alias(products).groupBy("product_key").agg(F.min("canonical_key").alias("canonical_key"))
-    return resolve.close_alias(one, resolve.merge_missing_volume(products, "bare_slug", ["ord"]))
+    return resolve.merge_products(_products(spark, sf_dir), "bare_slug", ["ord"])
 
 
 @query("with a as (select distinct cast(l_partkey as varchar) as product_key, cast(l_partkey - l_partkey % 3 as varchar) as canonical_key from lineitem where l_partkey % 3 = 1) select coalesce(canonical_key, v.product_key) as product_key, count(*) as offers from v_offer v left join a on v.product_key = a.product_key group by 1")
@@ -455,14 +453,18 @@ def _catalogue(spark, sf_dir) -> DataFrame:
     offers = view(spark, sf_dir, "offer").select("product_key", "retailer", "pack_size", "price_aud", F.col("o1").alias("ord"))
     products = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("product_key"), F.col("p_brand").alias("brand"), F.col("p_name").alias("name"))
     v = view(spark, sf_dir, "review")
-    reviews = v.select((F.col("ord") % 500).cast("string").alias("product_key"), F.length("text").alias("length"), T.norm_rating(F.col("rating_raw"), F.col("rating_scale")).alias("rating_norm"), "sort_order")
+    reviews = v.select((F.col("ord") % 500).cast("string").alias("product_key"), F.coalesce(F.length("text"), F.lit(0)).alias("length"), T.norm_rating(F.col("rating_raw"), F.col("rating_scale")).alias("rating_norm"), "sort_order")
     return catalogue.build_catalogue(products, offers, reviews, offer_order=["ord", "retailer"])
 
 
-@query("""with c as (select cast(p_partkey as varchar) as product_key from part), o as (select product_key, count(*) as offer_count, count(distinct retailer) as retailer_count from v_offer group by 1), r as (select cast(ord % 500 as varchar) as product_key, count(*) as review_count from v_review group by 1)
-  select product_key, coalesce(offer_count, 0) as offers, coalesce(review_count, 0) as reviews, coalesce(retailer_count, 0) as retailers from c left join o using (product_key) left join r using (product_key)""")
+@query("""with c as (select cast(p_partkey as varchar) as product_key from part),
+  o as (select product_key, count(*) as offer_count, count(distinct retailer) as retailer_count, string_agg(concat(o1, '/', retailer, '/', pack_size, '/', coalesce(cast(floor(price_aud * 100 + 0.5) as bigint), -1)), ',' order by o1, retailer, pack_size, price_aud nulls first) as listed from v_offer group by 1),
+  r as (select cast(ord % 500 as varchar) as product_key, count(*) as review_count, string_agg(cast(coalesce(length(text), 0) as varchar), ',' order by coalesce(length(text), 0)) as lengths from v_review group by 1)
+  select product_key, coalesce(offer_count, 0) as offers, coalesce(review_count, 0) as reviews, coalesce(retailer_count, 0) as retailers, md5(coalesce(listed, '')) as offers_md5, md5(coalesce(lengths, '')) as reviews_md5 from c left join o using (product_key) left join r using (product_key)""")
 def catalogue_nested(spark, sf_dir):
-    return _catalogue(spark, sf_dir).select("product_key", F.size("offers").cast("long").alias("offers"), F.size("reviews").cast("long").alias("reviews"), F.col("retailer_count").alias("retailers"))
+    offer = lambda o: F.concat_ws("/", o["ord"].cast("string"), o["retailer"], o["pack_size"].cast("string"), F.coalesce(F.floor(o["price_aud"] * 100 + 0.5).cast("string"), F.lit("-1")))
+    listed, lengths = F.array_join(F.transform("offers", offer), ","), F.array_join(F.transform("reviews", lambda r: r["length"].cast("string")), ",")
+    return _catalogue(spark, sf_dir).select("product_key", F.size("offers").cast("long").alias("offers"), F.size("reviews").cast("long").alias("reviews"), F.col("retailer_count").alias("retailers"), F.md5(listed).alias("offers_md5"), F.md5(lengths).alias("reviews_md5"))
 
 
 @query("with " + _SAME_PACK + "," + _UNIT + """, best as (select * from same_pack union all select * from unit_price where product_key not in (select product_key from same_pack)),
@@ -527,10 +529,10 @@ def scan_targets(spark, sf_dir):
     return sampling.scan_targets(offers.unionByName(products), r"/product/(\d+)$")
 
 
-@query("select p_partkey from part where cast(p_partkey as varchar) not in (select product_key from v_offer where price_aud > 2000)")
+@query("select p_partkey from part where cast(p_partkey as varchar) not in (select product_key from v_offer where retailer = 's1' and price_aud > 1200)")
 def enrich_only_missing(spark, sf_dir):
     products = table(spark, sf_dir, "part").select("p_partkey", F.col("p_partkey").cast("string").alias("product_key"))
-    return sampling.missing_only(products, view(spark, sf_dir, "offer").where("price_aud > 2000")).select("p_partkey")
+    return sampling.missing_only(products, view(spark, sf_dir, "offer").where("retailer = 's1' and price_aud > 1200")).select("p_partkey")
 
 
 @query("select cast(p_partkey as varchar) as product_key, o1, o2, o3, floor(price_aud * 100 + 0.5) / 100 as price_aud, 6 as pack_size, floor(price_aud / 6 * 100 + 0.5) / 100 as unit_price_aud from v_offer join part on cast(o3 as varchar) = cast(p_partkey as varchar) where price_aud is not null")

@@ -25,7 +25,7 @@ VIEWS = {
           p_retailprice as price, concat('$', cast(cast(floor(p_retailprice) as bigint) as varchar(20)), '.50 each') as price_raw, p_size as size, p_type as kind
         from {part}""",
     "review": """
-        select d.doc_id as ord, d.text, d.lang as source, cast(null as varchar(20)) as author, l.quality * 5 as rating_raw, case when l.toxic = 1 then null else 5 end as rating_scale,
+        select d.doc_id as ord, d.text, d.lang as source, case when d.doc_id % 3 = 0 then concat(case when d.doc_id % 2 = 0 then 'An' else 'AN' end, cast(d.doc_id % 4 as varchar(20))) end as author, l.quality * 5 as rating_raw, case when l.toxic = 1 then null else 5 end as rating_scale,
           case when d.doc_id % 7 = 0 then 'Highest' when d.doc_id % 7 = 1 then null else 'Newest' end as sort_order
         from {documents} d left join {labels} l on d.doc_id = l.doc_id""",
     "attempt": """
@@ -59,6 +59,8 @@ def with_views(sql: str) -> str:
     named = [n for n in VIEWS if re.search(rf"\bv_{n}\b", sql)]
     heads = [f"v_{n} as ({sql_of(VIEWS[n])})" for n in named]
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return "with recursive " + ",\n".join([*heads, body[15:]])
     if body.lower().startswith("with "):
         return "with " + ",\n".join([*heads, body[5:]])
     return ("with " + ",\n".join(heads) + "\n" if heads else "") + body

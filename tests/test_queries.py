@@ -40,6 +40,76 @@ def test_query(spark, duck, name):
         assert got[1]
 
 
+def best_by_hand(target, products):
+    """The best candidate of a name, by the rules in words: rare tokens, the forty that share most of them, the standard library's ratio, ties by tokens then key."""
+    from difflib import SequenceMatcher
+
+    tokens = {k: {t for t in slug.split(" ") if len(t) > 2} for k, slug in products.items()}
+    counts = {}
+    for mine in tokens.values():
+        for t in mine:
+            counts[t] = counts.get(t, 0) + 1
+    rare = {t for t, n in counts.items() if n <= max(20, len(products) // 20)}
+    shared = {k: len({t for t in target.split(" ") if len(t) > 2} & mine & rare) for k, mine in tokens.items()}
+    ranked = sorted(((-n, k) for k, n in shared.items() if n))[:40]
+    scored = [(-SequenceMatcher(None, target, products[k]).ratio(), n, k) for n, k in ranked]
+    return min(scored, default=None)
+
+
+def test_fuzzy_links_by_hand(spark):
+    from stemma.plans.queries import _review_names, _unique_products
+
+    products = {r.product_key: r.slug for r in _unique_products(spark, DIR).select("product_key", "slug").collect()}
+    reviews = {r.review_key: r.slug for r in _review_names(spark, DIR).collect()}
+    want = {}
+    for key, slug in reviews.items():
+        best = best_by_hand(slug, products)
+        if best and math.floor(-best[0] * 10_000 + 0.5) / 10_000 >= 0.86:
+            want[key] = (best[2], -best[1], math.floor(-best[0] * 10_000 + 0.5) / 10_000)
+    got = {r.review_key: (r.product_key, r.overlap, r.match_score) for r in QUERIES["fuzzy_link_ratio"](spark, DIR).collect()}
+    assert len(want) > 20 and got == want
+
+
+def test_links_and_queue_by_hand(spark):
+    from stemma.plans.queries import _review_names, _unique_products
+
+    rows = _unique_products(spark, DIR).collect()
+    products, vintages = {r.product_key: r.slug for r in rows}, {r.product_key: r.vintage for r in rows}
+    exact = {}
+    for r in sorted(rows, key=lambda r: r.ord):
+        exact.setdefault(r.slug, r.product_key)
+    want = {}
+    for r in _review_names(spark, DIR).collect():
+        if r.subject_type == "retailer":
+            continue
+        if r.slug and r.slug in exact:
+            want[r.review_key] = (exact[r.slug], 1.0, None)
+            continue
+        best = best_by_hand(r.slug, products)
+        if not best:
+            want[r.review_key] = (None, None, "no candidate")
+            continue
+        key, score = best[2], math.floor(-best[0] * 10_000 + 0.5) / 10_000
+        conflict = r.vintage and vintages[key] and r.vintage != vintages[key]
+        want[r.review_key] = (key, score, "vintage conflict" if conflict else "below threshold" if score < 0.86 else None)
+    got = {r.review_key: (r.product_key, r.match_score, r.match_reason) for r in QUERIES["link_reviews"](spark, DIR).collect()}
+    assert got == want
+
+
+def test_aliases_are_closed(spark):
+    """What the barcode step leads to, the volume step may not lead away from a key that is kept."""
+    from stemma.operators import resolve
+
+    rows = [("a", "s", None, None, 1), ("b", "s", 750, "g", 2), ("c", "t", 700, "g", 0), ("d", "t", None, None, 3), ("e", "u", None, "h", 5), ("f", "u", 375, None, 6), ("i", "v", None, "h", 4)]
+    df = spark.createDataFrame(rows, "product_key string, slug string, volume_ml int, gtin string, ord int")
+    alias = {r.product_key: r.canonical_key for r in resolve.merge_products(df, "slug", ["ord"]).collect()}
+    assert alias == {"b": "c", "d": "c", "e": "i"}
+    assert not set(alias) & set(alias.values())
+    two = spark.createDataFrame([("a", "b")], resolve.ALIAS), spark.createDataFrame([("b", "c")], resolve.ALIAS)
+    for first, second in (two, two[::-1]):
+        assert {r.product_key: r.canonical_key for r in resolve.close_alias(first, second).collect()} == {"a": "c", "b": "c"}
+
+
 def test_linked_and_queued_are_all(spark):
     from stemma.plans.queries import _review_names
 
