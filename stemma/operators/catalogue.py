@@ -31,7 +31,10 @@ def build_catalogue(products: DataFrame, offers: DataFrame, reviews: DataFrame,
     """Each side is gathered by product before it joins, so offers and reviews don't multiply. Columns in order; sort by order_catalogue()."""
     order = offer_order or ["retailer", "url"]
     nested_offers = offers.groupBy("product_key").agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in offers.columns if c not in (*order, "product_key", "record_type")]))).alias("offers"))
-    nested_reviews = reviews.groupBy("product_key").agg(F.collect_list(F.struct(*[c for c in reviews.columns if c not in ("product_key", "record_type")])).alias("reviews"))
+    # Reviews stand in an order of their own: by key and text where there are such columns, then by whatever else sorts.
+    first = [c for c in ("ord", "review_key", "text") if c in reviews.columns]
+    told = [c for c in reviews.columns if c not in (*first, "product_key", "record_type")]
+    nested_reviews = reviews.groupBy("product_key").agg(F.array_sort(F.collect_list(F.struct(*first, *told))).alias("reviews"))
     out = products.join(nested_offers, "product_key", "left").join(offer_aggregates(offers), "product_key", "left").join(compare_offers(offers), "product_key", "left").join(nested_reviews, "product_key", "left").join(review_aggregates(reviews), "product_key", "left")
     if summaries is not None:
         out = out.join(first_summary(offers, summaries, order, summary_order), "product_key", "left")

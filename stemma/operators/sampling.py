@@ -18,12 +18,17 @@ def depth(count: Column, full: bool = False, cap: int | None = None) -> Column:
     return F.when(count >= 200, 50).when(count > 20, 20).otherwise(count)
 
 
-def sample_newest(df: DataFrame, key: str, order: list, count: Column | None = None, **kind) -> DataFrame:
-    """The newest rows of each key, as many as depth() gives for its number of rows or for count."""
-    own = Window.partitionBy(key)
-    total = count if count is not None else F.count("*").over(own)
-    ranked = df.withColumn("__total", total).withColumn("__rank", F.row_number().over(own.orderBy(*order)))
-    return ranked.where(F.col("__rank") <= depth(F.col("__total"), **kind)).drop("__total", "__rank")
+def sample_newest(df: DataFrame, key: str, order: list, count: str | None = None, full: bool = False, cap: int | None = None) -> DataFrame:
+    """The newest rows of each key, as many as depth() gives for its number of rows, or for the column count."""
+    if full:
+        return df
+    # Ranks end at the greatest depth there is, so the planner cuts every key's rows before they are exchanged; numbers come from a count of their own.
+    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("__rank") <= (cap or 50))
+    if count is not None:
+        return ranked.where(F.col("__rank") <= depth(F.col(count), cap=cap)).drop("__rank")
+    totals = df.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__total"))
+    met = ranked.join(totals, F.col(key).eqNullSafe(F.col("__key")))
+    return met.where(F.col("__rank") <= depth(F.col("__total"), cap=cap)).select(*df.columns)
 
 
 def rank_queue(offers: DataFrame, min_reviews: int = 1, limit: int | None = None, retailer: str | None = None, supported: tuple[str, ...] = (), countless: tuple[str, ...] = (), order: list | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,34 @@ def matcher_ratio(target: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(target, candidate, strict=True)], dtype="float64")
 
 
+def _best_ratio(least: float):
+    """Rows (review_key, product_key, overlap, target, candidate) by review, most overlap first: of each the first of the best. A candidate whose lengths, or whose
+    letters, keep it at or below the best so far, or below least, is not compared."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from difflib import SequenceMatcher
+
+        now, best, row = None, -1.0, None
+        for b in batches:
+            out = []
+            for review, product, overlap, target, candidate in b.itertuples(index=False, name=None):
+                if review != now:
+                    if row:
+                        out.append(row)
+                    now, best, row = review, least, None
+                m = SequenceMatcher(None, target, candidate)
+                if row and (m.real_quick_ratio() <= best or m.quick_ratio() <= best) or not row and m.quick_ratio() < best:
+                    continue
+                score = m.ratio()
+                if score > best or not row and score >= best:
+                    best, row = score, (review, product, overlap, score)
+            yield pd.DataFrame(out, columns=["review_key", "product_key", "overlap", "raw_score"])
+        if row:
+            yield pd.DataFrame([row], columns=["review_key", "product_key", "overlap", "raw_score"])
+
+    return run
+
+
 def levenshtein_ratio(target: Column, candidate: Column) -> Column:
     longest = F.greatest(F.length(target), F.length(candidate))
     return F.when(longest > 0, 1 - F.levenshtein(target, candidate) / longest).otherwise(1.0)
@@ -43,14 +73,19 @@ def levenshtein_ratio(target: Column, candidate: Column) -> Column:
 
 def fuzzy_link(left: DataFrame, right: DataFrame, threshold: float = 0.86, scorer: str = "ratio", k: int = 40, cutoff: int | None = None, prune: bool = False) -> DataFrame:
     """left(review_key, slug), right(product_key, slug) -> best candidate of each left row at or above the threshold: (review_key, product_key,
-    overlap, match_score). Ties by overlap, then key. prune: leave out pairs whose lengths alone keep them below the threshold."""
+    overlap, match_score). Ties by overlap, then key. cutoff: products that a token may be in to tell anything; the default, a twentieth of them, lets the number of
+    candidate pairs grow with both sides, a fixed one with the left side alone. prune: leave out pairs whose lengths alone keep them below the threshold."""
     found = candidates(left, token_postings(right, cutoff), k)
     found = found.join(left.select("review_key", F.col("slug").alias("target")), "review_key").join(right.select("product_key", F.col("slug").alias("candidate")), "product_key")
     if prune:
         a, b = F.length("target"), F.length("candidate")
         found = found.where(2 * F.least(a, b) >= threshold * (a + b))
-    score = matcher_ratio("target", "candidate") if scorer == "ratio" else levenshtein_ratio(F.col("target"), F.col("candidate"))
-    found = found.withColumn("raw_score", score)
-    w = Window.partitionBy("review_key").orderBy(F.desc("raw_score"), F.desc("overlap"), "product_key")
-    best = found.withColumn("rank", F.row_number().over(w)).where("rank = 1").withColumn("match_score", T.rounded(F.col("raw_score"), 4))
+    if scorer == "ratio":
+        # Scores are rounded to four places before they are held against the threshold.
+        rows = found.select("review_key", "product_key", "overlap", "target", "candidate").repartition("review_key").sortWithinPartitions("review_key", F.desc("overlap"), "product_key")
+        best = rows.mapInPandas(_best_ratio(threshold - 0.00006), rows.select("review_key", "product_key", "overlap", F.lit(0.0).alias("raw_score")).schema)
+    else:
+        w = Window.partitionBy("review_key").orderBy(F.desc("raw_score"), F.desc("overlap"), "product_key")
+        best = found.withColumn("raw_score", levenshtein_ratio(F.col("target"), F.col("candidate"))).withColumn("rank", F.row_number().over(w)).where("rank = 1")
+    best = best.withColumn("match_score", T.rounded(F.col("raw_score"), 4))
     return best.where(F.col("match_score") >= threshold).select("review_key", "product_key", "overlap", "match_score")

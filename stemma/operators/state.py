@@ -45,6 +45,30 @@ def resume(targets: DataFrame, done: DataFrame, key: str = "target") -> DataFram
     return targets.join(done.select(key), key, "left_anti")
 
 
+def find_listing(reports: DataFrame, column: str, targets: DataFrame) -> DataFrame:
+    """reports(column), targets(url, position) -> reports with url and position of the target that each tells of: that of the very address, or else one
+    without a query whose path it is; null where there is neither."""
+    path = F.split_part(F.col(column), F.lit("?"), F.lit(1))
+    exact = targets.select(F.col("url").alias("__same"), F.col("url").alias("__u1"), F.col("position").alias("__p1"))
+    bare = targets.where(~F.col("url").contains("?")).select(F.col("url").alias("__path"), F.col("url").alias("__u2"), F.col("position").alias("__p2"))
+    met = reports.join(exact, F.col(column) == F.col("__same"), "left").join(bare, path == F.col("__path"), "left")
+    return met.select(*reports.columns, F.coalesce("__u1", "__u2").alias("url"), F.coalesce("__p1", "__p2").alias("position"))
+
+
+def mark_by_path(reports: DataFrame, targets: DataFrame) -> DataFrame:
+    """reports(url, n, kind: partial or done), targets(url, position) -> url, position, harvested, done of the targets told of. Queries of addresses
+    don't count; of targets that share a path the first takes it all."""
+    path = F.split_part("url", F.lit("?"), F.lit(1))
+    first = targets.groupBy(path.alias("__path")).agg(F.min_by(F.struct("url", "position"), "position").alias("t"))
+    came = reports.groupBy(path.alias("__path")).agg(F.sum("n").cast("long").alias("harvested"), F.bool_or(F.col("kind") == "done").alias("done"))
+    return first.join(came, "__path").select("t.url", "t.position", "harvested", "done")
+
+
+def url_or_default(codes: DataFrame, known: DataFrame, key: str, prefix: str) -> DataFrame:
+    """codes(key), known(key, url): the known address, or one made of prefix and code."""
+    return codes.join(known, key, "left").withColumn("url", F.coalesce("url", F.concat(F.lit(prefix), F.col(key).cast("string"), F.lit("/"))))
+
+
 def progress(state: DataFrame) -> DataFrame:
     return state.agg(F.count("*").alias("total"), F.count_if("done").alias("done"), F.greatest(F.lit(0), F.count("*") - F.count_if("done")).alias("remaining"), F.coalesce(F.sum("harvested"), F.lit(0)).alias("harvested"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -30,7 +31,7 @@ class _Cards(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         values = {k: v or "" for k, v in attrs}
-        classes = frozenset(values.get("class", "").split()) | {tag}
+        classes = frozenset(values.get("class", "").split()) | {tag} | {f"[{k}]" for k in values} | {f"[itemprop={v}]" for v in values.get("itemprop", "").split()}
         if tag not in VOID:
             self.open.append(tag)
         if self.card is None and self.item <= classes:
@@ -70,7 +71,7 @@ class _Cards(HTMLParser):
 
 def cards(pages: DataFrame, key: str, html: str, item: str, fields: dict[str, str]) -> DataFrame:
     """(key, position, one string column of each field) for every element of the item's classes, in page order. Classes of one element stand with dots
-    between (``rating-icon.checked``), an element's name counts as one."""
+    between (``rating-icon.checked``); an element's name counts as one, and so do its attributes (``[data-rating]``) and properties (``[itemprop=author]``)."""
     names = list(fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -103,7 +104,65 @@ def star_summary(rows: DataFrame, key: str) -> DataFrame:
     return out.withColumn("total_reviews", F.nullif("total_reviews", F.lit(0)))
 
 
+# How pages word what they publish.
+AVERAGE_PATTERN = r"(?i)average customer rating:?\s*([\d.]+)"
+RECOMMEND_PATTERN = r"(?i)(\d+)%\s*of reviewers would recommend"
+
+
 def published_average(text: Column) -> Column:
     """struct<average_rating, pct_recommend> of a summary's text."""
-    average = T.found(text, r"(?i)average customer rating:?\s*([\d.]+)").try_cast("double")
-    return F.struct(average.alias("average_rating"), T.found(text, r"(?i)(\d+)%\s*of reviewers would recommend").try_cast("double").alias("pct_recommend"))
+    average = T.found(text, AVERAGE_PATTERN).try_cast("double")
+    return F.struct(average.alias("average_rating"), T.found(text, RECOMMEND_PATTERN).try_cast("double").alias("pct_recommend"))
+
+
+@dataclass(frozen=True)
+class Setup:
+    """How a kind of site lays out its reviews: the element of one, its fields as for cards(), and what it is about."""
+
+    item: str
+    fields: dict[str, str]
+    subject: str = "product"
+
+
+# Layouts of review pages, by the names and classes of their elements.
+SETUPS = {
+    "cards": Setup("review-card", {"title": "review-card__title", "author": "review-card__sdesc", "text": "review-card__ldesc", "review_date": "review-card__info", "rating": "rating-icon.checked#"}),
+    "activity": Setup("item", {"product_name_raw": "beer", "author": "user", "text": "comment-text", "rating": "[data-rating]@data-rating", "review_date": "time@datetime"}),
+    "service": Setup("article.[data-service-review-card-paper]", {"title": "[data-service-review-title-typography]", "author": "[data-consumer-name-typography]", "text": "[data-service-review-text-typography]", "rating": "img@alt", "review_date": "time@datetime"}, "retailer"),
+    "property": Setup("div.[itemprop=review]", {"title": "[itemprop=name]", "author": "[itemprop=author]", "text": "[itemprop=reviewBody]", "rating": "[itemprop=ratingValue]@content", "review_date": "time@datetime"}, "retailer"),
+    "article": Setup("html", {"title": "h1", "product_name_raw": "h1", "author": "author-name", "text": "article-body", "review_date": "time@datetime"}),
+}
+
+
+def site_reviews(pages: DataFrame, key: str, html: str, source: str, layout: str | None = None) -> DataFrame:
+    """Raw reviews of a site's pages: those of its layout, and those that its structured data hold; one of each text and author."""
+    from stemma.operators.dedupe import keep_best
+    from stemma.sources import jsonld
+
+    names = ("product_name_raw", "author", "title", "text", "rating_raw", "rating_scale", "review_date")
+    subject = SETUPS[layout].subject if layout else "product"
+    out = jsonld.reviews(jsonld.nodes(pages, key, html, ["Review", "UserReview"]), key).select(F.lit(1).alias("__at"), key, *names)
+    if layout:
+        mine = review_cards(cards(pages, key, html, SETUPS[layout].item, SETUPS[layout].fields), source, subject)
+        has = lambda c: F.col(c) if c in mine.columns else F.lit(None).cast("string")
+        shown = mine.select(F.lit(0).alias("__at"), key, *[(F.nullif(F.col(c), F.lit(0.0)) if c == "rating_raw" else has(c)).alias(c) for c in names])
+        if layout == "article":  # a page of its own, where it is one
+            shown = shown.where(F.length("text") > 200)
+        out = shown.unionByName(out)
+    out = out.withColumns({"source": F.lit(source), "subject_type": F.lit(subject), "source_url": F.col(key)})
+    # Of a review that both hold, the shown one.
+    return keep_best(out.where(F.length("text") >= 15), [key, F.substring("text", 1, 120), F.coalesce("author", F.lit(""))], ["__at", "title", "text"]).drop("__at")
+
+
+def page_summaries(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, average_rating, pct_recommend, distribution, total_reviews): what a page itself shows of its ratings, or else what its structured data say."""
+    from stemma.operators.dedupe import keep_best
+    from stemma.sources import jsonld
+
+    rows = cards(pages, key, html, "rating-chart__row", {"star": "rating-chart__rating", "count": "rating-chart__review-count"})
+    shown = pages.select(key, published_average(T.strip_html(F.col(html))).alias("a")).join(star_summary(rows, key), key, "left").select(key, "a.average_rating", "a.pct_recommend", "distribution", F.col("total_reviews").cast("int").alias("total_reviews"))
+    shown = shown.where("average_rating is not null or distribution is not null")
+    found = jsonld.nodes(pages, key, html, ["Product"]).where(F.try_variant_get("node", "$.aggregateRating", "variant").isNotNull())
+    first = keep_best(found, [key], ["path"])
+    told = jsonld.summaries(first, key).select(key, "average_rating", F.lit(None).cast("double").alias("pct_recommend"), F.lit(None).cast("map<string,bigint>").alias("distribution"), "total_reviews")
+    return shown.unionByName(told.join(shown.select(key), key, "left_anti"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as T
 
+# Fixed value: how pages hold such data.
 _BLOCK = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
 
 
@@ -22,26 +23,26 @@ def _is(node: Column, types: list[str]) -> Column:
     return F.coalesce(kind.isin(*types), F.lit(False)) | F.coalesce(F.arrays_overlap(kinds, F.array(*map(F.lit, types))), F.lit(False))
 
 
-def nodes(pages: DataFrame, key: str, html: str, types: list[str], most_depth: int = 8) -> DataFrame:
-    """(key, path array<int>, node): every object of one of the types, in document order by path, at any depth down to most_depth.
+def nodes(pages: DataFrame, key: str, html: str, types: list[str]) -> DataFrame:
+    """(key, path array<int>, node): every object of one of the types, in document order by path, at any depth.
 
     One level of the tree is opened at a time; a level is a flat expansion of the one before, and opening ends where nothing is left to open.
     """
+    spark = pages.sparkSession
     level = blocks(pages, key, html).select(key, F.array("block").alias("path"), "node")
     out = level.where(_is(F.col("node"), types))
-    for _ in range(most_depth):
-        level.createOrReplaceTempView("__stemma_level")
-        inner = level.sparkSession.sql(f"select {key}, concat(path, array(e.pos)) as path, e.value as node from __stemma_level, lateral variant_explode(node) as e where schema_of_variant(node) like 'OBJECT%' or schema_of_variant(node) like 'ARRAY%'")
-        level = inner
+    while True:
+        inner = f"select {key}, path, node from {{level}} where schema_of_variant(node) like 'OBJECT<%' or schema_of_variant(node) like 'ARRAY<%'"
+        level = spark.sql(f"select {key}, concat(path, array(e.pos)) as path, e.value as node from ({inner}), lateral variant_explode(node) as e", level=level)
+        if level.limit(1).count() == 0:
+            return out
         out = out.unionByName(level.where(_is(F.col("node"), types)))
-    return out
 
 
 def first_products(pages: DataFrame, key: str, html: str) -> DataFrame:
     """The first product among a page's top-level nodes: (key, node)."""
     top = blocks(pages, key, html)
-    top.createOrReplaceTempView("__stemma_top")
-    listed = top.sparkSession.sql(f"select {key}, block, e.pos as pos, e.value as node from __stemma_top, lateral variant_explode(node) as e where schema_of_variant(node) like 'ARRAY%'")
+    listed = top.sparkSession.sql(f"select {key}, block, e.pos as pos, e.value as node from {{top}}, lateral variant_explode(node) as e where schema_of_variant(node) like 'ARRAY%'", top=top)
     every = top.where(~F.schema_of_variant("node").startswith("ARRAY")).select(key, "block", F.lit(0).alias("pos"), "node").unionByName(listed)
     kept = every.where(F.coalesce(F.try_variant_get("node", "$['@type']", "string") == "Product", F.lit(False)))
     # Variants do not order or group, so the choice is made on their text.

@@ -26,8 +26,8 @@ def write_queue(queue: DataFrame, path: str) -> None:
 
 
 def archive_raw(df: DataFrame, path: str) -> None:
-    """Raw batches as they came, by day of capture; a batch is there whole or not at all."""
-    df.withColumn("day", F.coalesce(F.substring("captured_at", 1, 10), F.lit("unknown"))).write.mode("append").partitionBy("day").json(path)
+    """Raw batches as they came, by day of capture; a batch is there whole or not at all, and one that is archived again takes its own place."""
+    df.withColumn("day", F.coalesce(F.substring("captured_at", 1, 10), F.lit("unknown"))).write.mode("overwrite").partitionBy("day").json(path)
 
 
 def write_progress(df: DataFrame, path: str) -> None:

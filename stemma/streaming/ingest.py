@@ -12,7 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from stemma.schemas import RAW_BATCH
 from stemma.sources.adapters import ingest_products, ingest_reviews, ingest_summaries
-from stemma.sources.sinks import append_records, archive_raw
+from stemma.sources.sinks import archive_raw
 
 
 def landing(spark: SparkSession, path: str, per_trigger: int = 100) -> DataFrame:
@@ -39,29 +39,48 @@ def records_of(batches: DataFrame, as_of: str, names: dict[str, str]) -> dict[st
 KEYS = {"product": ["product_key"], "offer": ["product_key", "retailer", "price_aud", "member_price_aud", "day"], "review": ["review_key"], "review_summary": ["source_url", "scraped_at"]}
 
 
+def _keyed(df: DataFrame, kind: str) -> DataFrame:
+    """With two hashes of what makes the record the same as another, and the day where that is part of it."""
+    return df.withColumns({"__h": F.xxhash64(*KEYS[kind]), "__i": F.xxhash64(F.lit(1), *KEYS[kind])})
+
+
 def ingest(stream: DataFrame, out: str, checkpoint: str, as_of: str, names: dict[str, str], archive: str | None = None) -> StreamingQuery:
-    """Appends new records below out/<kind>. A batch that runs again adds nothing twice: what is there already is left out by key."""
+    """Appends new records below out/<kind>. What came before is known by a table of hashed keys, by day and batch, of which a batch reads the days that it has
+    itself; both it and the records are written batch by batch, so a batch that runs again writes the same files anew and adds nothing twice."""
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if archive:
-            archive_raw(batch, archive)
-        for kind, df in records_of(batch, as_of, names).items():
-            df = df.withColumn("day", F.substring("scraped_at", 1, 10))
-            path = f"{out}/{kind}"
-            try:
-                old = spark.read.schema(df.schema).json(path)
-                same = [df[k].eqNullSafe(old[k]) for k in KEYS[kind]]
-                df = df.join(old.select(*KEYS[kind]).distinct(), [a for a in same], "left_anti")
-                df.write.mode("append").json(path)
-            except Exception as e:
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-                append_records(df, path)
+        batch = batch.persist()
+        try:
+            for kind, df in records_of(batch, as_of, names).items():
+                dated = "day" in KEYS[kind]
+                df = _keyed(df.withColumn("day", F.substring("scraped_at", 1, 10)), kind)
+                keys = spark.read.option("basePath", f"{out}/_keys/{kind}").schema("__h long, __i long, day string, batch long")
+                have = _folders(spark, f"{out}/_keys/{kind}")
+                if have:
+                    old = keys.parquet(*have).where(F.col("batch") < number)
+                    if dated:
+                        old = old.join(F.broadcast(df.select("day").distinct()), "day", "left_semi")
+                    df = df.join(old.select("__h", "__i"), ["__h", "__i"], "left_anti")
+                df = df.persist()
+                df.drop("__h", "__i").write.mode("overwrite").json(f"{out}/{kind}/batch={number}")
+                df.select("__h", "__i", "day", F.lit(number).cast("long").alias("batch")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(f"{out}/_keys/{kind}")
+                df.unpersist()
+            if archive:
+                archive_raw(batch, f"{archive}/batch={number}")
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """The path, if it is there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    return [path] if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p) else []
+
+
 def deduplicated(stream: DataFrame, keys: list[str], ts: str, late: str) -> DataFrame:
     """First row of each key, remembered for as long as rows may be late."""
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
