@@ -436,6 +436,26 @@ def test_large_groups_link_without_pairs():
     assert all(((int(x) ^ int(y)).bit_count() <= 3) for a, b in edges for x, y in zip(a, b, strict=True))
 
 
+@pytest.mark.parametrize("leaders", [0, 2])
+def test_near_copies_met_apart(spark, monkeypatch, leaders):
+    """Copies of copies, few of them similar to a leader, whose shares meet in a grid."""
+    from stemma.llm import shingles as S
+
+    monkeypatch.setattr(S, "LEADERS", leaders)
+    monkeypatch.setattr(S, "SHARE", 7)
+    r = random.Random(21)
+    texts, pool = {}, [prose(120, 70), prose(120, 71), prose(90, 72)]
+    for i in range(160):
+        words = r.choice(pool[-40:] + pool[:3]).split()
+        for _ in range(r.randint(0, 5)):
+            words[r.randrange(len(words))] = r.choice("alpha beta gamma delta eta".split()) + str(r.randint(0, 99))
+        pool.append(" ".join(words))
+        texts[i] = pool[-1]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x.component_id for x in S.similar_groups(df).collect()}
+    assert got == S.brute_force(texts) and 3 < len(set(got.values())) < 150
+
+
 def test_keep_first(spark, docs):
     from stemma.llm.simhash import keep_first
 
