@@ -79,17 +79,19 @@ def _by_slots(pair: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, np
     return weight, np.concatenate([[np.uint64(0)], holder[live]])
 
 
-def _exactly(pair: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same, of all pairs: a table tells which places can hold a pair that is frequent enough, these are counted by sorting."""
-    mix = np.uint64((0x9E3779B97F4A7C15 * (2 * round_ + 1)) & (1 << 64) - 1)
-    slot = ((pair * mix) >> np.uint64(64 - _SLOTS - 2)).astype(np.int32)
-    some = np.flatnonzero((np.bincount(slot, minlength=1 << _SLOTS + 2) >= least)[slot])
-    kinds, where, count = np.unique(pair[some], return_inverse=True, return_counts=True)
+def _exactly(seq: np.ndarray, round_: int, least: int, some: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The same, of all pairs, counted by sorting. some: places that can hold a pair that is frequent enough; a table of all pairs tells where None is known."""
+    if some is None:
+        pair = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        mix = np.uint64((0x9E3779B97F4A7C15 * (2 * round_ + 1)) & (1 << 64) - 1)
+        slot = ((pair * mix) >> np.uint64(64 - _SLOTS - 2)).astype(np.int32)
+        some = np.flatnonzero((np.bincount(slot, minlength=1 << _SLOTS + 2) >= least)[slot])
+    kinds, where, count = np.unique(seq[some].astype(np.uint64) << np.uint64(32) | seq[some + 1], return_inverse=True, return_counts=True)
     live = np.flatnonzero(count >= least)
     live = live[np.argsort(count[live], kind="stable")]
     rank = np.zeros(len(kinds), np.int32)
     rank[live] = np.arange(1, len(live) + 1, dtype=np.int32)
-    weight = np.zeros(len(pair), np.int32)
+    weight = np.zeros(len(seq) - 1, np.int32)
     weight[some] = rank[where]
     return weight, np.concatenate([[np.uint64(0)], kinds[live]])
 
@@ -99,11 +101,13 @@ def compress(ids: np.ndarray, much: float = 0.03) -> tuple[np.ndarray, np.ndarra
     first = int(ids.max()) + 1 if len(ids) else 0
     seq = ids.astype(np.uint32)
     rules = [np.zeros((0, 2), np.uint32)]
-    top, round_, exact = first, 0, False
+    top, round_, exact, some = first, 0, False, None
     while len(seq) > 3:
         n = len(seq)
-        pair = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        weight, kinds = _exactly(pair, round_, 3) if exact else _by_slots(pair, round_, 4)
+        if exact:
+            weight, kinds = _exactly(seq, round_, 3, some)
+        else:
+            weight, kinds = _by_slots(seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:], round_, 4)
         at = _apart(weight)
         of = weight[at]
         used = np.bincount(of, minlength=len(kinds))
@@ -122,6 +126,13 @@ def compress(ids: np.ndarray, much: float = 0.03) -> tuple[np.ndarray, np.ndarra
         seq[at] = number[of]
         stay = np.ones(n, bool)
         stay[at + 1] = False
+        if exact:
+            # Only pairs that were frequent and are still there, and pairs with a symbol made just now, can be frequent next.
+            made = np.zeros(n, bool)
+            made[at] = True
+            left = np.append(weight > 0, False)[stay]
+            made = made[stay]
+            some = np.flatnonzero(left[:-1] | made[:-1] | made[1:])
         seq = seq[stay]
         top += len(live)
     return seq, np.concatenate(rules), first

@@ -36,8 +36,8 @@ _CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Pieces that a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED = 1 << 19
-_SLOTS = 20
+REMEMBERED = 1 << 20
+_SLOTS = 21
 
 
 def _powers(base: int, n: int) -> np.ndarray:
