@@ -2,7 +2,7 @@
 
 A shard is the ids of consecutive documents, compressed by Re-Pair in parallel rounds: count the pairs of
 neighbours, rank the pairs by count, replace each pair that ranks before both pairs overlapping it (of equal
-ones the leftmost) by a nonterminal of its own, and go on until no pair stands in three places that do not overlap. While a round saves much, pairs are counted
+ones the leftmost) by a nonterminal of its own, and go on until no round replaces any pair in three places; pairs that only get in each other's way may be left. While a round saves much, pairs are counted
 by the slots of a hash table, and of those that want one slot one waits for another round; after that all are counted exactly. Rules, their expansion lengths and the
 final symbols are stored, with the position of every k-th symbol in the expansion, so any range of ids is decoded without the rest.
 
