@@ -186,7 +186,7 @@ def test_grammar_round_trip():
 
 
 def test_grammar_goes_on_to_the_end():
-    """No pair is left that stands in three places that do not overlap."""
+    """No pair is left that stands in more than three places that do not overlap."""
     from stemma.llm import grammar as G
 
     r = np.random.default_rng(5)
