@@ -58,4 +58,30 @@ select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n, 0) as
 from d left join sums using (r) left join kept using (r)
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": _OP1, "op2_urlfilter": _OP2, "op4_suffixes": _OP4}
+# Every order and step counts the documents by their failures' bits; a filter's letter is its bit's place.
+_OP12 = r"""
+with recursive lab as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as bad from labels where doc_id is not null group by doc_id),
+d as (select doc_id, coalesce(text, '') as t, coalesce(source, '') as part from documents),
+f as (select t as ft, min(doc_id) as first from d group by t),
+w as (select d.*, f.first, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as words from d join f on d.t = f.ft),
+m as (select part, coalesce(good, false) as good, coalesce(bad, false) as bad,
+    (len(words) < 200)::int + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::int + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::int
+    + 8 * regexp_matches(t, '[#$%&*|]')::int + 16 * coalesce(first < w.doc_id, false)::int as fails
+  from w left join lab on lab.doc_id = w.doc_id),
+c as (select part, fails, count(*) as n, sum(good::int) as g, sum(bad::int) as x from m group by part, fails),
+orders(o) as (select '' union all select o || l from orders, (select unnest(['A', 'B', 'C', 'D', 'E']) as l) where not contains(o, l) and length(o) < 5),
+steps as (select o, k, 1 << (ascii(o[k]) - 65) as bit, (select coalesce(sum(1 << (ascii(o[j]) - 65)), 0) from unnest(range(1, k)) as q(j)) as before
+  from orders, (select unnest(range(1, 6)) as k) where length(o) = 5),
+r as (select part, o, k, bit,
+    sum(case when (fails & (before::bigint | bit)) = 0 then n else 0 end) as kept,
+    sum(case when (fails & before::bigint) = 0 and (fails & bit) <> 0 then n else 0 end) as removed,
+    sum(case when (fails & before::bigint) <> 0 and (fails & bit) <> 0 then n else 0 end) as redundant,
+    sum(case when fails = bit then n else 0 end) as unique_fails,
+    sum(case when (fails & before::bigint) = 0 and (fails & bit) <> 0 then g else 0 end) as good_lost,
+    sum(case when (fails & before::bigint) = 0 and (fails & bit) <> 0 then x else 0 end) as toxic_lost
+  from c, steps group by part, o, k, bit)
+select part, o as filter_order, k::int as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+  good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, bit))::bigint as shapley from r
+"""
+
+ORACLES: dict[str, str] = {"op1_decontaminate": _OP1, "op2_urlfilter": _OP2, "op4_suffixes": _OP4, "op12_filter_audit": _OP12}

@@ -77,4 +77,17 @@ def op10_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(to_media(_docs(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op4_suffixes, op5_pack, op6_simhash, op7_html, op8_hpylm, op9_toxicity, op10_mjpeg)}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.audit import interactions
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("part"))
+    return interactions(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), most=32)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op4_suffixes, op5_pack, op6_simhash, op7_html, op8_hpylm, op9_toxicity, op10_mjpeg, op12_filter_audit, op13_whitening)}
