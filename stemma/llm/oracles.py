@@ -58,6 +58,20 @@ select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n, 0) as
 from d left join sums using (r) left join kept using (r)
 """
 
+# Documents of one set of shingles are a class; classes that share a shingle are compared by what they share.
+_OP11 = r"""
+with recursive words as (select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as (select doc_id, r, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) end)) as s from words),
+named as (select doc_id, r, len(s) as n, md5(array_to_string(s, chr(10))) as k, s from sets),
+classes as (select k, n, any_value(s) as s, min(doc_id) as least from named where n > 0 group by k, n),
+each as (select k, n, unnest(s) as shingle from classes),
+links as (select a.k as a, b.k as b from each a join each b on a.shingle = b.shingle and a.k <> b.k and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  group by a.k, b.k, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(k, m) as (select k, k from classes union select l.b, reach.m from reach join links l on l.a = reach.k),
+roots as (select reach.k, min(least) as c from reach join classes on classes.k = reach.m group by reach.k)
+select doc_id, n as n_shingles, case when n = 0 then doc_id else c end as component_id from named left join roots using (k)
+"""
+
 # Every order and step counts the documents by their failures' bits; a filter's letter is its bit's place.
 _OP12 = r"""
 with recursive lab as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as bad from labels where doc_id is not null group by doc_id),
@@ -84,4 +98,4 @@ select part, o as filter_order, k::int as step, kept::bigint as kept, removed::b
   good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, bit))::bigint as shapley from r
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": _OP1, "op2_urlfilter": _OP2, "op4_suffixes": _OP4, "op12_filter_audit": _OP12}
+ORACLES: dict[str, str] = {"op1_decontaminate": _OP1, "op2_urlfilter": _OP2, "op4_suffixes": _OP4, "op11_jaccard": _OP11, "op12_filter_audit": _OP12}

@@ -77,6 +77,12 @@ def op10_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(to_media(_docs(spark, sf_dir)))
 
 
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stemma.llm.jaccard import linked_components
+
+    return linked_components(_docs(spark, sf_dir), size=4, percent=85)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stemma.llm.audit import interactions
 
@@ -90,4 +96,4 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), most=32)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op4_suffixes, op5_pack, op6_simhash, op7_html, op8_hpylm, op9_toxicity, op10_mjpeg, op12_filter_audit, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_urlfilter, op3_grammar_shards, op4_suffixes, op5_pack, op6_simhash, op7_html, op8_hpylm, op9_toxicity, op10_mjpeg, op11_jaccard, op12_filter_audit, op13_whitening)}
