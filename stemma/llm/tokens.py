@@ -4,7 +4,7 @@ A byte-level BPE never merges across the pieces its pre-tokenizer cuts, so the i
 of its pieces on end. Workers cut whole batches of UTF-8 bytes with array operations that follow the
 pre-tokenizer's pattern, have the tokenizers library encode every piece they have not met, and look the
 rest up. Texts with characters outside the range for which the cutting is written (Latin letters, below U+0180)
-or holding the opening of a special token's string go to the library whole. Special tokens' strings are ordinary text.
+or holding the opening of a special token's string go to the library whole; it gives such a string the special token's id, as its file says.
 """
 
 from __future__ import annotations
@@ -101,7 +101,6 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path or public_tokenizers.path(name))
-        self.library.encode_special_tokens = True
         self.words = name == WORD_BPE
         # The library's model by itself, for pieces whose bytes are already spelled in its alphabet, one to a line.
         alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)

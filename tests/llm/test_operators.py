@@ -144,14 +144,45 @@ def test_encoder_equals_library(name):
     raw = [t.encode() for t in texts]
     e = Encoder(name)
     ids, at = e.encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
-    for i, x in enumerate(e.library.encode_batch(texts, add_special_tokens=False)):
+    for i, x in enumerate(fresh(name).encode_batch(texts, add_special_tokens=False)):
         assert x.ids == ids[at[i] : at[i + 1]].tolist(), texts[i]
 
 
+def fresh(name):
+    """The library as it loads the file."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
 def library_ids(name, texts, end):
+    return [np.array(x.ids + [end], "<u4") for x in fresh(name).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "a<|endoftext|>", "<|endoftext|> b", "<|endoftext|><|endoftext|>", "x <|endoftext|>\n<|startoftext|> y", "<|endoftext|", "<|endof text|>", "<|ENDOFTEXT|>", "hello <|endoftext|> world", "<<|endoftext|>>", "é<|endoftext|>一"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_strings_of_special_tokens(name):
     from stemma.llm.tokens import Encoder
 
-    return [np.array(x.ids + [end], "<u4") for x in Encoder(name).library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    raw = [t.encode() for t in SPECIAL]
+    ids, at = Encoder(name).encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    got = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert got == [x.ids for x in fresh(name).encode_batch(SPECIAL, add_special_tokens=False)]
+    assert any(x[-1] > 49000 for x in got if x)
+
+
+def test_special_tokens_through_queries(spark):
+    from stemma.llm.grammar import round_trip
+    from stemma.llm.packing import Capacity, pack
+
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    want = [(i, len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(library_ids("byte_bpe_50k.json", SPECIAL, 2))]
+    assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in round_trip(docs).orderBy("doc_id").collect()] == want
+    want = [(i, len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(library_ids("word_bpe_49k.json", SPECIAL, 0))]
+    assert [(r.doc_id, r.length, r.ids_crc32) for r in pack(docs, Capacity(tokens=2048)).orderBy("doc_id").collect()] == want
 
 
 def test_shards(spark, docs, none):
