@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import record_batch, tune
+from stemma.llm.common import record_batch, staged, tune
 
 SCALE, SHIFT = 64, 1_000_000
 #: Dimensions up to which all directions are found at once from the dimensions' products on the driver (32 MB of them); beyond, only the leading ones, by iteration over the rows.
@@ -28,12 +29,26 @@ DENSE = 2048
 _LARGE = float(1 << 40)
 
 
+def _whole(batches):
+    """Of rows that can be used the entries in whole numbers."""
+    for b in batches:
+        lists = b.column(1)
+        n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        c = lists.flatten().to_numpy(zero_copy_only=False)  # nulls are NaN
+        row = np.repeat(np.arange(len(n)), n)
+        good = np.isfinite(c) & (np.abs(c) < _LARGE)
+        kept = n > 0
+        kept[row[~good]] = False
+        x = np.floor(c[kept[row]] * SCALE).astype(np.int64) + SHIFT
+        at = np.concatenate([[0], np.cumsum(n[kept])]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(kept)), pa.ListArray.from_arrays(pa.array(at), pa.array(x))], names=["id", "x"])
+
+
 def whole_numbers(rows: DataFrame) -> DataFrame:
     """rows(id, vector) -> (id, x), x the vector in whole numbers, of rows that can be used."""
     key, vector = rows.columns
-    v = F.col(vector).cast("array<double>")
-    usable = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda c: F.coalesce(F.abs(c) < _LARGE, F.lit(False)) & ~F.isnan(F.coalesce(c, F.lit(0.0))))
-    x = rows.where(usable).select(F.col(key).alias("id"), F.transform(v, lambda c: F.floor(c * SCALE) + SHIFT).alias("x"))
+    plain = rows.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    x = staged(plain.mapInArrow(_whole, plain.select("id", F.col("v").cast("array<long>").alias("x")).schema), codec="zstd")
     common = x.groupBy(F.size("x").alias("d")).count().agg(F.max_by("d", F.struct("count", "d"))).first()[0]
     return x.where(F.size("x") == (common or 0))
 
@@ -61,9 +76,15 @@ def centre(rows: DataFrame) -> tuple[int, list[int]]:
 def directions(rows: DataFrame, n: int, sums: list[int], most: int) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues, falling, and eigenvectors as columns, of the covariance of divisor n."""
     d = len(sums)
-    whole, part = F.array(*(F.lit(s // n) for s in sums)), F.array(*(F.lit(s % n / n) for s in sums))
-    centred = F.zip_with(F.zip_with("x", whole, lambda x, s: x - s), part, lambda x, s: x - s)
-    vectors = rows.select(array_to_vector(F.transform(centred, lambda x: x.cast("double"))).alias("v"))
+    place = _away(n, sums)
+
+    def centred(batches):
+        for b in batches:
+            if b.num_rows:
+                v = place(_matrix(b.column(0)))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, d, dtype=np.int32)), pa.array(v.ravel()))], names=["v"])
+
+    vectors = rows.select("x").mapInArrow(centred, "v array<double>").select(array_to_vector("v").alias("v"))
     matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"), 0, d)
     try:
         found = matrix.computeSVD(d if d <= DENSE else min(most, d), computeU=False, rCond=1e-6)
@@ -76,11 +97,16 @@ def directions(rows: DataFrame, n: int, sums: list[int], most: int) -> tuple[np.
     return (values[:most][some]) ** 2 / n, v[:, :most][:, some]
 
 
+def _away(n: int, sums: list[int]):
+    """x -> its distance from the centre, whole parts first."""
+    whole, part = np.array([s // n for s in sums]), np.array([s % n / n for s in sums])
+    return lambda x: (x - whole) - part
+
+
 def _projected(n: int, sums: list[int], values: np.ndarray, vectors: np.ndarray):
     """x -> whitened components, one row each."""
-    whole, part = np.array([s // n for s in sums]), np.array([s % n / n for s in sums])
-    turn = vectors / np.sqrt(values)
-    return lambda x: ((x - whole) - part) @ turn
+    place, turn = _away(n, sums), vectors / np.sqrt(values)
+    return lambda x: place(x) @ turn
 
 
 def _products(project, means: np.ndarray):
@@ -154,12 +180,12 @@ def _deviated(n: int, sums: list[int]):
 
 
 def whiten(rows: DataFrame, most: int = 32) -> DataFrame:
-    """rows(id, vector) -> (id, component, n, deviation, whitened, explained, identity_error, deviation_exact) for each row and component up to ``most``.
+    """rows(id, vector), more columns left out -> (id, component, n, deviation, whitened, explained, identity_error, deviation_exact) for each row and component up to ``most``.
 
-    Sums, products and the proof of whiteness are each one pass in which tasks hand on a fixed number of sums; the rows themselves are never exchanged."""
+    Sums, products and the proof of whiteness are each one pass in which tasks hand on a fixed number of sums; the rows themselves are never exchanged, only written once as whole numbers."""
     tune(rows.sparkSession)
     key = rows.columns[0]
-    x = whole_numbers(rows)
+    x = whole_numbers(rows.select(*rows.columns[:2]))
     n, sums = centre(x)
     values, vectors = directions(x, n, sums, most) if n else (np.zeros(0), np.zeros((0, 0)))
     if not len(values):
