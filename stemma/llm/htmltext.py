@@ -2,8 +2,8 @@
 
 The standard library's parser streams events into lines, one for each block element's text, each with its number of
 tags and its share of text in links. Blocks inside menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-(by element, role, or the words of class and id) are set aside; what only the words of an element's class or id speak against stays a candidate
-until it is known whether the page has any other text. The ratios of text to tags of the other lines are smoothed
+(by element, role, or the words of class and id) are set aside; forms, dialogs, headers and what only the words of a class or id speak against stay candidates
+until it is known whether the page has other text. The ratios of text to tags of the other lines are smoothed
 with a Gaussian and parted in two clusters by a threshold between their means. Lines of the upper cluster are seeds; the region is the article
 or main elements that hold the seeds' text, or else whatever lies from the first seed to the last, and about them as far as a list of links, without
 such lists. All lines of the region come out, in page order, short ones too.
@@ -32,8 +32,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-ASIDE = frozenset("script style noscript template svg math head title nav aside footer form iframe object canvas audio video select button textarea dialog menu search noframes applet map".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist".split())
+ASIDE = frozenset("script style noscript template svg math head title nav aside footer iframe object canvas audio video select button textarea menu search noframes applet map".split())
+ROLES = frozenset("navigation banner contentinfo complementary search alertdialog alert menu menubar toolbar tablist".split())
+#: Elements and roles that are boilerplate unless so many times the text outside suspects lies in one of them.
+SOFT = {"form": 1, "dialog": 3}
 #: Words of class and id that say what an element is, wherever they stand in a name.
 WORDS = frozenset(
     "advert adverts advertisement advertising adsense sponsored cookie cookies consent gdpr newsletter subscribe subscription sidebar sidebars navbar navigation topnav breadcrumb breadcrumbs pagination masthead topbar footer bottombar comments commentlist disqus recommendations login signin signup".split()
@@ -45,6 +47,10 @@ VAGUE = frozenset(
 PARTS = frozenset(
     "a area bar block body bottom box btn button buttons card center col column container content cta css div element entry field fixed group head holder icon icons id info inner item items js large left link links list lists main medium mobile module outer page pane panel placeholder plugin popup position post posts primary right row secondary section site slot small sticky story stories text thread title toggle tools top unit view wrap wrapper zone".split()
 )
+#: Words that may stand beside the unmistakable ones in a name within an article; beside others these tell what the text is about.
+BESIDE = frozenset("all add article banners blog disqus email facebook fb footer free get hide html join latest leave load mail more new notice our page public read reader readers recent save show sign up user users view visitor visitors website wp write your".split())
+#: Elements beyond which an open paragraph is not looked for.
+SCOPES = ("applet", "button", "caption", "marquee", "object", "table", "td", "template", "th")
 CLOSES_P = BLOCK - frozenset("body html head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PART = re.compile(r"[^a-z0-9]+")
@@ -58,17 +64,18 @@ STOPS = ("ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "select", "body")
 
 
 class Line:
-    __slots__ = ("heading", "home", "linked", "suspect", "tags", "text")
+    __slots__ = ("heading", "home", "linked", "suspect", "tags", "text", "top")
 
-    def __init__(self, text: str, tags: int, linked: int, home: int, suspect: int, heading: bool):
-        self.text, self.tags, self.linked, self.home, self.suspect, self.heading = text, tags, linked, home, suspect, heading
+    def __init__(self, text: str, tags: int, linked: int, home: int, suspect: int, heading: bool, top: bool):
+        self.text, self.tags, self.linked, self.home, self.suspect, self.heading, self.top = text, tags, linked, home, suspect, heading, top
 
 
-def speaks_against(value: str) -> bool:
-    """Whether the words of a class or id say that an element is no content."""
+def speaks_against(value: str, within: bool = False) -> bool:
+    """Whether the words of a class or id say that an element is no content; within an article, unless other words say what it is about."""
     for name in _CAMEL.sub("-", value).split():
         parts = [x for x in _PART.split(name.lower()) if x]
-        if any(x in WORDS for x in parts):
+        known = all(x in WORDS or x in VAGUE or x in PARTS or x in BESIDE or x.isdigit() for x in parts)
+        if any(x in WORDS for x in parts) and (not within or known and name.lower() not in ("cookie", "cookies")):
             return True
         if any(x in VAGUE for x in parts) and all(x in VAGUE or x in PARTS or x.isdigit() for x in parts):
             return True
@@ -87,13 +94,14 @@ class Lines(HTMLParser):
         self.parents = {0: 0}
         self.buffer: list[str] = []
         self.tags = self.linked = self.suspects = 0
+        self.soft: dict[int, str] = {}  # suspects that an element or role alone makes
 
     def flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
                 _, _, home, suspect = self.stack[-1] if self.stack else ("", False, 0, 0)
-                self.lines.append(Line(text, self.tags, self.linked, home, suspect, any(self.at.get(h) for h in HEADINGS)))
+                self.lines.append(Line(text, self.tags, self.linked, home, suspect, any(self.at.get(h) for h in HEADINGS), bool(self.at.get("h1"))))
                 self.tags = 0
             self.buffer, self.linked = [], 0
 
@@ -102,7 +110,7 @@ class Lines(HTMLParser):
 
     def aside(self, tag: str, attrs: list) -> bool:
         """Whether the element itself, its role or its being hidden sets it aside."""
-        if tag in ASIDE or tag == "header" and not self.within():
+        if tag in ASIDE:
             return True
         if tag in ("html", "body", "main"):
             return False
@@ -113,10 +121,18 @@ class Lines(HTMLParser):
                 return True
         return False
 
+    def doubtful(self, tag: str, attrs: list) -> str:
+        """The element or role that makes it likely that this is no content, if any does."""
+        if tag in SOFT or tag == "header" and not self.within():
+            return tag
+        role = next((value.lower() for name, value in attrs if name == "role" and value), "")
+        return role if role in SOFT and tag not in ("html", "body", "main", "article") else ""
+
     def suspicious(self, tag: str, attrs: list) -> bool:
-        if tag in ("html", "body", "main") or tag in HEADINGS and self.within():
+        within = self.within()
+        if tag in ("html", "body", "main") or within and (tag == "p" or tag in HEADINGS):
             return False
-        return any(name in ("class", "id") and value and speaks_against(value) for name, value in attrs)
+        return any(name in ("class", "id") and value and speaks_against(value, within) for name, value in attrs)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -125,7 +141,7 @@ class Lines(HTMLParser):
             return
         if tag in BLOCK:
             self.flush()
-            if tag in CLOSES_P and self.at.get("p") and self.at["p"][-1] >= len(self.stack) - 8:
+            if tag in CLOSES_P and self.at.get("p") and self.at["p"][-1] > max((x[-1] for t in SCOPES if (x := self.at.get(t))), default=-1):
                 self.close_to(self.at["p"][-1])
             if tag in LIKE:
                 self.close_like(tag)
@@ -133,9 +149,14 @@ class Lines(HTMLParser):
             return
         _, off, home, suspect = self.stack[-1] if self.stack else ("", False, 0, 0)
         off = off or self.aside(tag, attrs)
-        if not off and not suspect and self.suspicious(tag, attrs):
+        # A name within a soft suspect counts, but not the other way round.
+        if not off and (not suspect or suspect in self.soft) and self.suspicious(tag, attrs):
+            self.suspects += 1
+            suspect = self.suspects
+        elif not off and not suspect and (kind := self.doubtful(tag, attrs)):
             self.suspects += 1
             suspect = self.suspects
+            self.soft[suspect] = kind if kind != "header" or self.stack and self.stack[-1][0] != "body" else "page header"
         if tag in ("article", "main") and not off:
             new = len(self.parents)
             self.parents[new] = home
@@ -204,12 +225,24 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    # Text of each element whose class or id speaks against it; where nearly all text of a page lies in one, its name misleads.
+    # Text of each suspect. Where nearly all text of a page lies in one that its name made one, the name misleads; of those that an element made one, forms
+    # and dialogs come back if most text is theirs.
     size: dict[int, int] = {}
     for x in parser.lines:
         size[x.suspect] = size.get(x.suspect, 0) + len(x.text) - x.linked
+    rest = size.get(0, 0)
+    back = {0}
     most = max(size, key=size.get, default=0)
-    lines = [x for x in parser.lines if not x.suspect or x.suspect == most and size[most] > 20 * size.get(0, 0)]
+    if size and size[most] > (SOFT.get(parser.soft[most], 20) if most in parser.soft else 20) * rest:
+        back.add(most)
+    # A header that stands in another element than the page's own is the text's if it has a heading, no links, and the page no other first heading.
+    if not any(x.top and x.suspect in back for x in parser.lines):
+        for k, kind in parser.soft.items():
+            mine = [x for x in parser.lines if x.suspect == k] if kind == "header" else []
+            if any(x.top for x in mine) and not any(x.linked for x in mine):
+                back.add(k)
+                break
+    lines = [x for x in parser.lines if x.suspect in back]
     if not lines:
         return ""
     ratio = np.array([(len(x.text) - x.linked) / max(1, x.tags) for x in lines])
