@@ -557,6 +557,28 @@ def test_html_of_any_kind():
     assert time.perf_counter() - began < 60
 
 
+def test_html_keeps_articles_of_any_wrapping():
+    """An element or a name alone does not lose an article; boilerplate of the same kind goes."""
+    from stemma.llm.htmltext import main_text
+
+    p = "Words of the story, which are long enough to count. " * 8
+    body = f"<h1>Head</h1><p>Lede</p><p>{p}</p>"
+    want = f"Head\nLede\n{p.strip()}"
+    boiler = "<nav><a href=/>Home</a></nav>"
+    for page in (
+        f"<form id=aspnet action=x>{boiler}<div>{body}</div><input name=a></form>", f"<form>{boiler}<article>{body}</article></form><footer>f</footer>", f"<dialog open>{body}</dialog>", f"<div role=form>{body}</div>",
+        f"<div id=page><header><h1>Head</h1><p>Lede</p></header><div><p>{p}</p></div></div>", f"{boiler}<article>{body}<form>Your name <input></form><dialog>Log in</dialog></article>",
+    ):
+        assert main_text(f"<body>{page}</body>") == want, page
+    for kept in ("<p class='cookies'>Bake them.</p>", "<div class='ministers-comments'>He said so.</div>", "<div class='subscription-history'>It began then.</div>", "<div id='sponsored-study'>It found none.</div>"):
+        assert main_text(f"<article>{body}{kept}</article>").startswith(want + "\n")
+    for gone in ("<div class='reader-comments'>I disagree.</div>", "<div id='comments'>No.</div>", "<div class='newsletter-signup'>Join</div>", "<div class='cookie-banner'>We use</div>", "<section class='user-comments'>No!</section>", "<div class='sponsored'>Buy</div>"):
+        assert main_text(f"<body><header><h1>Site</h1></header><article>{body}{gone}</article></body>") == want, gone
+    assert main_text(f"<body><header><h1>Site</h1></header><div>{body}</div></body>") == want
+    # A paragraph ends where a block begins, however many elements of text are open in it.
+    assert main_text("<article><p>" + "<i>" * 12 + "one<div>two</div></article>") == "one\ntwo"
+
+
 def test_html_precision_and_recall(spark):
     """On pages whose article is marked: its words, by a pattern of its own, against those taken."""
     import html
@@ -585,6 +607,50 @@ def test_html_columns(spark):
 
 
 # --- language model --------------------------------------------------------------------
+def test_runs_of_many_words_and_buckets(monkeypatch):
+    """More buckets and words than one 64-bit key holds: the same pairs and triples are sent."""
+    from collections import Counter
+
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    from stemma.llm import hpylm as H
+    from stemma.llm.common import unpack
+
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    r = random.Random(6)
+    texts = [" ".join(f"w{r.randrange(200_000)}" for _ in range(6000)) for _ in range(30)] + ["one two one two one two"]
+    batch = pa.record_batch({"text": pa.array(texts), "learn": pa.array([i % 3 > 0 for i in range(31)])})
+    run = H.Run(batch.column(0))
+    h, learn = run.h.tolist(), [i % 3 > 0 for i in range(31)]
+    pairs, triples = Counter(), Counter()
+    for u, v, w, d in zip(run.two.tolist(), run.one.tolist(), run.word.tolist(), run.doc.tolist(), strict=True):
+        pairs[h[v], h[w]] += learn[d]
+        triples[h[u] >> 16, h[v], h[w], d, learn[d]] += 1
+    for buckets in (8, 1 << 30):
+        dealer = H.Dealer(np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), buckets)
+        got = Counter()
+        for b in H._send_pairs(dealer)([batch]):
+            for route, body in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                heads, few, words, x = H._parts(body)
+                x, words = unpack(x, H._PAIR), H._hashes(words)
+                for v, w, n in zip(np.repeat(H._hashes(heads), unpack(few, H._FEW)["n"]).tolist(), words[x["w"]].tolist(), x["n"].tolist(), strict=True):
+                    got[v, w] += n
+        assert got == pairs
+        got = Counter()
+        for wave in range(H.WAVES):
+            for b in H._send_triples(dealer, [], wave)([batch]):
+                for kind, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                    if kind == 1:
+                        _, heads, few, words, before, x = H._parts(body)
+                        x = unpack(x, H._TRIPLE)
+                        for v, u, w, d in zip(np.repeat(H._hashes(heads), unpack(few, H._FEW)["n"]).tolist(), H._hashes(before)[x["u"]].tolist(), H._hashes(words)[x["w"]].tolist(), x["doc"].tolist(), strict=True):
+                            got[u, v, w, d >> 1, bool(d & 1)] += 1
+        assert got == triples
+        bits, low = len(run.h).bit_length(), (len(run.word) - 1).bit_length()
+        assert (bits + low + buckets.bit_length() > 64) == (buckets > 8)
+
+
 def test_language_model(spark, docs, none):
     from collections import Counter
 
