@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII-only lower-casing that leaves every other byte alone.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -73,6 +74,16 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bitmap(places: DataFrame, bits: int) -> bytes:
+    """places(place), numbers from 0 and below bits -> that many bits, the places' set. Tasks fill blocks of 4 KB, which come to the driver one by one: all it holds is the bitmap."""
+    # The built-in bitmaps count bits and buckets from 1.
+    found = places.select((F.col("place") + 1).alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
+    out = np.zeros(max(1, bits >> 15), "V4096")
+    for r in found.toLocalIterator():
+        out[r.bucket - 1] = np.void(bytes(r.bits))
+    return out.tobytes()
+
+
 def trim() -> None:
     """Gives memory that a worker has freed back to the system, before its next task."""
     pa.default_memory_pool().release_unused()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import as_bytes, dropped, record_batch, staged, tune
+from stemma.llm.common import as_bytes, bitmap, dropped, record_batch, staged, tune
 
 #: Lower-cases A-Z and turns whatever parts words into a blank.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -287,14 +287,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
         done = scanned(done, parts, True)
     else:
         bits = min(31, max(20, (32 * total).bit_length()))
-        places = parts.select("seq").mapInArrow(_marks(window, bits), "place long").distinct().toArrow()["place"].to_numpy()
-        bitmap = np.zeros(1 << bits - 3, np.uint8)
-        np.bitwise_or.at(bitmap, places >> 3, (1 << (places & 7)).astype(np.uint8))
+        marked = bitmap(parts.select("seq").mapInArrow(_marks(window, bits), "place long"), 1 << bits)
         sizes = sorted(r.size for r in parts.select(F.least("n", F.lit(window)).alias("size")).distinct().collect())
-        sent = spark.sparkContext.broadcast(bitmap)
+        sent = spark.sparkContext.broadcast(marked)
 
         def look(batches):
-            marked = sent.value
+            marked = np.frombuffer(sent.value, np.uint8)
             for b in batches:
                 n, maybe = [], []
                 for t in as_bytes(b.column(1)):
