@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 REVIEW_PAYLOAD = (
     "url string, product_name string, Reviews array<struct<LongDesc: string, Name: string, Rating: double, Title: string, DateSubmitted: string, IsRecommended: boolean, Likes: int, SyndReviewSource: string>>, "
     "reviews_b array<struct<description: string, displayName: string, rating: double, title: string, date: string, wouldRecommend: boolean, helpful_yes: int, SourceClient: string>>, "
-    "RatingDistribution array<struct<RatingValue: int, Count: bigint>>, OverallRating double, TotalReviewCount int, RecommendedPercentage int, overall struct<rating: double, totalReviews: int, percentageRecommending: string>"
+    "RatingDistribution array<struct<RatingValue: int, Count: bigint>>, OverallRating double, TotalReviewCount int, TotalResults int, RecommendedPercentage int, overall struct<rating: double, totalReviews: int, percentageRecommending: string>"
 )
 
 
@@ -27,7 +27,7 @@ def resolve(spark: SparkSession, a) -> None:
     """Records to the catalogue and the queue of reviews that nobody could link."""
     from stemma.functions import text as T
     from stemma.operators import catalogue, dedupe, resolve as R
-    from stemma.sources.sinks import write_catalogue, write_queue
+    from stemma.sources.sinks import write_array, write_catalogue, write_queue
 
     got = _records(spark, a.records)
     c = F.col
@@ -42,7 +42,9 @@ def resolve(spark: SparkSession, a) -> None:
     built = catalogue.build_catalogue(kept.drop("slug", "__bare", "record_type"), offers, linked.drop("slug", "vintage"), got["review_summary"], ["ord"])
     write_catalogue(built, f"{a.out}/catalogue")
     write_queue(queue.drop("slug"), f"{a.out}/unlinked_reviews")
-    catalogue.report(spark.read.schema(built.schema).json(f"{a.out}/catalogue")).show(vertical=True)
+    written = spark.read.schema(built.schema).json(f"{a.out}/catalogue")
+    write_array(written, f"{a.out}/catalogue.json", catalogue.catalogue_order())
+    catalogue.report(written).show(vertical=True)
 
 
 def queue(spark: SparkSession, a) -> None:
@@ -87,7 +89,7 @@ def reviews(spark: SparkSession, a) -> None:
 
     payloads = spark.read.schema(REVIEW_PAYLOAD).json(a.payloads)
     if a.limit:
-        count = F.coalesce("TotalReviewCount", "overall.totalReviews", F.lit(0))
+        count = F.coalesce(F.nullif("TotalReviewCount", F.lit(0)), "TotalResults", "overall.totalReviews", F.lit(0))
         payloads = payloads.orderBy(count.desc(), "url").limit(a.limit)
     found = api_reviews(payloads, a.as_of, a.source)
     newest = sample_newest(found, "source_url", [F.col("review_date").desc_nulls_last(), "review_key"], full=a.full, cap=a.cap or None)

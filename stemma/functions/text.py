@@ -1,4 +1,4 @@
-"""Canonicalisation of messy listing text as Column expressions: nothing here leaves the JVM but ``absolute_url`` and ``html_text``.
+"""Canonicalisation of messy listing text as Column expressions: nothing here leaves the JVM but ``html_text``.
 
 Absent input is null; patterns that do not match give null. Numbers are rounded half up for money and ratings (floor(x * 10^n + 0.5) / 10^n).
 """
@@ -296,12 +296,45 @@ def review_count(text: Column) -> Column:
     return F.nullif(found(text, r"(\d+)").try_cast("int"), F.lit(0))
 
 
-@F.pandas_udf(StringType())
-def absolute_url(base: pd.Series, ref: pd.Series) -> pd.Series:
-    """A reference resolved against its page's address."""
-    from urllib.parse import urljoin
-
-    return pd.Series([None if r is None or b is None else urljoin(b, r) for b, r in zip(base, ref, strict=True)], dtype=object)
+# Fixed value: the parts of an address, scheme, host, path, query, fragment.
+_URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+
+
+def _resolved(path: Column, directory: Column) -> Column:
+    """A path that is not empty, below an array of segments unless it begins with a slash, without dots."""
+    own = F.split(path, "/")
+    every = F.when(path.startswith("/"), own).otherwise(F.concat(directory, own))
+    # Empty segments count at both ends alone.
+    kept = F.filter(every, lambda s, i: (s != "") | (i == 0) | (i == F.size(every) - 1))
+    none = F.expr("cast(array() as array<string>)")
+    step = lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+    walked = F.aggregate(kept, none, step)
+    walked = F.when(F.element_at(kept, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    joined = F.array_join(walked, "/")
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+
+
+def absolute_url(base: Column, ref: Column) -> Column:
+    """A reference resolved against its page's address. An empty reference is the page, one of another scheme stands as it is; null for pages that have no http or https address."""
+    tidy = lambda u: F.regexp_replace(F.regexp_replace(u, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    part = lambda u, k: F.regexp_extract(u, _URI, k)
+    # What stands behind a semicolon in the last segment is no part of it.
+    last = r"(?s)^((?:.*/)?[^/;]*)(;[^/]*)?$"
+    b, r = tidy(base), tidy(ref)
+    scheme, host, folder = F.lower(part(b, 1)), part(b, 2), F.regexp_extract(part(b, 3), last, 1)
+    own_scheme, own_host, path, query = F.lower(part(r, 1)), part(r, 2), part(r, 3), part(r, 4)
+    plain = F.regexp_extract(path, last, 1)
+    extra = lambda p: F.regexp_replace(F.regexp_extract(p, last, 2), "^;$", "")
+    pieces = F.split(folder, "/")
+    directory = F.when(folder == "", F.array(F.lit(""))).otherwise(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(1))))
+    here = (plain == "") & (extra(path) == "")
+    same = F.concat(host, F.when((folder == "") & (extra(part(b, 3)) != ""), "/").otherwise(""), folder, extra(part(b, 3)))
+    there = F.when(own_host != "", F.concat(own_host, plain, extra(path))).when(here, same).otherwise(F.concat(host, _resolved(plain, directory), extra(path)))
+    asked = F.when((own_host == "") & here & (query == ""), part(b, 4)).otherwise(query)
+    tail = lambda sign, x: F.when(x != "", F.concat(F.lit(sign), x)).otherwise("")
+    met = F.concat(scheme, F.lit("://"), there, tail("?", asked), tail("#", part(r, 5)))
+    usable = scheme.isin("http", "https") & (host != "")
+    return F.when(usable, F.when(ref == "", base).when((own_scheme != "") & (own_scheme != scheme), ref).otherwise(met))
 
 
 def url_product_id(url: Column) -> Column:

@@ -44,8 +44,13 @@ def build_catalogue(products: DataFrame, offers: DataFrame, reviews: DataFrame,
     return out.withColumns(zero | flags | lists)
 
 
+def catalogue_order() -> list:
+    """Total order of products."""
+    return [F.coalesce("brand", F.lit("")), F.col("name"), F.col("product_key")]
+
+
 def order_catalogue(catalogue: DataFrame) -> DataFrame:
-    return catalogue.orderBy(F.coalesce("brand", F.lit("")), "name", "product_key")
+    return catalogue.orderBy(*catalogue_order())
 
 
 def report(catalogue: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stemma.functions import text as T
 from stemma.operators.dedupe import keep_best
 from stemma.operators.similarity import fuzzy_link
+from stemma.operators.staging import checkpointed
 
 #: No alias: the key stands for itself.
 ALIAS = "product_key string, canonical_key string"
@@ -33,29 +34,29 @@ def merge_missing_volume(products: DataFrame, slug: str, order: list) -> DataFra
     return products.where("volume_ml is null").join(primary, slug).where("product_key <> canonical_key").select("product_key", "canonical_key").distinct()
 
 
+def followed(steps: DataFrame) -> DataFrame:
+    """steps(product_key, canonical_key), one of each key: every step led on to where it ends. Each round doubles how far a step reaches. Steps that
+    lead into a circle end at its least key, which is then no alias."""
+    now = checkpointed(steps.where("product_key <> canonical_key").withColumn("least", F.col("canonical_key")))
+    every, reach = now.count(), 1
+    while True:
+        on = now.select(F.col("product_key").alias("__from"), F.col("canonical_key").alias("__to"), F.col("least").alias("__least"))
+        met = now.join(on, now["canonical_key"] == on["__from"], "left")
+        if not met.where("__from is not null").limit(1).count():
+            return now.select("product_key", "canonical_key")
+        if reach >= every:  # as many steps as there are keys: what leads on still is on a circle, and has seen all of it
+            return met.select("product_key", F.coalesce("__least", "canonical_key").alias("canonical_key")).where("product_key <> canonical_key")
+        now = checkpointed(met.select("product_key", F.coalesce("__to", "canonical_key").alias("canonical_key"), F.least("least", "__least").alias("least")))
+        reach *= 2
+
+
 def merge_products(products: DataFrame, slug: str, order: list) -> DataFrame:
-    """(product_key, canonical_key): by barcode, then by volume among those that the first step leaves, as one map. No canonical key is an alias."""
+    """(product_key, canonical_key): by barcode, then by volume among those that the first step leaves, as one map. No canonical key is an alias, however many
+    barcodes a key has."""
     one = merge_gtin(products, order).groupBy("product_key").agg(F.min("canonical_key").alias("canonical_key"))
-    # A key with several barcodes may lead to one that is an alias itself; it is followed.
-    on = one.select(F.col("product_key").alias("__from"), F.col("canonical_key").alias("__to"))
-    first = one.join(on, one["canonical_key"] == on["__from"], "left").select("product_key", F.coalesce("__to", "canonical_key").alias("canonical_key")).where("product_key <> canonical_key")
     left = products.join(one.select("product_key"), "product_key", "left_anti")
     second = merge_missing_volume(left, slug, order).groupBy("product_key").agg(F.min("canonical_key").alias("canonical_key"))
-    # The second step's keys, and what they lead to, are none of the first's.
-    on = second.select(F.col("product_key").alias("__from"), F.col("canonical_key").alias("__to"))
-    moved = first.join(on, first["canonical_key"] == on["__from"], "left").select("product_key", F.coalesce("__to", "canonical_key").alias("canonical_key"))
-    return moved.unionByName(second)
-
-
-def close_alias(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Both steps as one map: what either step leads to is followed through the other, once each way."""
-    one = first.select(F.col("product_key").alias("k1"), F.col("canonical_key").alias("c1"))
-    two = second.select(F.col("product_key").alias("k2"), F.col("canonical_key").alias("c2"))
-    again = one.select(F.col("k1").alias("k3"), F.col("c1").alias("c3"))
-    two = two.join(again, F.col("c2") == F.col("k3"), "left").select("k2", F.coalesce("c3", "c2").alias("c2"))
-    moved = one.join(two, F.col("c1") == F.col("k2"), "left").select(F.col("k1").alias("product_key"), F.coalesce("c2", "c1").alias("canonical_key"))
-    rest = two.join(one, F.col("k2") == F.col("k1"), "left_anti").select(F.col("k2").alias("product_key"), F.col("c2").alias("canonical_key"))
-    return moved.unionByName(rest).where("product_key <> canonical_key")
+    return followed(one.unionByName(second))
 
 
 def apply_alias(df: DataFrame, alias: DataFrame, key: str = "product_key") -> DataFrame:

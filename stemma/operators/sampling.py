@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as T
 from stemma.operators.dedupe import keep_best
+from stemma.operators.order import numbered
 
 
 def depth(count: Column, full: bool = False, cap: int | None = None) -> Column:
@@ -64,8 +65,10 @@ def missing_only(products: DataFrame, offers: DataFrame) -> DataFrame:
 
 
 def batch_ids(df: DataFrame, n: int, order: list, within: list | None = None) -> DataFrame:
-    """batch: number of the n rows that a row stands among, by the order."""
-    w = Window.partitionBy(*(within or [])).orderBy(*order)
+    """batch: number of the n rows that a row stands among, by the order, of the whole table or within keys."""
+    if not within:
+        return numbered(df, order, "batch").withColumn("batch", F.floor(F.col("batch") / n))
+    w = Window.partitionBy(*within).orderBy(*order)
     return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / n))
 
 

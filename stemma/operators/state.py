@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stemma.operators.order import numbered, stall_runs  # noqa: F401
+
 
 def lease_state(events: DataFrame, as_of, timeout_s: int = 180, max_attempts: int = 5) -> DataFrame:
     """events(target, ts, kind, n): kinds enqueue, handout, partial, done, fail. -> target, attempts, partial, done, harvested, in_flight, eligible.
@@ -30,6 +32,14 @@ def next_target(state: DataFrame, queue: DataFrame) -> DataFrame:
     return queue.join(state, "target", "left").where(F.coalesce("eligible", F.lit(True))).orderBy("position", "target").limit(1).select("target", "position")
 
 
+def hand_out(state: DataFrame, queue: DataFrame, requests: DataFrame, asked: list) -> DataFrame:
+    """queue(target, position), requests in the order of ``asked``, which are waiting at once: the n-th of them gets the n-th target that may be handed out, so no
+    target goes out twice; requests beyond the last such target get none and are left out."""
+    free = queue.join(state, "target", "left").where(F.coalesce("eligible", F.lit(True))).select("target", "position")
+    served = numbered(requests, asked, "__n").join(numbered(free, ["position", "target"], "__n"), "__n")
+    return served.select(*requests.columns, "target", "position")
+
+
 def requeue(state: DataFrame) -> DataFrame:
     """Unfinished targets start afresh."""
     open_ = ~F.col("done")
@@ -73,20 +83,20 @@ def progress(state: DataFrame) -> DataFrame:
     return state.agg(F.count("*").alias("total"), F.count_if("done").alias("done"), F.greatest(F.lit(0), F.count("*") - F.count_if("done")).alias("remaining"), F.coalesce(F.sum("harvested"), F.lit(0)).alias("harvested"))
 
 
-def stall_runs(snapshots: DataFrame, order: str, value: str, within: list[str]) -> DataFrame:
-    """Adds gained, against the snapshot before, and stalls, the length of the run without gain that ends here."""
-    w = Window.partitionBy(*within).orderBy(order)
-    out = snapshots.withColumn("gained", F.col(value) - F.lag(value).over(w))
-    out = out.withColumn("__run", F.count_if(F.coalesce(F.col("gained") != 0, F.lit(True))).over(w))
-    runs = Window.partitionBy(*within, "__run").orderBy(order)
-    return out.withColumn("stalls", F.when(F.coalesce(F.col("gained") == 0, F.lit(False)), F.row_number().over(runs) - 1).otherwise(0)).drop("__run")
+def idle_sessions(events: DataFrame, key: str, ts: str, gap: str | Column, late: str | None = None) -> DataFrame:
+    """Stretches of activity that gaps part; end: when the gap after the last event is over. gap: a duration, or an expression that gives each event's own.
 
-
-def idle_sessions(events: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
-    """Stretches of activity that gaps part."""
+    Of a stream, late says how far its events may lie behind the latest: a stretch comes out, once, when nothing more can be part of it, which is the sign that its
+    key has been silent; events that come later than that are left out."""
+    events = events.withWatermark(ts, late) if late else events
     return events.groupBy(key, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("events")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "events")
 
 
+def silence(listing: Column) -> Column:
+    """How long a target may be silent: 900 seconds while a list is being opened, else 240."""
+    return F.when(listing, "900 seconds").otherwise("240 seconds")
+
+
 def returned_difference(requested: DataFrame, returned: DataFrame, key: str) -> DataFrame:
     """How many different keys were asked for and did not come back."""
     return requested.select(key).distinct().join(returned.select(key).distinct(), key, "left_anti").agg(F.count("*").alias("missing"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.operators import state
+from stemma.functions import text as T
+from stemma.operators import dedupe, state
+from stemma.plans import sqltext
 from stemma.plans.registry import query
 from stemma.plans.views import table
-from stemma.sources import adapters, jsonld
+from stemma.sources import adapters, cards, jsonld
 
 AS_OF = "2026-01-31"
 
@@ -28,13 +30,30 @@ def _storefront(spark, sf_dir):
     return adapters.storefront(p, AS_OF, "shop", "Shop", "https://shop.example")
 
 
-@query("""
-with v as (select p_partkey, p_size + 0.5 as price, p_size + p_partkey % 3 - 1 + 0.5 as was, p_size % 2 = 0 as stock, false as six from part
-  union all select p_partkey, case when p_partkey % 4 <> 0 then cast(p_size * 5 as double) end, null, false, true from part)
-select concat('https://shop.example/products/h', p_partkey) as url, case when six then 6 else 1 end as pack_size, cast(price as double) as price_aud, cast(case when was > price then was end as double) as was_price_aud,
-  cast(case when six then floor(price / 6 * 100 + 0.5) / 100 else price end as double) as unit_price_aud, stock as in_stock from v""")
+_STORE_ROWS = f"""v as (select *, 0 as place, 'Default Title' as variant, p_size + 0.5 as price, p_size + p_partkey % 3 - 1 + 0.5 as was, p_size % 2 = 0 as stock, cast(null as varchar) as barcode from part
+  union all select *, 1, '6 Pack', case when p_partkey % 4 <> 0 then cast(p_size * 5 as double) end, null, false, lpad(cast(p_partkey as varchar), 13, '0') from part),
+blobs as (select *, concat_ws(' ', p_name, variant, p_type, concat('x ', lower(p_type))) as blob, lower(concat_ws(' ', p_type, concat('x ', lower(p_type)), p_name)) as about,
+  case when place = 0 then {sqltext.clean("p_name")} else {sqltext.stripped(f"concat_ws(' ', {sqltext.clean('p_name')}, {sqltext.clean('variant')})")} end as name from v),
+parsed as (select *, p_brand as brand, {sqltext.volume("blob")} as volume_ml, coalesce({sqltext.pack("blob")}, 1) as pack_size, {sqltext.year("p_name", int(AS_OF[:4]))} as vintage, {sqltext.category("about")} as category from blobs)"""
+
+
+@query(f"""
+with {_STORE_ROWS}
+select concat('https://shop.example/products/h', p_partkey) as url, pack_size, cast(price as double) as price_aud, cast(case when was > price then was end as double) as was_price_aud,
+  cast(case when pack_size > 1 then floor(price / pack_size * 100 + 0.5) / 100 else price end as double) as unit_price_aud, stock as in_stock from parsed""")
 def storefront_offers(spark, sf_dir):
-    return _storefront(spark, sf_dir)[1].select("url", "pack_size", "price_aud", "was_price_aud", "unit_price_aud", "in_stock").withColumn("pack_size", F.expr("case when pack_size = 6 then 6 else 1 end"))
+    return _storefront(spark, sf_dir)[1].select("url", "pack_size", "price_aud", "was_price_aud", "unit_price_aud", "in_stock")
+
+
+_RECORD = ("product_key", "name", "brand", "category", "subcategory", "volume_ml", "vintage", "abv", "gtin", "source_product_id")
+
+
+@query(f"""
+with {_STORE_ROWS}, {sqltext.keyed("parsed", "keyed")}
+select product_key, name, brand, category, p_type as subcategory, volume_ml, vintage, {sqltext.abv("concat_ws(' ', p_name, '')")} as abv, nullif(barcode, '') as gtin, cast(p_partkey as varchar) as source_product_id
+from (select *, row_number() over (partition by product_key order by p_partkey, place) as rn from keyed) where rn = 1""")
+def storefront_products(spark, sf_dir):
+    return _storefront(spark, sf_dir)[0].select(*_RECORD)
 
 
 @query("""
@@ -43,6 +62,10 @@ select concat('https://s/', p_partkey) as url, cast(floor(cents + 0.5) / 100 as
   case when p_partkey % 3 = 0 then 'special' end as promo, p_size % 2 = 0 as in_stock, cast(floor(least(1, (p_partkey % 7) / 5.0) * 10000 + 0.5) / 10000 as double) as aggregate_rating_norm, nullif(cast(p_partkey % 5 as integer), 0) as aggregate_review_count
 from items where cents > 0""")
 def product_api_offers(spark, sf_dir):
+    return _product_api(spark, sf_dir)[1].select("url", "price_aud", "was_price_aud", "promo", "in_stock", "aggregate_rating_norm", "aggregate_review_count")
+
+
+def _product_api(spark, sf_dir):
     cents = "(p_size * 100 + p_partkey % 100)"
     money = lambda x: f"concat({x} div 100, '.', lpad({x} % 100, 2, '0'))"
     p = _parts(
@@ -50,7 +73,17 @@ def product_api_offers(spark, sf_dir):
         "p_partkey % 3 = 0 as IsOnSpecial", "p_size % 2 = 0 as IsAvailable", "cast(p_partkey % 7 as double) as OverallRating", "cast(p_partkey % 5 as int) as NumberOfReviews",
         "array(named_struct('Name', 'vintage', 'Value', '2019'), named_struct('Name', 'alcohol%', 'Value', concat(p_size % 15, '.5%')), named_struct('Name', 'vintage', 'Value', '2020')) as AdditionalDetails", "concat('https://s/', p_partkey) as url", "p_partkey as ord",
     )
-    return adapters.product_api(p, AS_OF, "api", "Api", "https://img/")[1].select("url", "price_aud", "was_price_aud", "promo", "in_stock", "aggregate_rating_norm", "aggregate_review_count")
+    return adapters.product_api(p, AS_OF, "api", "Api", "https://img/")
+
+
+@query(f"""
+with parsed as (select *, {sqltext.stripped("p_name")} as plain, {sqltext.clean(sqltext.stripped("p_name"))} as name, p_brand as brand, p_size * 10 as volume_ml, 2020 as vintage, coalesce({sqltext.pack("p_name")}, 1) as pack_size, {sqltext.category("lower(p_name)")} as category from part),
+{sqltext.keyed("parsed", "keyed")}
+select product_key, name, brand, category, cast(null as varchar) as subcategory, volume_ml, vintage, cast(p_size % 15 as double) + 0.5 as abv, cast(null as varchar) as gtin, cast(p_partkey as varchar) as source_product_id
+from (select *, row_number() over (partition by product_key order by p_partkey) as rn from keyed) where rn = 1""")
+def product_api_products(spark, sf_dir):
+    """Of a detail that is told twice the last counts: vintage 2020, after 2019."""
+    return _product_api(spark, sf_dir)[0].select(*_RECORD)
 
 
 @query("""
@@ -58,11 +91,24 @@ with x as (select p_partkey, p_size * 100 as cents, case when p_partkey % 2 = 0
 b as (select *, special > 0 and (coalesce(cents, 0) <= 0 or special < cents) as use from x)
 select concat('https://store/p', p_partkey) as url, cast(case when use then special else cents end / 100.0 as double) as price_aud, case when use then 'special' end as promo from b where case when use then special else cents end > 0""")
 def store_item_offers(spark, sf_dir):
+    return _store_items(spark, sf_dir)[1].select("url", "price_aud", "promo")
+
+
+def _store_items(spark, sf_dir):
     p = _parts(
         spark, sf_dir, "p_name as fullName", "p_name as name", "p_size * 10 as unitSize", "6 as packQty", "array('12', lpad(p_partkey, 13, '0')) as barcodes", "p_type as `group`", "concat('p', p_partkey) as slug", "p_partkey as id", "p_size * 100 as price_cents",
         "case when p_partkey % 2 = 0 then p_size * 100 + (p_partkey % 5 - 2) * 50 when p_partkey % 3 = 0 then 0 end as special_cents", "'s1' as store", "p_partkey as ord",
     )
-    return adapters.store_items(p, AS_OF, "store", "Store", "https://store/")[1].select("url", "price_aud", "promo")
+    return adapters.store_items(p, AS_OF, "store", "Store", "https://store/")
+
+
+@query(f"""
+with parsed as (select *, {sqltext.clean("p_name")} as name, cast(null as varchar) as brand, p_size * 10 as volume_ml, {sqltext.year("p_name", int(AS_OF[:4]))} as vintage, {sqltext.category("lower(concat_ws(' ', p_type, p_name))")} as category from part),
+{sqltext.keyed("parsed", "keyed")}
+select product_key, name, brand, category, p_type as subcategory, volume_ml, vintage, {sqltext.abv("p_name")} as abv, lpad(cast(p_partkey as varchar), 13, '0') as gtin, cast(p_partkey as varchar) as source_product_id, 6 as carton_qty
+from (select *, row_number() over (partition by product_key order by p_partkey) as rn from keyed) where rn = 1""")
+def store_item_products(spark, sf_dir):
+    return _store_items(spark, sf_dir)[0].select(*_RECORD, "carton_qty")
 
 
 # --- structured data in pages -----------------------------------------------------
@@ -93,29 +139,29 @@ def jsonld_depth(spark, sf_dir):
 
 
 # --- reviews -----------------------------------------------------------------------
-@query("""
-select concat('n', doc_id) as source_url, cast(length(trim(regexp_replace(regexp_replace(concat('<p>', coalesce(text, ''), '</p> Tasted <b>twice</b> with care, over a long dinner.'), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))) as bigint) as text_length,
-  case when doc_id % 4 <> 0 then cast(80 + doc_id % 21 as double) end as rating_raw, case when doc_id % 4 <> 0 then cast(80 + doc_id % 21 as double) / 100 end as rating_norm, '2025-03-04' as review_date
-from documents where doc_id % 5 <> 0 and not regexp_matches(coalesce(text, ''), '[&\\x{a0}\\x{85}\\x{2000}-\\x{3000}]')""")
-def post_reviews(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("not rlike(coalesce(text, ''), '[&\\\\x{a0}\\\\x{85}\\\\x{2000}-\\\\x{3000}]')")
-    items = d.selectExpr("case when doc_id % 5 <> 0 then concat('<b>Note</b> ', doc_id) else '<i></i>' end as title", "concat('<p>', coalesce(text, ''), '</p> Tasted <b>twice</b> with care, over a long dinner.') as content", "case when doc_id % 4 <> 0 then concat(' ', 80 + doc_id % 21, ' ') else 'none' end as points", "concat('n', doc_id) as link", "'2025-03-04T10:00:00' as date")
-    return adapters.posts(items, AS_OF, "notes").select("source_url", F.length("text").cast("long").alias("text_length"), "rating_raw", "rating_norm", "review_date")
+_POST = "concat('<p>', coalesce(text, ''), '</p> Tasted <b>twice</b> with care, over a long dinner.')"
 
 
-_TURNS = "array_agg(struct(turn, role, text) order by turn)"
+@query(f"""
+select concat('n', doc_id) as source_url, cast(length({sqltext.strip_html(_POST)}) as bigint) as text_length, md5({sqltext.strip_html(_POST)}) as text_md5,
+  case when doc_id % 4 <> 0 then cast(80 + doc_id % 21 as double) end as rating_raw, case when doc_id % 4 <> 0 then cast(80 + doc_id % 21 as double) / 100 end as rating_norm, '2025-03-04' as review_date
+from documents where doc_id % 5 <> 0""")
+def post_reviews(spark, sf_dir):
+    """Every fifth post has no title, and so is no review."""
+    items = table(spark, sf_dir, "documents").selectExpr("case when doc_id % 5 <> 0 then concat('<b>Note</b> ', doc_id) else '<i></i>' end as title", f"{_POST} as content", "case when doc_id % 4 <> 0 then concat(' ', 80 + doc_id % 21, ' ') else 'none' end as points", "concat('n', doc_id) as link", "'2025-03-04T10:00:00' as date")
+    return adapters.posts(items, AS_OF, "notes").select("source_url", F.length("text").cast("long").alias("text_length"), F.md5("text").alias("text_md5"), "rating_raw", "rating_norm", "review_date")
 
 
-@query("""
-select concat('c', conv_id) as source_url, cast(length(trim(text)) as bigint) as text_length, role as author, cast(turn % 6 as double) as rating_raw, cast(floor(least(1, (turn % 6) / 5.0) * 10000 + 0.5) / 10000 as double) as rating_norm, case when conv_id % 2 = 0 then turn = 1 end as recommended
-from conversations where conv_id is not null and length(trim(coalesce(text, ''))) >= 15 and text = trim(text) and not regexp_matches(text, '^\\s|\\s$')""")
+@query(f"""
+select concat('c', conv_id) as source_url, cast(length({sqltext.stripped("text")}) as bigint) as text_length, md5({sqltext.stripped("text")}) as text_md5, role as author, cast(turn % 6 as double) as rating_raw, cast(floor(least(1, (turn % 6) / 5.0) * 10000 + 0.5) / 10000 as double) as rating_norm, case when conv_id % 2 = 0 then turn = 1 end as recommended
+from conversations where conv_id is not null and length({sqltext.stripped("coalesce(text, '')")}) >= 15""")
 def api_review_dialects(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").where("conv_id is not null and text = trim(text) and not rlike(text, '^\\\\s|\\\\s$')")
+    c = table(spark, sf_dir, "conversations").where("conv_id is not null")
     first = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.struct(t["text"].alias("LongDesc"), t["role"].alias("Name"), (t["turn"] % 6).cast("double").alias("Rating"), F.lit("t").alias("Title"), F.lit("3 June 2025").alias("DateSubmitted"), (t["turn"] == 1).alias("IsRecommended"), F.lit(1).alias("Likes"), F.lit(None).cast("string").alias("SyndReviewSource")))
     second = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.struct(t["text"].alias("description"), t["role"].alias("displayName"), (t["turn"] % 6).cast("double").alias("rating"), F.lit("t").alias("title"), F.lit("2025-06-03").alias("date"), F.lit(None).cast("boolean").alias("wouldRecommend"), F.lit(1).alias("helpful_yes"), F.lit(None).cast("string").alias("SourceClient")))
     both = c.groupBy("conv_id").agg(first.alias("a"), second.alias("b"))
     payloads = both.select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("url"), F.lit("p").alias("product_name"), F.when(F.col("conv_id") % 2 == 0, F.col("a")).alias("Reviews"), F.when(F.col("conv_id") % 2 != 0, F.col("b")).alias("reviews_b"))
-    return adapters.api_reviews(payloads, AS_OF, "api").select("source_url", F.length("text").cast("long").alias("text_length"), "author", "rating_raw", "rating_norm", "recommended")
+    return adapters.api_reviews(payloads, AS_OF, "api").select("source_url", F.length("text").cast("long").alias("text_length"), F.md5("text").alias("text_md5"), "author", "rating_raw", "rating_norm", "recommended")
 
 
 @query("""
@@ -123,11 +169,12 @@ with h as (select l_partkey, l_linenumber, count(*) as n from lineitem group by
 s as (select l_partkey, string_agg(concat(l_linenumber, '=', n), ';' order by l_linenumber) as histogram, cast(sum(n) as integer) as total, sum(n * l_linenumber) * 1.0 / sum(n) as average from h group by 1)
 select concat('p', l_partkey) as source_url, case when l_partkey % 2 = 0 then histogram end as histogram, total as total_reviews, floor(case when l_partkey % 2 = 0 then average else 4.0 end * 10000 + 0.5) / 10000 as average_rating, case when l_partkey % 2 = 0 then 90.0 else 87.0 end as pct_recommend from s""")
 def api_summary_dialects(spark, sf_dir):
+    """Each first star stands twice, and every third product's total is under its other name."""
     h = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linenumber").agg(F.count("*").alias("n"))
     s = h.groupBy("l_partkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("RatingValue"), F.col("n").alias("Count")))).alias("hist"), F.sum("n").alias("total"), (F.sum(F.col("n") * F.col("l_linenumber")) / F.sum("n")).alias("average"))
     even = F.col("l_partkey") % 2 == 0
     overall = F.struct(F.lit(4.0).alias("rating"), F.col("total").alias("totalReviews"), F.lit("87 %").alias("percentageRecommending"))
-    payloads = s.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("url"), F.lit("n").alias("product_name"), F.when(even, F.col("hist")).alias("RatingDistribution"), F.col("average").alias("OverallRating"), F.col("total").alias("TotalReviewCount"), F.lit(90).alias("RecommendedPercentage"), overall.alias("overall"))
+    payloads = s.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("url"), F.lit("n").alias("product_name"), F.when(even, F.concat(F.slice("hist", 1, 1), "hist")).alias("RatingDistribution"), F.col("average").alias("OverallRating"), F.when(F.col("l_partkey") % 3 != 0, F.col("total")).when(F.col("l_partkey") % 4 == 0, F.lit(0)).alias("TotalReviewCount"), F.col("total").alias("TotalResults"), F.lit(90).alias("RecommendedPercentage"), overall.alias("overall"))
     text = F.array_join(F.transform(F.array_sort(F.map_entries("distribution")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
     return adapters.api_summaries(payloads, AS_OF, "api").select("source_url", text.alias("histogram"), "total_reviews", "average_rating", "pct_recommend")
 
@@ -159,25 +206,39 @@ def tiles_of_two_parts(spark, sf_dir):
 
 
 # --- captured pages ---------------------------------------------------------------------
-@query("""
-with r as (select doc_id, trim(coalesce(text, '')) as t, doc_id % 6 as raw, case when doc_id % 2 = 0 then 10 end as scale from documents where not regexp_matches(coalesce(text, ''), '^\\s|\\s$'))
-select concat('https://r/', doc_id) as source_url, cast(length(t) as bigint) as text_length, cast(floor(least(1, raw / cast(coalesce(scale, 5) as double)) * 10000 + 0.5) / 10000 as double) as rating_norm, 'unknown' as source, '2026-06-19' as review_date from r where length(t) >= 15""")
+@query(f"""
+with r as (select doc_id, {sqltext.stripped("coalesce(text, '')")} as t, doc_id % 6 as raw, case when doc_id % 2 = 0 then 10 end as scale from documents)
+select concat('https://r/', doc_id) as source_url, cast(length(t) as bigint) as text_length, md5(t) as text_md5, cast(floor(least(1, raw / cast(coalesce(scale, 5) as double)) * 10000 + 0.5) / 10000 as double) as rating_norm, 'unknown' as source, '2026-06-19' as review_date from r where length(t) >= 15""")
 def captured_reviews(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("not rlike(coalesce(text, ''), '^\\\\s|\\\\s$')")
+    d = table(spark, sf_dir, "documents")
     items = d.selectExpr("'' as source", "cast(null as string) as subject_type", "concat('https://r/', doc_id) as source_url", "'p' as product_name_raw", "cast(null as string) as author", "'t' as title", "text", "cast(doc_id % 6 as double) as rating_raw", "case when doc_id % 2 = 0 then 10.0 end as rating_scale", "'19 June 2026' as review_date", "'Newest' as sort_order", "doc_id as ord")
-    return adapters.ingest_reviews(items, AS_OF).select("source_url", F.length("text").cast("long").alias("text_length"), "rating_norm", "source", "review_date")
+    return adapters.ingest_reviews(items, AS_OF).select("source_url", F.length("text").cast("long").alias("text_length"), F.md5("text").alias("text_md5"), "rating_norm", "source", "review_date")
 
 
 @query("""
 with o as (select p_partkey, cast(p_size as double) + 0.5 as price, case when p_partkey % 2 = 0 then cast(p_size as double) end as member from part where p_partkey % 4 <> 0 union all select p_partkey, null, case when p_partkey % 2 = 0 then cast(p_size as double) end from part where p_partkey % 4 = 0)
 select concat('https://c/', p_partkey) as url, 'The Shop' as retailer, price as price_aud, member as member_price_aud, case when p_partkey % 3 = 0 and price is not null then price + 2 end as was_price_aud, case p_partkey % 3 when 0 then true when 1 then false end as in_stock from o where coalesce(price, member) is not null""")
 def captured_offers(spark, sf_dir):
+    return _captured(spark, sf_dir)[1].select("url", "retailer", "price_aud", "member_price_aud", "was_price_aud", "in_stock")
+
+
+def _captured(spark, sf_dir):
     items = _parts(
         spark, sf_dir, "'shop' as source", "'The Shop' as retailer", "concat('https://c/', p_partkey) as source_url", "cast(p_partkey as string) as source_product_id", "concat(p_name, ' no', p_partkey) as name_raw", "p_brand as brand_raw", "cast(null as string) as description_raw", "p_type as subcategory_raw",
         "case when p_partkey % 4 <> 0 then concat('$', p_size, '.50') end as price_raw", "case when p_partkey % 2 = 0 then concat('$', p_size) end as member_price_raw", "case p_partkey % 3 when 0 then concat(p_size + 2, '.50') else '0.10' end as was_price_raw", "cast(null as string) as promo_raw", "cast(null as string) as unit_raw",
         "case p_partkey % 3 when 0 then 'https://schema.org/InStock' when 1 then 'Sold out' end as availability_raw", "4.0 as aggregate_rating_raw", "5.0 as aggregate_rating_scale", "7 as aggregate_review_count", "'i' as image_url", "cast(null as string) as gtin", "'AUD' as currency", "p_partkey as ord",
     )
-    return adapters.ingest_products(items, AS_OF, {"shop": "The Shop"})[1].select("url", "retailer", "price_aud", "member_price_aud", "was_price_aud", "in_stock")
+    return adapters.ingest_products(items, AS_OF, {"shop": "The Shop"})
+
+
+@query(f"""
+with raw as (select *, concat(p_name, ' no', p_partkey) as name_raw, concat_ws(' ', concat(p_name, ' no', p_partkey), p_type, '') as blob from part),
+parsed as (select *, {sqltext.clean("name_raw")} as name, p_brand as brand, {sqltext.volume("blob")} as volume_ml, {sqltext.year("name_raw", int(AS_OF[:4]))} as vintage, {sqltext.category("lower(concat_ws(' ', p_type, name_raw))")} as category from raw),
+{sqltext.keyed("parsed", "keyed")}
+select product_key, name, brand, category, p_type as subcategory, volume_ml, vintage, {sqltext.abv("blob")} as abv, cast(null as varchar) as gtin, cast(p_partkey as varchar) as source_product_id
+from (select *, row_number() over (partition by product_key order by p_partkey) as rn from keyed) where rn = 1""")
+def captured_products(spark, sf_dir):
+    return _captured(spark, sf_dir)[0].select(*_RECORD)
 
 
 # --- what came back, by address -------------------------------------------------------------
@@ -210,3 +271,69 @@ def reviews_by_path(spark, sf_dir):
 def default_url(spark, sf_dir):
     codes, known = _parts(spark, sf_dir, "p_partkey as code"), _targets(spark, sf_dir).select(F.col("position").alias("code"), "url")
     return state.url_or_default(codes, known, "code", "https://shop.example/product/")
+
+
+# --- cards of pages ---------------------------------------------------------------------------
+_CARD = """concat('<!-- <div class="review-card"> --><DIV class="x review-card"><h3 class="review-card__title">T', doc_id, '</h3></i>', case when doc_id % 4 <> 0 then concat('<span class="review-card__sdesc">by<br> ', lang, '</span>') else '' end,
+  '<p class="review-card__ldesc">', replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), ' Read more</p>', repeat('<b class="rating-icon checked"></b>', cast(doc_id % 6 as int)), '</div><![foo[x]]>')"""
+
+
+def _card_pages(spark, sf_dir) -> DataFrame:
+    """A hundred documents as review cards to a page."""
+    each = table(spark, sf_dir, "documents").selectExpr("concat('https://r/', doc_id div 100) as url", "doc_id", f"{_CARD} as card")
+    return each.groupBy("url").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "card"))), lambda x: x["card"]), "\n").alias("html"))
+
+
+@query(f"""
+with t as (select doc_id, concat('https://r/', doc_id // 100) as url, case when doc_id % 4 <> 0 then concat('by ', lang) end as author, trim(regexp_replace(concat(coalesce(text, ''), ' Read more'), '[{sqltext.WHITE}\\x1c-\\x1f]+', ' ', 'g')) as shown, doc_id % 6 as stars from documents),
+d as (select *, {sqltext.stripped("regexp_replace(regexp_replace(shown, '(?i)\\s*Read (?:more|less)\\s*$', ''), '[\\s^]+$', '')")} as body from t),
+k as (select *, row_number() over (partition by url, substr(body, 1, 120), coalesce(author, '') order by concat('T', doc_id), body) as rn from d where length(body) >= 15)
+select url, concat('T', doc_id) as title, author, md5(body) as text_md5, cast(nullif(stars, 0) as double) as rating_raw, cast(5 as double) as rating_scale, 'retailer_cards' as source from k where rn = 1""")
+def site_review_cards(spark, sf_dir):
+    """Pages with comments, unknown declarations, stray end tags and capitals in their markup."""
+    found = cards.site_reviews(_card_pages(spark, sf_dir), "url", "html", "retailer_cards", "cards")
+    return found.select("url", "title", "author", F.md5("text").alias("text_md5"), "rating_raw", "rating_scale", "source")
+
+
+@query("""
+with r as (select p_partkey, unnest(['One', 'Two']) as name, unnest([0, 1]) as k from part), w as (select *, unnest(range(0, cast(1 + (p_partkey + k) % 2 as bigint))) as n from r)
+select concat('https://p/', p_partkey) as url, concat(name, ' ', p_partkey) as product_name_raw, concat('A', n) as author, concat('Review ', n, ' of ', name, ', which is long enough') as text, cast(1 + n as double) as rating_raw from w""")
+def product_review_arrays(spark, sf_dir):
+    """Two products to a page, each with one review or two: every review is its own product's."""
+    review = lambda name, n: f"""concat('{{"@type":"Review","author":{{"name":"A{n}"}},"reviewBody":"Review {n} of {name}, which is long enough","reviewRating":{{"ratingValue":{n + 1},"bestRating":5}}}}')"""
+    product = lambda name, at: f"""concat('{{"@type":"Product","name":"{name} ', p_partkey, '","review":[', {review(name, 0)}, case when (p_partkey + {at}) % 2 = 1 then concat(',', {review(name, 1)}) else '' end, ']}}')"""
+    page = f"""concat('<script type="application/ld+json">[', {product("One", 0)}, ',', {product("Two", 1)}, ']</script>')"""
+    pages = _parts(spark, sf_dir, "concat('https://p/', p_partkey) as url", f"{page} as html")
+    return jsonld.review_arrays(jsonld.nodes(pages, "url", "html", ["Product"]), "url").select("url", "product_name_raw", "author", "text", "rating_raw")
+
+
+@query("""
+with h as (select l_partkey, l_linenumber, count(*) as n from lineitem group by 1, 2), s as (select l_partkey, string_agg(concat(l_linenumber, '=', n), ';' order by l_linenumber) as histogram, sum(n) as total from h group by 1)
+select concat('https://c/', l_partkey) as url, case when l_partkey % 3 <> 0 then histogram end as histogram, cast(case when l_partkey % 3 <> 0 then total else l_partkey + 1 end as integer) as total_reviews, case when l_partkey % 3 = 0 then 3.5 when l_partkey % 2 = 0 then 4.25 end as average_rating, case when l_partkey % 3 <> 0 and l_partkey % 2 = 0 then 81.0 end as pct_recommend from s""")
+def page_rating_charts(spark, sf_dir):
+    """Charts of stars, whose first row stands twice with another count, beside what pages say in words; every third page has structured data alone."""
+    h = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linenumber").agg(F.count("*").alias("n"))
+    row = lambda n: F.concat(F.lit('<li class="rating-chart__row"><b class="rating-chart__rating">'), F.col("l_linenumber").cast("string"), F.lit('</b><i class="rating-chart__review-count">('), n, F.lit(" reviews)</i></li>"))
+    rows = h.groupBy("l_partkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", row(F.lit("9,999")).alias("other"), row(F.format_number("n", 0)).alias("row")))).alias("rows"))
+    chart = F.concat(F.col("rows")[0]["other"], F.array_join(F.transform("rows", lambda r: r["row"]), ""))
+    words = F.when(F.col("l_partkey") % 2 == 0, "<p>Average customer rating: <b>4.25</b></p> <p>81% of reviewers would recommend</p>").otherwise("")
+    data = F.concat(F.lit('<script type="application/ld+json">{"@type":"Product","name":"p","aggregateRating":{"ratingValue":"3.5","reviewCount":'), (F.col("l_partkey") + 1).cast("string"), F.lit("}}</script>"))
+    pages = rows.select(F.concat(F.lit("https://c/"), F.col("l_partkey").cast("string")).alias("url"), F.when(F.col("l_partkey") % 3 == 0, data).otherwise(F.concat(words, F.lit("<ul>"), chart, F.lit("</ul>"))).alias("html"))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("distribution")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
+    return cards.page_summaries(pages, "url", "html").select("url", text.alias("histogram"), "total_reviews", "average_rating", "pct_recommend")
+
+
+@query("select doc_id, case doc_id % 4 when 0 then 'Great stuff' when 1 then 'Great stuff' when 2 then 'Great stuff ^ up' else '' end as plain, case doc_id % 3 when 0 then cast(doc_id as varchar) when 1 then cast(doc_id as varchar) end as product_id from documents")
+def review_labels(spark, sf_dir):
+    """Expanders' labels and carets off, and products' figures out of addresses."""
+    text = F.expr("case doc_id % 4 when 0 then 'Great stuff  Read more ' when 1 then ' Great stuff ^^ ' when 2 then 'Great stuff ^ up' else 'Read less' end")
+    url = F.expr("case doc_id % 3 when 0 then concat('https://s/product/AB_', doc_id, '/name?x=_7') when 1 then concat('https://s/red/x_', doc_id, '?p=1') else concat('https://s/list/', doc_id) end")
+    return table(spark, sf_dir, "documents").select("doc_id", T.detoggled(text).alias("plain"), T.url_product_id(url).alias("product_id"))
+
+
+@query("select p_partkey, case when p_partkey % 3 = 0 then concat('n', p_partkey) end as name_raw, case when p_partkey % 2 = 0 then concat('$', p_size) end as price_raw, min(l_orderkey) as ord from part join lineitem on l_partkey = p_partkey group by all")
+def payload_products(spark, sf_dir):
+    """A product's payload comes once for each of its orders; one of each name, price and address stays."""
+    rows = table(spark, sf_dir, "part").join(table(spark, sf_dir, "lineitem"), F.col("l_partkey") == F.col("p_partkey"))
+    items = rows.selectExpr("p_partkey", "case when p_partkey % 3 = 0 then concat('n', p_partkey) end as name_raw", "case when p_partkey % 2 = 0 then concat('$', p_size) end as price_raw", "concat('https://x/', p_partkey) as source_url", "l_orderkey as ord", "l_linenumber")
+    return dedupe.dedupe_payload_products(items, ["ord", "l_linenumber"]).select("p_partkey", "name_raw", "price_raw", "ord")

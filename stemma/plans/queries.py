@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as T
 from stemma.operators import catalogue, compare, dedupe, resolve, sampling, similarity, state
-from stemma.plans import payloads  # noqa: F401  registers its queries
+from stemma.plans import payloads, sqltext  # noqa: F401  the first registers its queries
 from stemma.plans.registry import ORACLES, QUERIES, query
 from stemma.plans.views import table, view
 from stemma.sources import readers
@@ -100,11 +100,7 @@ def in_stock(spark, sf_dir):
 
 
 # --- text ----------------------------------------------------------------------
-def _first(column: str, pattern: str) -> str:
-    return f"nullif(regexp_extract({column}, '{pattern}', 1), '')"
-
-
-_VOLUME_SQL = f"cast(round_even(coalesce(try_cast({_first('name_raw', T.ML_PATTERN)} as double), try_cast({_first('name_raw', T.LITRE_PATTERN)} as double) * 1000), 0) as integer)"
+_VOLUME_SQL, _PACK_SQL, _YEAR_SQL = sqltext.volume("name_raw"), sqltext.pack("name_raw"), sqltext.year("name_raw", YEAR)
 
 
 @query(f"select ord, {_VOLUME_SQL} as volume_ml from v_listing")
@@ -112,36 +108,27 @@ def parse_volume(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_volume_ml(F.col("name_raw")).alias("volume_ml"))
 
 
-_PACK_SQL = "coalesce(" + ", ".join(f"(case when try_cast({_first('name_raw', p)} as integer) between 1 and 48 then try_cast({_first('name_raw', p)} as integer) end)" for p in T.PACK_PATTERNS) + ")"
-
-
 @query(f"select ord, {_PACK_SQL} as pack_size from v_listing")
 def parse_pack(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_pack_size(F.col("name_raw")).alias("pack_size"))
 
 
-@query(f"select ord, case when v > 0 and v <= 80 then v end as abv from (select ord, try_cast({_first('name_raw', T.ABV_PATTERN)} as double) as v from v_listing)")
+@query(f"select ord, {sqltext.abv('name_raw')} as abv from v_listing")
 def parse_abv(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_abv(F.col("name_raw")).alias("abv"))
 
 
-_YEAR_SQL = f"list_max(list_filter(list_transform(regexp_extract_all(name_raw, '{T.YEAR_PATTERN}', 1), lambda y: cast(y as integer)), lambda y: y <= {YEAR}))"
-
-
 @query(f"select ord, {_YEAR_SQL} as vintage from v_listing")
 def parse_vintage(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_vintage(F.col("name_raw"), YEAR).alias("vintage"))
 
 
-_PRICE_SQL = _first("replace(price_raw, '$', '')", T.PRICE_PATTERN)
-
-
-@query(f"select ord, floor(try_cast(replace({_PRICE_SQL}, ',', '') as double) * 100 + 0.5) / 100 as price, floor(price * 100 + 0.5) / 100 as price_number from v_listing")
+@query(f"select ord, {sqltext.price('price_raw')} as price, floor(price * 100 + 0.5) / 100 as price_number from v_listing")
 def parse_price(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.parse_price(F.col("price_raw")).alias("price"), T.price_number(F.col("price")).alias("price_number"))
 
 
-_CATEGORY_SQL = "case when length(blob) = 0 then null " + " ".join(f"when regexp_matches(blob, '(^|[^a-z])({'|'.join(words)})($|[^a-z])') then '{name}'" for name, words in T.CATEGORY_WORDS.items()) + " else 'other' end"
+_CATEGORY_SQL = sqltext.category("blob")
 
 
 @query(f"select ord, {_CATEGORY_SQL} as category from (select ord, lower(name_raw) as blob from v_listing)")
@@ -169,29 +156,13 @@ def resolve_category(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.resolve_category(T.guess_category(F.col("name_raw")), T.category_from_url(_hinted())).alias("category"))
 
 
-def _clean_sql(column: str) -> str:
-    # DuckDB's patterns cannot look around, so what T looks ahead to and back at is matched and put back.
-    s = f"regexp_replace(coalesce({column}, ''), '{T.SIZES_PATTERN}', ' ', 'g')"
-    s = f"regexp_replace({s}, '([a-z])([A-Z][a-z])', '\\1 \\2', 'g')"
-    s = f"regexp_replace({s}, '{T.SCOTS_PATTERN}', '\\1\\2', 'g')"
-    s = f"regexp_replace({s}, '[–—]', '-', 'g')"
-    s = f"regexp_replace({s}, '(?i)(^|\\s)[x×](\\s|$)', ' \\2', 'g')"
-    s = f"regexp_replace({s}, '{T.LAST_SIGN_PATTERN}', '')"
-    return f"trim(regexp_replace({s}, '\\s{{2,}}', ' ', 'g'))"
-
-
-@query(f"select ord, {_clean_sql('name_raw')} as name from v_listing")
+@query(f"select ord, {sqltext.clean('name_raw')} as name from v_listing")
 def clean_name(spark, sf_dir):
     return view(spark, sf_dir, "listing").select("ord", T.clean_name(F.col("name_raw")).alias("name"))
 
 
-_PRODUCTS = f"""
-named as (select ord, brand, name_raw, gtin, price, size, {_clean_sql("brand")} as b, {_clean_sql("name_raw")} as name, {_VOLUME_SQL} as volume_ml, {_YEAR_SQL} as vintage, coalesce({_PACK_SQL}, 1) as pack_size from v_listing),
-worded as (select *, list_filter(string_split_regex(regexp_replace(lower(concat_ws(' ', b, name)), '[^a-z0-9\\s]', ' ', 'g'), '\\s+'), lambda t: t <> '') as w from named),
-based as (select *, array_to_string(list_filter(w, lambda t, i: list_position(w, t) = i), ' ') as base from worded),
-slugged as (select *, concat(base, case when coalesce(volume_ml, 0) <> 0 then concat(' ', volume_ml, 'ml') else '' end, case when coalesce(vintage, 0) <> 0 then concat(' ', vintage) else '' end) as slug,
-  concat(base, case when coalesce(vintage, 0) <> 0 then concat(' ', vintage) else '' end) as bare_slug from based),
-products as (select *, substr(sha1(slug), 1, 16) as product_key from slugged)"""
+_PRODUCTS = f"""named as (select ord, brand, name_raw, gtin, price, size, {sqltext.clean("name_raw")} as name, {_VOLUME_SQL} as volume_ml, {_YEAR_SQL} as vintage, coalesce({_PACK_SQL}, 1) as pack_size from v_listing),
+{sqltext.keyed("named", "products", of="name_raw")}"""
 
 
 def _products(spark, sf_dir) -> DataFrame:
@@ -248,17 +219,7 @@ def url_normalise(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.strip_query(F.col("url")).alias("page"), T.bare_host(F.col("url")).alias("host"))
 
 
-def _decode_sql(s: str) -> str:
-    for a, b in T.ENTITIES.items():
-        s = "replace({}, '{}', '{}')".format(s, a.replace("'", "''"), b.replace("'", "''"))
-    return s
-
-
-def _strip_sql(s: str) -> str:
-    return f"nullif(trim(regexp_replace({_decode_sql(f'regexp_replace({s}, {chr(39)}<[^>]+>{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')}, '[\\s\\x{{A0}}]+', ' ', 'g')), '')"
-
-
-@query(f"select page_id, md5({_strip_sql('html')}) as text_md5 from pages")
+@query(f"select page_id, md5({sqltext.strip_html('html')}) as text_md5 from pages")
 def strip_html(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(T.strip_html(F.col("html"))).alias("text_md5"))
 
@@ -280,7 +241,7 @@ def sitemap_codes(spark, sf_dir):
     return readers.sitemap_codes(xml)
 
 
-@query(f"""with r as (select page_id, {_strip_sql("nullif(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '')")} as name, list_filter(list_transform(regexp_extract_all(html, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1), lambda x: {_strip_sql("x")}), lambda p: length(p) > 80) as ps from pages),
+@query(f"""with r as (select page_id, {sqltext.strip_html("nullif(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '')")} as name, list_filter(list_transform(regexp_extract_all(html, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1), lambda x: {sqltext.strip_html("x")}), lambda p: length(p) > 80) as ps from pages),
   t as (select page_id, name, array_to_string(ps, chr(10) || chr(10)) as text from r) select page_id, md5(name) as name_md5, case when length(text) > 150 then md5(text) end as text_md5 from t""")
 def article_reader(spark, sf_dir):
     a = table(spark, sf_dir, "pages").select("page_id", readers.read_article(F.col("html")).alias("a"))
@@ -375,9 +336,9 @@ def _review_names(spark, sf_dir) -> DataFrame:
 
 _REVIEWS = f"""
 rnamed as (select concat('r', ord) as review_key, case when ord % 11 = 0 then 'retailer' end as subject_type, name_raw from (select ord, concat(brand, ' ', case when ord % 2 = 0 then name_raw else concat(regexp_replace(name_raw, 'e', 'ee', 'g'), ' tasting') end) as name_raw from v_listing)),
-rparsed as (select *, {_clean_sql("name_raw")} as cleaned, {_VOLUME_SQL} as volume_ml, {_YEAR_SQL} as vintage from rnamed),
-rworded as (select *, list_filter(string_split_regex(regexp_replace(lower(cleaned), '[^a-z0-9\\s]', ' ', 'g'), '\\s+'), lambda t: t <> '') as w from rparsed),
-reviews as (select review_key, subject_type, vintage, concat(array_to_string(list_filter(w, lambda t, i: list_position(w, t) = i), ' '), case when coalesce(volume_ml, 0) <> 0 then concat(' ', volume_ml, 'ml') else '' end, case when coalesce(vintage, 0) <> 0 then concat(' ', vintage) else '' end) as slug from rworded),
+rparsed as (select *, cast(null as varchar) as brand, {_VOLUME_SQL} as volume_ml, {_YEAR_SQL} as vintage from rnamed),
+{sqltext.keyed("rparsed", "rkeyed", of="name_raw")},
+reviews as (select review_key, subject_type, vintage, slug from rkeyed),
 one_product as (select * from (select *, row_number() over (partition by product_key order by ord) as rn from products) where rn = 1)"""
 
 
@@ -415,12 +376,43 @@ def fuzzy_link_levenshtein(spark, sf_dir):
     return similarity.fuzzy_link(_review_names(spark, sf_dir), _unique_products(spark, sf_dir), scorer="levenshtein")
 
 
-@query()
+def _ratio_sql(name: str, pairs: str) -> str:
+    """Common table expressions that end in name(slug, cand, ratio): of different pairs the similarity by longest blocks. The longest string of a that b holds, first in a and
+    then in b, is a block; what stands before it in both, and after it, is compared alike."""
+    longest = "list_max(list_transform(range(1, length(a) + 1), lambda i: {'l': list_max(list_filter(range(0, length(a) - i + 2), lambda l: contains(b, substr(a, i, l)))), 'i': -i}))"
+    return f"""{name}_seg(slug, cand, a, b, n) as (select slug, cand, slug, cand, 0::bigint from {pairs}
+  union all select slug, cand, p.a, p.b, p.n from (
+    select slug, cand, unnest([{{'a': substr(a, 1, here - 1), 'b': substr(b, 1, there - 1), 'n': long}}, {{'a': substr(a, here + long), 'b': substr(b, there + long), 'n': 0::bigint}}]) as p
+    from (select slug, cand, a, b, m.l as long, -m.i as here, strpos(b, substr(a, -m.i, m.l)) as there from (select slug, cand, a, b, {longest} as m from {name}_seg where a <> '' and b <> '')) where long > 0)),
+{name} as (select slug, cand, case when length(slug) + length(cand) = 0 then 1.0 else 2.0 * sum(n) / (length(slug) + length(cand)) end as ratio from {name}_seg group by slug, cand)"""
+
+
+# What letters alone allow two names: pairs that cannot reach a score need not be compared.
+_ALLOWED = """2.0 * list_sum(list_transform(list_distinct(string_split(r.slug, '')), lambda c: least(length(r.slug) - length(replace(r.slug, c, '')), length(p.slug) - length(replace(p.slug, c, ''))))) / (length(r.slug) + length(p.slug))"""
+_NAMED = f"""named_pairs as (select c.review_key, c.product_key, c.overlap, r.slug, p.slug as cand, {_ALLOWED} as allowed from candidates c join reviews r using (review_key) join one_product p on c.product_key = p.product_key)"""
+
+
+@query(f"""with recursive {_PRODUCTS}, {_REVIEWS}, {_POSTINGS}, {_CANDIDATES}, {_NAMED}, promising as (select distinct slug, cand from named_pairs where allowed >= 0.8599),
+  {_ratio_sql("scored", "promising")},
+  best as (select review_key, product_key, overlap, floor(ratio * 10000 + 0.5) / 10000 as match_score, row_number() over (partition by review_key order by ratio desc, overlap desc, product_key) as rn from named_pairs join scored using (slug, cand))
+  select review_key, product_key, overlap, match_score from best where rn = 1 and match_score >= 0.86""")
 def fuzzy_link_ratio(spark, sf_dir):
     return similarity.fuzzy_link(_review_names(spark, sf_dir), _unique_products(spark, sf_dir))
 
 
-@query()
+# The pair whose letters allow most is compared first; others only if theirs allow as much as it has.
+@query(f"""with recursive {_PRODUCTS}, {_REVIEWS}, {_POSTINGS}, {_CANDIDATES}, {_NAMED},
+  mine as (select * from reviews where coalesce(subject_type, 'product') <> 'retailer'),
+  exact as (select review_key, product_key from mine join (select slug, min_by(product_key, ord) as product_key from one_product where slug <> '' group by slug) using (slug)),
+  open_pairs as (select * from named_pairs where review_key in (select review_key from mine) and review_key not in (select review_key from exact)),
+  likeliest as (select distinct slug, max_by(cand, (allowed, cand)) over (partition by slug) as cand from open_pairs),
+  {_ratio_sql("likely", "likeliest")},
+  rest as (select distinct o.slug, o.cand from open_pairs o join likely l on o.slug = l.slug where o.allowed >= l.ratio),
+  {_ratio_sql("scored", "rest")},
+  best as (select * from (select review_key, product_key, floor(ratio * 10000 + 0.5) / 10000 as match_score, row_number() over (partition by review_key order by ratio desc, overlap desc, product_key) as rn from open_pairs join scored using (slug, cand)) where rn = 1)
+  select review_key, product_key, 1.0::double as match_score, null as match_reason from exact
+  union all select m.review_key, b.product_key, b.match_score, case when b.product_key is null then 'no candidate' when m.vintage <> p.vintage then 'vintage conflict' when b.match_score < 0.86 then 'below threshold' end
+  from mine m left join best b using (review_key) left join one_product p on p.product_key = b.product_key where m.review_key not in (select review_key from exact)""")
 def link_reviews(spark, sf_dir):
     """Linked and queued reviews with score and reason."""
     linked, queue = resolve.link(_review_names(spark, sf_dir), _unique_products(spark, sf_dir), ["ord"])
@@ -667,3 +659,49 @@ def price_of_cents(spark, sf_dir):
     cents = F.floor(F.col("p_retailprice") * 100)
     p = T.price_of_cents(F.when(F.col("p_size") % 7 != 0, cents), F.when(F.col("p_size") % 2 == 0, cents - F.col("p_size") * 10 + 200))
     return table(spark, sf_dir, "part").select("p_partkey", p.alias("p")).select("p_partkey", "p.price", "p.special")
+
+
+# --- one order of a whole table -----------------------------------------------------
+@query("select event_id, cast((row_number() over (order by ts, event_id) - 1) // 48 as bigint) as batch from events")
+def batch_ids_whole(spark, sf_dir):
+    return sampling.batch_ids(table(spark, sf_dir, "events"), 48, ["ts", "event_id"]).select("event_id", "batch")
+
+
+@query("with s as (select event_id, cast(floor(value / 50) as bigint) as n from events), g as (select *, n - lag(n) over (order by event_id) as gained from s), r as (select *, count_if(coalesce(gained <> 0, true)) over (order by event_id) as run from g) select event_id, n, gained, case when coalesce(gained = 0, false) then (row_number() over (partition by run order by event_id) - 1)::integer else 0 end as stalls from r")
+def stall_runs_whole(spark, sf_dir):
+    """All events as one sweep."""
+    snaps = table(spark, sf_dir, "events").select("event_id", F.floor(F.col("value") / 50).alias("n"))
+    return state.stall_runs(snaps, "event_id", "n")
+
+
+@query(f"""with {_LEASE}, asked as (select s_suppkey as worker, s_nationkey as since, row_number() over (order by s_nationkey, s_suppkey) as n from supplier),
+  free as (select concat('t', c_custkey) as target, c_custkey as position, row_number() over (order by c_custkey) as n from customer left join leases on target = concat('t', c_custkey) where coalesce(eligible, true))
+  select worker, since, target, position from asked join free using (n)""")
+def hand_out(spark, sf_dir):
+    """Every supplier asks for a target at once; each gets another one, in the order in which they ask."""
+    queue = table(spark, sf_dir, "customer").select(F.concat(F.lit("t"), F.col("c_custkey").cast("string")).alias("target"), F.col("c_custkey").alias("position"))
+    requests = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("worker"), F.col("s_nationkey").alias("since"))
+    return state.hand_out(_leases(spark, sf_dir), queue, requests, ["since", "worker"])
+
+
+@query("""with e as (select user_id, ts, event_id, ts + case when event_type = 'view' then interval 900 minutes else interval 240 minutes end as until from events),
+  s as (select *, case when ts <= max(until) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) then 0 else 1 end as new from e),
+  g as (select *, sum(new) over (partition by user_id order by ts, event_id) as k from s) select user_id, min(ts) as start, max(until) as "end", count(*) as events from g group by user_id, k""")
+def silence_sessions(spark, sf_dir):
+    """Silence of another length after each kind of event; the tables' events are minutes and hours apart, so minutes stand for seconds."""
+    gap = F.when(F.col("event_type") == "view", "900 minutes").otherwise("240 minutes")
+    return state.idle_sessions(table(spark, sf_dir, "events"), "user_id", "ts", gap)
+
+
+# --- addresses -------------------------------------------------------------------------
+_REFS = {0: "'a/b;c?d=1#e'", 1: "'../up/./x/..'", 2: "'/root?q#f'", 3: "'//cdn.example/p'", 4: "'#frag'", 5: "'?only=q'", 6: "''", 7: "'mailto:x@y'"}
+_REF_SQL = "case page_id % 8 " + " ".join(f"when {k} then {v}" for k, v in _REFS.items()) + " end"
+
+
+@query(f"""with u as (select page_id, url, {_REF_SQL} as ref, regexp_extract(url, '^([a-z]+)://', 1) as scheme, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) as host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) as path, regexp_extract(url, '\\?([^#]*)', 1) as asked from pages),
+  d as (select *, regexp_extract(path, '^(.*/)[^/]*$', 1) as folder from u), p as (select *, concat(scheme, '://', host) as site, regexp_replace(folder, '[^/]*/$', '') as up from d)
+  select page_id, case page_id % 8 when 0 then concat(site, folder, 'a/b;c?d=1#e') when 1 then concat(site, case when up in ('', '/') then '/' else up end, 'up/') when 2 then concat(site, '/root?q#f') when 3 then concat(scheme, '://cdn.example/p')
+    when 4 then concat(site, path, case when asked <> '' then concat('?', asked) else '' end, '#frag') when 5 then concat(site, path, '?only=q') when 6 then url else 'mailto:x@y' end as absolute from p""")
+def absolute_urls(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.expr(_REF_SQL).alias("ref"))
+    return pages.select("page_id", T.absolute_url(F.col("url"), F.col("ref")).alias("absolute"))

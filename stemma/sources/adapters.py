@@ -32,8 +32,8 @@ def _offers(df: DataFrame, as_of: str) -> DataFrame:
     return conform(df.withColumns({"record_type": F.lit("offer"), "scraped_at": F.lit(as_of)}), OFFER)
 
 
-def ingest_products(items: DataFrame, as_of: str, names: dict[str, str], order: str = "ord", url_hint: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw product payloads of captured pages."""
+def parse_products(items: DataFrame, as_of: str, names: dict[str, str], order: str = "ord", url_hint: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Raw product payloads of captured pages, one product and at most one offer each, with __ord; for streams too."""
     c = F.col
     blob = F.concat_ws(" ", c("name_raw"), F.coalesce(c("subcategory_raw"), F.lit("")), F.coalesce(c("description_raw"), F.lit("")))
     volume, vintage = T.parse_volume_ml(blob), T.parse_vintage(c("name_raw"), _year(as_of))
@@ -48,32 +48,46 @@ def ingest_products(items: DataFrame, as_of: str, names: dict[str, str], order:
         }
     )
     df = df.withColumn("product_key", T.product_key(c("brand"), c("name"), c("volume_ml"), c("vintage")))
-    products = _products(df.withColumn("source", F.coalesce("__source", F.lit("unknown"))), as_of, ["__ord"])
+    ordered = ", __ord " + df.schema["__ord"].dataType.simpleString()
+    products = conform(df.withColumns({"source": F.coalesce("__source", F.lit("unknown")), "record_type": F.lit("product"), "scraped_at": F.lit(as_of)}), PRODUCT + ordered)
     offers = df.where("coalesce(price_aud, member_price_aud) is not null").withColumns(
         {
             "retailer": c("__retailer"), "url": c("source_url"), "was_price_aud": T.was_price(T.parse_price(c("was_price_raw")), c("price_aud")), "unit_price_aud": T.unit_price(c("price_aud"), c("member_price_aud"), c("pack_size")),
-            "promo": c("promo_raw"), "in_stock": T.in_stock(c("availability_raw")), "aggregate_rating_norm": T.norm_rating(c("aggregate_rating_raw"), c("aggregate_rating_scale")),
+            "promo": c("promo_raw"), "in_stock": T.in_stock(c("availability_raw")), "aggregate_rating_norm": T.norm_rating(c("aggregate_rating_raw"), c("aggregate_rating_scale")), "record_type": F.lit("offer"), "scraped_at": F.lit(as_of),
         }
     )
-    sig = ["product_key", "retailer", "price_aud", "member_price_aud"]
-    return products, _offers(keep_best(offers, sig, ["__ord"]), as_of)
+    return products, conform(offers, OFFER + ordered)
 
 
-def ingest_reviews(items: DataFrame, as_of: str, order: str = "ord") -> DataFrame:
-    """Raw reviews with a text of 15 characters or more, one of each key."""
+def ingest_products(items: DataFrame, as_of: str, names: dict[str, str], order: str = "ord", url_hint: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Raw product payloads of captured pages, one product of each key and one offer of each product, retailer and prices."""
+    products, offers = parse_products(items, as_of, names, order, url_hint)
+    return keep_best(products, ["product_key"], ["__ord"]).drop("__ord"), keep_best(offers, ["product_key", "retailer", "price_aud", "member_price_aud"], ["__ord"]).drop("__ord")
+
+
+def parse_reviews(items: DataFrame, as_of: str, order: str = "ord") -> DataFrame:
+    """Raw reviews with a text of 15 characters or more, with __ord; for streams too."""
     c = F.col
     df = items.withColumn("text", T.stripped(F.coalesce("text", F.lit("")))).where(F.length("text") >= 15)
     df = df.withColumns({"source": F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")), "source_url": F.coalesce("source_url", F.lit("")), "subject_type": F.coalesce(F.nullif("subject_type", F.lit("")), F.lit("product"))})
     scale = F.coalesce(F.nullif(c("rating_scale").cast("double"), F.lit(0.0)), F.when(c("rating_raw").isNotNull(), F.lit(5.0)))
     df = df.withColumns({"rating_scale": scale, "review_key": T.review_key(c("source"), c("source_url"), c("author"), c("text")), "review_date": T.iso_date(c("review_date"))})
     df = df.withColumns({"rating_norm": T.norm_rating(c("rating_raw"), c("rating_scale")), "record_type": F.lit("review"), "scraped_at": F.lit(as_of)})
-    return conform(keep_best(df, ["review_key"], [order]), REVIEW)
+    return conform(df.withColumn("__ord", c(order)), REVIEW + ", __ord " + df.schema[order].dataType.simpleString())
 
 
-def ingest_summaries(items: DataFrame, as_of: str) -> DataFrame:
+def ingest_reviews(items: DataFrame, as_of: str, order: str = "ord") -> DataFrame:
+    """Raw reviews with a text of 15 characters or more, one of each key."""
+    return keep_best(parse_reviews(items, as_of, order), ["review_key"], ["__ord"]).drop("__ord")
+
+
+def summary_columns(items: DataFrame, as_of: str) -> DataFrame:
     scale = F.coalesce(F.nullif(F.col("rating_scale").cast("double"), F.lit(0.0)), F.lit(5.0))
-    df = items.withColumn("rating_scale", scale).withColumns({"average_rating_norm": T.norm_rating(F.col("average_rating"), F.col("rating_scale")), "record_type": F.lit("review_summary"), "scraped_at": F.lit(as_of)})
-    return conform(df, REVIEW_SUMMARY)
+    return items.withColumn("rating_scale", scale).withColumns({"average_rating_norm": T.norm_rating(F.col("average_rating"), F.col("rating_scale")), "record_type": F.lit("review_summary"), "scraped_at": F.lit(as_of)})
+
+
+def ingest_summaries(items: DataFrame, as_of: str) -> DataFrame:
+    return conform(summary_columns(items, as_of), REVIEW_SUMMARY)
 
 
 def storefront(products: DataFrame, as_of: str, source: str, retailer: str, base_url: str, order: str = "ord") -> tuple[DataFrame, DataFrame]:
@@ -193,14 +207,17 @@ def api_reviews(payloads: DataFrame, as_of: str, source: str) -> DataFrame:
 
 
 def api_summaries(payloads: DataFrame, as_of: str, source: str) -> DataFrame:
-    """payloads(url, product_name, RatingDistribution array<struct<RatingValue, Count>>, OverallRating, TotalReviewCount, RecommendedPercentage,
-    overall struct<rating, totalReviews, percentageRecommending>)."""
+    """payloads(url, product_name, RatingDistribution array<struct<RatingValue, Count>>, OverallRating, TotalReviewCount, TotalResults, RecommendedPercentage,
+    overall struct<rating, totalReviews, percentageRecommending>). Of rows that tell of one star the last counts."""
     c = F.col
     first = F.size("RatingDistribution") > 0
     rows = F.filter("RatingDistribution", lambda r: r["RatingValue"].isNotNull())
+    stars = F.array_distinct(F.transform(rows, lambda r: r["RatingValue"].cast("string")))
+    counts = F.transform(stars, lambda s: F.element_at(F.filter(rows, lambda r: r["RatingValue"].cast("string") == s), -1)["Count"].cast("bigint"))
+    total = F.coalesce(F.nullif(c("TotalReviewCount"), F.lit(0)), c("TotalResults"), c("TotalReviewCount"))
     df = payloads.select(
-        c("url").alias("source_url"), c("product_name").alias("product_name_raw"), F.when(first, F.map_from_entries(F.transform(rows, lambda r: F.struct(r["RatingValue"].cast("string"), r["Count"].cast("bigint"))))).alias("distribution"),
-        F.when(first, c("OverallRating")).otherwise(c("overall.rating")).cast("double").alias("average_rating"), F.when(first, c("TotalReviewCount")).otherwise(c("overall.totalReviews")).cast("int").alias("total_reviews"),
+        c("url").alias("source_url"), c("product_name").alias("product_name_raw"), F.when(first, F.map_from_arrays(stars, counts)).alias("distribution"),
+        F.when(first, c("OverallRating")).otherwise(c("overall.rating")).cast("double").alias("average_rating"), F.when(first, total).otherwise(c("overall.totalReviews")).cast("int").alias("total_reviews"),
         F.when(first, c("RecommendedPercentage").cast("double")).otherwise(T.parse_price(c("overall.percentageRecommending").cast("string"))).alias("pct_recommend"),
     ).where("average_rating is not null or distribution is not null")
     return conform(df.withColumns({"source": F.lit(source), "average_rating": T.rounded(c("average_rating"), 4), "rating_scale": F.lit(5.0), "average_rating_norm": T.norm_rating(c("average_rating"), F.lit(5)), "record_type": F.lit("review_summary"), "scraped_at": F.lit(as_of)}), REVIEW_SUMMARY)

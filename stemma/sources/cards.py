@@ -1,7 +1,12 @@
-"""Repeated parts of pages (tiles, review cards, chart rows) by the classes of their elements."""
+"""Repeated parts of pages (tiles, review cards, chart rows) by the classes of their elements.
+
+Pages are read in one pass: what opens and never closes (a comment, a declaration, a tag) takes the rest of the page, declarations that HTML does not know are
+comments, and an end tag costs what it closes.
+"""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -24,16 +29,40 @@ class _Cards(HTMLParser):
         self.item = frozenset(item.split("."))
         self.fields = [(name, frozenset(spec.rstrip("#").split("@")[0].split(".")), spec.split("@")[1] if "@" in spec else "", spec.endswith("#")) for name, spec in fields.items()]
         self.open: list[str] = []
+        self.times: Counter[str] = Counter()
         self.cards: list[dict] = []
-        self.card: dict | None = None
+        self.card: dict[str, list[str]] | None = None
         self.depth = 0
         self.reading: list[tuple[str, int]] = []
 
+    def _to(self, mark: str, i: int) -> int:
+        """Where what begins at i has ended, at the next mark or with the page."""
+        at = self.rawdata.find(mark, i)
+        return len(self.rawdata) if at < 0 else at + len(mark)
+
+    def parse_comment(self, i, report=1):
+        return self._to("-->", i + 4)
+
+    def parse_html_declaration(self, i):
+        return self._to("-->", i + 4) if self.rawdata.startswith("<!--", i) else self._to(">", i + 2)
+
+    def parse_pi(self, i):
+        return self._to(">", i + 2)
+
+    def parse_starttag(self, i):
+        at = super().parse_starttag(i)
+        return len(self.rawdata) if at < 0 else at
+
+    def parse_endtag(self, i):
+        at = super().parse_endtag(i)
+        return len(self.rawdata) if at < 0 else at
+
     def handle_starttag(self, tag, attrs):
         values = {k: v or "" for k, v in attrs}
         classes = frozenset(values.get("class", "").split()) | {tag} | {f"[{k}]" for k in values} | {f"[itemprop={v}]" for v in values.get("itemprop", "").split()}
         if tag not in VOID:
             self.open.append(tag)
+            self.times[tag] += 1
         if self.card is None and self.item <= classes:
             self.card, self.depth = {}, len(self.open)
         if self.card is None:
@@ -42,30 +71,34 @@ class _Cards(HTMLParser):
             if not wanted <= classes:
                 continue
             if count:
-                self.card[name] = str(int(self.card.get(name, "0")) + 1)
+                self.card[name] = [str(int(self.card.get(name, ["0"])[0]) + 1)]
             elif attribute:
                 if attribute in values:
-                    self.card.setdefault(name, values[attribute])
+                    self.card.setdefault(name, [values[attribute]])
             elif name not in self.card and tag not in VOID:
-                self.card[name] = ""
+                self.card[name] = []
                 self.reading.append((name, len(self.open)))
 
     def handle_endtag(self, tag):
-        if tag not in self.open:
+        if not self.times[tag]:
             return
-        while self.open and self.open.pop() != tag:
-            pass
+        while self.open:
+            last = self.open.pop()
+            self.times[last] -= 1
+            if last == tag:
+                break
         self.reading = [(n, d) for n, d in self.reading if d <= len(self.open)]
         if self.card is not None and len(self.open) < self.depth:
             self.finish()
 
     def handle_data(self, data):
         for name, _ in self.reading:
-            self.card[name] += data
+            self.card[name].append(data)
 
     def finish(self):
         if self.card is not None:
-            self.cards.append({k: " ".join(v.split()) for k, v in self.card.items() if v.strip()})
+            told = {k: " ".join("".join(v).split()) for k, v in self.card.items()}
+            self.cards.append({k: v for k, v in told.items() if v})
             self.card, self.reading = None, []
 
 
@@ -98,9 +131,11 @@ def review_cards(found: DataFrame, source: str, subject: str = "product") -> Dat
 
 
 def star_summary(rows: DataFrame, key: str) -> DataFrame:
-    """rows(key, star, count) of a chart: the distribution, and its total."""
+    """rows(key, star, count, position) of a chart: the distribution, and its total. Of rows that tell of one star the last counts, by position, or without that the greatest."""
     n = F.coalesce(F.regexp_replace("count", r"[^\d]", "").try_cast("bigint"), F.lit(0))
-    out = rows.where("star is not null and count is not null").groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("star", n.alias("n"))))).alias("distribution"), F.sum(n).alias("total_reviews"))
+    at = F.col("position") if "position" in rows.columns else F.lit(0)
+    last = rows.where("star is not null and count is not null").groupBy(key, "star").agg(F.max_by(n, F.struct(at, n)).alias("n"))
+    out = last.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("star", "n")))).alias("distribution"), F.sum("n").alias("total_reviews"))
     return out.withColumn("total_reviews", F.nullif("total_reviews", F.lit(0)))
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,26 +21,61 @@ def blocks(pages: DataFrame, key: str, html: str) -> DataFrame:
     return found.select(key, "block", F.try_parse_json("json").alias("node")).where("node is not null")
 
 
-def _is(node: Column, types: list[str]) -> Column:
-    kind = F.try_variant_get(node, "$['@type']", "string")
-    kinds = F.try_variant_get(node, "$['@type']", "array<string>")
-    return F.coalesce(kind.isin(*types), F.lit(False)) | F.coalesce(F.arrays_overlap(kinds, F.array(*map(F.lit, types))), F.lit(False))
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s"{}\[\]:,]+', re.S)
+
+
+def _plain(string: str) -> str:
+    return json.loads(string) if "\\" in string else string[1:-1]
+
+
+def typed_objects(text: str, types: frozenset[str]) -> list[tuple[list[int], str]]:
+    """Of a well-formed document every object whose @type is, or holds, one of the types: its places in what holds it, outermost first, and its text."""
+    out, path = [], []
+    stack: list[list] = []  # is it an object, where it begins, place of the present member, its name, whether the type is one, whether a name is next
+    for m in _TOKEN.finditer(text):
+        t = m.group()
+        if t in "{[":
+            if stack:
+                path.append(stack[-1][2])
+            stack.append([t == "{", m.start(), 0, None, False, True])
+        elif t in "}]":
+            is_object, start, _, _, wanted, _ = stack.pop()
+            if is_object and wanted:
+                out.append((path.copy(), text[start : m.end()]))
+            if stack:
+                path.pop()
+        elif not stack:
+            continue
+        elif t == ",":
+            stack[-1][2] += 1
+            stack[-1][5] = True
+        elif t == ":":
+            stack[-1][5] = False
+        elif t[0] == '"':
+            top = stack[-1]
+            if top[0] and top[5]:
+                top[3] = _plain(t)
+                continue
+            owner = top if top[0] else stack[-2] if len(stack) > 1 and stack[-2][0] else None
+            if owner and owner[3] == "@type" and _plain(t) in types:
+                owner[4] = True
+    return out
 
 
 def nodes(pages: DataFrame, key: str, html: str, types: list[str]) -> DataFrame:
-    """(key, path array<int>, node): every object of one of the types, in document order by path, at any depth.
+    """(key, path array<int>, node): every object of one of the types, in document order by path, at any depth. A block is walked once, with a stack of its own."""
+    wanted = frozenset(types)
+    found = pages.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(_BLOCK), F.lit(1))).alias("block", "json"))
+    found = found.where(F.try_parse_json("json").isNotNull())
+
+    def walk(batches):
+        for b in batches:
+            rows = [(i, [block, *path], text) for i, (block, json_) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)) for path, text in typed_objects(json_, wanted)]
+            keys = b.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.string())], names=[key, "path", "json"])
 
-    One level of the tree is opened at a time; a level is a flat expansion of the one before, and opening ends where nothing is left to open.
-    """
-    spark = pages.sparkSession
-    level = blocks(pages, key, html).select(key, F.array("block").alias("path"), "node")
-    out = level.where(_is(F.col("node"), types))
-    while True:
-        inner = f"select {key}, path, node from {{level}} where schema_of_variant(node) like 'OBJECT<%' or schema_of_variant(node) like 'ARRAY<%'"
-        level = spark.sql(f"select {key}, concat(path, array(e.pos)) as path, e.value as node from ({inner}), lateral variant_explode(node) as e", level=level)
-        if level.limit(1).count() == 0:
-            return out
-        out = out.unionByName(level.where(_is(F.col("node"), types)))
+    schema = found.select(key, F.array("block").alias("path"), "json").schema
+    return found.mapInArrow(walk, schema).select(key, "path", F.parse_json("json").alias("node"))
 
 
 def first_products(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -79,20 +118,21 @@ def product_offers(products: DataFrame, key: str, node: str = "node") -> DataFra
     )
 
 
-def reviews(found: DataFrame, key: str, node: str = "node") -> DataFrame:
-    """Raw reviews of review nodes with a body."""
+def reviews(found: DataFrame, key: str, node: str = "node", also: list[str] | None = None) -> DataFrame:
+    """Raw reviews of review nodes with a body, with the columns ``also``."""
     n = F.col(node)
     author = F.coalesce(_text(n, "$.author.name"), F.when(~F.coalesce(_text(n, "$.author"), F.lit("{")).startswith("{"), _text(n, "$.author")))
     return found.select(
-        key, _text(n, "$.itemReviewed.name").alias("product_name_raw"), author.alias("author"), _text(n, "$.name").alias("title"), F.coalesce(_text(n, "$.reviewBody"), _text(n, "$.description")).alias("text"),
+        key, *(also or []), _text(n, "$.itemReviewed.name").alias("product_name_raw"), author.alias("author"), _text(n, "$.name").alias("title"), F.coalesce(_text(n, "$.reviewBody"), _text(n, "$.description")).alias("text"),
         _text(n, "$.reviewRating.ratingValue").try_cast("double").alias("rating_raw"), _text(n, "$.reviewRating.bestRating").try_cast("double").alias("rating_scale"), _text(n, "$.datePublished").alias("review_date"),
     ).where("coalesce(text, '') <> ''")
 
 
 def review_arrays(products: DataFrame, key: str, node: str = "node") -> DataFrame:
-    """Raw reviews in the review arrays of product nodes, with the product's name."""
-    each = products.select(key, _text(F.col(node), "$.name").alias("__name"), F.explode(F.coalesce(F.try_variant_get(node, "$.review", "array<variant>"), F.try_variant_get(node, "$.reviews", "array<variant>"))).alias("node"))
-    return reviews(each.drop("__name"), key).join(each.select(key, "__name").distinct(), key).withColumn("product_name_raw", F.coalesce("product_name_raw", "__name")).drop("__name")
+    """Raw reviews in the review arrays of product nodes; those that don't name what they are about are about their own product."""
+    arrays = F.coalesce(F.try_variant_get(node, "$.review", "array<variant>"), F.try_variant_get(node, "$.reviews", "array<variant>"))
+    each = products.select(key, _text(F.col(node), "$.name").alias("__name"), F.explode(arrays).alias("node"))
+    return reviews(each, key, also=["__name"]).withColumn("product_name_raw", F.coalesce("product_name_raw", "__name")).drop("__name")
 
 
 def summaries(products: DataFrame, key: str, node: str = "node") -> DataFrame:

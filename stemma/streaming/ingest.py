@@ -1,4 +1,4 @@
-"""Incremental twins: batches of raw files to records, with checkpointed dedupe, and keyed lease state."""
+"""Incremental twins: batches of raw files to records, each key once by state with a time to live, keyed lease state, and rows of what queries report."""
 
 from __future__ import annotations
 
@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
-from stemma.schemas import RAW_BATCH
-from stemma.sources.adapters import ingest_products, ingest_reviews, ingest_summaries
-from stemma.sources.sinks import archive_raw
+from stemma.functions.text import category_from_url
+from stemma.operators.dedupe import keep_best
+from stemma.schemas import KINDS, RAW_BATCH, REVIEW_SUMMARY, conform
+from stemma.sources.adapters import parse_products, parse_reviews, summary_columns
 
 
 def landing(spark: SparkSession, path: str, per_trigger: int = 100) -> DataFrame:
@@ -20,70 +21,85 @@ def landing(spark: SparkSession, path: str, per_trigger: int = 100) -> DataFrame
     return spark.readStream.schema(RAW_BATCH).option("multiLine", True).option("maxFilesPerTrigger", per_trigger).json(path)
 
 
-def records_of(batches: DataFrame, as_of: str, names: dict[str, str]) -> dict[str, DataFrame]:
-    """All records of raw batches; the same for a stream's batch, a replay, or everything at once."""
+def _items(batches: DataFrame, column: str) -> DataFrame:
+    """Payloads of raw batches, ord from a batch's time and address and the place in it."""
     stamped = batches.withColumn("__id", F.struct(F.coalesce("captured_at", F.lit("")).alias("at"), F.coalesce("url", F.lit("")).alias("url")))
+    return stamped.select("__id", "listing_url", F.posexplode(column).alias("__at", "x")).select(F.struct("__id", "__at").alias("ord"), F.coalesce("listing_url", F.lit("")).alias("__listing"), "x.*")
 
-    def each(column):
-        return stamped.select("__id", "listing_url", F.posexplode(column).alias("__at", "x")).select(F.struct("__id", "__at").alias("ord"), F.coalesce("listing_url", F.lit("")).alias("__listing"), "x.*")
-
-    from stemma.functions.text import category_from_url
 
-    products, offers = ingest_products(each("products"), as_of, names, url_hint=category_from_url(F.col("__listing")))
-    reviews = ingest_reviews(each("reviews"), as_of)
-    summaries = ingest_summaries(stamped.where("review_summary is not null").select("review_summary.*"), as_of)
-    return {"product": products, "offer": offers, "review": reviews, "review_summary": summaries}
+def parsed_records(batches: DataFrame, as_of: str, names: dict[str, str]) -> dict[str, DataFrame]:
+    """All records of raw batches as they come, with __ord; for a stream or a table."""
+    products, offers = parse_products(_items(batches, "products"), as_of, names, url_hint=category_from_url(F.col("__listing")))
+    told = batches.where("review_summary is not null").select(F.struct(F.struct(F.coalesce("captured_at", F.lit("")).alias("at"), F.coalesce("url", F.lit("")).alias("url")).alias("__id"), F.lit(0).alias("__at")).alias("__ord"), "review_summary.*")
+    summaries = conform(summary_columns(told, as_of), REVIEW_SUMMARY + ", __ord " + told.schema["__ord"].dataType.simpleString())
+    return {"product": products, "offer": offers, "review": parse_reviews(_items(batches, "reviews"), as_of), "review_summary": summaries}
 
 
 #: What makes a record the same as one that came before.
 KEYS = {"product": ["product_key"], "offer": ["product_key", "retailer", "price_aud", "member_price_aud", "day"], "review": ["review_key"], "review_summary": ["source_url", "scraped_at"]}
 
 
-def _keyed(df: DataFrame, kind: str) -> DataFrame:
-    """With two hashes of what makes the record the same as another, and the day where that is part of it."""
-    return df.withColumns({"__h": F.xxhash64(*KEYS[kind]), "__i": F.xxhash64(F.lit(1), *KEYS[kind])})
+def records_of(batches: DataFrame, as_of: str, names: dict[str, str]) -> dict[str, DataFrame]:
+    """All records of raw batches, the first of each key; the same for a replay or everything at once as for a stream."""
+    found = parsed_records(batches, as_of, names)
+    return {kind: keep_best(df.withColumn("day", F.substring("scraped_at", 1, 10)), KEYS[kind], ["__ord"]).drop("day", "__ord") for kind, df in found.items()}
+
+
+#: Keys are dealt to so many groups of state a kind of record.
+SHARDS = 64
+_SEEN = "kind string, value string"
+
+
+class FirstSeen(StatefulProcessor):
+    """Rows (kind, shard, key, at, url, place, value): the first of each key, by time, address and place within a batch. Each key that has come is kept in a map with a time to live, so
+    the state holds the keys of one horizon and no more."""
+
+    def __init__(self, horizon_s: int):
+        self.horizon_ms = horizon_s * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "key string", "at string", ttlDurationMs=self.horizon_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        came = pd.concat(list(rows)).sort_values(["at", "url", "place"], kind="stable").drop_duplicates("key")
+        came = came[[not self.seen.containsKey((k,)) for k in came["key"]]]
+        for k, at in zip(came["key"], came["at"], strict=True):
+            self.seen.updateValue((k,), (at,))
+        yield came[["kind", "value"]]
+
+    def close(self) -> None:
+        pass
 
 
-def ingest(stream: DataFrame, out: str, checkpoint: str, as_of: str, names: dict[str, str], archive: str | None = None) -> StreamingQuery:
-    """Appends new records below out/<kind>. What came before is known by a table of hashed keys, by day and batch, of which a batch reads the days that it has
-    itself; both it and the records are written batch by batch, so a batch that runs again writes the same files anew and adds nothing twice."""
+def new_records(stream: DataFrame, as_of: str, names: dict[str, str], horizon_s: int = 30 * 86400) -> DataFrame:
+    """Records of a stream of raw batches as (kind, value), value the record's JSON: each key once within the horizon, by state of a row a key. Needs the RocksDB state store."""
+    rows = None
+    for kind, df in parsed_records(stream, as_of, names).items():
+        df = df.withColumn("day", F.substring("scraped_at", 1, 10))
+        key = F.md5(F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in KEYS[kind]])))
+        value = F.to_json(F.struct(*[c for c in df.columns if c not in ("__ord", "day")]))
+        each = df.select(F.lit(kind).alias("kind"), key.alias("key"), F.col("__ord.__id.at").alias("at"), F.col("__ord.__id.url").alias("url"), F.col("__ord.__at").alias("place"), value.alias("value"))
+        rows = each if rows is None else rows.unionByName(each)
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(SHARDS)))
+    return dealt.groupBy("kind", "shard").transformWithStateInPandas(FirstSeen(horizon_s), outputStructType=_SEEN, outputMode="Append", timeMode="ProcessingTime")
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            for kind, df in records_of(batch, as_of, names).items():
-                dated = "day" in KEYS[kind]
-                df = _keyed(df.withColumn("day", F.substring("scraped_at", 1, 10)), kind)
-                keys = spark.read.option("basePath", f"{out}/_keys/{kind}").schema("__h long, __i long, day string, batch long")
-                have = _folders(spark, f"{out}/_keys/{kind}")
-                if have:
-                    old = keys.parquet(*have).where(F.col("batch") < number)
-                    if dated:
-                        old = old.join(F.broadcast(df.select("day").distinct()), "day", "left_semi")
-                    df = df.join(old.select("__h", "__i"), ["__h", "__i"], "left_anti")
-                df = df.persist()
-                df.drop("__h", "__i").write.mode("overwrite").json(f"{out}/{kind}/batch={number}")
-                df.select("__h", "__i", "day", F.lit(number).cast("long").alias("batch")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(f"{out}/_keys/{kind}")
-                df.unpersist()
-            if archive:
-                archive_raw(batch, f"{archive}/batch={number}")
-        finally:
-            batch.unpersist()
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingest(stream: DataFrame, out: str, checkpoint: str, as_of: str, names: dict[str, str], horizon_s: int = 30 * 86400) -> StreamingQuery:
+    """Writes new records below out/kind=..., by the file sink's own log, so a batch that runs again adds nothing twice. ``ingested`` reads them."""
+    found = new_records(stream, as_of, names, horizon_s)
+    return found.writeStream.partitionBy("kind").format("text").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """The path, if it is there."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    p = hadoop.Path(path)
-    return [path] if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p) else []
+def ingested(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    """What the stream has committed of one kind of record."""
+    lines = spark.read.format("text").load(out).where(F.col("kind") == kind)
+    return lines.select(F.from_json("value", KINDS[kind]).alias("r")).select("r.*")
 
 
-def deduplicated(stream: DataFrame, keys: list[str], ts: str, late: str) -> DataFrame:
-    """First row of each key, remembered for as long as rows may be late."""
-    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+def archive(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Raw batches as they came, by day of capture, as a stream of its own; what is archived once is not archived again."""
+    dated = stream.withColumn("day", F.coalesce(F.substring("captured_at", 1, 10), F.lit("unknown")))
+    return dated.writeStream.partitionBy("day").format("json").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 class LeaseProcessor(StatefulProcessor):
@@ -149,3 +165,34 @@ def replay(spark: SparkSession, archive: str, out: str, as_of: str, names: dict[
         records["offer"] = records["offer"].unionByName(enrich_offers(rows, index, retailer).withColumn("scraped_at", F.lit(as_of)), allowMissingColumns=True)
     for kind, df in records.items():
         write_records(df, f"{out}/{kind}")
+
+
+class ProgressRows(StreamingQueryListener):
+    """Turns what streaming queries report into rows: one JSON line for each batch of each query, appended below a path, by the session's own writer."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        state = p.stateOperators
+        row = (str(p.id), str(p.runId), p.name, p.batchId, p.timestamp, p.numInputRows, float(p.processedRowsPerSecond), p.durationMs.get("triggerExecution"), sum(s.numRowsTotal for s in state), sum(s.numRowsDroppedByWatermark for s in state))
+        self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").json(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+PROGRESS = "id string, run_id string, name string, batch bigint, at string, rows bigint, rows_per_second double, took_ms bigint, state_rows bigint, late_rows bigint"
+
+
+def progress_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What ProgressRows has written; a batch that ran again counts as it ran last."""
+    rows = spark.read.schema(PROGRESS).json(path)
+    return keep_best(rows, ["id", "batch"], [F.desc("at"), F.desc("run_id")])

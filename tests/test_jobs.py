@@ -49,6 +49,8 @@ def test_star_summary(spark):
     df = spark.createDataFrame([("p", "5", "1,200"), ("p", "4", "30")], "k string, star string, count string")
     r = cards.star_summary(df, "k").first()
     assert r.distribution == {"5": 1200, "4": 30} and r.total_reviews == 1230
+    again = spark.createDataFrame([("p", 0, "5", "9"), ("p", 1, "5", "3"), ("p", 2, "4", "1")], "k string, position int, star string, count string")
+    assert cards.star_summary(again, "k").first().distribution == {"5": 3, "4": 1}
     x = spark.createDataFrame([("Average customer rating: 4.6 and 91% of reviewers would recommend",)], "t string").select(cards.published_average(F.col("t")).alias("a")).first()["a"]
     assert (x.average_rating, x.pct_recommend) == (4.6, 91.0)
 
@@ -71,6 +73,7 @@ def test_resolve_and_queue(spark, tmp_path):
     assert len(cat) == 1 and cat[0].product_key == "a" and cat[0].offer_count == 2 and cat[0].review_count == 1
     assert cat[0].compare_spread_pct == 20.0 and cat[0].site_review_count == 300
     assert spark.read.json(str(tmp_path / "out" / "unlinked_reviews")).count() == 1
+    assert [x["product_key"] for x in json.loads((tmp_path / "out" / "catalogue.json").read_text())] == ["a"]
     main(["queue", "--catalogue", str(tmp_path / "out" / "catalogue"), "--out", str(tmp_path / "queue"), "--min-reviews", "10"])
     q = spark.read.json(str(tmp_path / "queue")).collect()
     assert [(x.url, x.expected_reviews, x.max_reviews) for x in q] == [("https://s/product/1", 300, 50)]

@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from stemma.plans.queries import ORACLES, QUERIES
 
@@ -105,9 +106,74 @@ def test_aliases_are_closed(spark):
     alias = {r.product_key: r.canonical_key for r in resolve.merge_products(df, "slug", ["ord"]).collect()}
     assert alias == {"b": "c", "d": "c", "e": "i"}
     assert not set(alias) & set(alias.values())
-    two = spark.createDataFrame([("a", "b")], resolve.ALIAS), spark.createDataFrame([("b", "c")], resolve.ALIAS)
-    for first, second in (two, two[::-1]):
-        assert {r.product_key: r.canonical_key for r in resolve.close_alias(first, second).collect()} == {"a": "c", "b": "c"}
+
+
+def test_aliases_lead_to_the_end(spark):
+    """Chains of any length, keys with several barcodes, and circles."""
+    from stemma.operators import resolve
+
+    chain = [(f"c{i:03}", f"c{i + 1:03}") for i in range(37)]
+    circle = [("x1", "x2"), ("x2", "x3"), ("x3", "x1"), ("w", "x3"), ("a0", "w"), ("p", "q"), ("q", "p"), ("s", "s")]
+    got = {r.product_key: r.canonical_key for r in resolve.followed(spark.createDataFrame(chain + circle, resolve.ALIAS)).collect()}
+    assert got == {k: "c037" for k, _ in chain} | {"x2": "x1", "x3": "x1", "w": "x1", "a0": "x1", "q": "p"}
+    rows = [("k1", "s", None, "g1", 2), ("k3", "t", None, "g1", 1), ("k3", "t", None, "g2", 4), ("k4", "u", None, "g2", 3)]
+    df = spark.createDataFrame(rows, "product_key string, slug string, volume_ml int, gtin string, ord int")
+    assert {r.product_key: r.canonical_key for r in resolve.merge_products(df, "slug", ["ord"]).collect()} == {"k1": "k4", "k3": "k4"}
+
+
+def all_candidates(left, products, cutoff, k):
+    counts = {}
+    sets = {p: {t for t in s.split(" ") if len(t) > 2} for p, s in products}
+    for mine in sets.values():
+        for t in mine:
+            counts[t] = counts.get(t, 0) + 1
+    rare = {t for t, n in counts.items() if n <= cutoff}
+    out = set()
+    for r, s in left:
+        mine = {t for t in (s or "").split(" ") if len(t) > 2} & rare
+        shared = sorted((-len(mine & x), p) for p, x in sets.items() if mine & x)
+        out |= {(r, p, -n) for n, p in shared[:k]}
+    return out
+
+
+@pytest.mark.parametrize(("short", "combined", "k"), [(200, 8, 40), (3, 8, 5), (3, 2, 5), (1, 1, 2), (0, 3, 7)])
+def test_candidates_by_hand(spark, monkeypatch, short, combined, k):
+    """Lists read whole, sets of tokens, and names of too many tokens on either side give the same rows."""
+    import random
+
+    from stemma.operators import similarity
+
+    monkeypatch.setattr(similarity, "SHORT", short)
+    monkeypatch.setattr(similarity, "COMBINED", combined)
+    r = random.Random(4)
+    words = [f"tok{i}" for i in range(14)]
+    name = lambda most: " ".join(r.choice(words[: r.randint(2, 14)]) for _ in range(r.randint(0, most)))
+    products = [(f"p{i:03}", name(6)) for i in range(150)]
+    left = [(f"r{i}", name(5)) for i in range(60)] + [("n", None), ("copy1", products[3][1]), ("copy2", products[3][1]), ("all", " ".join(words))]
+    postings = similarity.token_postings(spark.createDataFrame(products, "product_key string, slug string"), cutoff=70)
+    got = similarity.candidates(spark.createDataFrame(left, "review_key string, slug string"), postings, k)
+    assert {tuple(x) for x in got.collect()} == all_candidates(left, products, 70, k)
+
+
+def test_best_by_letters_first(spark):
+    """Of pairs that letters rule out none would have been the best."""
+    import random
+    from difflib import SequenceMatcher
+
+    from stemma.operators import similarity
+
+    r = random.Random(8)
+    text = lambda: " ".join("".join(r.choice("abcdefé1") for _ in range(r.randint(1, 5))) for _ in range(3))
+    rows = [(slug, f"p{j}", 1, text()) for slug in [text() for _ in range(25)] for j in range(12)]
+    rows += [("same", "p1", 1, "same"), ("same", "p0", 1, "same"), ("", "p0", 1, "")]
+    df = spark.createDataFrame(rows, "slug string, product_key string, overlap int, candidate string")
+    kept = {(x.slug, x.product_key) for x in similarity.scorable(df, 0.0).collect()}
+    assert len(kept) < len(rows)
+    for slug in {x[0] for x in rows}:
+        scores = {p: SequenceMatcher(None, slug, c).ratio() for s, p, _, c in rows if s == slug}
+        assert {p for p, v in scores.items() if v == max(scores.values())} <= {p for s, p in kept if s == slug}
+    bound = similarity.ratio_bound(similarity.letter_counts(F.col("slug")), similarity.letter_counts(F.col("candidate")))
+    assert all(SequenceMatcher(None, x.slug, x.candidate).quick_ratio() == pytest.approx(x.b) or "é" in x.slug + x.candidate for x in df.withColumn("b", bound).collect())
 
 
 def test_linked_and_queued_are_all(spark):

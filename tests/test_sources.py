@@ -92,3 +92,76 @@ def test_unit_comparison(spark):
     offers = spark.createDataFrame([("k", "a", 1, 8.0), ("k", "b", 4, 22.99)], "product_key string, retailer string, pack_size int, price_aud double")
     r = compare_offers(offers).first()
     assert r.compare_basis == "unit_price" and r.compare_prices == {"a": 8.0, "b": 5.75} and r.compare_cheapest == "b"
+
+
+def test_jsonld_at_any_depth(spark):
+    """One walk: no join, no union, and blocks as deep as a reader takes."""
+    deep = '{"inner":' * 900 + '[{"@type":["Thing","Pro\\u0064uct"],"name":"x}{\\"],","list":[1,{"@type":"Product"}]}]' + "}" * 900
+    pages = spark.createDataFrame([("u", f'<script type="application/ld+json">{deep}</script>'), ("v", '<script type="application/ld+json">{"@type":"Product"</script>'), ("w", None)], "url string, html string")
+    found = jsonld.nodes(pages, "url", "html", ["Product"])
+    rows = sorted((r.path, r.json) for r in found.select("path", F.to_json("node").alias("json")).collect())
+    assert [len(p) for p, _ in rows] == [902, 904] and rows[0][0][-1] == 0 and rows[1][0][-2:] == [2, 1]
+    assert json.loads(rows[0][1])["name"] == 'x}{"],' and json.loads(rows[1][1]) == {"@type": "Product"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and "Exchange" not in plan
+    assert jsonld.typed_objects('[1, "Product", {"a": "Product", "@type": "Other", "b": {"@type": "Product"}}]', frozenset(["Product"])) == [([2, 2], '{"@type": "Product"}')]
+
+
+def test_reviews_of_two_products(spark):
+    review = lambda n: {"@type": "Review", "reviewBody": f"Body number {n}"}
+    pages = spark.createDataFrame([("u", _page([{"@type": "Product", "name": "one", "review": [review(1)]}, {"@type": "Product", "name": "two", "reviews": [review(2), review(3) | {"itemReviewed": {"name": "three"}}]}]))], "url string, html string")
+    got = jsonld.review_arrays(jsonld.nodes(pages, "url", "html", ["Product"]), "url").collect()
+    assert sorted((r.text, r.product_name_raw) for r in got) == [("Body number 1", "one"), ("Body number 2", "two"), ("Body number 3", "three")]
+
+
+def test_repeated_stars(spark):
+    df = spark.createDataFrame([("u", "p", [(5, 1), (4, 2), (5, 7)], 4.5, 0, 12, 90, None)], "url string, product_name string, RatingDistribution array<struct<RatingValue int, Count bigint>>, OverallRating double, TotalReviewCount int, TotalResults int, RecommendedPercentage int, overall struct<rating double, totalReviews int, percentageRecommending string>")
+    r = adapters.api_summaries(df, AS_OF, "s").first()
+    assert r.distribution == {"5": 7, "4": 2} and r.total_reviews == 12
+
+
+def test_malformed_cards(spark):
+    """Unknown declarations, comments and tags that never end, and end tags of nothing cost no more than others."""
+    import time
+
+    from stemma.sources.cards import _Cards
+
+    card = '<div class="card"><p class="t">Text &amp; more</p></div>'
+
+    def read(page):
+        began = time.perf_counter()
+        parser = _Cards("card", {"t": "t"})
+        parser.feed(page)
+        parser.close()
+        parser.finish()
+        assert time.perf_counter() - began < 10
+        return [c.get("t") for c in parser.cards]
+
+    assert read(f"<![foo[x]]>{card}<!ELEMENT x><?pi x>{card}") == ["Text & more"] * 2
+    assert read(card + "</i>" * 200_000 + card) == ["Text & more"] * 2
+    assert read("<b>" * 100_000 + "</i>" * 100_000 + card) == ["Text & more"]
+    assert read(card + "<!-- " * 200_000 + card) == ["Text & more"]
+    assert read(card + "<a " * 100_000) == ["Text & more"]
+    assert read(card + "<!x " * 200_000) == ["Text & more"]
+    assert read('<div class="card"><p class="t">' + "a <i>b</i> " * 100_000)[0][:9] == "a b a b a"
+    assert read("") == read("<") == read("</") == []
+
+
+def test_addresses(spark):
+    """Against the standard library, but for pages without an address of the web."""
+    import itertools
+    from urllib.parse import urljoin
+
+    from stemma.functions import text as T
+
+    bases = ["http://h", "https://H.x/", "HTTP://h/a", "http://h/a/b", "http://h/a/b/", "http://h/a/b;p?q=1#f", "http://u@h:80/a/../b/./c", "http://h//x//y", " http://h/a\n/b", "http://h?q", "http://h/;p"]
+    paths = ["", "x", "x/", "./x", "../x", "../../../x", "/x/../y", "/", ".", "..", "./", "../", "x//y", "x/./y/..", "//g/x/../y", "//g", "///x", "x;y=1", ";p", "x;", "http:x", "HTTPS://z/..", "mailto:a@b", "javascript:void(0)", "a:b", "x:80", " x y ", "\tx\n", "é/ü", "%2e%2e/x"]
+    refs = [p + q + f for p, q, f in itertools.product(paths, ["", "?r=2&s", "?"], ["", "#frag/../x", "#"])]
+    rows = [(b, r) for b in bases for r in refs] + [("", "x"), (None, "x"), ("http://h/", None), ("ftp://h/", "x")]
+    df = spark.createDataFrame(rows, "base string, ref string").withColumn("got", T.absolute_url(F.col("base"), F.col("ref")))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    for r in df.collect():
+        if not r.base or r.ref is None or r.base.startswith("ftp"):
+            assert r.got is None
+        else:
+            assert r.got == urljoin(r.base, r.ref), (r.base, r.ref)
