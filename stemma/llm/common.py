@@ -75,11 +75,11 @@ def dropped(*tables: DataFrame) -> None:
 
 
 def bitmap(places: DataFrame, bits: int) -> bytes:
-    """places(place), numbers from 0 and below bits -> that many bits, the places' set. Tasks fill blocks of 4 KB, which come to the driver one by one: all it holds is the bitmap."""
+    """places(place), numbers from 0 and below bits -> that many bits, the places' set. Tasks fill blocks of 4 KB; all that comes to the driver is the bitmap."""
     # The built-in bitmaps count bits and buckets from 1.
     found = places.select((F.col("place") + 1).alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
     out = np.zeros(max(1, bits >> 15), "V4096")
-    for r in found.toLocalIterator():
+    for r in found.collect():
         out[r.bucket - 1] = np.void(bytes(r.bits))
     return out.tobytes()
 

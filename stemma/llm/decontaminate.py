@@ -21,12 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import as_bytes, bitmap, dropped, record_batch, staged, tune
+from stemma.llm.common import as_bytes, bitmap, record_batch, shuffle_partitions, staged, tune
 
 #: Lower-cases A-Z and turns whatever parts words into a blank.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Item words in one automaton; a larger benchmark is dealt over several.
 AUTOMATON_WORDS = 100_000
+#: Documents that one task reads with an automaton of several.
+SHARE = 2000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -240,12 +242,65 @@ def _marks(window: int, bits: int):
 _NEW = ("n_words", "spans", "items")
 
 
+def _meet(docs: DataFrame, parts: DataFrame, window: int, sizes: list[int], sent, bits: int) -> DataFrame:
+    """docs(r, text), parts(id, seq, n, shard) -> (r, spans, items): each document meets the automata of those shards with which it shares a window's hash, each in one of
+    as many tasks as have SHARE documents of the shard; a task makes the automaton from the shard's items and then reads the documents."""
+
+    def item_windows(batches):
+        for b in batches:
+            seqs = [seq.split() for seq in as_bytes(b.column(0))]
+            each = [_window_hashes(seq, min(window, len(seq))) for seq in seqs]
+            shard = np.repeat(b.column(1).to_numpy(), [len(x) for x in each])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([h for x in each for h in x], np.uint64).view(np.int64)), pa.array(shard)], names=["h", "shard"])
+
+    def doc_windows(batches):
+        marked = np.frombuffer(sent.value, np.uint8)
+        for b in batches:
+            rows, found = [], []
+            for r, t in zip(b.column(0).to_pylist(), as_bytes(b.column(1)), strict=True):
+                seq = words(t)
+                h = np.unique(np.array([x for size in sizes for x in _window_hashes(seq, size)], np.uint64))
+                at = (h >> np.uint64(64 - bits)).astype(np.int64)
+                h = h[marked[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
+                rows += [r] * len(h)
+                found.append(h)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))], names=["r", "h"])
+
+    items = parts.select("seq", "shard").mapInArrow(item_windows, "h long, shard int").distinct()
+    pairs = staged(docs.mapInArrow(doc_windows, "r long, h long").join(items, "h").select("r", "shard").distinct())
+    shares = pairs.groupBy("shard").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
+    share = F.pmod(F.xxhash64("r"), F.col("shares")).cast("int")
+    blank = lambda kind: F.lit(None).cast(kind)
+    texts = docs.join(pairs.join(shares, "shard").select("r", "shard", share.alias("share")), "r").select("shard", "share", "r", blank("string").alias("id"), "text")
+    owned = parts.join(shares, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), blank("long").alias("r"), "id", F.col("seq").alias("text"))
+    rows = owned.union(texts).repartition(shuffle_partitions(docs.sparkSession), "shard", "share").sortWithinPartitions("shard", "share", F.col("r").asc_nulls_first())
+
+    def scan(batches):
+        now, held, automaton = None, [], None
+        for b in batches:
+            out = []
+            for shard, part, r, name, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (shard, part) != now:
+                    now, held, automaton = (shard, part), [], None
+                if r is None:
+                    held.append((name, text.split()))
+                    continue
+                automaton = automaton or WindowAutomaton(sorted(held), window)
+                ((_, spans, ids),) = automaton.scan([text or b""])
+                if spans:
+                    out.append((r, [{"a": x, "b": y} for x, y in _merge(spans)], sorted(ids)))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], _SPAN_TYPE), pa.array([o[2] for o in out], pa.list_(pa.string()))], names=["r", "spans", "items"])
+
+    found = rows.mapInArrow(scan, f"r long, spans {_SPANS}, items array<string>")
+    return found.groupBy("r").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton_words: int = AUTOMATON_WORDS, cut_over: int | None = None) -> DataFrame:
     """docs(key..., text) and items(id, text), the text last in both. Adds to docs: n_words, spans (of hit words, [a, b)), items (ids as sorted
     strings); columns of docs that have these names are left out. cut_over: cut spans of more words than that out of the text, and tell of these alone.
 
     Items of up to automaton_words words make one automaton, which is broadcast. More are dealt by a hash over as many as it takes: one pass over the documents
-    finds those that hold any window at all, by a bitmap of the windows' hashes of at most 2^31 bits, and these alone meet one automaton after another.
+    finds those that hold any window at all, by a bitmap of the windows' hashes of at most 2^31 bits, and these alone go to the automata with which they share a window.
     """
     spark = docs.sparkSession
     tune(spark)
@@ -261,8 +316,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
     done = docs.select(row.alias("row"), F.col(f"`{text}`").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(array() as {_SPANS})").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     schema = done.schema
 
-    def scanned(done: DataFrame, mine: DataFrame, last: bool) -> DataFrame:
-        found = [(r.id, bytes(r.seq).split()) for r in mine.select("id", "seq").collect()]
+    def scanned(done: DataFrame) -> DataFrame:
+        found = [(r.id, bytes(r.seq).split()) for r in parts.select("id", "seq").collect()]
         sent = spark.sparkContext.broadcast(WindowAutomaton(sorted(found), window))
 
         def run(batches):
@@ -275,7 +330,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
                     n.append(count)
                     spans.append(_merge(new + [(o["a"], o["b"]) for o in old]))
                     ids.append(sorted(got.union(before)))
-                if cut_over is not None and last:
+                if cut_over is not None:
                     spans = [[x for x in some if x[1] - x[0] > cut_over] for some in spans]
                     texts = [cut_spans(t or b"", some) if some else t for t, some in zip(texts, spans, strict=True)]
                 spans = [[{"a": x, "b": y} for x, y in some] for some in spans]
@@ -284,7 +339,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
         return done.mapInArrow(run, schema)
 
     if shards == 1:
-        done = scanned(done, parts, True)
+        done = scanned(done)
     else:
         bits = min(31, max(20, (32 * total).bit_length()))
         marked = bitmap(parts.select("seq").mapInArrow(_marks(window, bits), "place long"), 1 << bits)
@@ -303,11 +358,21 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
                 yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(n, pa.int64()), *b.columns[3:], pa.array(maybe, pa.bool_())], names=[*b.schema.names, "maybe"])
 
         looked = done.mapInArrow(look, done.withColumn("maybe", F.lit(False)).schema)
-        met = staged(looked.where("maybe").drop("maybe"))
-        for shard in range(shards):
-            before, met = met, staged(scanned(met, parts.where(F.pmod(F.xxhash64("id", "seq"), F.lit(shards)) == shard), shard == shards - 1))
-            dropped(before)
-        done = looked.where("not maybe").drop("maybe").union(met)
+        met = staged(looked.where("maybe").drop("maybe").withColumn("r", F.monotonically_increasing_id()))
+        told = _meet(met.select("r", "text"), parts.withColumn("shard", F.pmod(F.xxhash64("id", "seq"), F.lit(shards)).cast("int")), window, sizes, sent, bits)
+        both = met.drop("spans", "items").join(told, "r", "left").select("row", "text", "n_words", F.coalesce("spans", F.array()).cast(_SPANS).alias("spans"), F.coalesce("items", F.array()).cast("array<string>").alias("items"))
+
+        def finish(batches):
+            for b in batches:
+                texts = b.column(1).to_pylist()
+                spans = [_merge([(o["a"], o["b"]) for o in some]) for some in b.column(3).to_pylist()]
+                if cut_over is not None:
+                    spans = [[x for x in some if x[1] - x[0] > cut_over] for some in spans]
+                    texts = [cut_spans(t or b"", some) if some else t for t, some in zip(texts, spans, strict=True)]
+                spans = [[{"a": x, "b": y} for x, y in some] for some in spans]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()), b.column(2), pa.array(spans, _SPAN_TYPE), b.column(4)], names=b.schema.names)
+
+        done = looked.where("not maybe").drop("maybe").union(both.mapInArrow(finish, schema))
     return done.select(*[F.col(f"row.`{c}`").alias(c) for c in keys], F.col("text").alias(text), *_NEW)
 
 

@@ -40,10 +40,11 @@ def none(spark):
 ITEMS = [(1, PASSAGE), (2, "one two"), (3, None), (None, PASSAGE), (4, ""), (5, prose(60, 2)), (1, PASSAGE), (1, "alpha beta gamma"), (6, " ".join(PASSAGE.split()[5:17]))]
 
 
-@pytest.mark.parametrize("limit", [100_000, 60])
-def test_decontamination(spark, docs, limit):
+@pytest.mark.parametrize(("limit", "share"), [(100_000, 2000), (60, 2000), (60, 1), (4, 2)])
+def test_decontamination(spark, docs, monkeypatch, limit, share):
     from stemma.llm import decontaminate as D
 
+    monkeypatch.setattr(D, "SHARE", share)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {r.doc_id: r for r in D.digest(D.contamination(docs, items, automaton_words=limit), "doc_id").collect()}
     assert len(got) == len(TEXTS)
