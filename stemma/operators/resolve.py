@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stemma.functions import text as T
@@ -29,8 +29,12 @@ def merge_gtin(products: DataFrame, order: list) -> DataFrame:
 
 def merge_missing_volume(products: DataFrame, slug: str, order: list) -> DataFrame:
     """(product_key, canonical_key): products without a volume join the one known volume of their identity string; with several it stays open."""
-    known = products.groupBy(slug).agg(F.min("volume_ml").alias("__least"), F.max("volume_ml").alias("__most")).where("__least = __most").select(slug)
-    primary = keep_best(products.where("volume_ml is not null").join(known, slug, "left_semi"), [slug], order).select(slug, F.col("product_key").alias("canonical_key"))
+    known = products.where("volume_ml is not null")
+    if all(isinstance(o, str) for o in order):  # the first by plain columns comes with the count, in one pass
+        first = known.groupBy(slug).agg(F.min("volume_ml").alias("__least"), F.max("volume_ml").alias("__most"), F.min_by("product_key", F.struct(*order)).alias("canonical_key"))
+    else:
+        first = keep_best(known.withColumns({"__least": F.min("volume_ml").over(Window.partitionBy(slug)), "__most": F.max("volume_ml").over(Window.partitionBy(slug))}), [slug], order).withColumnRenamed("product_key", "canonical_key")
+    primary = first.where("__least = __most").select(slug, "canonical_key")
     return products.where("volume_ml is null").join(primary, slug).where("product_key <> canonical_key").select("product_key", "canonical_key").distinct()
 
 

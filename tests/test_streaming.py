@@ -23,11 +23,11 @@ def _land(folder, *batches):
 def test_stream_equals_batch_and_replay(spark, tmp_path):
     landing, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     _land(landing, (1, "$10.00"), (2, "$10.00"))
-    I.ingest(I.landing(spark, str(landing), 1), out, cp, AS_OF, NAMES).awaitTermination(120)
+    I.ingest(I.landing(spark, str(landing)), out, cp, AS_OF, NAMES).awaitTermination(300)
     assert [I.ingested(spark, out, k).count() for k in ("product", "offer", "review")] == [1, 1, 1]
     # Another run goes on from the state of the first.
     _land(landing, (3, "$12.00"), (4, "$10.00"))
-    I.ingest(I.landing(spark, str(landing), 1), out, cp, AS_OF, NAMES).awaitTermination(120)
+    I.ingest(I.landing(spark, str(landing)), out, cp, AS_OF, NAMES).awaitTermination(300)
     whole = I.records_of(read_batches(spark, str(landing)).drop("ord"), AS_OF, NAMES)
     for k in ("product", "offer", "review"):
         got = I.ingested(spark, out, k)
@@ -43,10 +43,10 @@ def test_stream_equals_batch_and_replay(spark, tmp_path):
 def test_keys_are_forgotten_after_the_horizon(spark, tmp_path):
     landing, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     _land(landing, (1, "$10.00"))
-    I.ingest(I.landing(spark, str(landing), 1), out, cp, AS_OF, NAMES, horizon_s=1).awaitTermination(120)
+    I.ingest(I.landing(spark, str(landing)), out, cp, AS_OF, NAMES, horizon_s=1).awaitTermination(300)
     time.sleep(2)
     _land(landing, (2, "$10.00"))
-    I.ingest(I.landing(spark, str(landing), 1), out, cp, AS_OF, NAMES, horizon_s=1).awaitTermination(120)
+    I.ingest(I.landing(spark, str(landing)), out, cp, AS_OF, NAMES, horizon_s=1).awaitTermination(300)
     assert I.ingested(spark, out, "offer").count() == 2
 
 
@@ -62,7 +62,7 @@ def test_silence_as_a_stream(spark, tmp_path):
     """One row for each stretch that a target was silent after, equal to the batch's; what comes too late is left out."""
     from stemma.operators.state import idle_sessions, silence
 
-    rows = [("a", 0, False), ("a", 200, False), ("a", 500, False), ("b", 0, True), ("b", 800, True), ("b", 900, False), ("b", 1100, False), ("a", 300, False), ("z", 20_000, False)]
+    rows = [("a", 0, False), ("a", 200, False), ("a", 500, False), ("b", 0, True), ("b", 800, True), ("b", 900, False), ("b", 1100, False), ("a", 300, False), ("a", 900, False), ("z", 20_000, False)]
     make = lambda some: spark.createDataFrame(some, "target string, s int, listing boolean").select("target", F.timestamp_seconds("s").alias("ts"), "listing")
     make(rows).coalesce(1).write.parquet(str(tmp_path / "in"))
     schema = make(rows).schema
