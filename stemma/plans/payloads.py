@@ -337,3 +337,33 @@ def payload_products(spark, sf_dir):
     rows = table(spark, sf_dir, "part").join(table(spark, sf_dir, "lineitem"), F.col("l_partkey") == F.col("p_partkey"))
     items = rows.selectExpr("p_partkey", "case when p_partkey % 3 = 0 then concat('n', p_partkey) end as name_raw", "case when p_partkey % 2 = 0 then concat('$', p_size) end as price_raw", "concat('https://x/', p_partkey) as source_url", "l_orderkey as ord", "l_linenumber")
     return dedupe.dedupe_payload_products(items, ["ord", "l_linenumber"]).select("p_partkey", "name_raw", "price_raw", "ord")
+
+
+# --- names of sources and details ---------------------------------------------------------------
+@query("""
+select p_partkey, case p_partkey % 4 when 2 then 'two' when 3 then concat('new_place_', p_partkey) else 'shop_one' end as source, case p_partkey % 4 when 2 then 'Two!' when 3 then 'X' else 'Shop One' end as retailer from part""")
+def canonical_sources(spark, sf_dir):
+    """Known sources, arguments the wrong way round, known displays, and names of their own."""
+    rows = _parts(spark, sf_dir, "p_partkey", "case p_partkey % 4 when 0 then 'shop_one' when 1 then 'Shop One' when 2 then concat('Cellar ', p_partkey) else concat('New Place (', p_partkey, ')') end as s", "case p_partkey % 4 when 0 then 'Whatever' when 1 then 'shop_one' when 2 then 'Two!' else 'X' end as r")
+    who = T.canonical_source(F.col("s"), F.col("r"), {"shop_one": "Shop One", "two": "Two!"})
+    return rows.select("p_partkey", who.alias("w")).select("p_partkey", "w.source", "w.retailer")
+
+
+@query("select p_partkey, p_partkey % 4 in (0, 2) as same from part")
+def same_pages(spark, sf_dir):
+    """Equal figures of products, other ones, equal pages of no product, and one page with and one without a figure."""
+    a = "case p_partkey % 4 when 0 then concat('https://s/product/AB_', p_partkey, '/x?y') when 1 then concat('https://s/a_', p_partkey) when 2 then concat('https://s/list?x=', p_partkey) else concat('https://s/list/', p_partkey) end as a"
+    b = "case p_partkey % 4 when 0 then concat('https://s/product/', p_partkey, '/z') when 1 then concat('https://s/product/', p_partkey + 1) when 2 then 'https://s/list' else concat('https://s/product/', p_partkey) end as b"
+    return _parts(spark, sf_dir, "p_partkey", a, b).select("p_partkey", T.same_page(F.col("a"), F.col("b")).alias("same"))
+
+
+@query("""
+select p_partkey, case p_partkey % 3 when 0 then concat('http://x/', p_partkey, '.png') when 1 then concat('https://cdn/Pic', p_partkey) end as image, case when p_partkey % 2 = 0 then p_size + 0.5::double end as figure,
+  case when p_partkey % 5 <> 0 then concat('a ', p_name) end as joined, case when p_partkey % 4 <> 0 then concat(p_name, ' x ', p_size) end as collapsed, concat('é&A ', p_size) as decoded from part""")
+def detail_values(spark, sf_dir):
+    rows = _parts(
+        spark, sf_dir, "p_partkey", "case p_partkey % 3 when 0 then concat('http://x/', p_partkey, '.png') when 1 then concat(' Pic', p_partkey, '.PNG ') else '  ' end as i", "case when p_partkey % 2 = 0 then concat(' ', p_size, '.5%% ') else 'n/a' end as f",
+        "case when p_partkey % 5 <> 0 then array('a', p_name) else array('', '') end as j", "case when p_partkey % 4 <> 0 then concat('\\u00a0 ', p_name, '\\t\\n x \\u2003', p_size, ' ') else ' \\u3000 ' end as c", "concat('&eacute;&amp;&#x41; ', p_size) as h",
+    )
+    c = F.col
+    return rows.select("p_partkey", T.image_url(c("i"), "https://cdn/").alias("image"), T.as_float(c("f")).alias("figure"), T.joined_text(c("j")).alias("joined"), T.collapsed(c("c")).alias("collapsed"), T.html_text(c("h")).alias("decoded"))
