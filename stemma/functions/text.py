@@ -34,7 +34,7 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'"
 # Lengths of a GTIN.
 GTIN_LENGTHS = (8, 12, 13, 14)
 
-# Patterns of sizes, strengths, years, prices and names, as the sources write them.
+# Patterns of sizes, strengths, years, prices, names, amounts, other members' prices, promotions and the labels of expanders, as the sources write them.
 ML_PATTERN = r"(?i)(\d+(?:\.\d+)?)\s*(?:ml|mls|millilitre?s?)\b"
 LITRE_PATTERN = r"(?i)(\d+(?:\.\d+)?)\s*(?:l|lt|ltr|litre?s?|liter?s?)\b"
 PACK_PATTERNS = (

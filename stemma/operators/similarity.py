@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from stemma.functions import text as T
+from stemma.operators.staging import checkpointed
 
 #: Products that a token may be in for its list to be read whole, and how many tokens of longer lists are combined.
 SHORT, COMBINED = 200, 8
@@ -35,6 +39,8 @@ def candidate_pairs(slugs: DataFrame, postings: DataFrame, k: int = 40) -> DataF
     in the list of this set of tokens; if k of these come before it there, they come before it in the answer, too. So each set of tokens needs the k
     first products that have it, and pairs grow with the slugs alone. Names of over COMBINED such tokens, on either side, have too many sets; for them the lists are read whole.
     """
+    # Both are read several times, and what they come from may be long.
+    slugs, postings = checkpointed(slugs.select("slug")), checkpointed(postings)
     sizes = postings.groupBy("token").agg(F.count("*").alias("n"))
     posted = postings.join(sizes, "token")
     asked = slugs.select("slug", F.explode(T.tokens(F.col("slug"))).alias("token")).join(sizes, "token")
@@ -87,8 +93,9 @@ def letter_counts(text: Column) -> Column:
 
 def ratio_bound(target: Column, candidate: Column) -> Column:
     """Of two arrays of letter_counts: what the sequence similarity of their texts cannot exceed."""
-    total = F.aggregate(F.zip_with(target, candidate, lambda a, b: a + b), F.lit(0), lambda s, x: s + x)
-    shared = F.aggregate(F.zip_with(target, candidate, lambda a, b: F.least(a, b)), F.lit(0), lambda s, x: s + x)
+    places = range(len(_LETTERS) + 1)
+    total = reduce(add, [target[i] + candidate[i] for i in places])
+    shared = reduce(add, [F.least(target[i], candidate[i]) for i in places])
     return F.when(total > 0, 2.0 * shared / total).otherwise(1.0)
 
 
@@ -98,9 +105,9 @@ def levenshtein_ratio(target: Column, candidate: Column) -> Column:
 
 
 def scorable(found: DataFrame, least: float) -> DataFrame:
-    """found(slug, product_key, overlap, candidate) -> those that can be a slug's best by sequence similarity, with ``floor``, the score of the one whose letters promise
-    most: another's letters have to allow as much, and least."""
-    counted = found.withColumn("bound", ratio_bound(letter_counts(F.col("slug")), letter_counts(F.col("candidate"))))
+    """found(slug, product_key, overlap, candidate, mine, theirs), the last two the names' letter_counts -> those that can be a slug's best by sequence similarity, with ``floor``, the
+    score of the one whose letters promise most: another's letters have to allow as much, and least."""
+    counted = found.withColumn("bound", ratio_bound(F.col("mine"), F.col("theirs"))).drop("mine", "theirs")
     first = counted.groupBy("slug").agg(F.max_by("candidate", F.struct("bound", "overlap", "candidate")).alias("__first")).withColumn("floor", sequence_ratio("slug", "__first"))
     return counted.join(first.select("slug", "floor"), "slug").where((F.col("bound") >= F.col("floor")) & (F.col("bound") >= least))
 
@@ -110,13 +117,18 @@ def fuzzy_link(left: DataFrame, right: DataFrame, threshold: float = 0.86, score
     overlap, match_score). Ties by overlap, then key. cutoff: products that a token may be in to tell anything, a twentieth of them unless given.
     prune: leave out pairs whose lengths alone keep them below the threshold. Equal names are matched once."""
     w = Window.partitionBy("slug").orderBy(F.desc("overlap"), "product_key")
-    found = candidate_pairs(left.select("slug").distinct(), token_postings(right, cutoff), k).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
-    found = found.join(right.select("product_key", F.col("slug").alias("candidate")), "product_key")
+    left, right = checkpointed(left.select("review_key", "slug")), checkpointed(right.select("product_key", "slug"))
+    names = left.select("slug").distinct()
+    found = candidate_pairs(names, token_postings(right, cutoff), k).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
+    # Letters are counted once a name, not once a pair.
+    theirs = right.select("product_key", F.col("slug").alias("candidate"), *([letter_counts(F.col("slug")).alias("theirs")] if scorer == "ratio" else []))
+    found = found.join(theirs, "product_key")
     if prune:
         a, b = F.length("slug"), F.length("candidate")
         found = found.where(2 * F.least(a, b) >= threshold * (a + b))
     if scorer == "ratio":
         # Scores are rounded to four places before they are held against the threshold.
+        found = found.join(names.withColumn("mine", letter_counts(F.col("slug"))), "slug")
         found = scorable(found, threshold - 0.00006).withColumn("raw_score", sequence_ratio("slug", "candidate"))
     else:
         found = found.withColumn("raw_score", levenshtein_ratio(F.col("slug"), F.col("candidate")))

@@ -166,7 +166,7 @@ def test_best_by_letters_first(spark):
     text = lambda: " ".join("".join(r.choice("abcdefé1") for _ in range(r.randint(1, 5))) for _ in range(3))
     rows = [(slug, f"p{j}", 1, text()) for slug in [text() for _ in range(25)] for j in range(12)]
     rows += [("same", "p1", 1, "same"), ("same", "p0", 1, "same"), ("", "p0", 1, "")]
-    df = spark.createDataFrame(rows, "slug string, product_key string, overlap int, candidate string")
+    df = spark.createDataFrame(rows, "slug string, product_key string, overlap int, candidate string").withColumns({"mine": similarity.letter_counts(F.col("slug")), "theirs": similarity.letter_counts(F.col("candidate"))})
     kept = {(x.slug, x.product_key) for x in similarity.scorable(df, 0.0).collect()}
     assert len(kept) < len(rows)
     for slug in {x[0] for x in rows}:
