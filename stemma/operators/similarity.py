@@ -14,7 +14,7 @@ from stemma.functions import text as T
 from stemma.operators.staging import checkpointed
 
 #: Products that a token may be in for its list to be read whole, and how many tokens of longer lists are combined.
-SHORT, COMBINED = 200, 8
+SHORT, COMBINED = 40, 8
 
 
 def token_postings(products: DataFrame, cutoff: int | None = None) -> DataFrame:
@@ -107,9 +107,9 @@ def levenshtein_ratio(target: Column, candidate: Column) -> Column:
 def scorable(found: DataFrame, least: float) -> DataFrame:
     """found(slug, product_key, overlap, candidate, mine, theirs), the last two the names' letter_counts -> those that can be a slug's best by sequence similarity, with ``floor``, the
     score of the one whose letters promise most: another's letters have to allow as much, and least."""
-    counted = found.withColumn("bound", ratio_bound(F.col("mine"), F.col("theirs"))).drop("mine", "theirs")
+    counted = checkpointed(found.withColumn("bound", ratio_bound(F.col("mine"), F.col("theirs"))).drop("mine", "theirs").where(F.col("bound") >= least))
     first = counted.groupBy("slug").agg(F.max_by("candidate", F.struct("bound", "overlap", "candidate")).alias("__first")).withColumn("floor", sequence_ratio("slug", "__first"))
-    return counted.join(first.select("slug", "floor"), "slug").where((F.col("bound") >= F.col("floor")) & (F.col("bound") >= least))
+    return counted.join(first.select("slug", "floor"), "slug").where(F.col("bound") >= F.col("floor"))
 
 
 def fuzzy_link(left: DataFrame, right: DataFrame, threshold: float = 0.86, scorer: str = "ratio", k: int = 40, cutoff: int | None = None, prune: bool = False) -> DataFrame:
