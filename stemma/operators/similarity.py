@@ -19,6 +19,7 @@ SHORT, COMBINED = 40, 8
 
 def token_postings(products: DataFrame, cutoff: int | None = None) -> DataFrame:
     """products(product_key, slug) -> (token, product_key), without tokens in more than max(20, products / 20) of them, which tell little."""
+    products = checkpointed(products.select("product_key", "slug"))
     n = products.select(F.greatest(F.lit(20), F.floor(F.count("*") / 20)).alias("cutoff")) if cutoff is None else products.sparkSession.range(1).select(F.lit(cutoff).alias("cutoff"))
     each = products.select("product_key", F.explode(T.tokens(F.col("slug"))).alias("token"))
     # Counted before the join, map side first, so a token in all rows is one row here.
