@@ -80,6 +80,11 @@ def new_records(stream: DataFrame, as_of: str, names: dict[str, str], horizon_s:
         value = F.to_json(F.struct(*[c for c in df.columns if c not in ("__ord", "day")]))
         each = df.select(F.lit(kind).alias("kind"), key.alias("key"), F.col("__ord.__id.at").alias("at"), F.col("__ord.__id.url").alias("url"), F.col("__ord.__at").alias("place"), value.alias("value"))
         rows = each if rows is None else rows.unionByName(each)
+    return first_of(rows, horizon_s)
+
+
+def first_of(rows: DataFrame, horizon_s: int) -> DataFrame:
+    """Rows (kind, key, at, url, place, value) of a stream -> (kind, value), each key of a kind once within the horizon."""
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(SHARDS)))
     return dealt.groupBy("kind", "shard").transformWithStateInPandas(FirstSeen(horizon_s), outputStructType=_SEEN, outputMode="Append", timeMode="ProcessingTime")
 

@@ -41,13 +41,17 @@ def test_stream_equals_batch_and_replay(spark, tmp_path):
 
 
 def test_keys_are_forgotten_after_the_horizon(spark, tmp_path):
-    landing, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
-    _land(landing, (1, "$10.00"))
-    I.ingest(I.landing(spark, str(landing)), out, cp, AS_OF, NAMES, horizon_s=1).awaitTermination(300)
-    time.sleep(2)
-    _land(landing, (2, "$10.00"))
-    I.ingest(I.landing(spark, str(landing)), out, cp, AS_OF, NAMES, horizon_s=1).awaitTermination(300)
-    assert I.ingested(spark, out, "offer").count() == 2
+    rows = "kind string, key string, at string, url string, place int, value string"
+
+    def run(some, horizon):
+        spark.createDataFrame(some, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        found = I.first_of(spark.readStream.schema(rows).parquet(str(tmp_path / "in")), horizon)
+        found.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start().awaitTermination(120)
+        return sorted((r.kind, r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run([("a", "k", "2", "u", 0, "later"), ("a", "k", "1", "u", 0, "first"), ("b", "k", "1", "u", 0, "other kind")], 2) == [("a", "first"), ("b", "other kind")]
+    time.sleep(3)
+    assert run([("a", "k", "3", "u", 0, "again")], 2) == [("a", "again"), ("a", "first"), ("b", "other kind")]
 
 
 def test_archive(spark, tmp_path):
