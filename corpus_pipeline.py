@@ -29,7 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the least id stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the least id stays. SimHash fingerprints join first, bands what they leave."""
     return keep_first(docs, size=5, least=0.8)
 
 

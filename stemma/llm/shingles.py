@@ -1,6 +1,7 @@
-"""Near copies by Jaccard similarity of word shingles: candidates by MinHash bands, each confirmed on the whole sets.
+"""Near copies by Jaccard similarity of word shingles: candidates by SimHash fingerprints and covering anchors (``simhash``), then, for what differs in more bits, by MinHash bands; each is
+confirmed on the whole sets.
 
-Documents with equal shingle sets are one node. Nodes that share a band are candidates: at the least similarity that counts, a pair shares none of BANDS
+Documents with equal shingle sets are one node. Nodes whose fingerprints are linked at three bits or fewer are joined first, where their sets are similar. Nodes that share a band are candidates: at the least similarity that counts, a pair shares none of BANDS
 bands of ROWS values with probability (1 - least ** ROWS) ** BANDS, 7 in 100,000 at 0.8. In LEADERS rounds the members of a band that are not all joined meet one
 of them, another one each round and for every other band, so that a large group of near copies needs no pairs. After that those of a band's members that are still apart from the
 most of them meet each of its members: both are dealt by band, large bands over a grid of shares, and compared where they meet, so no pair that a band holds
@@ -22,10 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import LOWER, dropped, mix64, record_batch, shuffle_partitions, staged, trim, tune, word_hashes, words_by_number
+from stemma.llm.common import LOWER, as_bytes, dropped, mix64, record_batch, shuffle_partitions, staged, trim, tune, word_hashes, words_by_number
 from stemma.llm.components import connected_components
+from stemma.llm.simhash import fingerprint, links
 
 BANDS, ROWS, LEADERS = 24, 5, 4
+#: Bits in which linked fingerprints differ at most.
+BITS = 3
 #: Members that one task compares with a leader, or holds of those that are apart.
 SHARE = 2000
 _FACTORS = np.random.default_rng(64).integers(0, 1 << 63, BANDS * ROWS, np.uint64) << np.uint64(1) | np.uint64(1)
@@ -75,7 +79,7 @@ def _sets(size: int):
 
 
 def _signed(size: int):
-    """Of each text its node, the number of its shingles, the keys of its bands, and a byte of each value."""
+    """Of each text its node, the number of its shingles, its fingerprint, the keys of its bands, and a byte of each value."""
 
     def run(batches):
         for b in batches:
@@ -88,8 +92,9 @@ def _signed(size: int):
                 signs.append(low.astype(np.uint8).tobytes())
             at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             values = np.array([x for k in keys for x in k], np.uint64).view(np.int64)
-            columns = [b.column(0), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(np.array(sizes, np.int32)), pa.ListArray.from_arrays(pa.array(at), pa.array(values)), pa.array(signs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "bands", "signature"])
+            fps = np.array([fingerprint(t, size) for t in as_bytes(b.column(1).cast(pa.binary()))], np.uint64).view(np.int64)
+            columns = [b.column(0), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(np.array(sizes, np.int32)), pa.array(fps), pa.ListArray.from_arrays(pa.array(at), pa.array(values)), pa.array(signs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "fp", "bands", "signature"])
         trim()
 
     return run
@@ -211,22 +216,47 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, least: float
     return rows.mapInArrow(_compared(least), "a long, b long")
 
 
+def _close(found: DataFrame, most: int) -> DataFrame:
+    """found(node, n, fp) -> pairs (a, b) of nodes whose fingerprints are equal or linked at most bits, b the least node of its fingerprint."""
+    marked = staged(found.where("n > 0").select("fp", "node").distinct())
+    leads = staged(marked.groupBy("fp").agg(F.min("node").alias("lead")))
+    of = [leads.withColumnsRenamed({"fp": c, "lead": f"l{c}"}) for c in "ab"]
+    across = links(leads.select("fp"), most).distinct().join(of[0], "a").join(of[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    within = marked.join(leads, "fp").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    pairs = staged(across.union(within).where("a <> b").distinct())
+    dropped(marked, leads)
+    return pairs
+
+
+def _joined(label: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes' labels after the labels that edges (a, b) of nodes connect have become one."""
+    of = [label.withColumnsRenamed({"node": c, "label": f"l{c}"}) for c in "ab"]
+    joins = edges.join(of[0], "a").join(of[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    roots = connected_components(joins).withColumnRenamed("node", "label")
+    after = staged(label.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")))
+    dropped(edges, label)
+    return after
+
+
 def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, component_id): the least id reachable over pairs of a Jaccard similarity of least or more."""
     tune(docs.sparkSession)
     key, text = docs.columns
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = docs.select("doc_id").withColumns({"node": F.lit(0).cast("long"), "n": F.lit(0), "bands": F.expr("cast(array() as array<long>)"), "signature": F.lit(b"")}).schema
+    schema = docs.select("doc_id").withColumns({"node": F.lit(0).cast("long"), "n": F.lit(0), "fp": F.lit(0).cast("long"), "bands": F.expr("cast(array() as array<long>)"), "signature": F.lit(b"")}).schema
     found = staged(docs.mapInArrow(_signed(size), schema))
     named = staged(found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature")))
     banded = named.select(F.explode("bands").alias("band"), "node", "n")
     banded = staged(banded.join(banded.groupBy("band").count().where("count > 1").select("band"), "band"))
-    nodes = staged(named.join(banded.select("node").distinct(), "node", "left_semi").select("node", "least", "signature", "bands"))
-    # Whole sets only of nodes that share a band, from the texts again.
+    close = _close(found, BITS)
+    candidates = banded.select("node").union(close.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    nodes = staged(named.join(candidates, "node", "left_semi").select("node", "least", "signature", "bands"))
+    # Whole sets only of nodes that have a candidate, from the texts again.
     again = docs.join(nodes.select("least").distinct(), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
     sets = again.select("text").mapInArrow(_sets(size), "node long, shingles binary")
     sets = staged(sets.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
-    label = staged(nodes.select("node", F.col("node").alias("label")))
+    label = _joined(staged(nodes.select("node", F.col("node").alias("label"))), staged(_confirmed(close, nodes, sets, least)))
+    dropped(close)
     for k in range(LEADERS + 1):
         # Only bands whose members are not all joined.
         every = banded.join(label, "node")
@@ -244,12 +274,8 @@ def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFr
             dropped(pairs)
         else:
             edges = staged(_met(now, nodes, sets, least))
-        # Components of what the edges join.
-        of = [label.withColumnsRenamed({"node": c, "label": f"l{c}"}) for c in "ab"]
-        joins = edges.join(of[0], "a").join(of[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        roots = connected_components(joins).withColumnRenamed("node", "label")
-        before, label = label, staged(label.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")))
-        dropped(now, edges, before)
+        label = _joined(label, edges)
+        dropped(now)
     of = named.select("node", "least").join(label, "node", "left").select("node", "least", F.coalesce("label", "node").alias("root"))
     lead = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = of.join(lead, "root").select("node", "component_id")

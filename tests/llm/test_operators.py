@@ -488,6 +488,28 @@ def test_near_copies_met_apart(spark, monkeypatch, leaders):
     assert got == S.brute_force(texts) and 3 < len(set(got.values())) < 150
 
 
+def test_near_copies_go_by_fingerprints_first(spark, monkeypatch):
+    """With no round of bands at all, copies that differ in at most three bits are one group, others are not."""
+    from stemma.llm import shingles as G
+    from stemma.llm import simhash as S
+
+    monkeypatch.setattr(G, "LEADERS", -1)
+    texts = {}
+    for i in range(60):
+        words = prose(400, 600 + i // 6).split()
+        if i % 6:
+            words[i * 7 % 400] = f"w{i}"
+        texts[i] = " ".join(words)
+    fps = {i: S.fingerprint(t.encode(), 5) for i, t in texts.items()}
+    want = {i: i for i in texts}
+    for _ in texts:
+        for i in texts:
+            want[i] = min(want[j] for j in texts if (fps[i] ^ fps[j]).bit_count() <= 3)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x.component_id for x in G.similar_groups(df).collect()}
+    assert got == want and 10 <= len(set(want.values())) < 50
+
+
 def test_keep_first(spark, docs):
     from stemma.llm.simhash import keep_first
 
