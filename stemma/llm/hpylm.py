@@ -4,18 +4,19 @@ Words are dishes of restaurants of contexts: the two words before, the word befo
 with one last word share a parent; the parent of the restaurant without a context is uniform over the V words of the training texts and one class of all
 others. A dish's tables in a restaurant are its customers in the parent.
 
-1. Words before a word are counted in fixed arrays of cells (a hash of the word, of the pair), from which follows how contexts are dealt: all that follows a
-   word goes to one bucket, unless its cell is heavy; then its contexts of two words are dealt to several, and those of a heavy pair by document too. What of a
-   word lies in one bucket is a restaurant of its own, as only what stands before chooses the bucket.
-2. Buckets take the training texts' pairs of words and seat them with a restaurant without context of their own. Their tables, summed by word, are
-   the customers of the common restaurant without context, whose seating is sampled; each bucket gets its words' counts and tables.
-3. Buckets take all texts' triples of words, seat the training ones by Gibbs sweeps (all dishes of a level together, given the tables before, each without its own: dishes
-   of up to SMALL customers from the exact distribution of their number of tables, larger ones from a Poisson law at its saddle point), sample the strengths
-   from a grid, and average the predictive probabilities of SAMPLES sweeps. Sums go back to the documents.
-
-Draws follow from hashes of what is drawn, and a bucket is seated whole, so scores do not depend, but for rounding, on how the rows are partitioned. The number of buckets follows the bytes of the
-corpus, and what HEAVY and HEAVY_PAIR leave together bounds what one of them holds. Equality of 56-bit hashes stands in for equality of words, of 40-bit ones
-for that of the words before one word.
+1. Words before a word are counted in fixed arrays of cells (a hash of the word, of the pair), from which follows how triples of words are dealt: all that follows a
+   word goes to one bucket, unless its cell is heavy; then its contexts of two words are dealt to several, and the words after a heavy pair too. All of a triple is in
+   one bucket, a restaurant's dishes may be in several.
+2. Buckets take all texts' triples and keep them with their numbers in the training texts, and the places where they occur.
+3. Gibbs sweeps, each one pass over the buckets (all dishes of a level together, given the tables before, each without its own: dishes of up to SMALL customers from the
+   exact distribution of their number of tables, larger ones from a Poisson law at its saddle point). Between them hubs, by word, sum what buckets tell: the customers
+   of pairs of words that several buckets hold, and those of the root, which are the tables of all restaurants of one word; Spark sums the customers and tables of
+   shared restaurants. Discounts follow from the dishes, and strengths are sampled from a grid, given numbers of restaurants by size over all buckets.
+4. After the last sweep the predictive probabilities of SAMPLES seatings are averaged and sums go back to the documents.
+
+Draws follow from hashes of what is drawn, and everything else from sums over all buckets, so scores do not depend, but for rounding, on how the rows are partitioned, on the
+number of buckets, which follows the bytes of the corpus, or on HEAVY and HEAVY_PAIR, which bound what a bucket holds. Equality of 56-bit hashes stands in for equality of
+words, of 40-bit ones for that of the words before one word.
 
 Nulls and the like: a null, empty or blank text is its end alone; rows without an id are not learned from and count as held out; repeated rows
 come out as often as they came in; without training rows every word is of the class of the others, with probability 1.
@@ -25,7 +26,9 @@ from __future__ import annotations
 
 import math
 import struct
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +52,27 @@ RUN, BUCKET = 12 << 20, 6 << 20
 HEAVY, HEAVY_PAIR = 1 << 17, 1 << 19
 #: Jobs that the buckets are dealt to, one after another, to halve the space of the exchange.
 WAVES = 2
+_TOLD = "route long, kind int, key long, a long, b long, payload binary"
+_TOLD_SCHEMA = pa.schema([("route", pa.int64()), ("kind", pa.int32()), *((c, pa.int64()) for c in ("key", "a", "b")), ("payload", pa.binary())])
+#: Kinds of rows: a run's own, sums, a bucket's body, occurrences and state, its words to hubs, their answers, shared restaurants of one and two words, numbers,
+#: a bucket's samples, and its tables to hubs.
+RUNS, SUMS, BODY, PLACES, STATE, HUB, ANSWER, ROOM_ONE, ROOM_TWO, STAT, SAMPLE, NEWS = range(2, 14)
+_PAYLOADS = RUNS, SUMS, BODY, PLACES, STATE, HUB, ANSWER, SAMPLE, NEWS
+#: Bytes of a body, or of what is like it, to a row.
+PART = 1 << 18
+#: Numbers, by size: restaurants by customers and by tables, dishes with one and with two customers, the root's dishes by customers; tokens and words.
+C_ONE, T_ONE, C_TWO, T_TWO, D_ONE, D_TWO, ROOT, TOTAL = range(8)
+#: Parquet's writer looks at its memory after each row.
+_ROWS_OF_MEGABYTES = {"parquet.enable.dictionary": "false", "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 _DDL = "route long, kind int, payload binary"
 _SCHEMA = pa.schema([("route", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
-_WORD = np.dtype([("h", "<u8"), ("c", "<i8"), ("cu", "<i8"), ("t0", "<i8"), ("t1", "<i8")])
 _KEY = np.dtype([("h", "<u8")])
 _FEW = np.dtype([("n", "<u4")])
+_LONG = np.dtype([("n", "<i8")])
 _PAIR = np.dtype([("w", "<u4"), ("n", "<u4")])
 _TRIPLE = np.dtype([("u", "<u4"), ("w", "<u4"), ("doc", "<u4")])
+_PLACE = np.dtype([("triple", "<u4"), ("doc", "<u4")])
+_SHARED = np.dtype([("w", "<u4"), ("v", "<u8"), ("c", "<i8"), ("t", "<i8")])
 _SUM = np.dtype([("doc", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 
 
@@ -175,9 +192,14 @@ STRENGTHS = 0.01 * 1.8 ** np.arange(27)
 
 def sample_strength(customers: np.ndarray, tables: np.ndarray, discount: float, rng: np.random.Generator) -> float:
     """Given restaurants' customers and tables: from its distribution over a grid, under a gamma prior of shape and rate 1."""
+    return strength_of_sizes(np.unique(customers, return_counts=True), np.unique(tables, return_counts=True), discount, rng)
+
+
+def strength_of_sizes(customers: tuple, tables: tuple, discount: float, rng: np.random.Generator) -> float:
+    """The same of how many restaurants have so many customers, so many tables: (numbers, restaurants) each."""
     weight = np.log(STRENGTHS) - STRENGTHS
-    for x, step, sign in ((tables, discount, 1), (customers, 1.0, -1)):
-        sizes, times = np.unique(x[x > 1], return_counts=True)
+    for (sizes, times), step, sign in ((tables, discount, 1), (customers, 1.0, -1)):
+        sizes, times = sizes[sizes > 1], times[sizes > 1]
         if len(sizes):
             rising = np.array([[math.lgamma(y / step + n) for n in sizes.tolist()] for y in STRENGTHS.tolist()])
             weight += sign * (rising @ times - times.sum() * np.array([math.lgamma(y / step + 1) for y in STRENGTHS.tolist()]))
@@ -225,20 +247,29 @@ class Dealer:
         self.words, self.pairs, self.buckets = np.maximum(1, -(-words // HEAVY)).astype(_U), np.maximum(1, -(-pairs // HEAVY_PAIR)).astype(_U), buckets
 
     def cells(self, v: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (mix64(v) >> self.shift).astype(np.int64), (mix64(v + mix64(u)) >> self.shift).astype(np.int64)
+        return (mix64(v) >> self.shift).astype(np.int64), self.pair_cells(v, mix64(u >> _U(16)))
+
+    def pair_cells(self, v: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+        return (mix64(v + mixed) >> self.shift).astype(np.int64)
+
+    def split(self, v: np.ndarray) -> np.ndarray:
+        """Whether what follows words v is dealt to several buckets."""
+        return self.words[(mix64(v) >> self.shift).astype(np.int64)] > 1
+
+    def split_pairs(self, v: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """Whether what follows u and v is."""
+        return self.split(v) & (self.pairs[self.cells(v, u)[1]] > 1)
 
-    def route(self, h: np.ndarray, one: np.ndarray, two: np.ndarray, salt) -> np.ndarray:
-        """Of occurrences after words h[two], h[one]; salt: gives a number for each occurrence's document."""
-        cell = (mix64(h) >> self.shift).astype(np.int64)
+    def route(self, h: np.ndarray, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Of occurrences of words h[word] after h[two], h[one]: all those of one triple go to one bucket."""
         out = self._bucket(h, np.zeros(len(h), _U))[one]
-        heavy = np.flatnonzero((self.words[cell] > 1)[one])
-        if (self.pairs > 1).any():
-            heavy = np.arange(len(one))
+        heavy = np.flatnonzero(self.split(h)[one])
         if heavy.size:
             v, u = h[one[heavy]], h[two[heavy]]
-            part = mix64(u + _U(1)) % self.words[cell[one[heavy]]]
+            cell, pair = self.cells(v, u)
+            part = mix64((u >> _U(16)) + _U(1)) % self.words[cell]
             if (self.pairs > 1).any():
-                part += salt(heavy) % self.pairs[self.cells(v, u)[1]] << _U(32)
+                part += mix64(h[word[heavy]] + _U(3)) % self.pairs[pair] << _U(32)
             out[heavy] = self._bucket(v, part)
         return out
 
@@ -284,11 +315,8 @@ class Run:
         self.two[1:] = self.one[:-1]
         self.two[first] = len(names) + 1
 
-    def routes(self, dealer: Dealer, text: pa.Array) -> np.ndarray:
-        def salt(at):
-            return np.array([xxhash.xxh64_intdigest(t or "") for t in text.to_pylist()], _U)[self.doc[at]]
-
-        return dealer.route(self.h, self.one, self.two, salt)
+    def routes(self, dealer: Dealer) -> np.ndarray:
+        return dealer.route(self.h, self.one, self.two, self.word)
 
     def coder(self):
         """For local numbers: their different hashes, with so many bits taken away, as a frame, and each one's number there."""
@@ -357,8 +385,9 @@ def _count_cells(cells: int):
         total = np.zeros((2, cells), np.int64)
         for t in _runs(batches):
             r = Run(_text(t, "text"))
-            for k, x in enumerate(blank.cells(r.h[r.one], r.h[r.two])):
-                total[k] += np.bincount(x, minlength=cells)
+            n = np.bincount(r.one, minlength=len(r.h))
+            total[0] += np.bincount(blank.cells(r.h, r.h)[0], weights=n, minlength=cells).astype(np.int64)
+            total[1] += np.bincount(blank.pair_cells(r.h[r.one], mix64(r.h >> _U(16))[r.two]), minlength=cells)
         flat = total.ravel()
         at = np.flatnonzero(flat)
         for i in range(0, len(at), 1 << 16):
@@ -375,7 +404,7 @@ def _send_pairs(dealer: Dealer):
         for t in _runs(batches):
             text, learn = _text(t, "text"), t["learn"].to_numpy()
             r = Run(text)
-            route = r.routes(dealer, text)
+            route = r.routes(dealer)
             bits = len(r.h).bit_length()
             if 2 * bits + dealer.buckets.bit_length() <= 62:
                 key = (route.astype(_U) << _U(2 * bits) | r.one.astype(_U) << _U(bits) | r.word.astype(_U)) << _U(1) | learn[r.doc].astype(_U)
@@ -418,44 +447,6 @@ def _numbered(dictionaries: list[np.ndarray], numbers: list[np.ndarray]) -> tupl
     return words, np.concatenate(out).astype(np.int64)
 
 
-def _seat_pairs(seed: int):
-    """Of each bucket: words, their number in training texts, and their customers in the restaurant without context."""
-
-    def seat_bucket(route: int, held: list[bytes]):
-        v, w, few, wi, n = [], [], [], [], []
-        for body in held:
-            heads, sizes, words, x = _parts(body)
-            x = unpack(x, _PAIR)
-            v.append(_hashes(heads))
-            w.append(_hashes(words))
-            few.append(unpack(sizes, _FEW)["n"])
-            wi.append(x["w"])
-            n.append(x["n"].astype(np.int64))
-        words, wi = _numbered(w, wi)
-        kinds, vi = np.unique(np.concatenate(v), return_inverse=True)
-        vi, n = np.repeat(vi, np.concatenate(few)), np.concatenate(n)
-        pairs, where = grouped(vi * len(words) + wi, (len(kinds) * len(words)).bit_length())
-        pairs = pairs.astype(np.int64)
-        c = np.bincount(where, weights=n, minlength=len(pairs)).astype(np.int64)
-        of, word = pairs // len(words), pairs % len(words)
-        rng = np.random.default_rng([seed, route, 1])
-        level = Restaurants(of, len(kinds), mix64(kinds[of] + mix64(words[word] + _U(seed))), 1.0)
-        t = level.t = np.minimum(c, 1)
-        for sweep in range(BURN_IN):
-            cu = np.bincount(word, weights=t, minlength=len(words))
-            some, every = float((cu > 0).sum()), cu.sum()
-            d = estimate_discount(float((cu == 1).sum()), float((cu == 2).sum()))
-            t = level.reseat(c, Parent(cu[word] - t, np.minimum(cu, 1)[word], np.full(len(word), 1 / (some + 1)), every - t, np.full(len(word), some), d, 1.0), sweep, rng)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), route)), pa.array(words.view(np.int64)), pa.array(np.bincount(wi, weights=n, minlength=len(words)).astype(np.int64)), pa.array(np.bincount(word, weights=t, minlength=len(words)).astype(np.int64))], names=["route", "h", "c", "cu"])
-
-    def run(batches):
-        for route, rows in groups(batches):
-            yield from seat_bucket(route, [b for _, b in rows])
-        trim()
-
-    return run
-
-
 def _send_triples(dealer: Dealer, keys: list[str], wave: int):
     """Of each run and bucket: triples of words with their document; from the first wave on also what concerns the run itself."""
 
@@ -466,7 +457,7 @@ def _send_triples(dealer: Dealer, keys: list[str], wave: int):
         for t in _runs(batches):
             text, learn = _text(t, "text"), t["learn"].to_numpy()
             r = Run(text)
-            route = r.routes(dealer, text)
+            route = r.routes(dealer)
             mine = np.flatnonzero(route % WAVES == wave)
             bits, low = len(r.h).bit_length(), max(1, (len(route) - 1).bit_length())
             if bits + low + dealer.buckets.bit_length() <= 64:
@@ -502,11 +493,85 @@ def _send_triples(dealer: Dealer, keys: list[str], wave: int):
     return run
 
 
-def _score_buckets(common: tuple, seed: int):
-    """Of each bucket and run: sums by document."""
-    kinds, shared, discount, strength = common
+def _told(route, kind: int, key=0, a=0, b=0, payload=None) -> pa.RecordBatch:
+    """Rows of _TOLD of one kind; a number stands in each row."""
+    n = len(payload) if payload is not None else len(key)
+    whole = [pa.array(np.broadcast_to(np.asarray(x, np.int64), n)) for x in (route, key, a, b)]
+    return pa.RecordBatch.from_arrays([whole[0], pa.array(np.full(n, kind, np.int32)), *whole[1:], pa.array(payload or [None] * n, pa.binary())], schema=_TOLD_SCHEMA)
+
+
+def _in_parts(route: int, kind: int, body: bytes, a: int = 0) -> pa.RecordBatch:
+    """A body as rows of PART bytes."""
+    parts = [body[i : i + PART] for i in range(0, len(body), PART)]
+    return _told(route, kind, key=range(len(parts)), a=a, payload=parts)
+
+
+def _whole(rows: list) -> bytes:
+    return b"".join(x for *_, x in sorted(rows, key=lambda r: r[0]))
+
+
+def _told_groups(batches):
+    """Rows of _TOLD sorted by route, a whole route at a time: by kind, the (key, a, b, payload) of each."""
+    now, held = None, {}
+    for b in batches:
+        for r, k, *x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if r != now:
+                if held:
+                    yield now, held
+                now, held = r, {}
+            held.setdefault(k, []).append(x)
+    if held:
+        yield now, held
+
+
+def _sizes(which: int, x: np.ndarray) -> pa.RecordBatch:
+    """How often each number occurs."""
+    if x.size and x.max() < 1 << 20:
+        times = np.bincount(x)
+        size = np.flatnonzero(times)
+        times = times[size]
+    else:
+        size, times = np.unique(x, return_counts=True)
+    return _told(which, STAT, size, times)
+
+
+def _pack_few(x: np.ndarray) -> bytes:
+    return pack(x.astype(np.uint32).view(_FEW))
+
+
+def _few(body: bytes) -> np.ndarray:
+    return unpack(body, _FEW)["n"].astype(np.int64)
+
+
+def _pack_long(x: np.ndarray) -> bytes:
+    return pack(x.astype(np.int64).view(_LONG))
+
+
+def _longs(body: bytes) -> np.ndarray:
+    return unpack(body, _LONG)["n"]
+
+
+def _hub_of(h: np.ndarray, hubs: int) -> np.ndarray:
+    return ((mix64(h + _U(4)) >> _U(32)) * _U(hubs) >> _U(32)).astype(np.int64)
 
-    def score_bucket(route: int, info: list[bytes], held: list[bytes]):
+
+class Bucket:
+    """What stands in a bucket, sorted: words before (one), words before those (befores), words; pairs of words (pair_one, pair_word), contexts of two words
+    (context_one, context_two), and triples: pair (parent), context (of), and number in training texts (c)."""
+
+    def __init__(self, body: bytes):
+        one, befores, words, per_one, pair_word, per_pair, of, contexts, context_two, c = _parts(body)
+        self.one, self.befores, self.words = _hashes(one), _hashes(befores), _hashes(words)
+        self.pair_one, self.pair_word = np.repeat(np.arange(len(self.one)), _few(per_one)), _few(pair_word)
+        self.parent = np.repeat(np.arange(len(self.pair_one)), _few(per_pair))
+        contexts = _few(contexts)
+        self.context_one, self.context_two = np.repeat(np.arange(len(self.one)), contexts), _few(context_two)
+        self.of = _few(of) + (np.cumsum(contexts) - contexts)[self.pair_one[self.parent]]
+        self.c = _few(c)
+
+    @staticmethod
+    def frozen(held: list[bytes]) -> tuple[bytes, bytes]:
+        """Of packets of triples: the body of a bucket, and its occurrences by run."""
         runs, v, u, w, few, ui, wi, doc = [], [], [], [], [], [], [], []
         for body in held:
             number, heads, sizes, words, before, x = _parts(body)
@@ -520,7 +585,6 @@ def _score_buckets(common: tuple, seed: int):
             wi.append(x["w"])
             doc.append(x["doc"])
         doc = np.concatenate(doc)
-        learn = (doc & 1).astype(bool)
         words, wi = _numbered(w, wi)
         befores, ui = _numbered(u, ui)
         one, vi = np.unique(np.concatenate(v), return_inverse=True)
@@ -528,69 +592,302 @@ def _score_buckets(common: tuple, seed: int):
         del v, u, w, few
         ubits = len(befores).bit_length()
         pairs, pair_of = grouped(vi * len(words) + wi, (len(one) * len(words)).bit_length())
-        del vi
+        del vi, wi
         triples, triple_of = grouped(pair_of.astype(_U) << _U(ubits) | ui.astype(_U), len(pairs).bit_length() + ubits)
         del ui, pair_of
         pairs, parent, two_word = pairs.astype(np.int64), (triples >> _U(ubits)).astype(np.int64), (triples & _U((1 << ubits) - 1)).astype(np.int64)
-        pair_one, pair_word = pairs // len(words), pairs % len(words)
+        pair_one = pairs // len(words)
         contexts, of = grouped(pair_one[parent].astype(_U) << _U(ubits) | two_word.astype(_U), len(one).bit_length() + ubits)
-        del triples, pairs
-        key = mix64(one[pair_one] + mix64(words[pair_word] + _U(seed)))
-        two = Restaurants(of, len(contexts), mix64(key[parent] + mix64(befores[two_word]) + _U(7)), 1.0)
-        one_before = Restaurants(pair_one, len(one), key + _U(11), 1.0)
-        # What all buckets share: each word's number, customers and tables.
-        table = np.concatenate([np.empty(0, _WORD), *(unpack(b, _WORD) for b in info)])
-        table = table[np.argsort(table["h"])]
-        at = np.minimum(np.searchsorted(table["h"], words), max(0, len(table) - 1))
-        there = table["h"][at] == words if len(table) else np.zeros(len(words), bool)
-        count = np.where(there, table["c"][at] if len(table) else 0, 0)
-        def common_room(k: int) -> tuple[np.ndarray, np.ndarray]:
-            return np.where(there, table["cu"][at] if len(table) else 0, 0), np.where(there, table[f"t{k}"][at] if len(table) else 0, 0)
-
-        c = np.bincount(triple_of[learn], minlength=len(parent)).astype(np.int64)
-        t, t_two = np.minimum(c, 1), np.zeros(len(pair_one), np.int64)
-        rng = np.random.default_rng([seed, route, 2])
-        total = np.zeros(len(parent))
-        for sweep in range(BURN_IN + SAMPLES):
-            k = max(0, sweep - BURN_IN)
-            cu, tables = common_room(k)
-            chance = (np.maximum(cu - discount * tables, 0) + (strength + discount * shared[1 + k]) / (kinds + 1)) / (strength + shared[0])
-            base = chance[pair_word]
-            c_two = np.bincount(parent, weights=t, minlength=len(pair_one)).astype(np.int64)
-            t_two = np.minimum(c_two, 1) if sweep == 0 else t_two
-            room = Parent(np.maximum(cu[pair_word] - t_two, 0), tables[pair_word], np.full(len(pair_one), 1 / (kinds + 1)), np.maximum(shared[0] - t_two, 0), np.full(len(pair_one), float(shared[1 + k])), discount, strength)
-            t_two = one_before.reseat(c_two, room, sweep, rng)
-            t = two.reseat(c, one_before.parent(parent, base[parent], t), sweep, rng)
-            if sweep >= BURN_IN:
-                # The parent's customers are the tables just drawn.
-                one_before.c = np.bincount(parent, weights=t, minlength=len(pair_one)).astype(np.int64)
-                one_before.t = np.minimum(one_before.t, one_before.c)
-                one_before.total()
-                total += two.predict(one_before.predict(base)[parent]) / SAMPLES
-        score = np.log10(np.maximum(total, 1e-300))[triple_of]
-        known, add = (count > 0)[wi], np.log10(count + 0.5)[wi]
-        rows, a = [], 0
-        for number, n in runs:
-            mine = slice(a, a + n)
-            some, where = np.unique(doc[mine] >> 1, return_inverse=True)
-            x = np.empty(len(some), _SUM)
-            x["doc"], x["known"] = some, np.bincount(where, weights=known[mine])
-            x["base"], x["score"] = np.bincount(where, weights=add[mine]), np.bincount(where, weights=score[mine])
-            rows.append((number, 3, struct.pack("<q", route) + pack(x)))
+        per_context = np.bincount((contexts >> _U(ubits)).astype(np.int64), minlength=len(one))
+        c = np.bincount(triple_of[(doc & 1).astype(bool)], minlength=len(parent))
+        sizes, a = np.array(runs, np.int64).reshape(-1, 2), 0
+        x = np.empty(len(doc), _PLACE)
+        for _, n in runs:  # in the order of triples, which are told by their distances
+            both = triple_of[a : a + n].astype(_U) << _U(32) | (doc[a : a + n] >> 1).astype(_U)
+            both.sort()
+            x["triple"][a : a + n], x["doc"][a : a + n] = np.diff(both >> _U(32), prepend=_U(0)), both & _U(0xFFFFFFFF)
             a += n
-        for i in range(0, len(rows), 64):
-            yield record_batch(_SCHEMA, *(list(c) for c in zip(*rows[i : i + 64], strict=True)))
+        return _frames(
+            *(pack(x.view(_KEY)) for x in (one, befores, words)),
+            *map(_pack_few, (np.bincount(pair_one, minlength=len(one)), pairs % len(words), np.bincount(parent, minlength=len(pairs)))),
+            *map(_pack_few, (of - (np.cumsum(per_context) - per_context)[pair_one[parent]], per_context, contexts & _U((1 << ubits) - 1), c)),
+        ), _frames(sizes.tobytes(), pack(x))
+
+    def deal(self, dealer: Dealer, hubs: int) -> None:
+        """Which restaurants other buckets hold dishes of, and the order in which words and the pairs of such restaurants are told to hubs."""
+        self.split, self.split_two = dealer.split(self.one), dealer.split_pairs(self.one[self.context_one], self.befores[self.context_two] << _U(16))
+        hub = _hub_of(self.words, hubs)
+        self.order, rank = np.argsort(hub, kind="stable"), np.empty(len(hub), np.int64)
+        self.hubs, self.start = np.unique(hub[self.order], return_index=True)
+        rank[self.order] = np.arange(len(hub))
+        shared = np.flatnonzero(self.split[self.pair_one])
+        place = rank[self.pair_word[shared]]
+        order = np.argsort(place, kind="stable")
+        self.shared, self.place = shared[order], place[order]
+        self.ends = np.append(self.start[1:], len(hub))
+
+    def names(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the restaurants of one and of two words that other buckets hold dishes of: their names there."""
+        two = np.flatnonzero(self.split_two)
+        both = mix64(mix64(self.one[self.context_one[two]]) + mix64(self.befores[self.context_two[two]] + _U(6)))
+        return self.one[self.split].view(np.int64), both.view(np.int64)
+
+    def tell_words(self, route: int) -> pa.RecordBatch:
+        """To hubs, once: words and their numbers in training texts."""
+        seen = np.bincount(self.parent, weights=self.c, minlength=len(self.pair_one))
+        seen = np.bincount(self.pair_word, weights=seen, minlength=len(self.words)).astype(np.int64)
+        at = [self.order[a:b] for a, b in zip(self.start.tolist(), self.ends.tolist(), strict=True)]
+        return _told(self.hubs, HUB, key=route, payload=[_frames(pack(self.words[x].view(_KEY)), _pack_few(seen[x])) for x in at])
+
+    def tell(self, route: int, t: np.ndarray, t_two: np.ndarray):
+        """Tables of triples and pairs: as the next sweep's state, to hubs, and in numbers of restaurants by customers and tables."""
+        c_two = np.bincount(self.parent, weights=t, minlength=len(self.pair_one)).astype(np.int64)
+        whole = ~self.split[self.pair_one]
+        t_two = np.where(whole, np.minimum(t_two, c_two), t_two)  # of shared pairs, hubs know all customers
+        yield _in_parts(route, STATE, _frames(_pack_few(t), _pack_long(t_two)))
+        light = np.bincount(self.pair_word[whole], weights=t_two[whole], minlength=len(self.words)).astype(np.int64)[self.order]
+        news = []
+        for a, b in zip(self.start.tolist(), self.ends.tolist(), strict=True):
+            i, j = np.searchsorted(self.place, [a, b])
+            x = np.empty(j - i, _SHARED)
+            x["w"], x["v"], x["c"], x["t"] = self.place[i:j] - a, self.one[self.pair_one[self.shared[i:j]]], c_two[self.shared[i:j]], t_two[self.shared[i:j]]
+            news.append(_frames(_pack_few(light[a:b]), pack(x)))
+        yield _told(self.hubs, NEWS, key=route, payload=news)
+        for which, of, size, split, x in ((C_ONE, self.pair_one, len(self.one), self.split, c_two), (T_ONE, self.pair_one, len(self.one), self.split, t_two), (C_TWO, self.of, len(self.context_one), self.split_two, self.c), (T_TWO, self.of, len(self.context_one), self.split_two, t)):
+            yield _sizes(which, np.bincount(of, weights=x, minlength=size).astype(np.int64)[~split])
+        for which, x in ((D_ONE, c_two[whole]), (D_TWO, self.c)):
+            yield _sizes(which, x[(x == 1) | (x == 2)])
+        one, two = self.names()
+        if len(one):
+            yield _told(route, ROOM_ONE, key=one)
+        if len(two):
+            customers, tables = (np.bincount(self.of, weights=x, minlength=len(self.context_one)).astype(np.int64)[self.split_two] for x in (self.c, t))
+            yield _told(route, ROOM_TWO, key=two, a=customers, b=tables)
+
+
+def _build(dealer: Dealer, hubs: int):
+    """Of each bucket: its body, its occurrences, and what it tells before the first sweep, when each dish has one table."""
 
     def run(batches):
         for route, rows in groups(own := _set_apart(batches)):
-            yield from score_bucket(route, [b for k, b in rows if k == 0], [b for k, b in rows if k == 1])
-            yield from own.kept()
-        yield from own.kept()
+            body, places = Bucket.frozen([b for _, b in rows])
+            yield _in_parts(route, BODY, body)
+            yield _in_parts(route, PLACES, places)
+            x = Bucket(body)
+            x.deal(dealer, hubs)
+            yield x.tell_words(route)
+            t = np.minimum(x.c, 1)
+            yield from x.tell(route, t, np.minimum(np.bincount(x.parent, weights=t, minlength=len(x.pair_one)).astype(np.int64), 1))
+            del x, t, body, places
+            for b in own.kept():
+                yield _told(b.column(0).to_numpy(), RUNS, payload=b.column(2).to_pylist())
+        for b in own.kept():
+            yield _told(b.column(0).to_numpy(), RUNS, payload=b.column(2).to_pylist())
+        trim()
+
+    return run
+
+
+def _meet(batches):
+    """Hubs: sums over buckets of each word's number in training texts, of the customers of shared pairs, and of the root's; answers in the order of the messages."""
+    for hub, kinds in _told_groups(batches):
+        routes, names, seen, light, shared = [], [], [], [], []
+        for (route, _, _, body), (_, _, _, news) in zip(*(sorted(kinds[k], key=lambda r: r[0]) for k in (HUB, NEWS)), strict=True):
+            (h, c), (cu, x) = _parts(body), _parts(news)
+            routes.append(route)
+            names.append(_hashes(h))
+            seen.append(_few(c))
+            light.append(_few(cu))
+            shared.append(unpack(x, _SHARED))
+        sizes, few = [len(x) for x in names], [len(x) for x in shared]
+        words, place = np.unique(np.concatenate(names), return_inverse=True)
+        c, cu = (np.bincount(place, weights=np.concatenate(x), minlength=len(words)).astype(np.int64) for x in (seen, light))
+        x = np.concatenate(shared)
+        word = place[np.repeat(np.cumsum(sizes) - sizes, few) + x["w"]]
+        one, vi = np.unique(x["v"], return_inverse=True)
+        pairs, where = np.unique(word * max(1, len(one)) + vi, return_inverse=True)
+        customers, tables = np.bincount(where, weights=x["c"], minlength=len(pairs)).astype(np.int64), np.zeros(len(pairs), np.int64)
+        np.maximum.at(tables, where, x["t"])
+        tables = np.minimum(tables, customers)
+        if len(pairs):
+            cu += np.bincount(pairs // len(one), weights=tables, minlength=len(words)).astype(np.int64)
+            yield _told(-1, ROOM_ONE, one.view(np.int64), *(np.bincount(pairs % len(one), weights=y, minlength=len(one)).astype(np.int64) for y in (customers, tables)))
+        yield _sizes(D_ONE, customers[(customers == 1) | (customers == 2)])
+        yield _sizes(ROOT, cu[cu > 0])
+        yield _told(TOTAL, STAT, [0, 1], [c.sum(), (c > 0).sum()])
+        a = i = 0
+        for route, n, m in zip(routes, sizes, few, strict=True):
+            at, pair = place[a : a + n], where[i : i + m]
+            yield _told(route, ANSWER, key=hub, payload=[_frames(*map(_pack_long, (c[at], cu[at], customers[pair], tables[pair])))])
+            a, i = a + n, i + m
+    trim()
+
+
+@dataclass
+class Common:
+    """What all buckets share at a sweep: the number of known words, the root's customers, discount and strength, its tables by a word's customers (size, tables) and
+    in all; discounts and strengths of the restaurants of one and of two words."""
+
+    tokens: int
+    kinds: int
+    customers: int
+    discount: float
+    strength: float
+    size: np.ndarray
+    tables: np.ndarray
+    all_tables: float
+    one: tuple[float, float]
+    two: tuple[float, float]
+
+
+def _common(stats: dict, sweep: int, seed: int) -> Common:
+    """From numbers of restaurants and dishes by size over all buckets."""
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    rng = np.random.default_rng([seed, sweep])
+
+    def times(which: int, n: int) -> float:
+        size, k = stats.get(which, none)
+        return float(k[size == n].sum())
+
+    levels = []
+    for d, c, t in ((D_ONE, C_ONE, T_ONE), (D_TWO, C_TWO, T_TWO)):
+        discount = estimate_discount(times(d, 1), times(d, 2))
+        levels.append((discount, strength_of_sizes(stats.get(c, none), stats.get(t, none), discount, rng) if sweep else 1.0))
+    n, kinds = int(times(TOTAL, 0)), int(times(TOTAL, 1))
+    # Words with as many customers are alike to the root: it works on the numbers of such words, of which there are few, with mean numbers of tables.
+    size, many = stats.get(ROOT, none)
+    customers, discount, strength, tables = int(size @ many), estimate_discount(times(ROOT, 1), times(ROOT, 2)), 1.0, float(kinds)
+    mean = np.zeros(len(size))
+    for _ in range(6 if customers else 0):
+        mean = seat(size, np.ones(len(size)), np.full(len(size), max(tables - 1, 0.0)), constant(np.full(len(size), 1 / (kinds + 1))), discount, strength, None)
+        tables = float(mean @ many)
+        strength = sample_strength(np.array([customers]), np.array([round(tables)]), discount, rng)
+    return Common(n, kinds, customers, discount, strength, size, mean, float(mean @ many), *levels)
+
+
+class Seating:
+    """All of a bucket's restaurants: from its tables and customers of triples, tables of pairs, what is told of shared pairs' customers, of the root's customers by word, and
+    of customers and tables of shared restaurants of one and of two words."""
+
+    def __init__(self, x: Bucket, *told: np.ndarray):
+        self.x, self.told = x, told
+        self.t, self.t_two, shared, self.cu, c_one, t_one, c_both, t_both = told
+        self.c_two = np.bincount(x.parent, weights=self.t, minlength=len(x.pair_one)).astype(np.int64)
+        self.c_two[x.shared] = shared
+        self.c_one, self.t_one = (np.bincount(x.pair_one, weights=y, minlength=len(x.one)) for y in (self.c_two, self.t_two))
+        self.c_both, self.t_both = (np.bincount(x.of, weights=y, minlength=len(x.context_one)) for y in (x.c, self.t))
+        self.c_one[x.split], self.t_one[x.split], self.c_both[x.split_two], self.t_both[x.split_two] = c_one, t_one, c_both, t_both
+
+    def frozen(self) -> bytes:
+        return _frames(_pack_few(self.told[0]), *map(_pack_long, self.told[1:]))
+
+    @staticmethod
+    def thawed(x: Bucket, body: bytes) -> Seating:
+        t, *told = _parts(body)
+        return Seating(x, _few(t), *map(_longs, told))
+
+    def root(self, common: Common) -> tuple[np.ndarray, np.ndarray]:
+        """Of words: tables in the root, and chances there."""
+        if len(common.size):
+            tables = common.tables[np.minimum(np.searchsorted(common.size, self.cu), len(common.size) - 1)] * (self.cu > 0)
+        else:
+            tables = np.zeros(len(self.cu))
+        new = (common.strength + common.discount * common.all_tables) / (common.kinds + 1)
+        return tables, (np.maximum(self.cu - common.discount * tables, 0) + new) / (common.strength + common.customers)
+
+    def predict(self, common: Common) -> np.ndarray:
+        """Chances of triples."""
+        x = self.x
+        up = predicted(self.root(common)[1][x.pair_word], self.c_two, self.t_two, self.c_one[x.pair_one], self.t_one[x.pair_one], *common.one)
+        return predicted(up[x.parent], x.c, self.t, self.c_both[x.of], self.t_both[x.of], *common.two)
+
+    def sweep(self, common: Common, sweep: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """New tables of triples and of pairs."""
+        x = self.x
+        key = mix64(x.one[x.pair_one] + mix64(x.words[x.pair_word] + _U(seed)))
+        tables, chance = self.root(common)
+        t_two = np.minimum(self.c_two, 1)
+        at = np.flatnonzero(self.c_two > 1)  # the others have no choice
+        of, word, old = x.pair_one[at], x.pair_word[at], self.t_two[at]
+        room = Parent(self.cu[word] - old, tables[word], np.full(len(at), 1 / (common.kinds + 1)), common.customers - old, np.full(len(at), common.all_tables), common.discount, common.strength)
+        t_two[at] = seat(self.c_two[at], old, self.t_one[of] - old, room, *common.one, key[at] + _U(11 + sweep))
+        # The restaurants' tables in all are those before the sweep: the dishes of a shared one are in many buckets.
+        t = np.minimum(x.c, 1)
+        at = np.flatnonzero(x.c > 1)
+        up, two, old = x.parent[at], x.of[at], self.t[at]
+        of, key = x.pair_one[up], mix64(key[up] + mix64(x.befores[x.context_two[two]]) + _U(7))
+        room = Parent(self.c_two[up] - old, t_two[up], chance[x.pair_word[up]], self.c_one[of] - old, self.t_one[of], *common.one)
+        t[at] = seat(x.c[at], old, self.t_both[two] - old, room, *common.two, key + _U(sweep))
+        return t, t_two
+
+
+def _sweep(dealer: Dealer, hubs: int, commons: list[Common], seed: int):
+    """Of each bucket, from its body, state, hubs' answers and shared restaurants: a sweep and what it tells, and the seatings that are samples; after the last sweep,
+    sums by document. commons: of all sweeps up to this one."""
+    sweep = len(commons) - 1
+
+    def bucket(route: int, kinds: dict):
+        x = Bucket(_whole(kinds.pop(BODY)))
+        x.deal(dealer, hubs)
+        t, t_two = _parts(_whole(kinds.pop(STATE)))
+        t_two, c_shared, count, cu = _longs(t_two), np.zeros(len(x.shared), np.int64), np.zeros(len(x.words), np.int64), np.zeros(len(x.words), np.int64)
+        which = {h: k for k, h in enumerate(x.hubs.tolist())}
+        for hub, _, _, answer in kinds.pop(ANSWER, []):
+            a, b = x.start[which[hub]], x.ends[which[hub]]
+            i, j = np.searchsorted(x.place, [a, b])
+            count[x.order[a:b]], cu[x.order[a:b]], c_shared[i:j], t_two[x.shared[i:j]] = map(_longs, _parts(answer))
+        rooms = []
+        for kind, name in zip((ROOM_ONE, ROOM_TWO), x.names(), strict=True):
+            told = np.array([r[:3] for r in kinds.pop(kind, [])], np.int64).reshape(-1, 3)
+            told = told[np.argsort(told[:, 0])]
+            told = told[np.searchsorted(told[:, 0], name)]
+            rooms += [told[:, 1], told[:, 2]]
+        now = Seating(x, _few(t), t_two, c_shared, cu, *rooms)
+        samples = {}
+        for r in kinds.pop(SAMPLE, []):
+            samples.setdefault(r[1], []).append(r)
+        samples = {k: _whole(rows) for k, rows in samples.items()}
+        if sweep < BURN_IN + SAMPLES:
+            for k, body in samples.items():
+                yield _in_parts(route, SAMPLE, body, k)
+            if sweep > BURN_IN:
+                yield _in_parts(route, SAMPLE, now.frozen(), sweep)
+            yield from x.tell(route, *now.sweep(commons[sweep], sweep, seed))
+            return
+        total = now.predict(commons[sweep])
+        for k in sorted(samples):
+            total += Seating.thawed(x, samples[k]).predict(commons[k])
+        runs, places = _parts(_whole(kinds.pop(PLACES)))
+        places = unpack(places, _PLACE)
+        word = x.pair_word[x.parent]
+        score, known, add = np.log10(np.maximum(total / SAMPLES, 1e-300)), (count > 0)[word], np.log10(count + 0.5)[word]
+        a = 0
+        for number, n in np.frombuffer(runs, "<i8").reshape(-1, 2).tolist():
+            triple = np.cumsum(places["triple"][a : a + n], dtype=np.int64)
+            some, where = np.unique(places["doc"][a : a + n], return_inverse=True)
+            y = np.empty(len(some), _SUM)
+            y["doc"], y["known"] = some, np.bincount(where, weights=known[triple])
+            y["base"], y["score"] = np.bincount(where, weights=add[triple]), np.bincount(where, weights=score[triple])
+            yield _told(number, SUMS, key=[0], payload=[struct.pack("<q", route) + pack(y)])
+            a += n
+
+    def run(batches):
+        for route, kinds in _told_groups(batches):
+            for *_, own in kinds.pop(RUNS, []):
+                yield _told(route, RUNS, payload=[own])
+            if kinds:
+                yield from bucket(route, kinds)
         trim()
 
     return run
 
 
+def predicted(base, c, t, customers, tables, discount: float, strength: float) -> np.ndarray:
+    """Of dishes with customers c at t tables, in restaurants with so many in all, of chances base in the parent; of an empty one, the parent's."""
+    own = np.maximum(c - discount * t, 0) + (strength + discount * tables) * base
+    return np.where(customers > 0, own / np.maximum(strength + customers, 1e-300), base)
+
+
 class _set_apart:
     """Hands rows of kind 2 through, beside the batches without them."""
 
@@ -610,32 +907,6 @@ class _set_apart:
             yield self.rows.pop()
 
 
-def _pack_words(batches):
-    """Rows (route, h, c, cu, t0, t1) to frames by route."""
-    held, size = [], 0
-
-    def send():
-        x = pa.Table.from_batches(held)
-        route = x["route"].to_numpy()
-        made = np.empty(len(route), _WORD)
-        for f in _WORD.names:
-            made[f] = x[f].to_numpy().view(_U) if f == "h" else x[f].to_numpy()
-        order = np.lexsort((made["h"], route))
-        made, route = made[order], route[order]
-        rows = [(int(route[a]), 0, pack(made[a:b])) for a, b in zip(*map(np.ndarray.tolist, _edges(route)), strict=True)]
-        yield record_batch(_SCHEMA, *(list(c) for c in zip(*rows, strict=True)))
-
-    for b in batches:
-        if b.num_rows:
-            held.append(b)
-            size += b.num_rows
-            if size >= 1 << 20:
-                yield from send()
-                held, size = [], 0
-    if held:
-        yield from send()
-
-
 def _add_up(keys: list[str], shift: float):
     def run(batches):
         for _, rows in groups(batches):
@@ -663,62 +934,77 @@ def score(docs: DataFrame, learn, seed: int = 11) -> DataFrame:
     tune(spark)
     *keys, text = docs.columns
     rows = docs.select(*keys, F.col(text).cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    plain = rows.select("text", "learn")
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = shuffle_partitions(spark)
     buckets = max(1, -(-volume // BUCKET))
+    hubs = max(min(buckets, 32), buckets // 64)
+
+    def dealt(df, *by):
+        return df.repartition(parts, "route").sortWithinPartitions("route", *by)
 
-    def dealt(df):
-        return df.repartition(parts, "route").sortWithinPartitions("route", "kind")
+    def of_kind(df, *kinds):
+        payload = [F.col(f"payload{k}") for k in kinds if k in _PAYLOADS] or [F.lit(None).cast("binary")]
+        return df.where(F.col("kind").isin(*kinds)).select("route", "kind", "key", "a", "b", F.coalesce(*payload).alias("payload"))
+
+    def kept(df):
+        # A column to each kind, so that only what is asked for is read.
+        return staged(df.select("route", "kind", "key", "a", "b", *(F.when(F.col("kind") == k, F.col("payload")).alias(f"payload{k}") for k in _PAYLOADS)), options=_ROWS_OF_MEGABYTES)
 
     cells = 1 << min(22, max(16, (volume >> 14).bit_length()))
-    heavy = plain.select("text").mapInArrow(_count_cells(cells), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    heavy = rows.select("text").mapInArrow(_count_cells(cells), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     heavy = heavy.where((F.col("n") > HEAVY) & (F.col("cell") < cells) | (F.col("n") > HEAVY_PAIR)).toArrow()
     total = np.zeros(2 * cells, np.int64)
     total[heavy["cell"].to_numpy()] = heavy["n"].to_numpy()
     dealer = Dealer(total[:cells], total[cells:], buckets)
 
-    seen = staged(dealt(plain.mapInArrow(_send_pairs(dealer), _DDL)).mapInArrow(_seat_pairs(seed), "route long, h long, c long, cu long"))
-    words = staged(seen.groupBy("h").agg(F.sum("c").alias("c"), F.sum("cu").alias("cu")))
-    n, kinds, customers, one, two = words.agg(*[F.coalesce(x, F.lit(0)) for x in (F.sum("c"), F.count_if(F.col("c") > 0), F.sum("cu"), F.count_if(F.col("cu") == 1), F.count_if(F.col("cu") == 2))]).first()
-    # The restaurant without context. Words with as many customers are alike to it, so its sweeps up to the samples work on the numbers of such words,
-    # of which there are few, with mean numbers of tables.
-    discount, strength, rng = estimate_discount(one, two), 1.0, np.random.default_rng(seed)
-    alike = words.where("cu > 0").groupBy("cu").count().toArrow()
-    size, times = alike["cu"].to_numpy(), alike["count"].to_numpy()
-
-    def room(n: int, tables: float):
-        return np.ones(n), np.full(n, max(tables - 1, 0.0)), constant(np.full(n, 1 / (kinds + 1)))
-
-    tables = float(kinds)
-    for _ in range(6 if customers else 0):
-        tables = float(seat(size, *room(len(size), tables), discount, strength, None) @ times)
-        strength = sample_strength(np.array([customers]), np.array([round(tables)]), discount, rng)
-
-    def seated(batches):
-        for b in batches:
-            h, cu = b.column(0).to_numpy().view(_U), b.column(2).to_numpy()
-            draws = [seat(cu, *room(len(cu), tables), discount, strength, mix64(h + _U(seed)) + _U(k)) for k in range(SAMPLES)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, draws)], names=[*b.schema.names, *(f"t{k}" for k in range(SAMPLES))])
-
-    names = [f"t{k}" for k in range(SAMPLES)]
-    before, words = words, staged(words.mapInArrow(seated, words.withColumns({x: F.lit(0).cast("long") for x in names}).schema))
-    dropped(before)
-    shared = [customers, *words.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in names]).first()]
-    told = staged(seen.select("route", "h").join(words, "h").select("route", "h", "c", "cu", "t0", "t1").mapInArrow(_pack_words, _DDL))
-    dropped(seen, words)
-    common = (kinds, shared, discount, strength)
-    sums = []
-    for wave in range(WAVES):
-        sent = rows.mapInArrow(_send_triples(dealer, keys, wave), _DDL).union(told.where(F.col("route") % WAVES == wave))
-        sums.append(staged(dealt(sent).mapInArrow(_score_buckets(common, seed), _DDL)))
-    dropped(told)
-    both = sums[0]
-    for x in sums[1:]:
-        both = both.union(x)
+    built = [kept(dealt(rows.mapInArrow(_send_triples(dealer, keys, wave), _DDL), "kind").mapInArrow(_build(dealer, hubs), _TOLD)) for wave in range(WAVES)]
+    told, spent, commons = built, [], []
+    for sweep in range(BURN_IN + SAMPLES + 1):
+        said = reduce(DataFrame.union, told)
+        with _few_rows_a_batch(spark):
+            met = kept(dealt(of_kind(reduce(DataFrame.union, built), HUB).union(of_kind(said, NEWS)), "kind", "key").mapInArrow(_meet, _TOLD))
+        all_told = said.union(met)
+        shared = all_told.where(F.col("kind").isin(ROOM_ONE, ROOM_TWO)).select("route", "kind", "key", "a", "b")
+        rooms = staged(shared.groupBy("kind", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+        one = F.col("kind") == ROOM_ONE
+        as_sizes = [rooms.select(F.when(one, first).otherwise(second).cast("long").alias("route"), F.col(x).alias("key"), F.lit(1).cast("long").alias("a")) for x, first, second in (("a", C_ONE, C_TWO), ("b", T_ONE, T_TWO))]
+        found = reduce(DataFrame.union, [all_told.where(F.col("kind") == STAT).select("route", "key", "a"), *as_sizes]).groupBy("route", "key").agg(F.sum("a").alias("a")).toArrow().sort_by([("route", "ascending"), ("key", "ascending")])
+        which, size, times = (found[c].to_numpy() for c in found.column_names)
+        commons.append(_common({k: (size[which == k], times[which == k]) for k in np.unique(which).tolist()}, sweep, seed))
+        back = shared.where("route >= 0").select("route", "kind", "key").join(rooms, ["kind", "key"]).select("route", "kind", "key", "a", "b", F.lit(None).cast("binary").alias("payload"))
+        back = back.union(of_kind(met, ANSWER))
+        last = sweep == BURN_IN + SAMPLES
+        kinds = (BODY, PLACES, RUNS) if last else (BODY,)
+        new = []
+        for wave in range(WAVES):
+            for half in range(2 if last else 1):  # the last shuffle is the largest
+                mine = of_kind(built[wave], *kinds).union(of_kind(said, STATE, SAMPLE).union(back).where(F.col("route") % WAVES == wave))
+                if last:
+                    mine = mine.where(F.floor(F.col("route") / WAVES) % 2 == half)
+                with _few_rows_a_batch(spark):
+                    new.append(kept(dealt(mine, "kind", "key").mapInArrow(_sweep(dealer, hubs, commons, seed), _TOLD)))
+            if last:
+                dropped(built[wave])
+        dropped(rooms)
+        dropped(met, *spent)
+        told = spent = new
+    both, common = of_kind(reduce(DataFrame.union, new), RUNS, SUMS), commons[-1]
+    both = both.select("route", "kind", "payload")
     schema = rows.select(*keys, *(F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known")), *(F.lit(0.0).alias(c) for c in ("base_score", "score"))).schema
-    scored = dealt(both).mapInArrow(_add_up(keys, math.log10(n + 0.5 * (kinds + 1))), schema)
-    return scored.select(*keys, "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    scored = dealt(both, "kind").mapInArrow(_add_up(keys, math.log10(common.tokens + 0.5 * (common.kinds + 1))), schema)
+    return scored.select(*keys, "n_tokens", "n_known", F.lit(common.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@contextmanager
+def _few_rows_a_batch(spark):
+    """Rows of staged tables may be of megabytes each."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

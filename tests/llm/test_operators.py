@@ -712,6 +712,20 @@ def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
     assert one == pytest.approx(two, rel=1e-12) and all(math.isfinite(x) and x <= 0 for x in one.values())
 
 
+def test_scores_do_not_depend_on_the_buckets(spark, monkeypatch):
+    """Nor on which words' and pairs' restaurants are dealt to several."""
+    from stemma.llm import hpylm as H
+
+    df = spark.createDataFrame([*TEXTS, *((100 + i, prose(60, 2000 + i)) for i in range(80))], "doc_id long, text string")
+    got = []
+    for bucket, heavy, pair in ((H.BUCKET, H.HEAVY, H.HEAVY_PAIR), (4096, H.HEAVY, H.HEAVY_PAIR), (4096, 300, 20)):
+        monkeypatch.setattr(H, "BUCKET", bucket)
+        monkeypatch.setattr(H, "HEAVY", heavy)
+        monkeypatch.setattr(H, "HEAVY_PAIR", pair)
+        got.append({r.doc_id: r.score for r in H.score_corpus(df).collect()})
+    assert got[1] == pytest.approx(got[0], rel=1e-9) and got[2] == pytest.approx(got[0], rel=1e-9)
+
+
 def test_model_beats_its_base_on_held_out_texts(spark):
     from stemma.llm import hpylm as H
 
