@@ -615,9 +615,13 @@ class Bucket:
 
     def deal(self, dealer: Dealer, hubs: int) -> None:
         """Which restaurants other buckets hold dishes of, and the order in which words and the pairs of such restaurants are told to hubs."""
-        self.split, self.split_two = dealer.split(self.one), dealer.split_pairs(self.one[self.context_one], self.befores[self.context_two] << _U(16))
+        self.split = dealer.split(self.one)
+        self.split_two = self.split[self.context_one]
+        some = np.flatnonzero(self.split_two)
+        self.split_two[some] = dealer.split_pairs(self.one[self.context_one[some]], self.befores[self.context_two[some]] << _U(16))
         hub = _hub_of(self.words, hubs)
-        self.order, rank = np.argsort(hub, kind="stable"), np.empty(len(hub), np.int64)
+        # Few hubs are few bits, which numpy sorts by digits.
+        self.order, rank = np.argsort(hub.astype(np.min_scalar_type(hubs)), kind="stable"), np.empty(len(hub), np.int64)
         self.hubs, self.start = np.unique(hub[self.order], return_index=True)
         rank[self.order] = np.arange(len(hub))
         shared = np.flatnonzero(self.split[self.pair_one])
