@@ -28,7 +28,7 @@ import math
 import struct
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,9 @@ END, START = _U(xxhash.xxh64_intdigest(b"")) >> _U(8), _U(xxhash.xxh64_intdigest
 BURN_IN, SAMPLES = 1, 2
 #: Dishes of up to so many customers are seated from the exact distribution of their tables.
 SMALL = 128
+#: Dishes of up to so many by products of odds, which stay within range; beyond by logs, some sizes together.
+FEW = 16
+_SIZES = [*((n, n) for n in range(2, FEW + 1)), (17, 24), (25, 32), (33, 48), (49, 64), (65, 96), (97, SMALL)]
 #: Bytes of text in a run of documents, and of text to a bucket.
 RUN, BUCKET = 12 << 20, 6 << 20
 #: Tokens after a word's cell, and after a pair's, beyond which it is dealt to several buckets.
@@ -80,9 +83,14 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
 
-def uniform(keys: np.ndarray, k: int) -> np.ndarray:
+def uniform(keys: np.ndarray, k: int | np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) that follow from keys and k alone."""
-    return ((mix64(keys + _U((k * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)) >> _U(12)).astype(np.float64) + 0.5) * 2.0**-52
+    return ((mix64(keys + np.multiply(k, 0x9E3779B97F4A7C15, dtype=_U, casting="unsafe")) >> _U(12)).astype(np.float64) + 0.5) * 2.0**-52
+
+
+@lru_cache(4)
+def _stirling(discount: float) -> np.ndarray:
+    return stirling(discount)
 
 
 def stirling(discount: float, most: int = SMALL) -> np.ndarray:
@@ -141,34 +149,50 @@ def constant(base: np.ndarray) -> Parent:
 def seat(c: np.ndarray, t_before: np.ndarray, others: np.ndarray, parent: Parent, discount: float, strength: float, keys: np.ndarray | None) -> np.ndarray:
     """Tables of dishes with c customers each, drawn by keys; without keys their means. others: tables of the restaurant's other dishes."""
     t = np.minimum(c, 1).astype(np.int64 if keys is not None else float)
-    ways = stirling(discount)
+    ways = _stirling(discount)
+
+    def odds(n: int, x: np.ndarray) -> np.ndarray:
+        """Weights of 1 to n tables, that of one being 1."""
+        own, out = np.arange(1, n), np.ones((len(x), n))
+        step = strength + discount * (others[x, None] + own)
+        step *= parent.probability(x, own[None])
+        step *= np.exp(ways[n, 2 : n + 1] - ways[n, 1:n])
+        np.cumprod(step, axis=1, out=out[:, 1:])
+        return out
+
+    def scaled(n: int, x: np.ndarray) -> np.ndarray:
+        """The same by logs, the largest being 1, of up to n tables: none of more tables than customers."""
+        out = np.log(strength + discount * (others[x, None] + np.arange(n)))
+        np.cumsum(out, axis=1, out=out)
+        out += np.cumsum(np.log(parent.probability(x, np.arange(n)[None])), axis=1)
+        out += ways[c[x], 1 : n + 1]
+        return np.exp(out - out.max(1, keepdims=True))
+
     many = np.flatnonzero(c > 1)
     small = many[c[many] <= SMALL]
-    small = small[np.argsort(c[small], kind="stable")]
-    start = np.searchsorted(c[small], np.arange(2, SMALL + 2))
-    for n, a, b in zip(range(2, SMALL + 1), start[:-1].tolist(), start[1:].tolist(), strict=True):
-        for i in range(a, b, 1 << 18):
-            x = small[i : min(b, i + (1 << 18))]
-            weight = np.log(strength + discount * (others[x, None] + np.arange(n)))
-            np.cumsum(weight, axis=1, out=weight)
-            weight += np.cumsum(np.log(parent.probability(x, np.arange(n)[None])), axis=1)
-            weight += ways[n, 1 : n + 1]
-            weight = np.exp(weight - weight.max(1, keepdims=True))
+    small = small[np.argsort(c[small].astype(np.uint8), kind="stable")]
+    sizes = c[small]
+    for low, n in _SIZES:
+        a, b = np.searchsorted(sizes, [low, n + 1]).tolist()
+        rows = (1 << 21) // n
+        for i in range(a, b, rows):
+            x = small[i : min(b, i + rows)]
+            weight = odds(n, x) if n <= FEW else scaled(n, x)
             if keys is None:
                 t[x] = weight @ np.arange(1, n + 1) / weight.sum(1)
                 continue
             np.cumsum(weight, axis=1, out=weight)
-            t[x] = 1 + (weight[:, :-1] < weight[:, -1:] * uniform(keys[x], n)[:, None]).sum(1)
+            t[x] = 1 + (weight[:, :-1] < weight[:, -1:] * uniform(keys[x], c[x])[:, None]).sum(1)
     large = many[c[many] > SMALL]
     if large.size:
         n, rate = c[large].astype(float), np.zeros(len(large))
         base = parent.probability(large, t_before[large])
         for _ in range(8):  # the saddle point of the distribution, for a mean that is part of its own rate
             open_rate = np.maximum((strength + discount * (others[large] + rate)) * base / discount, 1e-300)
-            low, high = np.full(len(large), -700.0), np.zeros(len(large))
+            low, high, log_rate, log_n = np.full(len(large), -700.0), np.zeros(len(large)), np.log(open_rate * discount), np.log(n)
             for _ in range(50):
                 y = (low + high) / 2
-                over = np.log(open_rate * discount) + np.log(-np.expm1(np.minimum(y, -1e-300))) + (discount - 1) * y > np.log(n)
+                over = log_rate + np.log(-np.expm1(np.minimum(y, -1e-300))) + (discount - 1) * y > log_n
                 low, high = np.where(over, y, low), np.where(over, high, y)
             rate = np.minimum(open_rate * -np.expm1(discount * high), n - 1)
         if keys is None:
@@ -327,9 +351,12 @@ class Run:
 
         def code(x: np.ndarray, less: int = 0) -> tuple[bytes, np.ndarray]:
             x = place[x]
-            there[x] = True
-            kinds = np.flatnonzero(there)
-            there[kinds] = False
+            if len(x) < len(there) >> 8:
+                kinds = np.unique(x)
+            else:
+                there[x] = True
+                kinds = np.flatnonzero(there)
+                there[kinds] = False
             number[kinds] = np.arange(len(kinds))
             return pack((self.h[rank[kinds]] >> _U(less)).view(_KEY)), number[x]
 
@@ -496,8 +523,9 @@ def _send_triples(dealer: Dealer, keys: list[str], wave: int):
 def _told(route, kind: int, key=0, a=0, b=0, payload=None) -> pa.RecordBatch:
     """Rows of _TOLD of one kind; a number stands in each row."""
     n = len(payload) if payload is not None else len(key)
-    whole = [pa.array(np.broadcast_to(np.asarray(x, np.int64), n)) for x in (route, key, a, b)]
-    return pa.RecordBatch.from_arrays([whole[0], pa.array(np.full(n, kind, np.int32)), *whole[1:], pa.array(payload or [None] * n, pa.binary())], schema=_TOLD_SCHEMA)
+    whole = [pa.array(np.full(n, x, np.int64) if np.ndim(x) == 0 else np.asarray(x, np.int64)) for x in (route, key, a, b)]
+    payload = pa.array(payload, pa.binary()) if payload is not None else pa.nulls(n, pa.binary())
+    return pa.RecordBatch.from_arrays([whole[0], pa.array(np.full(n, kind, np.int32)), *whole[1:], payload], schema=_TOLD_SCHEMA)
 
 
 def _in_parts(route: int, kind: int, body: bytes, a: int = 0) -> pa.RecordBatch:
@@ -568,6 +596,18 @@ class Bucket:
         self.context_one, self.context_two = np.repeat(np.arange(len(self.one)), contexts), _few(context_two)
         self.of = _few(of) + (np.cumsum(contexts) - contexts)[self.pair_one[self.parent]]
         self.c = _few(c)
+        self.c_both = self.by_context(self.c)
+
+    def by_pair(self, x: np.ndarray) -> np.ndarray:
+        """Sums over triples."""
+        return np.bincount(self.parent, weights=x, minlength=len(self.pair_one)).astype(np.int64)
+
+    def by_one(self, x: np.ndarray) -> np.ndarray:
+        """Sums over pairs."""
+        return np.bincount(self.pair_one, weights=x, minlength=len(self.one)).astype(np.int64)
+
+    def by_context(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.of, weights=x, minlength=len(self.context_one)).astype(np.int64)
 
     @staticmethod
     def frozen(held: list[bytes]) -> tuple[bytes, bytes]:
@@ -638,14 +678,13 @@ class Bucket:
 
     def tell_words(self, route: int) -> pa.RecordBatch:
         """To hubs, once: words and their numbers in training texts."""
-        seen = np.bincount(self.parent, weights=self.c, minlength=len(self.pair_one))
-        seen = np.bincount(self.pair_word, weights=seen, minlength=len(self.words)).astype(np.int64)
+        seen = np.bincount(self.pair_word, weights=self.by_pair(self.c), minlength=len(self.words)).astype(np.int64)
         at = [self.order[a:b] for a, b in zip(self.start.tolist(), self.ends.tolist(), strict=True)]
         return _told(self.hubs, HUB, key=route, payload=[_frames(pack(self.words[x].view(_KEY)), _pack_few(seen[x])) for x in at])
 
     def tell(self, route: int, t: np.ndarray, t_two: np.ndarray):
         """Tables of triples and pairs: as the next sweep's state, to hubs, and in numbers of restaurants by customers and tables."""
-        c_two = np.bincount(self.parent, weights=t, minlength=len(self.pair_one)).astype(np.int64)
+        c_two = self.by_pair(t)
         whole = ~self.split[self.pair_one]
         t_two = np.where(whole, np.minimum(t_two, c_two), t_two)  # of shared pairs, hubs know all customers
         yield _in_parts(route, STATE, _frames(_pack_few(t), _pack_long(t_two)))
@@ -657,16 +696,16 @@ class Bucket:
             x["w"], x["v"], x["c"], x["t"] = self.place[i:j] - a, self.one[self.pair_one[self.shared[i:j]]], c_two[self.shared[i:j]], t_two[self.shared[i:j]]
             news.append(_frames(_pack_few(light[a:b]), pack(x)))
         yield _told(self.hubs, NEWS, key=route, payload=news)
-        for which, of, size, split, x in ((C_ONE, self.pair_one, len(self.one), self.split, c_two), (T_ONE, self.pair_one, len(self.one), self.split, t_two), (C_TWO, self.of, len(self.context_one), self.split_two, self.c), (T_TWO, self.of, len(self.context_one), self.split_two, t)):
-            yield _sizes(which, np.bincount(of, weights=x, minlength=size).astype(np.int64)[~split])
+        t_both = self.by_context(t)
+        for which, split, x in ((C_ONE, self.split, self.by_one(c_two)), (T_ONE, self.split, self.by_one(t_two)), (C_TWO, self.split_two, self.c_both), (T_TWO, self.split_two, t_both)):
+            yield _sizes(which, x[~split])
         for which, x in ((D_ONE, c_two[whole]), (D_TWO, self.c)):
             yield _sizes(which, x[(x == 1) | (x == 2)])
         one, two = self.names()
         if len(one):
             yield _told(route, ROOM_ONE, key=one)
         if len(two):
-            customers, tables = (np.bincount(self.of, weights=x, minlength=len(self.context_one)).astype(np.int64)[self.split_two] for x in (self.c, t))
-            yield _told(route, ROOM_TWO, key=two, a=customers, b=tables)
+            yield _told(route, ROOM_TWO, key=two, a=self.c_both[self.split_two], b=t_both[self.split_two])
 
 
 def _build(dealer: Dealer, hubs: int):
@@ -681,7 +720,7 @@ def _build(dealer: Dealer, hubs: int):
             x.deal(dealer, hubs)
             yield x.tell_words(route)
             t = np.minimum(x.c, 1)
-            yield from x.tell(route, t, np.minimum(np.bincount(x.parent, weights=t, minlength=len(x.pair_one)).astype(np.int64), 1))
+            yield from x.tell(route, t, np.minimum(x.by_pair(t), 1))
             del x, t, body, places
             for b in own.kept():
                 yield _told(b.column(0).to_numpy(), RUNS, payload=b.column(2).to_pylist())
@@ -776,10 +815,10 @@ class Seating:
     def __init__(self, x: Bucket, *told: np.ndarray):
         self.x, self.told = x, told
         self.t, self.t_two, shared, self.cu, c_one, t_one, c_both, t_both = told
-        self.c_two = np.bincount(x.parent, weights=self.t, minlength=len(x.pair_one)).astype(np.int64)
+        self.c_two = x.by_pair(self.t)
         self.c_two[x.shared] = shared
-        self.c_one, self.t_one = (np.bincount(x.pair_one, weights=y, minlength=len(x.one)) for y in (self.c_two, self.t_two))
-        self.c_both, self.t_both = (np.bincount(x.of, weights=y, minlength=len(x.context_one)) for y in (x.c, self.t))
+        self.c_one, self.t_one = x.by_one(self.c_two), x.by_one(self.t_two)
+        self.c_both, self.t_both = x.c_both.copy(), x.by_context(self.t)
         self.c_one[x.split], self.t_one[x.split], self.c_both[x.split_two], self.t_both[x.split_two] = c_one, t_one, c_both, t_both
 
     def frozen(self) -> bytes:

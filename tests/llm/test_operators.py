@@ -894,6 +894,21 @@ def test_everyone_is_seated():
         assert abs(many.mean() - mean) < (0.02 if n <= H.SMALL else 0.2) * mean, (n, others, base, many.mean(), mean)
 
 
+def test_sizes_seated_together_draw_what_each_draws():
+    """Every size once, in few calls; tables are those of the log weights of each size by itself."""
+    from stemma.llm import hpylm as H
+
+    assert [n for low, high in H._SIZES for n in range(low, high + 1)] == list(range(2, H.SMALL + 1)) and len(H._SIZES) < 32
+    r = np.random.default_rng(4)
+    c = r.integers(2, H.SMALL + 1, 4000)
+    keys, others, base = np.arange(4000).astype(np.uint64), r.integers(0, 50, 4000), r.random(4000)
+    got, ways = H.seat(c, c, others, H.constant(base), 0.6, 2.0, keys), H.stirling(0.6)
+    for i, n in enumerate(c.tolist()):
+        weight = np.cumsum(np.log(2.0 + 0.6 * (others[i] + np.arange(n)))) + np.arange(1, n + 1) * math.log(base[i]) + ways[n, 1 : n + 1]
+        weight = np.cumsum(np.exp(weight - weight.max()))
+        assert got[i] == 1 + (weight[:-1] < weight[-1] * H.uniform(keys[i : i + 1], n)).sum()
+
+
 # --- toxicity ----------------------------------------------------------------------------
 def test_toxicity(spark, none):
     from stemma.llm import toxicity as T
